@@ -418,5 +418,44 @@ def core_sql() -> dict[str, str]:
     return q
 
 
+# ---------------------------------------------------------------- io / catalog
+D1, D2 = "2025-01-01", "2025-01-02"
+
+FLATTENED = with_(RAW_CTE, """
+SELECT COALESCE(country_code, '') AS country_code, COALESCE(country_name, '') AS country_name,
+       indicator_id, indicator_name, COALESCE("year", '') AS "year", "value", extraction_date
+FROM raw""")
+
+SNAPSHOT_COUNTS = with_(CLEAN_CTE, f"""
+SELECT process_date, indicator_name, COUNT(*) AS n_rows FROM (
+  SELECT DATE '{D1}' AS process_date, indicator_name FROM clean
+  UNION ALL
+  SELECT DATE '{D2}' AS process_date, indicator_name FROM clean) s
+GROUP BY process_date, indicator_name""")
+
+LOAD_COUNTS = with_(ALL_CTE, """
+SELECT 'dim_countries' AS table_name, COUNT(*) AS n_rows FROM dim_countries
+UNION ALL SELECT 'dim_time', COUNT(*) FROM dim_time
+UNION ALL SELECT 'fact_employment_metrics', COUNT(*) FROM emp
+UNION ALL SELECT 'fact_economic_indicators', COUNT(*) FROM econ
+UNION ALL SELECT 'fact_education', COUNT(*) FROM edu
+UNION ALL SELECT 'opportunity_index', COUNT(*) FROM oi""")
+
+
+def io_sql() -> dict[str, str]:
+    return {
+        "csv_roundtrip": with_(RAW_CTE, "SELECT * FROM raw"),
+        "json_roundtrip": with_(RAW_CTE, "SELECT * FROM raw"),
+        "flatten_envelopes": FLATTENED,
+        "parquet_snapshot_overwrite": SNAPSHOT_COUNTS,
+        "table_load_append_truncate": with_(ALL_CTE, "SELECT * FROM dim_countries"),
+        "stream_clean_observations": with_(CLEAN_CTE, "SELECT * FROM clean"),
+        "load_counts": LOAD_COUNTS,
+        "view_top_countries": TOP_COUNTRIES,
+        "view_country_comparison": COMPARISON,
+        "view_country_trends": TRENDS,
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return core_sql()
+    return {**core_sql(), **io_sql()}

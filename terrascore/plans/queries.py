@@ -150,4 +150,5 @@ def core_queries() -> dict[str, Query]:
 
 
 def all_queries() -> dict[str, Query]:
-    return core_queries()
+    from .io_queries import io_queries
+    return {**core_queries(), **io_queries()}
