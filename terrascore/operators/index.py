@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scores import SCORES, with_scores
 from ..registry import INDEX_OUTPUT_COLUMNS, KEYS
-from ..session import stage_table
+from ..session import stage_table_counted
 from .facts import index_input
 from .rank import rank_desc
 
@@ -29,14 +29,17 @@ def opportunity_index(wide: DataFrame, rank_method: str = "auto", stage: bool =
     """The 14-column ranked index table.
 
     With ``stage`` the scored rows are written once to the shared folder
-    before ranking: the rank size check and a distributed rank then re-read
-    a file instead of recomputing the facts, and lineage is cut.
+    before ranking (lineage is cut; a distributed rank re-reads the file
+    instead of recomputing the facts) and the write observes the row count,
+    which settles the rank plan without another job while it is small.
     """
     cols = [c for c in INDEX_OUTPUT_COLUMNS if c != "opportunity_rank"]
     s = scored(wide).select(*cols, *_SCORE_ONLY_INPUTS)
+    n_rows = None
     if stage:
-        s = stage_table(s, "scored_index")
-    ranked = rank_desc(s, "year", "opportunity_index", "opportunity_rank", method=rank_method)
+        s, n_rows = stage_table_counted(s, "scored_index")
+    ranked = rank_desc(s, "year", "opportunity_index", "opportunity_rank",
+                       method=rank_method, n_rows=n_rows)
     return ranked.select(*INDEX_OUTPUT_COLUMNS)
 
 

@@ -10,30 +10,39 @@ Two exact plans:
 
   1. collapse ties: ``(g, v) -> n`` (partial aggregation; a value held by a
      third of all rows becomes one row per map task);
-  2. bucket values: ``b = floor(v / width)`` (monotone in ``v``);
+  2. bucket the distinct values by approximate quantiles of ``v``: the bound
+     list has ``ceil(rows / rows_per_bucket)`` entries (capped), so every
+     bucket holds a bounded share of the distinct values whatever their
+     distribution — no value range can pile up in one task. Bucket ids are
+     monotone in ``v`` and equal values share a bucket;
   3. per-(g, b) totals -> rows in strictly higher buckets of ``g`` (``offset``).
-     This table has one row per non-empty bucket; its size is data-dependent,
-     so the join is left to AQE, which broadcasts only below its threshold;
+     This table has at most one row per (group, bucket); its join is left to
+     AQE, which broadcasts only below its threshold;
   4. inside (g, b): rows with a larger value (running sum over distinct
      values only);
-  5. ``rank = 1 + offset + before``; join back on (g, v).
+  5. ``rank = 1 + offset + before``; join back on (g, v) (a hot (g, v) on the
+     row side is split by AQE's skew-join handling).
 
-  ``rank(v) = 1 + #{rows of g with value > v}`` and equal values share a
-  bucket, so the result is identical to the window plan.
+  ``rank(v) = 1 + #{rows of g with value > v}``, so the result is identical
+  to the window plan.
 
-``auto`` runs one small aggregate (rows per group) and picks ``window`` when
-the largest group is at most ``max_rows_per_task``. Callers hand in a staged
-(materialised) input so that neither the check nor the join-back recomputes
-the upstream plan.
+``auto`` picks ``window`` without any extra job when the caller knows the
+total row count and it is at most ``max_rows_per_task`` (every group is then
+small enough); otherwise it runs one small aggregate (rows per group).
+Callers hand in a staged (materialised) input so that neither the check nor
+the join-back recomputes the upstream plan.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_ROWS_PER_TASK = 5_000_000
-BUCKET_WIDTH = 0.05
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 100_000
 
 
 def rank_window(df: DataFrame, by: str, order: str, out: str) -> DataFrame:
@@ -41,11 +50,46 @@ def rank_window(df: DataFrame, by: str, order: str, out: str) -> DataFrame:
     return df.withColumn(out, F.rank().over(w))
 
 
+def bucket_count(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    return max(1, min(MAX_BUCKETS, math.ceil(n_rows / max(1, rows_per_bucket))))
+
+
+def quantile_bounds(vals: DataFrame, order: str, n_buckets: int) -> list[float]:
+    """Sorted distinct inner bucket bounds (at most ``n_buckets - 1`` values).
+
+    One distributed aggregate (mergeable quantile sketches, combined map-side);
+    the driver receives a list whose length is fixed by ``n_buckets``.
+    """
+    if n_buckets <= 1:
+        return []
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    accuracy = max(10_000, 10 * n_buckets)
+    bounds = (vals.where(~F.isnan(F.col(order).cast("double")))
+              .select(F.percentile_approx(F.col(order).cast("double"), probs, accuracy))
+              .first()[0])
+    return sorted({float(b) for b in (bounds or []) if b is not None and not math.isnan(b)})
+
+
+def with_bucket(vals: DataFrame, order: str, bounds: list[float], out: str = "_b") -> DataFrame:
+    """Monotone bucket id of ``order`` over ``bounds`` (JVM binary search)."""
+    if not bounds:
+        return vals.withColumn(out, F.lit(0.0))
+    from pyspark.ml.feature import Bucketizer
+    splits = [-math.inf, *bounds, math.inf]
+    # NaN sorts above every number in Spark; "keep" puts it in the top bucket.
+    return Bucketizer(splits=splits, inputCol=order, outputCol=out,
+                      handleInvalid="keep").transform(vals)
+
+
 def rank_distributed(df: DataFrame, by: str, order: str, out: str,
-                     width: float = BUCKET_WIDTH) -> DataFrame:
+                     rows_per_bucket: int = ROWS_PER_BUCKET,
+                     n_rows: int | None = None) -> DataFrame:
     vals = (df.where(F.col(order).isNotNull())
-            .groupBy(by, order).agg(F.count(F.lit(1)).alias("_n"))
-            .withColumn("_b", F.floor(F.col(order) / F.lit(width))))
+            .groupBy(by, order).agg(F.count(F.lit(1)).alias("_n")))
+    if n_rows is None:
+        n_rows = df.count()
+    vals = with_bucket(vals, order,
+                       quantile_bounds(vals, order, bucket_count(n_rows, rows_per_bucket)))
     higher = Window.partitionBy(by).orderBy(F.col("_b").desc()).rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = (vals.groupBy(by, "_b").agg(F.sum("_n").alias("_bn"))
@@ -72,11 +116,17 @@ def largest_group(df: DataFrame, by: str) -> int:
 
 def rank_desc(df: DataFrame, by: str, order: str, out: str, method: str = "auto",
               max_rows_per_task: int = MAX_ROWS_PER_TASK,
-              width: float = BUCKET_WIDTH) -> DataFrame:
+              rows_per_bucket: int = ROWS_PER_BUCKET,
+              n_rows: int | None = None) -> DataFrame:
+    """``n_rows``: the input's row count when already known (e.g. observed
+    while staging it); lets ``auto`` decide without a job."""
     if method == "auto":
-        method = "window" if largest_group(df, by) <= max_rows_per_task else "distributed"
+        if n_rows is not None and n_rows <= max_rows_per_task:
+            method = "window"
+        else:
+            method = "window" if largest_group(df, by) <= max_rows_per_task else "distributed"
     if method == "window":
         return rank_window(df, by, order, out)
     if method == "distributed":
-        return rank_distributed(df, by, order, out, width)
+        return rank_distributed(df, by, order, out, rows_per_bucket, n_rows)
     raise ValueError(f"unknown rank method {method!r}")

@@ -7,6 +7,28 @@ from pyspark.sql import types as T
 from .registry import FACT_COLUMNS
 
 S, I, D, L = T.StringType(), T.IntegerType(), T.DoubleType(), T.LongType()
+TS = T.TimestampNTZType()
+
+
+def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in fields])
+
+
+# Driver tables the adapter reads. Declaring them skips the footer-reading
+# schema-inference job per scan (one per query and table) and pins the types.
+DRIVER_TABLES = {
+    "lineitem": _struct(
+        ("l_orderkey", L), ("l_partkey", L), ("l_suppkey", L), ("l_linenumber", I),
+        ("l_quantity", D), ("l_extendedprice", D), ("l_discount", D), ("l_tax", D),
+        ("l_returnflag", S), ("l_linestatus", S), ("l_shipdate", TS)),
+    "orders": _struct(
+        ("o_orderkey", L), ("o_custkey", L), ("o_orderstatus", S), ("o_totalprice", D),
+        ("o_orderdate", TS), ("o_orderpriority", S)),
+    "customer": _struct(
+        ("c_custkey", L), ("c_name", S), ("c_nationkey", I), ("c_acctbal", D),
+        ("c_mktsegment", S)),
+    "nation": _struct(("n_nationkey", I), ("n_name", S), ("n_regionkey", I)),
+}
 
 # Landed observation (CSV / JSON). Year stays text until the clean stage.
 RAW = T.StructType([

@@ -11,7 +11,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -70,7 +71,17 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_table_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``stage_table`` that also returns the row count, observed by the write
+    job itself (no second pass)."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    obs = Observation(f"stage_{name}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..registry import INDICATORS
+from ..schemas import DRIVER_TABLES
 from ..session import table_path
 
 DEFAULT_EXTRACTION_DATE = dt.date(2025, 1, 1)
@@ -50,9 +51,14 @@ def _half_up(num: str, den: str, minus_cents: int = 0) -> Column:
     return F.expr(f"CAST({cents} AS DOUBLE) / 100")
 
 
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table with its declared schema (no inference job)."""
+    return spark.read.schema(DRIVER_TABLES[name]).parquet(table_path(sf_dir, name))
+
+
 def group_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (customer k, order year yr) with integer measures."""
-    li = spark.read.parquet(table_path(sf_dir, "lineitem")).select(
+    li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         (F.col("l_returnflag") == "R").cast("int").alias("is_r"),
         (F.col("l_linestatus") == "F").cast("int").alias("is_f"),
@@ -77,7 +83,7 @@ def group_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("qty_c").alias("s_qty"),
         F.sum("disc_c").alias("s_disc"),
     )
-    orders = spark.read.parquet(table_path(sf_dir, "orders")).select(
+    orders = read_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.col("o_custkey").alias("k"),
         F.year("o_orderdate").alias("yr"),
@@ -147,7 +153,7 @@ def raw_observations(spark: SparkSession, sf_dir: str,
                      extraction_date: dt.date = DEFAULT_EXTRACTION_DATE) -> DataFrame:
     """Raw observations, one customer per country (FIXTURES §3)."""
     groups = group_measures(spark, sf_dir)
-    customers = spark.read.parquet(table_path(sf_dir, "customer")).select(
+    customers = read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("k"), "c_name")
     # One row per group after aggregation: the name join cannot fan out or skew.
     named = groups.join(customers, "k", "left")
@@ -167,9 +173,9 @@ def nation_observations(spark: SparkSession, sf_dir: str,
     hot-key input of the engine.
     """
     groups = group_measures(spark, sf_dir)
-    customers = spark.read.parquet(table_path(sf_dir, "customer")).select(
+    customers = read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("nk"))
-    nations = spark.read.parquet(table_path(sf_dir, "nation")).select(
+    nations = read_table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("nk"), "n_name")
     named = groups.join(customers, "k", "left").join(F.broadcast(nations), "nk", "left")
     code = F.concat(F.lit("N"), F.col("nk").cast("string"))

@@ -20,7 +20,7 @@ def test_distributed_equals_window_on_index(spark):
     scored = with_scores(index_input(Ctx(spark, SF).wide)).select(
         "country_code", "year", "opportunity_index").cache()
     w = rank_window(scored, "year", "opportunity_index", "r")
-    d = rank_distributed(scored, "year", "opportunity_index", "r")
+    d = rank_distributed(scored, "year", "opportunity_index", "r", rows_per_bucket=200)
     _same(w, d, ["country_code", "year", "opportunity_index", "r"])
     # ties exist in every year, so this also checks rank gaps
     per_year = w.groupBy("year").agg(F.min("r").alias("lo"), F.countDistinct("r").alias("d"),
@@ -34,7 +34,7 @@ def test_distributed_with_hot_group_and_hot_tie(spark):
         "o_orderkey", "o_orderstatus",
         F.round(F.col("o_totalprice") / 50000).alias("v"))
     w = rank_window(orders, "o_orderstatus", "v", "r")
-    d = rank_distributed(orders, "o_orderstatus", "v", "r", width=0.5)
+    d = rank_distributed(orders, "o_orderstatus", "v", "r", rows_per_bucket=500)
     _same(w, d, ["o_orderkey", "o_orderstatus", "v", "r"])
 
 
@@ -43,7 +43,7 @@ def test_nulls_rank_last(spark):
         [("a", 1, 3.0), ("b", 1, None), ("c", 1, 3.0), ("d", 1, 1.0), ("e", 2, None)],
         "k string, g int, v double")
     w = rank_window(df, "g", "v", "r")
-    d = rank_distributed(df, "g", "v", "r", width=1.0)
+    d = rank_distributed(df, "g", "v", "r", rows_per_bucket=2)
     _same(w, d, ["k", "r"])
     got = {r["k"]: r["r"] for r in d.collect()}
     assert got == {"a": 1, "c": 1, "d": 3, "b": 4, "e": 1}
@@ -55,3 +55,30 @@ def test_auto_picks_window_for_small_groups(spark):
     assert "Window" in out._jdf.queryExecution().optimizedPlan().toString()
     out2 = rank_desc(df, "g", "v", "r", method="auto", max_rows_per_task=1)
     assert sorted(r["r"] for r in out2.collect()) == [1, 2]
+    # a known small row count decides without a job
+    out3 = rank_desc(df, "g", "v", "r", method="auto", max_rows_per_task=10, n_rows=2)
+    assert "Window" in out3._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_quantile_buckets_spread_a_dense_value_range(spark):
+    # All values inside one narrow range (a fixed-width bucketing would put
+    # them in one bucket): quantile bounds still split them evenly.
+    from terrascore.operators.rank import quantile_bounds, with_bucket
+    df = spark.range(0, 20000).select(
+        F.lit(1).alias("g"), (F.lit(50.0) + F.col("id") * 1e-9).alias("v"),
+        F.lit(1).alias("_n"))
+    b = with_bucket(df, "v", quantile_bounds(df, "v", 20))
+    sizes = [r["count"] for r in b.groupBy("_b").count().collect()]
+    assert len(sizes) >= 15 and max(sizes) <= 2 * 20000 / 20
+    w = rank_window(df, "g", "v", "r")
+    d = rank_distributed(df.drop("_n"), "g", "v", "r", rows_per_bucket=1000)
+    _same(w, d, ["v", "r"])
+
+
+def test_nan_ranks_first_like_the_window(spark):
+    df = spark.createDataFrame(
+        [("a", 1, float("nan")), ("b", 1, 2.0), ("c", 1, None), ("d", 1, 5.0), ("e", 1, 2.0)],
+        "k string, g int, v double")
+    w = rank_window(df, "g", "v", "r")
+    d = rank_distributed(df, "g", "v", "r", rows_per_bucket=1)
+    _same(w, d, ["k", "r"])
