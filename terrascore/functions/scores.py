@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import registry as R
+from . import per_context
 
 
 def _c(x) -> Column:
@@ -107,7 +108,11 @@ def weighted_index(weights=R.INDEX_WEIGHTS) -> Column:
     return total.cast("double")
 
 
+def _default_columns():
+    return {name: fn() for name, fn in SCORES.items()}, weighted_index()
+
+
 def with_scores(df):
     """Add the six sub-scores and the composite ``opportunity_index``."""
-    return df.withColumns({name: fn() for name, fn in SCORES.items()}).withColumn(
-        "opportunity_index", weighted_index())
+    scores, idx = per_context("scores", _default_columns)
+    return df.withColumns(scores).withColumn("opportunity_index", idx)

@@ -24,6 +24,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import per_context
 from ..registry import INDICATORS
 from ..schemas import DRIVER_TABLES
 from ..session import table_path
@@ -56,9 +57,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(DRIVER_TABLES[name]).parquet(table_path(sf_dir, name))
 
 
-def group_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (customer k, order year yr) with integer measures."""
-    li = read_table(spark, sf_dir, "lineitem").select(
+def _line_measures() -> list[Column]:
+    return [
         "l_orderkey",
         (F.col("l_returnflag") == "R").cast("int").alias("is_r"),
         (F.col("l_linestatus") == "F").cast("int").alias("is_f"),
@@ -67,8 +67,11 @@ def group_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
         _cents(F.col("l_discount")).alias("disc_c"),
         _cents(F.col("l_tax")).alias("tax_c"),
         _cents(F.col("l_quantity")).alias("qty_c"),
-    )
-    per_order = li.groupBy("l_orderkey").agg(
+    ]
+
+
+def _order_aggs() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("n"),
         F.sum("is_r").alias("n_r"),
         F.sum("is_f").alias("n_f"),
@@ -82,14 +85,11 @@ def group_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("tax_c").alias("s_tax"),
         F.sum("qty_c").alias("s_qty"),
         F.sum("disc_c").alias("s_disc"),
-    )
-    orders = read_table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"),
-        F.col("o_custkey").alias("k"),
-        F.year("o_orderdate").alias("yr"),
-        F.col("o_orderpriority").isin(*URGENT_PRIORITIES).cast("long").alias("pri"),
-    )
-    return per_order.join(orders, "l_orderkey").groupBy("k", "yr").agg(
+    ]
+
+
+def _group_aggs() -> list[Column]:
+    return [
         F.sum("n").alias("n"),
         F.sum("n_r").alias("n_r"),
         F.sum("n_f").alias("n_f"),
@@ -104,7 +104,21 @@ def group_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("s_qty").alias("s_qty"),
         F.sum("s_disc").alias("s_disc"),
         F.sum(F.col("pri") * F.col("n")).alias("n_pri"),
+    ]
+
+
+def group_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (customer k, order year yr) with integer measures."""
+    li = read_table(spark, sf_dir, "lineitem").select(*per_context("adapter_lines", _line_measures))
+    per_order = li.groupBy("l_orderkey").agg(*per_context("adapter_orders", _order_aggs))
+    orders = read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"),
+        F.col("o_custkey").alias("k"),
+        F.year("o_orderdate").alias("yr"),
+        F.col("o_orderpriority").isin(*URGENT_PRIORITIES).cast("long").alias("pri"),
     )
+    return (per_order.join(orders, "l_orderkey").groupBy("k", "yr")
+            .agg(*per_context("adapter_groups", _group_aggs)))
 
 
 def indicator_values() -> list[Column]:
@@ -126,10 +140,10 @@ def indicator_values() -> list[Column]:
     ]
 
 
-def _long_form(groups: DataFrame, code: Column, name: Column,
-               extraction_date: dt.date) -> DataFrame:
+def _entries() -> Column:
+    """The 13 (indicator, value) structs of a group, as one array."""
     k = F.col("k")
-    entries = [
+    return F.array(*[
         F.struct(
             F.lit(ind.code).alias("indicator_id"),
             F.lit(ind.name).alias("indicator_name"),
@@ -137,12 +151,16 @@ def _long_form(groups: DataFrame, code: Column, name: Column,
                    >= NULL_VALUE_BELOW, v).alias("value"),
         )
         for i, (ind, v) in enumerate(zip(INDICATORS, indicator_values()))
-    ]
+    ])
+
+
+def _long_form(groups: DataFrame, code: Column, name: Column,
+               extraction_date: dt.date) -> DataFrame:
     return groups.select(
         code.alias("country_code"),
         name.alias("country_name"),
         F.col("yr").cast("string").alias("year"),
-        F.inline(F.array(*entries)),
+        F.inline(per_context("adapter_entries", _entries)),
     ).select(
         "country_code", "country_name", "indicator_id", "indicator_name", "year", "value",
         F.lit(extraction_date).alias("extraction_date"),
