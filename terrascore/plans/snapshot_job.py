@@ -67,15 +67,18 @@ def run(spark: SparkSession, raw: DataFrame, out_root: str, process_date: dt.dat
         database: str | None = None, rank_method: str = "auto",
         **view_params) -> dict[str, DataFrame]:
     root = out_root.rstrip("/")
-    write_snapshot(C.clean_observations(raw, process_date), f"{root}/observations")
-    clean = files.read_snapshot(spark, f"{root}/observations", process_date)
+    observations = C.clean_observations(raw, process_date)
+    write_snapshot(observations, f"{root}/observations")
+    clean = files.read_snapshot(spark, f"{root}/observations", process_date,
+                                schema=observations.schema)
     tables = build_tables(clean, rank_method)
     out = {}
     for name, df in tables.items():
         path = f"{root}/{name}"
-        write_snapshot(df.withColumn("process_date", F.lit(process_date).cast("date")),
-                       path, partition_by=("process_date",))
-        out[name] = files.read_snapshot(spark, path, process_date).drop("process_date")
+        dated = df.withColumn("process_date", F.lit(process_date).cast("date"))
+        write_snapshot(dated, path, partition_by=("process_date",))
+        out[name] = files.read_snapshot(spark, path, process_date,
+                                        schema=dated.schema).drop("process_date")
     if database:
         publish(spark, out, database, f"{root}/_catalog", **view_params)
     return out

@@ -16,6 +16,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..schemas import RAW, RAW_TEXT
 
@@ -27,14 +28,12 @@ RAW_COLUMNS = tuple(f.name for f in RAW.fields)
 def read_raw_csv(spark: SparkSession, path: str, options: dict | None = None) -> DataFrame:
     """Landed raw CSV; year and value stay text until the clean stage casts them.
 
-    A partitioned layout (``indicator_name=<x>/``) is discovered from ``path``.
+    Works on both layouts: in ``indicator_name=<x>/`` folders the declared
+    ``indicator_name`` column is the partition column (files hold the other
+    columns, in order); in flat files it is read from the file.
     """
-    df = (spark.read.schema(RAW_TEXT.__class__(
-            [f for f in RAW_TEXT.fields if f.name != "indicator_name"]))
-          .options(**(options or LANDED_CSV_OPTIONS)).csv(path))
-    if "indicator_name" not in df.columns:
-        df = df.withColumn("indicator_name", F.lit(None).cast("string"))
-    return df.select(*RAW_COLUMNS)
+    return (spark.read.schema(RAW_TEXT).options(**(options or LANDED_CSV_OPTIONS))
+            .csv(path).select(*RAW_COLUMNS))
 
 
 def read_raw_csv_flat(spark: SparkSession, path: str, options: dict | None = None) -> DataFrame:
@@ -43,18 +42,21 @@ def read_raw_csv_flat(spark: SparkSession, path: str, options: dict | None = Non
 
 
 def read_raw_json(spark: SparkSession, path: str) -> DataFrame:
-    """Landed raw JSON Lines (partitioned by indicator_name or flat)."""
-    df = spark.read.schema(RAW.__class__(
-        [f for f in RAW.fields if f.name != "indicator_name"])).json(path)
-    if "indicator_name" not in df.columns:
-        df = df.withColumn("indicator_name", F.lit(None).cast("string"))
-    return df.select(*RAW_COLUMNS)
+    """Landed raw JSON Lines, partitioned by indicator_name or flat (the
+    declared ``indicator_name`` comes from the folder or from the record)."""
+    return spark.read.schema(RAW).json(path).select(*RAW_COLUMNS)
 
 
 def read_snapshot(spark: SparkSession, path: str, process_date: dt.date | str | None = None,
-                  indicators: tuple[str, ...] | None = None) -> DataFrame:
-    """Parquet snapshot with partition pruning on date and indicator."""
-    df = spark.read.parquet(path)
+                  indicators: tuple[str, ...] | None = None,
+                  schema: StructType | None = None) -> DataFrame:
+    """Parquet snapshot with partition pruning on date and indicator.
+
+    ``schema`` (partition columns included) skips inference and keeps an
+    empty snapshot readable.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(path)
     if process_date is not None:
         df = df.where(F.col("process_date") == F.lit(process_date).cast("date"))
     if indicators:
