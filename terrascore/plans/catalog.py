@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import registry as R
+from ..schemas import TABLE_SCHEMAS
 from ..sinks.writers import ensure_database, load_table, replace_view
 
 TABLES = ("dim_countries", "dim_time", "fact_employment_metrics",
@@ -80,11 +81,17 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], database: str, ro
             trends_floor: int = R.TRENDS_YEAR_FLOOR, top_k: int = R.TOP_K,
             trends_k: int = R.TRENDS_TOP_K, home: str = R.HOME_COUNTRY,
             disposition: str = "WRITE_TRUNCATE") -> dict[str, int]:
-    """Load the six tables and (re)create the three views; returns row counts."""
+    """Load the six tables and (re)create the three views; returns row counts.
+
+    Each table is loaded with its declared schema (columns matched by name,
+    cast and ordered as declared), so the catalog schema never depends on
+    how a plan happened to type a column.
+    """
     ensure_database(spark, database)
     counts = {}
     for name in TABLES:
         counts[name] = load_table(tables[name], f"{database}.{name}", disposition,
+                                  schema=TABLE_SCHEMAS[name],
                                   path=f"{root.rstrip('/')}/{name}")
     replace_view(spark, f"{database}.country_comparison_view",
                  comparison_sql(database, comparison_floor))

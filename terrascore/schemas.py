@@ -80,6 +80,26 @@ def fact_schema(fact: str) -> T.StructType:
     )
 
 
+OPPORTUNITY_INDEX = T.StructType(
+    [T.StructField("country_code", S), T.StructField("year", I)]
+    + [T.StructField(c, D) for c in (
+        "unemployment_rate", "youth_unemployment", "employment_ratio",
+        "gdp_per_capita", "gdp_per_capita_ppp", "inflation", "government_debt",
+        "school_enrollment", "education_spending", "foreign_direct_investment",
+        "opportunity_index")]
+    + [T.StructField("opportunity_rank", I)]
+)
+
+# Declared schema of each published table (the warehouse load schema).
+TABLE_SCHEMAS = {
+    "dim_countries": DIM_COUNTRIES,
+    "dim_time": DIM_TIME,
+    "fact_employment_metrics": fact_schema("employment"),
+    "fact_economic_indicators": fact_schema("economic"),
+    "fact_education": fact_schema("education"),
+    "opportunity_index": OPPORTUNITY_INDEX,
+}
+
 # One record inside a landed page envelope (element 1 of the JSON array).
 ENVELOPE_RECORD = T.StructType([
     T.StructField("countryiso3code", S),

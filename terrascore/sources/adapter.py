@@ -195,6 +195,7 @@ def nation_observations(spark: SparkSession, sf_dir: str,
         F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("nk"))
     nations = read_table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("nk"), "n_name")
-    named = groups.join(customers, "k", "left").join(F.broadcast(nations), "nk", "left")
+    # No hint: Spark broadcasts the nation table only below its size threshold.
+    named = groups.join(customers, "k", "left").join(nations, "nk", "left")
     code = F.concat(F.lit("N"), F.col("nk").cast("string"))
     return _long_form(named, code, F.col("n_name"), extraction_date)

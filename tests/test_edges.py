@@ -170,6 +170,23 @@ def test_load_dispositions(spark):
     assert raised
 
 
+def test_load_schema_override_orders_and_casts_by_name(spark):
+    from terrascore.schemas import TABLE_SCHEMAS
+    db = f"edge_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {db}")
+    # columns out of order, year as bigint, an extra column the table drops
+    df = spark.createDataFrame([(1.5, 2001, "C1", 2.5, 9, "x")],
+                               "school_enrollment double, year bigint, country_code string, "
+                               "education_spending double, extra int, junk string")
+    target = TABLE_SCHEMAS["fact_education"]
+    n = load_table(df.drop("extra", "junk"), f"{db}.edu", schema=target,
+                   path=shared_path(spark, "edge_edu"))
+    t = spark.table(f"{db}.edu")
+    assert n == 1 and t.schema.simpleString() == target.simpleString()
+    assert t.first().asDict() == {"country_code": "C1", "year": 2001,
+                                  "education_spending": 2.5, "school_enrollment": 1.5}
+
+
 def test_checkpoint_dir_is_session_setting(spark):
     from terrascore.session import checkpoint_root
     root = checkpoint_root(spark)
