@@ -52,6 +52,15 @@ def rejected_observations(raw: DataFrame) -> DataFrame:
         F.col("reject_reason").isNotNull())
 
 
+def bad_years(raw: DataFrame) -> DataFrame:
+    """Rows that pass the value and code rules but whose year text is not an
+    integer (quarantined instead of reaching the facts), year text kept."""
+    code = F.col("country_code")
+    return raw.where(
+        F.col("value").try_cast("double").isNotNull() & code.isNotNull() & (code != "")
+        & F.col("year").try_cast("int").isNull())
+
+
 def reject_summary(raw: DataFrame) -> DataFrame:
     """Rejected row counts by indicator and reason (map-side combined)."""
     return rejected_observations(raw).groupBy("indicator_name", "reject_reason").agg(

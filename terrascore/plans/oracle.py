@@ -389,6 +389,10 @@ def core_sql() -> dict[str, str]:
         "raw_observations": with_(RAW_CTE, "SELECT * FROM raw"),
         "clean_observations": with_(CLEAN_CTE, "SELECT * FROM clean"),
         "raw_rejects": REJECTS,
+        "bad_years": with_(RAW_CTE, """
+SELECT * FROM raw
+WHERE "value" IS NOT NULL AND country_code IS NOT NULL AND country_code <> ''
+  AND TRY_CAST("year" AS INTEGER) IS NULL"""),
         "observations_in_window": with_(
             CLEAN_CTE, f"SELECT * FROM clean WHERE \"year\" BETWEEN {WINDOW_YEARS[0]} AND {WINDOW_YEARS[1]}"),
         "fact_employment": with_(ALL_CTE, "SELECT * FROM emp"),

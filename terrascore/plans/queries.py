@@ -109,6 +109,7 @@ def core_queries() -> dict[str, Query]:
         "raw_observations": _q(lambda c: c.raw),
         "clean_observations": _q(lambda c: c.clean),
         "raw_rejects": _q(lambda c: C.reject_summary(c.raw)),
+        "bad_years": _q(lambda c: C.bad_years(c.raw)),
         "observations_in_window": _q(
             lambda c: C.clean_observations(c.raw, year_range=WINDOW_YEARS)),
         # facts (D12-D14, J1-J3)

@@ -34,6 +34,8 @@ def test_clean_rules_and_reject_reasons(spark):
     reasons = {r["country_name"]: r["reject_reason"]
                for r in C.rejected_observations(raw).collect()}
     assert reasons == {"E": "empty_code", "N": "null_code", "B": "null_value", "C": "bad_year"}
+    bad = C.bad_years(raw).collect()
+    assert [(r["country_code"], r["year"]) for r in bad] == [("CCC", "20x0")]
 
 
 def test_missing_indicators_keep_all_columns_and_score_50(spark):
