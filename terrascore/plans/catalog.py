@@ -17,6 +17,11 @@ from ..sinks.writers import ensure_database, load_table, replace_view
 
 TABLES = ("dim_countries", "dim_time", "fact_employment_metrics",
           "fact_economic_indicators", "fact_education", "opportunity_index")
+# Tables the views join on (country_code, year): stored bucketed on those
+# keys with one bucket count, so the view join chains need no exchange on
+# their side (only the country x year spine is shuffled).
+BUCKETED = ("fact_employment_metrics", "fact_economic_indicators", "fact_education",
+            "opportunity_index")
 VIEWS = ("country_comparison_view", "top_countries_for_grads_view", "country_trends_view")
 
 
@@ -80,9 +85,12 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], database: str, ro
             comparison_floor: int = R.COMPARISON_YEAR_FLOOR,
             trends_floor: int = R.TRENDS_YEAR_FLOOR, top_k: int = R.TOP_K,
             trends_k: int = R.TRENDS_TOP_K, home: str = R.HOME_COUNTRY,
-            disposition: str = "WRITE_TRUNCATE") -> dict[str, int]:
+            disposition: str = "WRITE_TRUNCATE", buckets: int | None = None) -> dict[str, int]:
     """Load the six tables and (re)create the three views; returns row counts.
 
+    ``buckets``: bucket count of the (country_code, year) tables; default
+    ``spark.sql.shuffle.partitions`` (size it so a bucket is ~128-256 MB).
+
     Each table is loaded with its declared schema (columns matched by name,
     cast and ordered as declared), so the catalog schema never depends on
     how a plan happened to type a column.
@@ -92,7 +100,9 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], database: str, ro
     for name in TABLES:
         counts[name] = load_table(tables[name], f"{database}.{name}", disposition,
                                   schema=TABLE_SCHEMAS[name],
-                                  path=f"{root.rstrip('/')}/{name}")
+                                  path=f"{root.rstrip('/')}/{name}",
+                                  bucket_by=R.KEYS if name in BUCKETED else None,
+                                  buckets=buckets)
     replace_view(spark, f"{database}.country_comparison_view",
                  comparison_sql(database, comparison_floor))
     replace_view(spark, f"{database}.top_countries_for_grads_view", top_sql(database, top_k))

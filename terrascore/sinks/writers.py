@@ -44,18 +44,31 @@ def write_snapshot(df: DataFrame, path: str,
 
 
 def load_table(df: DataFrame, table: str, disposition: str = "WRITE_TRUNCATE",
-               schema: StructType | None = None, path: str | None = None) -> int:
+               schema: StructType | None = None, path: str | None = None,
+               bucket_by: tuple[str, ...] | None = None,
+               buckets: int | None = None) -> int:
     """Save ``df`` as a catalog table; returns the number of rows loaded.
 
     ``path`` makes it an external table in shared storage. ``schema``
-    reconciles columns by name and casts (``DataFrame.to``).
+    reconciles columns by name and casts (``DataFrame.to``). ``bucket_by``
+    stores the table hash-bucketed and sorted on those columns (``buckets``
+    buckets, default ``spark.sql.shuffle.partitions``): later joins on the
+    same keys read it co-partitioned, without a shuffle or sort. The rows are
+    hash-partitioned the same way before the write, so each task writes
+    exactly one bucket file.
     """
     if disposition not in DISPOSITIONS:
         raise ValueError(f"unknown disposition {disposition!r}")
     if schema is not None:
         df = df.to(schema)
     obs = Observation(f"load_{table.replace('.', '_')}")
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(DISPOSITIONS[disposition])
+    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if bucket_by:
+        n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(n, *bucket_by)
+    w = df.write.mode(DISPOSITIONS[disposition])
+    if bucket_by:
+        w = w.bucketBy(n, *bucket_by).sortBy(*bucket_by)
     if path is not None:
         w = w.option("path", path)
     w.format("parquet").saveAsTable(table)

@@ -78,3 +78,22 @@ def test_rank_filter_gets_group_limit(spark):
     w = Window.partitionBy("year").orderBy(F.col("v").desc())
     top = scored.withColumn("r", F.rank().over(w)).where(F.col("r") <= 30)
     assert "WindowGroupLimit" in _plan(top)
+
+
+def test_bucketed_tables_leave_only_the_spine_shuffle(spark):
+    """Published (country_code, year) tables are bucketed: the comparison
+    view's four left joins shuffle only the country x year spine."""
+    from terrascore.plans import io_queries as IO
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",
+                                            "spark.sql.autoBroadcastJoinThreshold")}
+    db = IO._published(spark, SF)
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = spark.table(f"{db}.country_comparison_view")._jdf.queryExecution() \
+            .executedPlan().toString()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert plan.count("SortMergeJoin") == 4
+    assert plan.count("Exchange hashpartitioning") == 1
