@@ -70,14 +70,18 @@ def index_input(wide: DataFrame) -> DataFrame:
 
 
 def outer_join_chain(clean: DataFrame, names) -> DataFrame:
-    """The literal chained FULL OUTER JOIN form (kept as an operator).
-
-    Equal to ``build_fact`` when keys are unique per indicator; used for
-    equivalence tests and plan comparisons.
+    """The chained FULL OUTER JOIN form (kept as an operator, for plan and
+    timing comparisons).
+
+    Each input is first collapsed to one row per key (``max``, as in the
+    pivot), so the chain can never multiply duplicate keys into all their
+    pairs; its result then equals ``build_fact`` on any input. The collapse
+    hash-partitions each side on the keys, which is the partitioning the
+    join needs, so it adds no exchange.
     """
     out = None
     for n in names:
         part = (clean.where(F.col("indicator_name") == n)
-                .select(*KEYS, F.col("value").alias(n)))
+                .groupBy(*KEYS).agg(F.max("value").alias(n)))
         out = part if out is None else out.join(part, list(KEYS), "full_outer")
     return out

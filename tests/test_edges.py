@@ -189,6 +189,19 @@ def test_load_schema_override_orders_and_casts_by_name(spark):
                                   "education_spending": 2.5, "school_enrollment": 1.5}
 
 
+def test_outer_join_chain_never_multiplies_duplicate_keys(spark):
+    # a hot key observed 40 times per indicator: the chain stays one row
+    rows = [("H", "H", "x", ind, "2020", float(i))
+            for i in range(40) for ind in ("unemployment_rate", "youth_unemployment",
+                                           "employment_ratio")]
+    clean = C.clean_observations(raw_df(spark, rows))
+    names = ("unemployment_rate", "youth_unemployment", "employment_ratio")
+    chain = facts.outer_join_chain(clean, names).collect()
+    assert len(chain) == 1 and chain[0]["unemployment_rate"] == 39.0
+    assert sorted(tuple(r) for r in chain) == sorted(
+        tuple(r) for r in facts.build_fact(clean, "employment").collect())
+
+
 def test_checkpoint_dir_is_session_setting(spark):
     from terrascore.session import checkpoint_root
     root = checkpoint_root(spark)
