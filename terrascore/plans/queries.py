@@ -70,7 +70,11 @@ class Ctx:
         df = C.clean_observations(self.raw)
         if self.drop_indicators:
             df = df.where(~F.col("indicator_name").isin(*self.drop_indicators))
-        return stage_table(df, "clean") if self.stage_clean else df
+        if not self.stage_clean:
+            return df
+        # Partitioned by indicator: each fact and the gdp-only dimensions
+        # read just their indicators' folders.
+        return stage_table(df, "clean", partition_by=("indicator_name",))
 
     @cached_property
     def wide(self) -> DataFrame:

@@ -62,26 +62,32 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+def stage_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to Parquet in the shared folder and read it back.
 
     Cuts lineage (a lost executor re-reads the file instead of recomputing
     the upstream) and lets several consumers share one computation.
+    ``partition_by`` folders let later filters on those columns prune files.
     """
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return stage_table_counted(df, name, partition_by, count=False)[0]
 
 
-def stage_table_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+def stage_table_counted(df: DataFrame, name: str, partition_by: tuple[str, ...] = (),
+                        count: bool = True) -> tuple[DataFrame, int | None]:
     """``stage_table`` that also returns the row count, observed by the write
     job itself (no second pass)."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    obs = Observation(f"stage_{name}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
+    obs = Observation(f"stage_{name}") if count else None
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if count else df
+    w = out.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    # Declared read schema: no inference job; original column order kept
+    # (partition columns would otherwise move to the end).
+    back = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    return back, (int(obs.get["rows"]) if count else None)
 
 
 def table_path(sf_dir: str, name: str) -> str:

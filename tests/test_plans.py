@@ -97,3 +97,17 @@ def test_bucketed_tables_leave_only_the_spine_shuffle(spark):
             spark.conf.set(k, v)
     assert plan.count("SortMergeJoin") == 4
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_staged_clean_is_pruned_by_indicator(spark):
+    """View queries stage clean observations partitioned by indicator: the
+    gdp-only dimensions read one folder, the facts only their indicators."""
+    ctx = Ctx(spark, SF, stage_clean=True)
+    dim = _plan(ctx.countries)
+    assert "PartitionFilters: [isnotnull(indicator_name" in dim and "= gdp)" in dim
+    edu = _plan(facts.build_fact(ctx.clean, "education"))
+    assert "PartitionFilters: [indicator_name" in edu or \
+        "PartitionFilters: [isnotnull(indicator_name" in edu
+    assert ctx.clean.columns == ["country_code", "country_name", "indicator_id",
+                                 "indicator_name", "year", "value", "extraction_date",
+                                 "process_date"]
