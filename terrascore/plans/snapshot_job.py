@@ -24,6 +24,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import registry as R
 from ..operators import clean as C
 from ..operators import dims, facts, index
 from ..session import build_session, stage_table
@@ -65,9 +66,9 @@ def load_raw(spark: SparkSession, source: str, input_path: str,
 
 def run(spark: SparkSession, raw: DataFrame, out_root: str, process_date: dt.date,
         database: str | None = None, rank_method: str = "auto",
-        **view_params) -> dict[str, DataFrame]:
+        year_range: tuple[int, int] | None = None, **view_params) -> dict[str, DataFrame]:
     root = out_root.rstrip("/")
-    observations = C.clean_observations(raw, process_date)
+    observations = C.clean_observations(raw, process_date, year_range=year_range)
     write_snapshot(observations, f"{root}/observations")
     clean = files.read_snapshot(spark, f"{root}/observations", process_date,
                                 schema=observations.schema)
@@ -93,10 +94,14 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--out", required=True, help="shared output folder")
     p.add_argument("--database", default=None)
     p.add_argument("--rank-method", default="auto", choices=("auto", "window", "distributed"))
+    p.add_argument("--year-range", type=int, nargs=2, metavar=("LO", "HI"), default=None,
+                   help="keep observation years LO..HI (the source extracts "
+                        f"{R.SOURCE_YEAR_RANGE[0]}..{R.SOURCE_YEAR_RANGE[1]}); default all")
     a = p.parse_args(argv)
     spark = build_session()
     raw = load_raw(spark, a.source, a.input, a.date)
-    tables = run(spark, raw, a.out, a.date, a.database, a.rank_method)
+    tables = run(spark, raw, a.out, a.date, a.database, a.rank_method,
+                 tuple(a.year_range) if a.year_range else None)
     for name in tables:
         print(f"wrote {name}")
     return 0

@@ -99,8 +99,6 @@ SOURCE_YEAR_RANGE = (2012, 2025)
 PAGE_SIZE = 1000
 # -----------------------------------------------------------------------------
 
-BY_NAME: dict[str, Indicator] = {i.name: i for i in INDICATORS}
-BY_CODE: dict[str, Indicator] = {i.code: i for i in INDICATORS}
 INDICATOR_NAMES: tuple[str, ...] = tuple(i.name for i in INDICATORS)
 FACTS: tuple[str, ...] = tuple(FACT_COLUMNS)
 KEYS: tuple[str, str] = ("country_code", "year")
@@ -118,10 +116,6 @@ assert abs(sum(w for _, w in INDEX_WEIGHTS) - 1.0) < 1e-12
 assert {i.name for i in INDICATORS} == {c for cols in FACT_COLUMNS.values() for c in cols}
 
 
-def indicators_of(fact: str) -> tuple[str, ...]:
-    return FACT_COLUMNS[fact]
-
-
 def registry_df(spark):
     """The registry as a small DataFrame (13 rows) for broadcast joins."""
     return spark.createDataFrame(

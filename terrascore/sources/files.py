@@ -36,11 +36,6 @@ def read_raw_csv(spark: SparkSession, path: str, options: dict | None = None) ->
             .csv(path).select(*RAW_COLUMNS))
 
 
-def read_raw_csv_flat(spark: SparkSession, path: str, options: dict | None = None) -> DataFrame:
-    """Landed raw CSV whose files carry every column (no partition folders)."""
-    return spark.read.schema(RAW_TEXT).options(**(options or LANDED_CSV_OPTIONS)).csv(path)
-
-
 def read_raw_json(spark: SparkSession, path: str) -> DataFrame:
     """Landed raw JSON Lines, partitioned by indicator_name or flat (the
     declared ``indicator_name`` comes from the folder or from the record)."""

@@ -133,12 +133,23 @@ def test_landed_pandas_style_csv(spark, tmp_path):
                  'extraction_date\nAAA,"Korea, ""Rep.""",NY.GDP.MKTP.CD,gdp,2020,1.5,2025-01-01\n'
                  ',Aggregate,NY.GDP.MKTP.CD,gdp,2020,,2025-01-01\n'
                  'CCC,C,NY.GDP.MKTP.CD,gdp,20x0,abc,2025-01-01\n')
-    raw = files.read_raw_csv_flat(spark, str(p))
+    raw = files.read_raw_csv(spark, str(p))
     clean = C.clean_observations(raw).collect()
     assert [(r.country_code, r.country_name, r.year, r.value) for r in clean] == [
         ("AAA", 'Korea, "Rep."', 2020, 1.5)]
 
 
+def test_wildcard_table_source(spark):
+    root = shared_path(spark, "tables")
+    for name, n in (("a", 3), ("b", 5)):
+        spark.range(n).write.parquet(f"{root}/{name}")
+        # a stray non-Parquet file next to the data is skipped by the glob
+        with open(f"{root.replace('file:', '')}/{name}/notes.txt", "w") as fh:
+            fh.write("not data")
+    got = files.read_tables(spark, root, ("a", "b"))
+    assert {k: v.count() for k, v in got.items()} == {"a": 3, "b": 5}
+
+
 def test_snapshot_rewrite_keeps_other_dates(spark):
     raw = raw_df(spark, [("AAA", "A", "x", "gdp", "2020", 1.0),
                          ("BBB", "B", "x", "inflation", "2020", 2.0)])

@@ -55,10 +55,11 @@ def test_snapshot_job_cli_from_landed_json(spark):
     adapter.raw_observations(spark, SF_SMALL).write.json(landing)
     out = shared_path(spark, "cli")
     assert J.main(["--date", "2025-01-01", "--source", "json", "--input", landing,
-                   "--out", out]) == 0
+                   "--out", out, "--year-range", "1996", "2000"]) == 0
     ranked = spark.read.parquet(f"{out}/opportunity_index")
     per_year = ranked.groupBy("year").agg(F.min("opportunity_rank").alias("lo")).collect()
-    assert per_year and all(r["lo"] == 1 for r in per_year)
+    assert sorted(r["year"] for r in per_year) == [1996, 1997, 1998, 1999, 2000]
+    assert all(r["lo"] == 1 for r in per_year)
 
 
 def test_raw_readers_take_flat_and_partitioned_layouts(spark):
