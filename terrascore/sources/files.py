@@ -36,10 +36,16 @@ def read_raw_csv(spark: SparkSession, path: str, options: dict | None = None) ->
             .csv(path).select(*RAW_COLUMNS))
 
 
-def read_raw_json(spark: SparkSession, path: str) -> DataFrame:
-    """Landed raw JSON Lines, partitioned by indicator_name or flat (the
-    declared ``indicator_name`` comes from the folder or from the record)."""
-    return spark.read.schema(RAW).json(path).select(*RAW_COLUMNS)
+def read_raw_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Landed raw JSON, partitioned by indicator_name or flat (the declared
+    ``indicator_name`` comes from the folder or from the record).
+
+    Default JSON Lines (our sink; splittable). ``multi_line=True`` reads files
+    that each hold one JSON array of records (a pandas-style producer); such
+    a file is one split, so it suits per-indicator landing files.
+    """
+    return (spark.read.schema(RAW).option("multiLine", multi_line).json(path)
+            .select(*RAW_COLUMNS))
 
 
 def read_snapshot(spark: SparkSession, path: str, process_date: dt.date | str | None = None,

@@ -139,6 +139,19 @@ def test_landed_pandas_style_csv(spark, tmp_path):
         ("AAA", 'Korea, "Rep."', 2020, 1.5)]
 
 
+def test_landed_json_array_of_records(spark, tmp_path):
+    # one array per file, pretty-printed over several lines, null value
+    (tmp_path / "gdp.json").write_text(
+        '[\n {"country_code":"AAA","country_name":"A","indicator_id":"NY.GDP.MKTP.CD",'
+        '"indicator_name":"gdp","year":"2020","value":1.5,"extraction_date":"2025-01-01"},\n'
+        ' {"country_code":"BBB","country_name":"B","indicator_id":"NY.GDP.MKTP.CD",'
+        '"indicator_name":"gdp","year":"2021","value":null,"extraction_date":"2025-01-01"}\n]\n')
+    raw = files.read_raw_json(spark, str(tmp_path), multi_line=True)
+    rows = sorted((r.country_code, r.year, r.value, str(r.extraction_date)) for r in raw.collect())
+    assert rows == [("AAA", "2020", 1.5, "2025-01-01"), ("BBB", "2021", None, "2025-01-01")]
+    assert [r.country_code for r in C.clean_observations(raw).collect()] == ["AAA"]
+
+
 def test_wildcard_table_source(spark):
     root = shared_path(spark, "tables")
     for name, n in (("a", 3), ("b", 5)):
