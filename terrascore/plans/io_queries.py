@@ -51,6 +51,16 @@ def flatten_landed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelopes.flatten_envelopes(landed, adapter.DEFAULT_EXTRACTION_DATE)
 
 
+def envelope_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land every page of every indicator, then check the landing against the
+    pages' own metadata (all complete)."""
+    path = shared_path(spark, "pages")
+    pages = envelopes.pack_envelopes(adapter.raw_observations(spark, sf_dir))
+    pages.select("envelope").write.text(path)
+    return envelopes.envelope_completeness(
+        envelopes.read_envelopes(spark, path, whole_files=False))
+
+
 def parquet_snapshot_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write date 1, date 2, then date 1 again: counts must not change."""
     path = shared_path(spark, "snapshots")
@@ -122,6 +132,7 @@ def io_queries() -> dict:
         "csv_roundtrip": csv_roundtrip,
         "json_roundtrip": json_roundtrip,
         "flatten_envelopes": flatten_landed_envelopes,
+        "envelope_completeness": envelope_completeness,
         "parquet_snapshot_overwrite": parquet_snapshot_overwrite,
         "table_load_append_truncate": table_load_append_truncate,
         "stream_clean_observations": stream_clean_observations,

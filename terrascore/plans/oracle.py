@@ -8,7 +8,7 @@ Constants are doubles (``e0``) so that no engine switches to decimals.
 
 from __future__ import annotations
 
-from ..registry import INDICATORS
+from ..registry import INDICATORS, PAGE_SIZE
 
 PROCESS_DATE = "2025-01-01"
 EXTRACTION_DATE = "2025-01-01"
@@ -430,6 +430,15 @@ SELECT COALESCE(country_code, '') AS country_code, COALESCE(country_name, '') AS
        indicator_id, indicator_name, COALESCE("year", '') AS "year", "value", extraction_date
 FROM raw""")
 
+# Every page of every indicator landed once: pages = ceil(rows / page size).
+COMPLETENESS = with_(RAW_CTE, f"""
+SELECT indicator_id,
+       CAST(GREATEST(1, CEIL(COUNT(*) / {PAGE_SIZE}.0)) AS BIGINT) AS pages_expected,
+       CAST(GREATEST(1, CEIL(COUNT(*) / {PAGE_SIZE}.0)) AS BIGINT) AS pages_landed,
+       CAST(GREATEST(1, CEIL(COUNT(*) / {PAGE_SIZE}.0)) AS BIGINT) AS pages_seen,
+       COUNT(*) AS rows_expected, COUNT(*) AS rows_seen, TRUE AS complete
+FROM raw GROUP BY indicator_id""")
+
 SNAPSHOT_COUNTS = with_(CLEAN_CTE, f"""
 SELECT process_date, indicator_name, COUNT(*) AS n_rows FROM (
   SELECT DATE '{D1}' AS process_date, indicator_name FROM clean
@@ -451,6 +460,7 @@ def io_sql() -> dict[str, str]:
         "csv_roundtrip": with_(RAW_CTE, "SELECT * FROM raw"),
         "json_roundtrip": with_(RAW_CTE, "SELECT * FROM raw"),
         "flatten_envelopes": FLATTENED,
+        "envelope_completeness": COMPLETENESS,
         "parquet_snapshot_overwrite": SNAPSHOT_COUNTS,
         "table_load_append_truncate": with_(ALL_CTE, "SELECT * FROM dim_countries"),
         "stream_clean_observations": with_(CLEAN_CTE, "SELECT * FROM clean"),

@@ -109,3 +109,8 @@ ENVELOPE_RECORD = T.StructType([
     T.StructField("value", D),
 ])
 ENVELOPE_RECORDS = T.ArrayType(ENVELOPE_RECORD)
+# Element 0 of a page envelope: paging metadata.
+ENVELOPE_META = T.StructType([
+    T.StructField("page", L), T.StructField("pages", L),
+    T.StructField("per_page", L), T.StructField("total", L),
+])

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..registry import PAGE_SIZE, registry_df
-from ..schemas import ENVELOPE_RECORDS
+from ..schemas import ENVELOPE_META, ENVELOPE_RECORDS
 
 RECORD_COLUMNS = ("country_code", "country_name", "indicator_id", "indicator_name", "year",
                   "value", "extraction_date")
@@ -53,6 +53,35 @@ def flatten_envelopes(envelopes: DataFrame, extraction_date, col: str = "envelop
         F.lit(extraction_date).cast("date").alias("extraction_date"))
 
 
+def envelope_completeness(envelopes: DataFrame, col: str = "envelope") -> DataFrame:
+    """Pages and rows landed per indicator against each page's metadata.
+
+    A puller that stops mid-way (a failed page) leaves partial data that
+    looks valid; the metadata element of every page (``page``, ``pages``,
+    ``total``) tells what a complete landing holds. One aggregation per
+    indicator (partial aggregation map-side; the distinct page count is
+    Spark's two-level distinct aggregation, no per-group set in one task).
+    A page without records reports under a null indicator id.
+    """
+    doc = F.col(col)
+    meta = F.from_json(F.get_json_object(doc, "$[0]"), ENVELOPE_META)
+    pages = envelopes.where(F.json_array_length(doc) >= 2).select(
+        F.get_json_object(doc, "$[1][0].indicator.id").alias("indicator_id"),
+        meta.alias("m"),
+        F.coalesce(F.json_array_length(F.get_json_object(doc, "$[1]")), F.lit(0)).alias("n"))
+    out = pages.groupBy("indicator_id").agg(
+        F.max("m.pages").alias("pages_expected"),
+        F.count(F.lit(1)).alias("pages_landed"),
+        F.count_distinct("m.page").alias("pages_seen"),
+        F.max("m.total").alias("rows_expected"),
+        F.sum("n").cast("long").alias("rows_seen"))
+    return out.withColumn(
+        "complete",
+        (F.col("pages_seen") == F.col("pages_expected"))
+        & (F.col("pages_landed") == F.col("pages_seen"))
+        & (F.col("rows_seen") == F.col("rows_expected")))
+
+
 def pack_envelopes(raw: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """Raw observations -> one JSON page document per (indicator, page).
 

@@ -115,6 +115,27 @@ def test_envelope_edge_documents(spark):
     ]
 
 
+def test_envelope_completeness_flags_missing_and_repeated_pages(spark):
+    rows = [(f"C{i}", f"N{i}", ind_id, ind, "2020", float(i))
+            for i in range(9) for ind_id, ind in (("NY.GDP.MKTP.CD", "gdp"),
+                                                  ("SE.TER.ENRR", "school_enrollment"))]
+    pages = envelopes.pack_envelopes(raw_df(spark, rows), page_size=3).collect()
+    gdp = sorted((p for p in pages if p["indicator_id"] == "NY.GDP.MKTP.CD"),
+                 key=lambda p: p["page"])
+    edu = [p for p in pages if p["indicator_id"] == "SE.TER.ENRR"]
+    # gdp: one page lost; education: every page, one landed twice; + an error doc
+    docs = [p["envelope"] for p in gdp[1:]] + [p["envelope"] for p in edu] \
+        + [edu[0]["envelope"], '[{"message":[{"id":"120","value":"Invalid value"}]}]']
+    got = {r["indicator_id"]: r.asDict() for r in envelopes.envelope_completeness(
+        spark.createDataFrame([(d,) for d in docs], "envelope string")).collect()}
+    assert set(got) == {"NY.GDP.MKTP.CD", "SE.TER.ENRR"}
+    g, e = got["NY.GDP.MKTP.CD"], got["SE.TER.ENRR"]
+    assert g["rows_expected"] == 9 and 0 < g["rows_seen"] < 9
+    assert g["pages_seen"] == g["pages_expected"] - 1 and not g["complete"]
+    assert e["rows_expected"] == 9 and e["pages_landed"] == e["pages_seen"] + 1
+    assert e["pages_seen"] == e["pages_expected"] and not e["complete"]
+
+
 def test_csv_roundtrip_quotes_commas_empty_and_null(spark):
     raw = raw_df(spark, [
         ("AAA", 'Name, "quoted"', "x", "gdp", "2020", 1.5),
