@@ -33,14 +33,22 @@ def reject_reason() -> Column:
 
 
 def clean_observations(raw: DataFrame, process_date: dt.date = DEFAULT_PROCESS_DATE,
-                       year_range: tuple[int, int] | None = None) -> DataFrame:
-    """Observations with int year, non-null value and non-empty code."""
+                       year_range: tuple[int, int] | None = None,
+                       exclude_codes: tuple[str, ...] = ()) -> DataFrame:
+    """Observations with int year, non-null value and non-empty code.
+
+    ``exclude_codes`` drops listed codes (e.g. aggregate regions reported
+    next to countries); a short literal list, evaluated inside the scan's
+    filter.
+    """
     df = _typed(raw).where(
         F.col("value").isNotNull()
         & F.col("country_code").isNotNull() & (F.col("country_code") != "")
         & F.col("year").isNotNull())
     if year_range is not None:
         df = df.where(F.col("year").between(*year_range))
+    if exclude_codes:
+        df = df.where(~F.col("country_code").isin(*exclude_codes))
     return df.select(
         "country_code", "country_name", "indicator_id", "indicator_name", "year", "value",
         "extraction_date", F.lit(process_date).alias("process_date"))

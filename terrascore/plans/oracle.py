@@ -402,6 +402,11 @@ WHERE "value" IS NOT NULL AND country_code IS NOT NULL AND country_code <> ''
         "outer_join_chain_economic": with_(ALL_CTE, "SELECT * FROM econ"),
         "dim_countries": with_(ALL_CTE, "SELECT * FROM dim_countries"),
         "dim_time": with_(ALL_CTE, "SELECT * FROM dim_time"),
+        "country_name_drift": with_(CLEAN_CTE, """
+SELECT country_code, COUNT(DISTINCT country_name) AS n_names,
+       MIN(country_name) AS first_name, MAX(country_name) AS last_name
+FROM clean WHERE indicator_name = 'gdp'
+GROUP BY country_code HAVING COUNT(DISTINCT country_name) > 1"""),
         "opportunity_index": with_(ALL_CTE, "SELECT country_code, \"year\", emp_score, gdp_score, "
                                             "business_score, stability_score, edu_score, "
                                             "investment_score, opportunity_index FROM indexed"),

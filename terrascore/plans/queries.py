@@ -127,6 +127,7 @@ def core_queries() -> dict[str, Query]:
         # dimensions (D10, D11)
         "dim_countries": _q(lambda c: c.countries),
         "dim_time": _q(lambda c: c.dim_time),
+        "country_name_drift": _q(lambda c: dims.name_drift(c.clean)),
         # index (D7, D8, W1)
         "opportunity_index": _q(lambda c: index.scored(c.wide).select(
             *R.KEYS, *[s for s, _ in R.INDEX_WEIGHTS], "opportunity_index")),

@@ -38,6 +38,23 @@ def test_clean_rules_and_reject_reasons(spark):
     assert [(r["country_code"], r["year"]) for r in bad] == [("CCC", "20x0")]
 
 
+def test_exclusion_list_and_name_drift(spark):
+    from terrascore.operators import dims
+    raw = raw_df(spark, [
+        ("AAA", "Alpha", "x", "gdp", "2020", 1.0),
+        ("AAA", "Alpha Rep.", "x", "gdp", "2021", 2.0),
+        ("WLD", "World", "x", "gdp", "2020", 9.0),
+        ("BBB", "Beta", "x", "gdp", "2020", 3.0),
+    ])
+    kept = C.clean_observations(raw, exclude_codes=("WLD",))
+    assert sorted(r.country_code for r in kept.collect()) == ["AAA", "AAA", "BBB"]
+    drift = dims.name_drift(kept).collect()
+    assert [(r.country_code, r.n_names, r.first_name, r.last_name) for r in drift] == [
+        ("AAA", 2, "Alpha", "Alpha Rep.")]
+    # parity: both names stay in the dimension
+    assert dims.country_dimension(kept).where(F.col("country_code") == "AAA").count() == 2
+
+
 def test_missing_indicators_keep_all_columns_and_score_50(spark):
     raw = raw_df(spark, [
         ("AAA", "A", "x", "unemployment_rate", "2020", 5.0),
