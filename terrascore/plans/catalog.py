@@ -95,7 +95,9 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], database: str, ro
     cast and ordered as declared), so the catalog schema never depends on
     how a plan happened to type a column.
     """
-    ensure_database(spark, database)
+    # The namespace lives next to the tables (shared storage), not in the
+    # process's working directory.
+    ensure_database(spark, database, location=f"{root.rstrip('/')}/_database")
     counts = {}
     for name in TABLES:
         counts[name] = load_table(tables[name], f"{database}.{name}", disposition,

@@ -75,7 +75,7 @@ def parquet_snapshot_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_load_append_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Truncate, append, truncate: the table holds one copy of the input."""
     db = _fresh_db()
-    ensure_database(spark, db)
+    ensure_database(spark, db, location=shared_path(spark, "database"))
     table, path = f"{db}.dim_countries", shared_path(spark, "dim_countries_table")
     dim = stage_table(dims.country_dimension(
         C.clean_observations(adapter.raw_observations(spark, sf_dir))), "dim_countries")

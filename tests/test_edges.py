@@ -11,7 +11,7 @@ from terrascore.operators import facts, index
 from terrascore.operators.rank import rank_window
 from terrascore.schemas import RAW
 from terrascore.session import shared_path
-from terrascore.sinks.writers import load_table, write_raw_csv, write_snapshot
+from terrascore.sinks.writers import ensure_database, load_table, write_raw_csv, write_snapshot
 from terrascore.sources import envelopes, files
 
 D = dt.date(2025, 1, 1)
@@ -218,7 +218,7 @@ def test_snapshot_rewrite_keeps_other_dates(spark):
 
 def test_load_dispositions(spark):
     db = f"edge_{uuid.uuid4().hex[:8]}"
-    spark.sql(f"CREATE DATABASE {db}")
+    ensure_database(spark, db, location=shared_path(spark, "db"))
     df = spark.createDataFrame([(1,), (2,)], "x int")
     path = shared_path(spark, "edge_table")
     assert load_table(df, f"{db}.t", "WRITE_TRUNCATE", path=path) == 2
@@ -237,7 +237,7 @@ def test_load_dispositions(spark):
 def test_load_schema_override_orders_and_casts_by_name(spark):
     from terrascore.schemas import TABLE_SCHEMAS
     db = f"edge_{uuid.uuid4().hex[:8]}"
-    spark.sql(f"CREATE DATABASE {db}")
+    ensure_database(spark, db, location=shared_path(spark, "db"))
     # columns out of order, year as bigint, an extra column the table drops
     df = spark.createDataFrame([(1.5, 2001, "C1", 2.5, 9, "x")],
                                "school_enrollment double, year bigint, country_code string, "
