@@ -20,7 +20,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from terrascore.operators import clean as C  # noqa: E402
 from terrascore.operators import facts, index  # noqa: E402
