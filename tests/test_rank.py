@@ -82,3 +82,29 @@ def test_nan_ranks_first_like_the_window(spark):
     w = rank_window(df, "g", "v", "r")
     d = rank_distributed(df, "g", "v", "r", rows_per_bucket=1)
     _same(w, d, ["k", "r"])
+
+
+def test_distributed_rank_with_a_third_of_rows_on_one_value(spark):
+    """600k rows in one group: a third share one value, a third sit in a very
+    narrow range, the rest are spread out, plus nulls. Exact equality with the
+    window plan (checked distributed, by join) and bounded buckets."""
+    from terrascore.operators.rank import bucket_count, quantile_bounds, with_bucket
+    n = 600_000
+    df = spark.range(n).select(
+        F.col("id"), F.lit(2024).alias("g"),
+        F.when(F.col("id") % 3 == 0, F.lit(50.0))
+        .when(F.col("id") % 3 == 1, F.lit(70.0) + F.col("id") * 1e-10)
+        .when(F.col("id") % 97 == 2, F.lit(None).cast("double"))
+        .otherwise((F.col("id") * 7919 % 100_003) / 1000.0).alias("v"))
+    df = df.cache()
+    w = rank_window(df, "g", "v", "r")
+    d = rank_distributed(df, "g", "v", "r", rows_per_bucket=20_000, n_rows=n)
+    diff = (w.alias("a").join(d.alias("b"), "id")
+            .where(F.col("a.r") != F.col("b.r")).count())
+    assert diff == 0 and d.count() == n
+    vals = df.where(F.col("v").isNotNull()).groupBy("g", "v").count()
+    b = with_bucket(vals, "v", quantile_bounds(vals, "v", bucket_count(n, 20_000)))
+    sizes = b.groupBy("_b").count().agg(F.max("count").alias("m"), F.count("*").alias("k")).first()
+    n_vals = vals.count()
+    assert sizes["k"] >= 20 and sizes["m"] <= 2 * n_vals / sizes["k"] + 1
+    df.unpersist()
