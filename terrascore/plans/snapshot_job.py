@@ -60,9 +60,12 @@ def load_raw(spark: SparkSession, source: str, input_path: str,
         return files.read_raw_json(spark, input_path)
     if source == "json-array":
         return files.read_raw_json(spark, input_path, multi_line=True)
-    if source == "envelopes":
+    if source in ("envelopes", "envelope-lines"):
+        # "envelopes": one page document per file (may span lines);
+        # "envelope-lines": one page document per line.
         return envelopes.flatten_envelopes(
-            envelopes.read_envelopes(spark, input_path), extraction_date)
+            envelopes.read_envelopes(spark, input_path,
+                                     whole_files=(source == "envelopes")), extraction_date)
     raise ValueError(f"unknown source {source!r}")
 
 
@@ -91,7 +94,8 @@ def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     p.add_argument("--date", type=dt.date.fromisoformat, default=dt.date.today(),
                    help="snapshot date (ISO); default today")
-    p.add_argument("--source", choices=("tables", "csv", "json", "json-array", "envelopes"), required=True)
+    p.add_argument("--source", choices=("tables", "csv", "json", "json-array", "envelopes",
+                                           "envelope-lines"), required=True)
     p.add_argument("--input", required=True, help="landing folder or driver-table folder")
     p.add_argument("--out", required=True, help="shared output folder")
     p.add_argument("--database", default=None)

@@ -76,3 +76,27 @@ def test_raw_readers_take_flat_and_partitioned_layouts(spark):
             assert back.where(F.col("indicator_name").isNull()).count() == 0
             assert back.count() == n
             assert back.select("indicator_name").distinct().count() == 13
+
+
+def test_job_reads_page_files_and_page_lines(spark, tmp_path):
+    import json
+    rec = lambda c, y, v: {"countryiso3code": c, "country": {"id": c[:2], "value": "N" + c},
+                           "indicator": {"id": "NY.GDP.MKTP.CD", "value": "GDP"},
+                           "date": y, "value": v}
+    pages = [
+        [{"page": 1, "pages": 2, "per_page": 2, "total": 3},
+         [rec("AAA", "2020", 1.5), rec("BBB", "2020", None)]],
+        [{"page": 2, "pages": 2, "per_page": 2, "total": 3}, [rec("CCC", "2021", 2.5)]],
+        [{"message": [{"id": "120", "value": "Invalid value"}]}],
+    ]
+    files_dir, lines_dir = tmp_path / "files", tmp_path / "lines"
+    files_dir.mkdir()
+    lines_dir.mkdir()
+    for i, p in enumerate(pages):  # one pretty-printed page per file
+        (files_dir / f"page{i}.json").write_text(json.dumps(p, indent=2))
+    (lines_dir / "pages.json").write_text("\n".join(json.dumps(p) for p in pages) + "\n")
+    for source, path in (("envelopes", files_dir), ("envelope-lines", lines_dir)):
+        raw = J.load_raw(spark, source, str(path), D)
+        got = sorted((r.country_code, r.indicator_name, r.year, r.value) for r in raw.collect())
+        assert got == [("AAA", "gdp", "2020", 1.5), ("BBB", "gdp", "2020", None),
+                       ("CCC", "gdp", "2021", 2.5)], source
