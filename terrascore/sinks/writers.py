@@ -13,6 +13,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -49,30 +51,69 @@ def load_table(df: DataFrame, table: str, disposition: str = "WRITE_TRUNCATE",
                buckets: int | None = None) -> int:
     """Save ``df`` as a catalog table; returns the number of rows loaded.
 
-    ``path`` makes it an external table in shared storage. ``schema``
-    reconciles columns by name and casts (``DataFrame.to``). ``bucket_by``
-    stores the table hash-bucketed and sorted on those columns (``buckets``
-    buckets, default ``spark.sql.shuffle.partitions``): later joins on the
-    same keys read it co-partitioned, without a shuffle or sort. The rows are
-    hash-partitioned the same way before the write, so each task writes
+    ``path`` makes it an external table in shared storage; each version of
+    its data lives in its own ``<path>/v-<id>`` folder. ``WRITE_TRUNCATE``
+    writes the new version next to the current one through a staging table
+    and swaps the catalog entry only after the write has committed: a failed
+    load leaves the previous table intact (an in-place overwrite would have
+    deleted it first). The replaced version's folder is then removed.
+    ``WRITE_APPEND`` adds files to the current version; ``WRITE_EMPTY``
+    fails if the table exists.
+
+    ``schema`` reconciles columns by name and casts (``DataFrame.to``).
+    ``bucket_by`` stores the table hash-bucketed and sorted on those columns
+    (``buckets`` buckets, default ``spark.sql.shuffle.partitions``): later
+    joins on the same keys read it co-partitioned, without a shuffle. The
+    rows are hash-partitioned the same way first, so each task writes
     exactly one bucket file.
     """
     if disposition not in DISPOSITIONS:
         raise ValueError(f"unknown disposition {disposition!r}")
+    spark = df.sparkSession
     if schema is not None:
         df = df.to(schema)
-    obs = Observation(f"load_{table.replace('.', '_')}")
+    obs = Observation(f"load_{table.replace('.', '_')}_{uuid.uuid4().hex[:6]}")
     df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    n = None
     if bucket_by:
-        n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         df = df.repartition(n, *bucket_by)
-    w = df.write.mode(DISPOSITIONS[disposition])
+    exists = spark.catalog.tableExists(table)
+    version = f"{path.rstrip('/')}/v-{uuid.uuid4().hex[:12]}" if path is not None else None
+    if disposition == "WRITE_TRUNCATE" and exists and version is not None:
+        old = _location(spark, table)
+        staging = f"{table}__load_{uuid.uuid4().hex[:8]}"
+        _save(df, staging, "errorifexists", version, bucket_by, n)
+        spark.sql(f"DROP TABLE {table}")          # external: its files stay
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+        if old and not version.startswith(old.rstrip("/") + "/"):
+            _delete(spark, old)
+    else:
+        target = None if (disposition == "WRITE_APPEND" and exists) else version
+        _save(df, table, DISPOSITIONS[disposition], target, bucket_by, n)
+    return int(obs.get["rows"])
+
+
+def _save(df: DataFrame, table: str, mode: str, path: str | None,
+          bucket_by: tuple[str, ...] | None, n: int | None) -> None:
+    w = df.write.mode(mode)
     if bucket_by:
         w = w.bucketBy(n, *bucket_by).sortBy(*bucket_by)
     if path is not None:
         w = w.option("path", path)
     w.format("parquet").saveAsTable(table)
-    return int(obs.get["rows"])
+
+
+def _location(spark: SparkSession, table: str) -> str | None:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(
+        F.col("col_name") == "Location").select("data_type").collect()
+    return rows[0][0] if rows else None
+
+
+def _delete(spark: SparkSession, location: str) -> None:
+    """Remove a replaced table version's folder (Hadoop file system API)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(location)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:

@@ -234,6 +234,33 @@ def test_load_dispositions(spark):
     assert raised
 
 
+def test_failed_truncate_keeps_the_previous_table(spark):
+    import glob
+    db = f"edge_{uuid.uuid4().hex[:8]}"
+    ensure_database(spark, db, location=shared_path(spark, "db"))
+    path = shared_path(spark, "edge_versions")
+    good = spark.createDataFrame([(1,), (2,), (3,)], "x int")
+    assert load_table(good, f"{db}.t", "WRITE_TRUNCATE", path=path) == 3
+    bad = spark.range(10).select(
+        F.when(F.col("id") == 7, F.raise_error(F.lit("boom")))
+        .otherwise(F.col("id")).cast("int").alias("x"))
+    try:
+        load_table(bad, f"{db}.t", "WRITE_TRUNCATE", path=path)
+        raised = False
+    except Exception:
+        raised = True
+    assert raised
+    assert sorted(r.x for r in spark.table(f"{db}.t").collect()) == [1, 2, 3]
+    # a successful truncate swaps in the new version and removes the old one
+    assert load_table(spark.createDataFrame([(9,)], "x int"), f"{db}.t",
+                      "WRITE_TRUNCATE", path=path) == 1
+    assert [r.x for r in spark.table(f"{db}.t").collect()] == [9]
+    local = path.replace("file:", "")
+    kept = [d for d in glob.glob(f"{local}/v-*") if glob.glob(f"{d}/*.parquet")]
+    assert len(kept) == 1
+    assert not [t for t in spark.catalog.listTables(db) if "__load_" in t.name]
+
+
 def test_load_schema_override_orders_and_casts_by_name(spark):
     from terrascore.schemas import TABLE_SCHEMAS
     db = f"edge_{uuid.uuid4().hex[:8]}"
