@@ -9,6 +9,9 @@ is an ``explode`` of a bounded scalar subquery rather than a cross join.
 
 from __future__ import annotations
 
+import math
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import registry as R
@@ -22,6 +25,27 @@ TABLES = ("dim_countries", "dim_time", "fact_employment_metrics",
 # their side (only the country x year spine is shuffled).
 BUCKETED = ("fact_employment_metrics", "fact_economic_indicators", "fact_education",
             "opportunity_index")
+MAX_BUCKETS = 100_000
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def _bytes(text: str) -> int:
+    m = re.fullmatch(r"\s*(\d+)\s*([a-zA-Z]*)\s*", text)
+    if not m or m.group(2).lower() not in _UNITS:
+        raise ValueError(f"not a byte size: {text!r}")
+    return int(m.group(1)) * _UNITS[m.group(2).lower()]
+
+
+def bucket_count(frames: list[DataFrame]) -> int:
+    """One bucket count for tables that are joined with each other: the
+    largest table's estimated size (Spark's plan statistics, no job) over
+    the advisory partition size, so a bucket is about one AQE partition."""
+    spark = frames[0].sparkSession
+    target = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
+    size = max(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+               for df in frames)
+    return max(1, min(MAX_BUCKETS, math.ceil(size / target)))
 VIEWS = ("country_comparison_view", "top_countries_for_grads_view", "country_trends_view")
 
 
@@ -89,7 +113,7 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], database: str, ro
     """Load the six tables and (re)create the three views; returns row counts.
 
     ``buckets``: bucket count of the (country_code, year) tables; default
-    ``spark.sql.shuffle.partitions`` (size it so a bucket is ~128-256 MB).
+    from their estimated size (``bucket_count``).
 
     Each table is loaded with its declared schema (columns matched by name,
     cast and ordered as declared), so the catalog schema never depends on
@@ -98,6 +122,8 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], database: str, ro
     # The namespace lives next to the tables (shared storage), not in the
     # process's working directory.
     ensure_database(spark, database, location=f"{root.rstrip('/')}/_database")
+    if buckets is None:
+        buckets = bucket_count([tables[t] for t in BUCKETED])
     counts = {}
     for name in TABLES:
         counts[name] = load_table(tables[name], f"{database}.{name}", disposition,

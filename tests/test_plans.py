@@ -111,3 +111,18 @@ def test_staged_clean_is_pruned_by_indicator(spark):
     assert ctx.clean.columns == ["country_code", "country_name", "indicator_id",
                                  "indicator_name", "year", "value", "extraction_date",
                                  "process_date"]
+
+
+def test_bucket_count_follows_estimated_size(spark):
+    from terrascore.plans.catalog import _bytes, bucket_count
+    assert _bytes("64MB") == _bytes("64m") == 64 << 20 and _bytes("1024") == 1024
+    clean = _clean_file(spark)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    saved = spark.conf.get(key)
+    try:
+        coarse = bucket_count([clean])
+        spark.conf.set(key, "4k")
+        fine = bucket_count([clean])
+    finally:
+        spark.conf.set(key, saved)
+    assert coarse == 1 and fine > 1
