@@ -55,7 +55,7 @@ def bucket_count(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
 
 
 def quantile_bounds(vals: DataFrame, order: str, n_buckets: int) -> list[float]:
-    """Sorted distinct inner bucket bounds (at most ``n_buckets - 1`` values).
+    """Sorted distinct finite inner bucket bounds (at most ``n_buckets - 1``).
 
     One distributed aggregate (mergeable quantile sketches, combined map-side);
     the driver receives a list whose length is fixed by ``n_buckets``.
@@ -67,7 +67,9 @@ def quantile_bounds(vals: DataFrame, order: str, n_buckets: int) -> list[float]:
     bounds = (vals.where(~F.isnan(F.col(order).cast("double")))
               .select(F.percentile_approx(F.col(order).cast("double"), probs, accuracy))
               .first()[0])
-    return sorted({float(b) for b in (bounds or []) if b is not None and not math.isnan(b)})
+    # Only finite bounds: the outer splits are -inf and +inf already, and an
+    # infinite quantile (values at +/-inf) would repeat them.
+    return sorted({float(b) for b in (bounds or []) if b is not None and math.isfinite(b)})
 
 
 def with_bucket(vals: DataFrame, order: str, bounds: list[float], out: str = "_b") -> DataFrame:

@@ -126,3 +126,15 @@ def test_bucket_count_follows_estimated_size(spark):
     finally:
         spark.conf.set(key, saved)
     assert coarse == 1 and fine > 1
+
+
+def test_no_registered_query_plans_a_cartesian_product_or_python_udf(spark):
+    import __spark_entry__ as E
+    bad = {}
+    for name, q in sorted(E.queries().items()):
+        plan = _plan(q(spark, SF))
+        hits = [p for p in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+                            "ArrowEvalPython") if p in plan]
+        if hits:
+            bad[name] = hits
+    assert not bad, bad

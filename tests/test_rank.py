@@ -108,3 +108,26 @@ def test_distributed_rank_with_a_third_of_rows_on_one_value(spark):
     n_vals = vals.count()
     assert sizes["k"] >= 20 and sizes["m"] <= 2 * n_vals / sizes["k"] + 1
     df.unpersist()
+
+
+def test_distributed_rank_property(spark):
+    """Random groups, values with many ties, NULL, NaN and +/-inf: the
+    distributed plan equals RANK() for any bucket size."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    value = st.one_of(st.none(), st.sampled_from([float("nan"), float("inf"), float("-inf")]),
+                      st.integers(-5, 5).map(float),
+                      st.floats(-1e6, 1e6, allow_nan=False, allow_infinity=False))
+    rows = st.lists(st.tuples(st.integers(0, 3), value), min_size=1, max_size=60)
+
+    @settings(max_examples=15, deadline=None)
+    @given(rows=rows, per_bucket=st.integers(1, 20))
+    def check(rows, per_bucket):
+        df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(rows)],
+                                   "k int, g int, v double")
+        w = rank_window(df, "g", "v", "r")
+        d = rank_distributed(df, "g", "v", "r", rows_per_bucket=per_bucket)
+        _same(w, d, ["k", "r"])
+
+    check()
