@@ -142,3 +142,39 @@ def test_comparison_rows_are_countries_times_years(ctx):
     n_y = ctx.dim_time.where(F.col("year") >= COMPARISON_FLOOR).count()
     assert comp.count() == n_c * n_y
     assert comp.select("country_code", "country_name", "year").distinct().count() == n_c * n_y
+
+
+def test_fact_pivot_property(spark):
+    """Random observations (duplicates, gaps, other facts' indicators): every
+    fact equals max-per-key-per-indicator over the keys present in any of its
+    indicators; the outer-join chain gives the same rows."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from terrascore.operators import facts
+    from terrascore.registry import FACT_COLUMNS, INDICATOR_NAMES
+
+    obs = st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(2000, 2002),
+                             st.sampled_from(INDICATOR_NAMES),
+                             st.floats(-100, 100, allow_nan=False).map(lambda x: round(x, 2))),
+                   min_size=1, max_size=40)
+
+    @settings(max_examples=10, deadline=None)
+    @given(rows=obs, fact=st.sampled_from(sorted(FACT_COLUMNS)))
+    def check(rows, fact):
+        clean = spark.createDataFrame(rows, "country_code string, year int, "
+                                            "indicator_name string, value double")
+        names = FACT_COLUMNS[fact]
+        want = {}
+        for code, year, ind, v in rows:
+            if ind in names:
+                cell = want.setdefault((code, year), dict.fromkeys(names))
+                cell[ind] = v if cell[ind] is None else max(cell[ind], v)
+        got = {(r["country_code"], r["year"]): {n: r[n] for n in names}
+               for r in facts.build_fact(clean, fact).collect()}
+        assert got == want
+        chain = {(r["country_code"], r["year"]): {n: r[n] for n in names}
+                 for r in facts.outer_join_chain(clean, names).collect()}
+        assert chain == want
+
+    check()
