@@ -11,8 +11,10 @@ file rather than from the raw scan, and a failure raises (no blanket catch).
 
 Usage::
 
-    spark-submit -m terrascore.plans.snapshot_job --date 2025-01-01 \\
+    python -m terrascore.plans.snapshot_job --date 2025-01-01 \\
         --source csv --input <landing folder> --out <shared folder> [--database db]
+
+    # cluster: spark-submit --py-files terrascore.zip scripts/snapshot_job.py ...
 """
 
 from __future__ import annotations
