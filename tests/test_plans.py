@@ -92,11 +92,17 @@ def test_bucketed_tables_leave_only_the_spine_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         plan = spark.table(f"{db}.country_comparison_view")._jdf.queryExecution() \
             .executedPlan().toString()
+        trends = spark.table(f"{db}.country_trends_view")._jdf.queryExecution() \
+            .executedPlan().toString()
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
     assert plan.count("SortMergeJoin") == 4
     assert plan.count("Exchange hashpartitioning") == 1
+    # trends: the chosen-country join touches only the spine (no semi joins
+    # copied onto the bucketed tables): spine by code, key set, spine by key
+    assert "LeftSemi" not in trends
+    assert trends.count("Exchange hashpartitioning") == 3
 
 
 def test_staged_clean_is_pruned_by_indicator(spark):
