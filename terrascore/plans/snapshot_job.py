@@ -102,14 +102,18 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--out", required=True, help="shared output folder")
     p.add_argument("--database", default=None)
     p.add_argument("--rank-method", default="auto", choices=("auto", "window", "distributed"))
+    p.add_argument("--buckets", type=int, default=None,
+                   help="bucket count of the published (country_code, year) tables; "
+                        "default from their estimated size")
     p.add_argument("--year-range", type=int, nargs=2, metavar=("LO", "HI"), default=None,
                    help="keep observation years LO..HI (the source extracts "
                         f"{R.SOURCE_YEAR_RANGE[0]}..{R.SOURCE_YEAR_RANGE[1]}); default all")
     a = p.parse_args(argv)
     spark = build_session()
     raw = load_raw(spark, a.source, a.input, a.date)
+    view_params = {"buckets": a.buckets} if a.buckets else {}
     tables = run(spark, raw, a.out, a.date, a.database, a.rank_method,
-                 tuple(a.year_range) if a.year_range else None)
+                 tuple(a.year_range) if a.year_range else None, **view_params)
     for name in tables:
         print(f"wrote {name}")
     return 0

@@ -54,8 +54,13 @@ def test_snapshot_job_cli_from_landed_json(spark):
     landing = shared_path(spark, "landing")
     adapter.raw_observations(spark, SF_SMALL).write.json(landing)
     out = shared_path(spark, "cli")
+    db = f"cli_{uuid.uuid4().hex[:8]}"
     assert J.main(["--date", "2025-01-01", "--source", "json", "--input", landing,
-                   "--out", out, "--year-range", "1996", "2000"]) == 0
+                   "--out", out, "--year-range", "1996", "2000",
+                   "--database", db, "--buckets", "3"]) == 0
+    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {db}.opportunity_index").where(
+        F.col("col_name") == "Num Buckets").collect()
+    assert detail and detail[0]["data_type"] == "3"
     ranked = spark.read.parquet(f"{out}/opportunity_index")
     per_year = ranked.groupBy("year").agg(F.min("opportunity_rank").alias("lo")).collect()
     assert sorted(r["year"] for r in per_year) == [1996, 1997, 1998, 1999, 2000]
