@@ -10,11 +10,13 @@ import pytest
 
 import __spark_entry__ as E
 from harness import compare, duck_connect
+from terrascore.plans.oracle import all_sql
+from terrascore.plans.queries import all_queries
 
 SF = os.environ.get("TERRASCORE_ORACLE_SF", "sf0.001")
 SF_DIR = f"/root/testdata/{SF}"
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = all_queries()
+ORACLE = all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +26,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
