@@ -6,6 +6,10 @@ works, so extra columns of the input, whatever they are called, cannot clash.
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +21,27 @@ WS_CLASS = r"\x20\x09-\x0D"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 __all__ = ["LOWER", "UPPER", "WS_CHARS", "WS_CLASS", "read_table", "row_key", "shared_path",
-           "split_words", "stage_table", "trimmed", "word_count"]
+           "ship_code", "split_words", "stage_table", "trimmed", "word_count"]
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Hand this package's source to the executors' Python workers, once per
+    application, so that it need not be installed there."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="code-"), f"{os.path.basename(package)}_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

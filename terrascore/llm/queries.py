@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrascore.llm import decontaminate, mixing, oracles, quality_lines, url_filter
+from terrascore.llm import decontaminate, langid, mixing, oracles, quality_lines, toxicity, url_filter
 from terrascore.llm.common import read_table
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held = langid.held_out()
+    out = langid.identify(docs, langid.train(docs, ~held))
+    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read_table(spark, sf_dir, "pages"))
 
@@ -19,6 +26,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).drop("source")
 
@@ -28,7 +40,7 @@ def op10_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_url_filters, op6_decontamination, op9_mixing, op10_quality_lines)}
+    return {f.__name__: f for f in (op4_language_id, op5_url_filters, op6_decontamination, op7_toxicity, op9_mixing, op10_quality_lines)}
 
 
 def llm_sql() -> dict[str, str]:
