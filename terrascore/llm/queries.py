@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrascore.llm import decontaminate, langid, mixing, oracles, quality_lines, toxicity, url_filter
+from terrascore.llm import decontaminate, langid, minhash_join, mixing, oracles, quality_lines, toxicity, url_filter
 from terrascore.llm.common import read_table
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held = langid.held_out()
@@ -40,7 +44,7 @@ def op10_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_language_id, op5_url_filters, op6_decontamination, op7_toxicity, op9_mixing, op10_quality_lines)}
+    return {f.__name__: f for f in (op3_minhash_near_dedup, op4_language_id, op5_url_filters, op6_decontamination, op7_toxicity, op9_mixing, op10_quality_lines)}
 
 
 def llm_sql() -> dict[str, str]:
