@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrascore.llm import decontaminate, langid, minhash_join, mixing, oracles, quality_lines, toxicity, url_filter
+from terrascore.llm import decontaminate, langid, line_dedup, minhash_join, mixing, oracles, quality_lines, toxicity, url_filter
 from terrascore.llm.common import read_table
 
 
@@ -35,6 +35,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(read_table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).drop("source")
 
@@ -44,7 +48,7 @@ def op10_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_minhash_near_dedup, op4_language_id, op5_url_filters, op6_decontamination, op7_toxicity, op9_mixing, op10_quality_lines)}
+    return {f.__name__: f for f in (op3_minhash_near_dedup, op4_language_id, op5_url_filters, op6_decontamination, op7_toxicity, op8_line_dedup, op9_mixing, op10_quality_lines)}
 
 
 def llm_sql() -> dict[str, str]:
