@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrascore.llm import decontaminate, html_extract, langid, line_dedup, minhash_join, mixing, oracles, quality_lines, toxicity, url_filter
+from terrascore.llm import decontaminate, html_extract, langid, line_dedup, lm_scoring, minhash_join, mixing, oracles, quality_lines, toxicity, url_filter
 from terrascore.llm.common import read_table
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held = lm_scoring.held_out()
+    out = lm_scoring.score(docs, lm_scoring.train(docs.where(~held)))
+    return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
+                      "score", "perplexity")
+
+
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read_table(spark, sf_dir, "pages"))
 
@@ -52,7 +60,7 @@ def op10_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_html_extraction, op3_minhash_near_dedup, op4_language_id, op5_url_filters, op6_decontamination, op7_toxicity, op8_line_dedup, op9_mixing, op10_quality_lines)}
+    return {f.__name__: f for f in (op1_lm_scoring, op2_html_extraction, op3_minhash_near_dedup, op4_language_id, op5_url_filters, op6_decontamination, op7_toxicity, op8_line_dedup, op9_mixing, op10_quality_lines)}
 
 
 def llm_sql() -> dict[str, str]:
