@@ -158,3 +158,15 @@ def digest(result: DataFrame) -> DataFrame:
                          F.size("items").cast("long").alias("n_items"),
                          F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
                          "contaminated")
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The documents, in their own columns, in which no window occurs."""
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
+    rows, hits = find_hits(docs.select(key.alias("key"), F.col(text_col).alias("body")), items, "key", "body",
+                           item_id_col, item_text_col)
+    hit = rows.join(hits.select("row").distinct(), "row").select(F.col("id.id").alias("__hit_id"), F.col("id.text").alias("__hit_text"))
+    hit = hit.distinct()
+    same = F.col(id_col).eqNullSafe(F.col("__hit_id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("__hit_text"))
+    return docs.join(hit, same, "left_anti")

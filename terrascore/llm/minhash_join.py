@@ -3,7 +3,8 @@
 Each distinct set of word shingles (exact copies are one class) gets a MinHash
 signature of ``coords`` values and is posted under every (coordinate, value).
 Two sets that reach the similarity agree on at least ``matches`` coordinates
-but for a chance of about 1e-6, so the join is an overlap join of signatures:
+(five standard deviations below the mean: a miss is a matter of 1e-6), so the
+join is an overlap join of signatures:
 
 * Prefix: with the coordinates of all signatures in one order, rarest posting
   first, two signatures with ``matches`` agreements must share one of the first
@@ -40,12 +41,19 @@ from terrascore.session import stage_table_counted
 
 SHINGLE = 3
 PERCENT = 85
-COORDS, MATCHES = 48, 28
+COORDS = 48
 #: Up to so many ids, the second scan of the texts is filtered by a broadcast.
 BROADCAST_ROWS = 1_000_000
 _A = bv.mix(np.arange(1, 513, dtype=np.uint64)) | np.uint64(1)
 
 
+def match_threshold(coords: int, percent: int) -> int:
+    """Coordinates that two sets of the least similarity agree on, five
+    standard deviations below the mean, rounded down."""
+    p = percent / 100
+    return max(1, int(coords * p - 5 * (coords * p * (1 - p)) ** 0.5))
+
+
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     data, offsets = bv.string_buffers(column)
@@ -99,13 +107,17 @@ def sign(docs: DataFrame, id_col: str, text_col: str, size: int, coords: int) ->
                 flat = pa.array(np.concatenate(sigs))
                 offs = pa.array(np.arange(0, coords * len(n) + 1, coords), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array([k for k, _ in keys], pa.int64()),
+                    [part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array([k for k, _ in keys], pa.int64()),
                      pa.array([k for _, k in keys], pa.int64()), pa.ListArray.from_arrays(offs, flat)],
-                    names=["id", "n", "k1", "k2", "sig"])
+                    names=["id", "text_key", "n", "k1", "k2", "sig"])
 
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("body"))
+    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("body"), _text_key(text_col).alias("text_key"))
     kind = d.schema["id"].dataType.simpleString()
-    return d.mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, sig array<int>")
+    return d.mapInArrow(run, f"id {kind}, text_key long, n long, k1 long, k2 long, sig array<int>")
+
+
+def _text_key(text_col: str):
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
 def full_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -141,10 +153,10 @@ def prefix_postings(classes: DataFrame, coords: int, matches: int) -> DataFrame:
         F.col("p.token").alias("token"), "node", "score", "n")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
-                    percent: int = PERCENT, coords: int = COORDS, matches: int = MATCHES) -> DataFrame:
-    """One row per input row: id, ``n_shingles``, ``component_id`` (the least
-    id of its component), ``kept`` (id = component_id)."""
+def labelled(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, coords: int = COORDS) -> DataFrame:
+    """One row per input row: ``id, text_key, n, component_id`` and ``chosen``
+    (its text is the one that stays of its component; false for empty sets)."""
+    matches = match_threshold(coords, percent)
     rows = stage_table(sign(docs, id_col, text_col, size, coords), "minhash-signatures")
     classes = (rows.where("n > 0").groupBy("k1", "k2")
                .agg(F.min("id").alias("first_id"), F.first("n").alias("n"), F.first("sig").alias("sig")))
@@ -152,19 +164,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     postings = prefix_postings(classes, coords, matches)
     alone = postings.groupBy("token").agg(F.count("*").alias("len")).where("len > 1").select("token")
     postings, n_postings = stage_table_counted(postings.join(alone, "token", "left_semi"), "minhash-postings")
-    linked = _components(docs, id_col, text_col, size, percent, matches, classes, postings) if n_postings else None
     own = classes.select("cls", "k1", "k2", "first_id")
-    if linked is not None:
+    if n_postings:
+        linked = _components(docs, id_col, text_col, size, percent, matches, classes, postings)
         named = own.join(linked, own["cls"] == linked["node"])
-        best = named.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-        named = named.join(best, "comp").select("cls", "component_id")
-        own = own.join(named, "cls", "left").withColumn("component_id", F.coalesce("component_id", "first_id"))
+        # a struct of nulls last, so that a text without an id never names its component
+        rank = F.struct(F.col("first_id").isNull(), "first_id", "cls")
+        best = named.groupBy("comp").agg(F.min(rank).alias("best"))
+        named = named.join(best, "comp").select("cls", F.col("best.first_id").alias("component_id"),
+                                                F.col("best.cls").alias("best_cls"))
+        own = (own.join(named, "cls", "left")
+               .withColumn("component_id", F.when(F.col("best_cls").isNull(), F.col("first_id")).otherwise(F.col("component_id")))
+               .withColumn("chosen", F.coalesce("best_cls", "cls") == F.col("cls")))
     else:
-        own = own.withColumn("component_id", F.col("first_id"))
-    out = rows.select("id", "n", "k1", "k2").join(own.select("k1", "k2", "component_id"), ["k1", "k2"], "left")
+        own = own.withColumn("component_id", F.col("first_id")).withColumn("chosen", F.lit(True))
+    out = rows.select("id", "text_key", "n", "k1", "k2").join(own.select("k1", "k2", "component_id", "chosen"), ["k1", "k2"], "left")
     comp = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), comp.alias("component_id"),
-                      F.coalesce(F.col("id") == comp, F.lit(False)).alias("kept"))
+    return out.select("id", "text_key", "n", comp.alias("component_id"), F.coalesce("chosen", F.lit(False)).alias("chosen"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
+                    percent: int = PERCENT, coords: int = COORDS) -> DataFrame:
+    """One row per input row: id, ``n_shingles``, ``component_id`` (the least
+    id of its component), ``kept`` (id = component_id)."""
+    out = labelled(docs, id_col, text_col, size, percent, coords)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
+                      F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
 def _components(docs, id_col, text_col, size, percent, matches, classes, postings) -> DataFrame:
@@ -195,9 +220,18 @@ def _components(docs, id_col, text_col, size, percent, matches, classes, posting
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without near-duplicates of others: of each component the
-    row with the least id stays (of rows that share it, each text once). Texts
-    without words have no duplicates and stay. Columns are the input's."""
-    flags = near_duplicates(docs, id_col, text_col, size, percent)
-    names = flags.where("kept or n_shingles = 0").select(F.col(id_col).alias("__keep_id")).distinct()
-    return docs.join(names, F.col(id_col).eqNullSafe(F.col("__keep_id")), "left_semi")
+    """The documents, in their own columns, without near-duplicates: of each
+    component one row stays, with the least id. Empty sets have no duplicates
+    and stay."""
+    flags = stage_table(labelled(docs, id_col, text_col, size, percent), "minhash-flags")
+    stays = (F.col("n") == 0) | (F.col("chosen") & F.col("id").eqNullSafe(F.col("component_id")))
+    gone = flags.where(~stays).select(F.col("id").alias("__gone_id"), F.col("text_key").alias("__gone_key")).distinct()
+    same = F.col(id_col).eqNullSafe(F.col("__gone_id")) & (_text_key(text_col) == F.col("__gone_key"))
+    kept = docs.join(gone, same, "left_anti")
+    # rows that are equal in id and text: one of them stays
+    equal = (flags.where((F.col("n") > 0) & stays).groupBy("id", "text_key").agg(F.count("*").alias("rows")).where("rows > 1")
+             .select(F.col("id").alias("__gone_id"), F.col("text_key").alias("__gone_key")))
+    if equal.isEmpty():
+        return kept
+    once = kept.join(equal, same, "left_semi").dropDuplicates([id_col, text_col])
+    return kept.join(equal, same, "left_anti").unionByName(once)

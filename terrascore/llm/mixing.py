@@ -26,10 +26,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrascore.llm.common import stage_table, word_count
+from terrascore.session import stage_table_counted
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = 20260
+#: Up to so many sources, their cuts are broadcast; beyond, joined by shuffle.
+BROADCAST_SOURCES = 100_000
 #: Hex digits of the hash that name a bucket: a source has 16**3 of them.
 PREFIX = 3
 
@@ -85,8 +88,10 @@ def _cuts(sizes: DataFrame, targets: DataFrame) -> DataFrame:
            .where("cut_left > 0 and cut_left <= cut_size")
            .select("src", F.col("h").alias("cut"), "cut_size", "cut_left"))
     c = cut.alias("c")
-    return (p.join(c, F.col("p.src").eqNullSafe(F.col("c.src")), "left")
+    cuts = (p.join(c, F.col("p.src").eqNullSafe(F.col("c.src")), "left")
             .select("p.src", "source_size", "target", "whole", "cut", "cut_size", "cut_left"))
+    cuts, sources = stage_table_counted(cuts, "mix-cuts")
+    return F.broadcast(cuts) if sources <= BROADCAST_SOURCES else cuts
 
 
 def _taken() -> Column:

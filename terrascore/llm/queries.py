@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from terrascore.llm import decontaminate, html_extract, langid, line_dedup, lm_scoring, minhash_join, mixing, oracles, quality_lines, toxicity, url_filter
 from terrascore.llm.common import read_table
 
@@ -60,8 +61,8 @@ def op10_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lm_scoring, op2_html_extraction, op3_minhash_near_dedup, op4_language_id, op5_url_filters, op6_decontamination, op7_toxicity, op8_line_dedup, op9_mixing, op10_quality_lines)}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_lm_scoring, op2_html_extraction, op3_minhash_near_dedup, op4_language_id, op5_url_filters, op6_decontamination, op7_toxicity, op8_line_dedup, op9_mixing, op10_quality_lines)}
 
 
 def llm_sql() -> dict[str, str]:
-    return dict(oracles.SQL)
+    return dict(oracles.SQL) | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
