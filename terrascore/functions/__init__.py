@@ -1,27 +1 @@
 """Column-expression builders."""
-
-from __future__ import annotations
-
-from collections.abc import Callable
-from typing import TypeVar
-
-from pyspark import SparkContext
-
-T = TypeVar("T")
-_BUILT: dict[str, tuple[object, object]] = {}
-
-
-def per_context(key: str, build: Callable[[], T]) -> T:
-    """Build a fixed set of unresolved Columns once per SparkContext.
-
-    Unresolved expressions are independent of any DataFrame, so one build
-    serves every query of the session; building them costs one driver->JVM
-    call per node (hundreds for the score ladders).
-    """
-    sc = SparkContext._active_spark_context
-    hit = _BUILT.get(key)
-    if hit is not None and hit[0] is sc:
-        return hit[1]  # type: ignore[return-value]
-    value = build()
-    _BUILT[key] = (sc, value)
-    return value

@@ -1,19 +1,20 @@
 """Score expressions: pure Column builders (JVM-side, whole-stage codegen).
 
-Every score is non-null for any combination of null inputs. Ladders are
-driven by the registry tables; the arithmetic order is fixed so that results
-are bit-identical to the SQL oracle.
+Every score is non-null for any combination of null inputs. Ladders and
+piecewise-linear penalties are registry data; two small builders turn them
+into expressions.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import registry as R
-from . import per_context
 
 
 def _c(x) -> Column:
@@ -34,16 +35,36 @@ def ladder(value, rungs: Sequence[tuple[float, int]], floor: int, *, above: bool
     return expr.otherwise(F.lit(floor))
 
 
+def piecewise(value, segments: Sequence[R.Segment]) -> Column:
+    """The value's penalty on the segment it falls in; null for a null value
+    (no rule applies a penalty to one)."""
+    v = _c(value)
+
+    def rise(s: R.Segment) -> Column:
+        if not s.num:
+            return F.lit(float(s.base))
+        slope = (v - float(s.knot)) * float(s.num) / float(s.den)
+        return float(s.base) + (slope if math.isinf(s.cap) else F.least(slope, F.lit(float(s.cap))))
+    return F.coalesce(*[rise(s) if math.isinf(s.up_to) else F.when(v <= float(s.up_to), rise(s)) for s in segments])
+
+
+def rule_score(rules: Sequence[R.Rule], names: dict[str, Column] | None = None,
+               missing: int = R.MISSING_SCORE) -> Column:
+    """100 less penalties by the first rule whose inputs are all present."""
+    names = names or {}
+
+    def applied(rule: R.Rule) -> Column:
+        inputs = [_c(names.get(c, c)) for c in rule.penalties]
+        parts = [piecewise(v, segments) for v, segments in zip(inputs, rule.penalties.values())]
+        score = (reduce(Column.__sub__, parts, F.lit(100.0)) if rule.divisor is None
+                 else 100.0 - reduce(Column.__add__, parts) / float(rule.divisor))
+        return F.when(reduce(Column.__and__, [v.isNotNull() for v in inputs]), score)
+    return F.coalesce(*[applied(r) for r in rules], F.lit(float(missing)))
+
+
 def emp_score(unemployment="unemployment_rate", youth="youth_unemployment") -> Column:
-    u, y = _c(unemployment), _c(youth)
-    return (
-        F.when(u.isNull() & y.isNull(), F.lit(R.MISSING_SCORE))
-        .when(u.isNull(), 100 - F.least(y, F.lit(R.EMP_YOUTH_ONLY_CAP)) * R.EMP_YOUTH_ONLY_MULT)
-        .when(y.isNull(), 100 - F.least(u, F.lit(R.EMP_TOTAL_ONLY_CAP)) * R.EMP_TOTAL_ONLY_MULT)
-        .otherwise(100 - (F.least(u, F.lit(R.EMP_BOTH_TOTAL_CAP)) * R.EMP_BOTH_TOTAL_WEIGHT
-                          + F.least(y, F.lit(R.EMP_BOTH_YOUTH_CAP)) * R.EMP_BOTH_YOUTH_WEIGHT)
-                   / R.EMP_BOTH_DIVISOR)
-    )
+    return rule_score(R.SCORE_RULES["emp_score"],
+                      {"unemployment_rate": unemployment, "youth_unemployment": youth})
 
 
 def gdp_score(ppp="gdp_per_capita_ppp", nominal="gdp_per_capita") -> Column:
@@ -63,30 +84,9 @@ def investment_score(fdi="foreign_direct_investment") -> Column:
     return ladder(fdi, R.INVESTMENT_LADDER, R.INVESTMENT_FLOOR, above=True)
 
 
-def inflation_penalty(f) -> Column:
-    f = _c(f)
-    return (F.when(f <= 2, F.lit(0))
-            .when(f <= 5, f * 2)
-            .when(f <= 10, 10 + (f - 5) * 3)
-            .otherwise(25 + F.least((f - 10) * 1.5, F.lit(25))))
-
-
-def debt_penalty(g) -> Column:
-    g = _c(g)
-    return (F.when(g <= 40, g / 8)
-            .when(g <= 80, 5 + (g - 40) / 4)
-            .when(g <= 120, 15 + (g - 80) / 4)
-            .otherwise(25 + F.least((g - 120) / 6, F.lit(25))))
-
-
 def stability_score(inflation="inflation", debt="government_debt") -> Column:
-    f, g = _c(inflation), _c(debt)
-    return (
-        F.when(f.isNull() & g.isNull(), F.lit(R.MISSING_SCORE))
-        .when(f.isNull(), 100 - F.least(g / R.STAB_DEBT_ONLY_DIVISOR, F.lit(R.STAB_ONLY_CAP)))
-        .when(g.isNull(), 100 - F.least(f * R.STAB_INFLATION_ONLY_MULT, F.lit(R.STAB_ONLY_CAP)))
-        .otherwise(100 - inflation_penalty(f) - debt_penalty(g))
-    )
+    return rule_score(R.SCORE_RULES["stability_score"],
+                      {"inflation": inflation, "government_debt": debt})
 
 
 SCORES = {
@@ -101,18 +101,9 @@ SCORES = {
 
 def weighted_index(weights=R.INDEX_WEIGHTS) -> Column:
     """sum(score * weight) in the registry order, as double."""
-    total = None
-    for name, w in weights:
-        term = F.col(name) * w
-        total = term if total is None else total + term
-    return total.cast("double")
-
-
-def _default_columns():
-    return {name: fn() for name, fn in SCORES.items()}, weighted_index()
+    return reduce(Column.__add__, [F.col(name) * w for name, w in weights]).cast("double")
 
 
 def with_scores(df):
     """Add the six sub-scores and the composite ``opportunity_index``."""
-    scores, idx = per_context("scores", _default_columns)
-    return df.withColumns(scores).withColumn("opportunity_index", idx)
+    return df.withColumns({name: fn() for name, fn in SCORES.items()}).withColumn("opportunity_index", weighted_index())

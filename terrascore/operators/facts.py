@@ -16,14 +16,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import per_context
 from ..registry import FACT_COLUMNS, FACTS, INDICATOR_NAMES, KEYS
 
 
 def _pivot_cols(names):
-    names = tuple(names)
-    return per_context(f"pivot:{','.join(names)}", lambda: [
-        F.max(F.when(F.col("indicator_name") == n, F.col("value"))).alias(n) for n in names])
+    return [F.max(F.when(F.col("indicator_name") == n, F.col("value"))).alias(n) for n in names]
 
 
 def presence_col(fact: str) -> str:
@@ -46,11 +43,8 @@ def build_wide(clean: DataFrame) -> DataFrame:
 
     A key belongs to fact X exactly when ``_n_X > 0``.
     """
-    presence = per_context("presence", lambda: [
-        F.count(F.when(F.col("indicator_name").isin(*FACT_COLUMNS[f]), F.lit(1)))
-        .alias(presence_col(f))
-        for f in FACTS
-    ])
+    presence = [F.count(F.when(F.col("indicator_name").isin(*FACT_COLUMNS[f]), F.lit(1)))
+                .alias(presence_col(f)) for f in FACTS]
     return (clean.where(F.col("indicator_name").isin(*INDICATOR_NAMES))
             .groupBy(*KEYS).agg(*_pivot_cols(INDICATOR_NAMES), *presence))
 

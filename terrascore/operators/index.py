@@ -7,12 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.scores import SCORES, with_scores
 from ..registry import INDEX_OUTPUT_COLUMNS, KEYS
-from ..session import stage_table_counted
+from ..session import stage_table
 from .facts import index_input
-from .rank import rank_desc
-
-# Columns the scores read that are not in the output table.
-_SCORE_ONLY_INPUTS = ("ease_of_business",)
+from .rank import rank_desc, rank_window
 
 
 def scored(wide: DataFrame) -> DataFrame:
@@ -25,22 +22,43 @@ def score_table(wide: DataFrame, score: str, inputs: tuple[str, ...]) -> DataFra
     return index_input(wide).select(*KEYS, *inputs, SCORES[score]().cast("double").alias(score))
 
 
-def opportunity_index(wide: DataFrame, rank_method: str = "auto", stage: bool = True) -> DataFrame:
+def index_columns(wide: DataFrame) -> DataFrame:
+    """The output columns without the rank."""
+    return scored(wide).select(*[c for c in INDEX_OUTPUT_COLUMNS if c != "opportunity_rank"])
+
+
+def opportunity_index(wide: DataFrame, rank_method: str = "distributed", stage: bool = True) -> DataFrame:
     """The 14-column ranked index table.
 
     With ``stage`` the scored rows are written once to the shared folder
-    before ranking (lineage is cut; a distributed rank re-reads the file
-    instead of recomputing the facts) and the write observes the row count,
-    which settles the rank plan without another job while it is small.
+    before ranking: the rank reads them twice (values, rows) and a lost
+    executor re-reads the file instead of recomputing the facts.
     """
-    cols = [c for c in INDEX_OUTPUT_COLUMNS if c != "opportunity_rank"]
-    s = scored(wide).select(*cols, *_SCORE_ONLY_INPUTS)
-    n_rows = None
+    s = index_columns(wide)
+    if stage:
+        s = stage_table(s, "scored_index")
+    return rank_desc(s, "year", "opportunity_index", "opportunity_rank", rank_method).select(*INDEX_OUTPUT_COLUMNS)
+
+
+def from_facts(employment: DataFrame, economic: DataFrame, education: DataFrame,
+               rank_method: str = "distributed", stage: bool = True) -> DataFrame:
+    """The ranked index from three stored fact tables: employment with
+    economic (inner), education where there is any (left)."""
+    wide = employment.join(economic, list(KEYS)).join(education, list(KEYS), "left")
+    s = with_scores(wide).select(*[c for c in INDEX_OUTPUT_COLUMNS if c != "opportunity_rank"])
     if stage:
-        s, n_rows = stage_table_counted(s, "scored_index")
-    ranked = rank_desc(s, "year", "opportunity_index", "opportunity_rank",
-                       method=rank_method, n_rows=n_rows)
-    return ranked.select(*INDEX_OUTPUT_COLUMNS)
+        s = stage_table(s, "scored_index")
+    return rank_desc(s, "year", "opportunity_index", "opportunity_rank", rank_method).select(*INDEX_OUTPUT_COLUMNS)
+
+
+def ranked_latest_year(wide: DataFrame, k: int) -> DataFrame:
+    """Ranked rows of the latest year with rank <= k (ties kept), for a top
+    list alone: only that year is scored, and Spark keeps the k best of every
+    task before the rank (a window group limit)."""
+    s = index_columns(wide)
+    latest = s.select(F.max("year")).scalar()
+    ranked = rank_window(s.where(F.col("year") == latest), "year", "opportunity_index", "opportunity_rank")
+    return ranked.where(F.col("opportunity_rank") <= k).select(*INDEX_OUTPUT_COLUMNS)
 
 
 def latest_year_top(index: DataFrame, k: int) -> DataFrame:

@@ -1,134 +1,62 @@
 """Rank within a group by a value, descending, ties sharing a rank (SQL RANK).
 
-Two exact plans:
-
-* ``window`` — ``rank() OVER (PARTITION BY g ORDER BY v DESC)``: one hash
-  exchange on ``g``, one task per group. Right while a group fits one task
-  (countries per year: hundreds).
-* ``distributed`` — for groups too large for one task (few groups, e.g. a
-  handful of years over billions of entities):
-
-  1. collapse ties: ``(g, v) -> n`` (partial aggregation; a value held by a
-     third of all rows becomes one row per map task);
-  2. bucket the distinct values by approximate quantiles of ``v``: the bound
-     list has ``ceil(rows / rows_per_bucket)`` entries (capped), so every
-     bucket holds a bounded share of the distinct values whatever their
-     distribution — no value range can pile up in one task. Bucket ids are
-     monotone in ``v`` and equal values share a bucket;
-  3. per-(g, b) totals -> rows in strictly higher buckets of ``g`` (``offset``).
-     This table has at most one row per (group, bucket); its join is left to
-     AQE, which broadcasts only below its threshold;
-  4. inside (g, b): rows with a larger value (running sum over distinct
-     values only);
-  5. ``rank = 1 + offset + before``; join back on (g, v) (a hot (g, v) on the
-     row side is split by AQE's skew-join handling).
-
-  ``rank(v) = 1 + #{rows of g with value > v}``, so the result is identical
-  to the window plan.
-
-``auto`` picks ``window`` without any extra job when the caller knows the
-total row count and it is at most ``max_rows_per_task`` (every group is then
-small enough); otherwise it runs one small aggregate (rows per group).
-Callers hand in a staged (materialised) input so that neither the check nor
-the join-back recomputes the upstream plan.
+``distributed`` (the default) is exact for groups of any size and at any row
+count, with no group ever in one task:
+
+1. collapse ties: ``(g, v) -> n`` (partial aggregation; a value held by a
+   third of all rows becomes one row per map task);
+2. range-partition the distinct values by ``(g, v desc)`` and stage them with
+   the number of their range: ranges are found by Spark's sampling, equal
+   values share one, and ranges are in rank order;
+3. rows of ``g`` in earlier ranges (``offset``): a running sum over one row per
+   (group, range);
+4. inside (g, range): rows with a larger value, a running sum over one range;
+5. ``rank = 1 + offset + before``, joined back on (g, v). All joins are
+   null-safe: a null group is a group, and null values rank last in theirs.
+
+``window`` is ``rank() OVER (PARTITION BY g ORDER BY v DESC)``: one exchange on
+``g`` and one task per group, for callers that know their groups to be small.
+Both give the same rows on any input.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_ROWS_PER_TASK = 5_000_000
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 100_000
+from ..session import stage_table
 
 
 def rank_window(df: DataFrame, by: str, order: str, out: str) -> DataFrame:
-    w = Window.partitionBy(by).orderBy(F.col(order).desc())
+    w = Window.partitionBy(by).orderBy(F.col(order).desc_nulls_last())
     return df.withColumn(out, F.rank().over(w))
 
 
-def bucket_count(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    return max(1, min(MAX_BUCKETS, math.ceil(n_rows / max(1, rows_per_bucket))))
-
-
-def quantile_bounds(vals: DataFrame, order: str, n_buckets: int) -> list[float]:
-    """Sorted distinct finite inner bucket bounds (at most ``n_buckets - 1``).
-
-    One distributed aggregate (mergeable quantile sketches, combined map-side);
-    the driver receives a list whose length is fixed by ``n_buckets``.
-    """
-    if n_buckets <= 1:
-        return []
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    accuracy = max(10_000, 10 * n_buckets)
-    bounds = (vals.where(~F.isnan(F.col(order).cast("double")))
-              .select(F.percentile_approx(F.col(order).cast("double"), probs, accuracy))
-              .first()[0])
-    # Only finite bounds: the outer splits are -inf and +inf already, and an
-    # infinite quantile (values at +/-inf) would repeat them.
-    return sorted({float(b) for b in (bounds or []) if b is not None and math.isfinite(b)})
-
-
-def with_bucket(vals: DataFrame, order: str, bounds: list[float], out: str = "_b") -> DataFrame:
-    """Monotone bucket id of ``order`` over ``bounds`` (JVM binary search)."""
-    if not bounds:
-        return vals.withColumn(out, F.lit(0.0))
-    from pyspark.ml.feature import Bucketizer
-    splits = [-math.inf, *bounds, math.inf]
-    # NaN sorts above every number in Spark; "keep" puts it in the top bucket.
-    return Bucketizer(splits=splits, inputCol=order, outputCol=out,
-                      handleInvalid="keep").transform(vals)
-
-
-def rank_distributed(df: DataFrame, by: str, order: str, out: str,
-                     rows_per_bucket: int = ROWS_PER_BUCKET,
-                     n_rows: int | None = None) -> DataFrame:
-    vals = (df.where(F.col(order).isNotNull())
-            .groupBy(by, order).agg(F.count(F.lit(1)).alias("_n")))
-    if n_rows is None:
-        n_rows = df.count()
-    vals = with_bucket(vals, order,
-                       quantile_bounds(vals, order, bucket_count(n_rows, rows_per_bucket)))
-    higher = Window.partitionBy(by).orderBy(F.col("_b").desc()).rowsBetween(
+def rank_distributed(df: DataFrame, by: str, order: str, out: str, ranges: int | None = None) -> DataFrame:
+    """``ranges``: number of value ranges; by default Spark's shuffle partitions."""
+    ties = df.groupBy(F.col(by).alias("g"), F.col(order).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    keys = (F.col("g").asc_nulls_first(), F.col("v").desc_nulls_last())
+    ties = ties.repartitionByRange(ranges, *keys) if ranges else ties.repartitionByRange(*keys)
+    ties = stage_table(ties.withColumn("part", F.spark_partition_id()), "rank_values")
+    earlier = Window.partitionBy("g").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ties.groupBy("g", "part").agg(F.sum("n").alias("rows"))
+               .withColumn("offset", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
+               .select(F.col("g").alias("off_g"), F.col("part").alias("off_part"), "offset"))
+    inside = Window.partitionBy("g", "part").orderBy(F.col("v").desc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = (vals.groupBy(by, "_b").agg(F.sum("_n").alias("_bn"))
-               .withColumn("_off", F.coalesce(F.sum("_bn").over(higher), F.lit(0)))
-               .drop("_bn"))
-    inside = Window.partitionBy(by, "_b").orderBy(F.col(order).desc()).rowsBetween(
-        Window.unboundedPreceding, -1)
-    ranks = (vals.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-             .join(offsets, [by, "_b"])
-             .select(by, order, (F.col("_off") + F.col("_before") + 1).cast("int").alias(out)))
-    # Null values rank after all others, as in the window plan.
-    nulls = df.where(F.col(order).isNull())
-    null_rank = (df.where(F.col(order).isNotNull()).groupBy(by)
-                 .agg((F.count(F.lit(1)) + 1).cast("int").alias(out)))
-    ranked = df.where(F.col(order).isNotNull()).join(ranks, [by, order])
-    return ranked.unionByName(
-        nulls.join(null_rank, by, "left").withColumn(out, F.coalesce(F.col(out), F.lit(1))))
-
-
-def largest_group(df: DataFrame, by: str) -> int:
-    row = df.groupBy(by).count().agg(F.max("count")).first()
-    return int(row[0] or 0)
+    ranks = (ties.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+             .join(offsets, F.col("g").eqNullSafe(F.col("off_g")) & (F.col("part") == F.col("off_part")))
+             .select(F.struct("g", "v").alias("_rank_key"),
+                     (F.col("offset") + F.col("before") + 1).cast("int").alias("_rank")))
+    rows = df.select(F.struct("*").alias("_rank_row"))
+    same = (F.col(f"_rank_row.`{by}`").eqNullSafe(F.col("_rank_key.g"))
+            & F.col(f"_rank_row.`{order}`").eqNullSafe(F.col("_rank_key.v")))
+    return rows.join(ranks, same).select("_rank_row.*", F.col("_rank").alias(out))
 
 
-def rank_desc(df: DataFrame, by: str, order: str, out: str, method: str = "auto",
-              max_rows_per_task: int = MAX_ROWS_PER_TASK,
-              rows_per_bucket: int = ROWS_PER_BUCKET,
-              n_rows: int | None = None) -> DataFrame:
-    """``n_rows``: the input's row count when already known (e.g. observed
-    while staging it); lets ``auto`` decide without a job."""
-    if method == "auto":
-        if n_rows is not None and n_rows <= max_rows_per_task:
-            method = "window"
-        else:
-            method = "window" if largest_group(df, by) <= max_rows_per_task else "distributed"
+def rank_desc(df: DataFrame, by: str, order: str, out: str, method: str = "distributed") -> DataFrame:
     if method == "window":
         return rank_window(df, by, order, out)
     if method == "distributed":
-        return rank_distributed(df, by, order, out, rows_per_bucket, n_rows)
+        return rank_distributed(df, by, order, out)
     raise ValueError(f"unknown rank method {method!r}")

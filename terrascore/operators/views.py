@@ -20,6 +20,7 @@ from ..registry import KEYS
 from .facts import fact_from_wide
 from .index import latest_year_top
 
+# --- fixed values: published column lists of the source domain ----------------
 COMPARISON_COLUMNS = (
     "country_name", "country_code", "year",
     "unemployment_rate", "youth_unemployment", "employment_ratio",
@@ -42,6 +43,9 @@ TRENDS_COLUMNS = (
 )
 
 
+# -----------------------------------------------------------------------------
+
+
 def year_spine(countries: DataFrame, dim_time: DataFrame, floor: int,
                time_cols: tuple[str, ...] = ("year",)) -> DataFrame:
     """countries x {dim_time rows with year >= floor}."""

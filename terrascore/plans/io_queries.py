@@ -14,10 +14,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from ..operators import clean as C
 from ..operators import dims
-from ..schemas import CLEAN
+from ..schemas import CLEAN, REJECTED, TABLE_SCHEMAS
 from ..session import shared_path, stage_table
 from ..sinks.writers import ensure_database, load_table, write_raw_csv, write_raw_json, write_snapshot
 from ..sources import adapter, envelopes, files
@@ -25,6 +26,7 @@ from ..streaming.landing import run_landing
 from . import queries as Q
 from .catalog import TABLES, publish
 from .snapshot_job import build_tables
+from .snapshot_job import run as run_job
 
 SNAPSHOT_DATES = (dt.date(2025, 1, 1), dt.date(2025, 1, 2))
 CLEAN_COLUMNS = tuple(f.name for f in CLEAN.fields)
@@ -61,14 +63,91 @@ def envelope_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
         envelopes.read_envelopes(spark, path, whole_files=False))
 
 
+#: Pages with every flaw a landing brings: an id outside the registry, no id at
+#: all, absent keys, an empty and a null answer, an error payload, cut JSON.
+EDGE_PAGES = (
+    '{meta},[{{"countryiso3code":"{c}","country":{{"id":"x","value":"{n}"}},"indicator":{{"id":"UNKNOWN"}},"date":"2020","value":1.5}}]]',
+    '{meta},[{{"countryiso3code":"{c}","date":"2021","value":2.5}},{{"country":null,"date":"2022","value":null}}]]',
+    '{meta},[]]', '{meta},null]', '[{{"message":"no such indicator"}}]', '{meta},[{{"countryiso3code":"{c}"',
+)
+
+
+def edge_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer of the table lands one page of each flawed kind."""
+    customers = adapter.read_table(spark, sf_dir, "customer")
+    kinds = []
+    for page in EDGE_PAGES:
+        text = page.format(meta='[{"page":1,"pages":1}', c="\u0001", n="\u0002")
+        kinds.append(F.replace(F.replace(F.lit(text), F.lit("\u0001"), F.concat(F.lit("C"), F.col("c_custkey").cast("string"))),
+                               F.lit("\u0002"), F.col("c_name")))
+    return customers.select(F.explode(F.array(*kinds)).alias("envelope"))
+
+
+def flatten_edge_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No record is lost: known or unknown id, with or without a name."""
+    path = shared_path(spark, "edge_pages")
+    edge_pages(spark, sf_dir).write.text(path)
+    return envelopes.flatten_envelopes(envelopes.read_envelopes(spark, path, whole_files=False),
+                                       adapter.DEFAULT_EXTRACTION_DATE, indicator=("ASKED", "asked_for"))
+
+
+def rejected_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that gave no records, counted by what is wrong with them."""
+    return (envelopes.rejected_pages(edge_pages(spark, sf_dir)).groupBy("reject_reason")
+            .agg(F.count(F.lit(1)).alias("n_pages")))
+
+
+def _job_root(spark: SparkSession, sf_dir: str) -> str:
+    """The snapshot job over the adapter's rows, two dates, one run again."""
+    root = shared_path(spark, "job")
+    raw = stage_table(adapter.raw_observations(spark, sf_dir), "raw")
+    for d in (SNAPSHOT_DATES[0], SNAPSHOT_DATES[1], SNAPSHOT_DATES[0]):
+        run_job(spark, raw, root, d)
+    return root
+
+
+def rejects_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the job wrote of refused observations, by date and reason."""
+    schema = StructType([*REJECTED.fields, StructField("process_date", DateType())])
+    return (files.read_snapshot(spark, f"{_job_root(spark, sf_dir)}/rejected", schema=schema)
+            .groupBy("process_date", "reject_reason").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+def six_tables_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the six dated tables of one date, read through the wildcard."""
+    root = _job_root(spark, sf_dir)
+    schemas = {t: StructType([*s.fields, StructField("process_date", DateType())]) for t, s in TABLE_SCHEMAS.items()}
+    tables = files.read_tables(spark, root, schemas)
+    parts = [df.where(F.col("process_date") == SNAPSHOT_DATES[1]).agg(F.count(F.lit(1)).alias("n_rows"))
+             .select(F.lit(t).alias("table_name"), "n_rows") for t, df in tables.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def snapshot_one_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One date and two indicators of a dated snapshot, by folder."""
+    path = shared_path(spark, "snapshots")
+    clean = stage_table(C.clean_observations(adapter.raw_observations(spark, sf_dir)), "clean")
+    for d in SNAPSHOT_DATES:
+        write_snapshot(clean.withColumn("process_date", F.lit(d)), path)
+    return (files.read_snapshot(spark, path, SNAPSHOT_DATES[1], ("gdp", "inflation"), schema=CLEAN)
+            .select(*CLEAN_COLUMNS))
+
+
+def empty_indicator_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An indicator without rows leaves no folder, and the rest is read."""
+    path = shared_path(spark, "raw_json")
+    raw = adapter.raw_observations(spark, sf_dir)
+    write_raw_json(raw.where(F.col("indicator_name") != "inflation"), path)
+    return files.read_raw_json(spark, path).groupBy("indicator_name").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def parquet_snapshot_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write date 1, date 2, then date 1 again: counts must not change."""
     path = shared_path(spark, "snapshots")
     clean = stage_table(C.clean_observations(adapter.raw_observations(spark, sf_dir)), "clean")
     for d in (SNAPSHOT_DATES[0], SNAPSHOT_DATES[1], SNAPSHOT_DATES[0]):
         write_snapshot(clean.withColumn("process_date", F.lit(d)), path)
-    return (spark.read.parquet(path)
-            .groupBy(F.col("process_date").cast("date").alias("process_date"), "indicator_name")
+    return (files.read_snapshot(spark, path, schema=CLEAN).groupBy("process_date", "indicator_name")
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
@@ -93,9 +172,7 @@ def stream_clean_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ckpt = shared_path(spark, "stream_out"), shared_path(spark, "stream_ckpt")
     adapter.raw_observations(spark, sf_dir).write.json(landing)
     run_landing(spark, landing, out, ckpt, fmt="json")
-    back = spark.read.parquet(out)
-    return back.select(*[F.col(c).cast("date").alias(c) if c == "process_date" else c
-                         for c in CLEAN_COLUMNS])
+    return files.read_snapshot(spark, out, schema=CLEAN).select(*CLEAN_COLUMNS)
 
 
 # ------------------------------------------------------------------ catalog
@@ -134,6 +211,12 @@ def io_queries() -> dict:
         "flatten_envelopes": flatten_landed_envelopes,
         "envelope_completeness": envelope_completeness,
         "parquet_snapshot_overwrite": parquet_snapshot_overwrite,
+        "flatten_edge_pages": flatten_edge_pages,
+        "rejected_pages": rejected_pages,
+        "rejects_written": rejects_written,
+        "six_tables_dated": six_tables_dated,
+        "snapshot_one_date": snapshot_one_date,
+        "empty_indicator_landing": empty_indicator_landing,
         "table_load_append_truncate": table_load_append_truncate,
         "stream_clean_observations": stream_clean_observations,
         "load_counts": load_counts,

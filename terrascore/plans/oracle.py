@@ -1,480 +1,308 @@
 """DuckDB oracle SQL, one statement per registered query.
 
-Written independently of the Spark plans, in the shape of the source domain
-(chained FULL OUTER JOINs for facts, CROSS JOIN + LEFT JOIN chains for the
-views, CASE ladders spelled out) over the driver's pre-registered tables.
-Constants are doubles (``e0``) so that no engine switches to decimals.
+Composed from the registry's data by other means than the Spark plans: CASE
+ladders are generated from the rungs, facts are conditional aggregates, and a
+statement carries only the common tables that it uses. Observations are
+unnested from one list per group and materialised once. Constants are doubles
+(``e0``) so that no engine switches to decimals.
 """
 
 from __future__ import annotations
 
-from ..registry import INDICATORS, PAGE_SIZE
+import math
+import re
+
+from .. import registry as R
+from ..operators import views as V
+from ..schemas import CLEAN
+from . import queries as Q
 
 PROCESS_DATE = "2025-01-01"
 EXTRACTION_DATE = "2025-01-01"
+D1, D2 = "2025-01-01", "2025-01-02"
+
+
+def _num(x: float) -> str:
+    return f"{x:g}e0"
+
+
+def _list(names) -> str:
+    return ", ".join(f"'{n}'" for n in names)
+
+
+def _cols(names, table: str = "") -> str:
+    return ", ".join(f'{table}"{n}"' for n in names)
+
 
 # ---------------------------------------------------------------- adapter
-_GROUPS = """
-grp AS (
-  SELECT o.o_custkey AS k,
-         CAST(year(o.o_orderdate) AS INTEGER) AS yr,
-         COUNT(*) AS n,
-         SUM(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS n_r,
-         SUM(CASE WHEN l.l_linestatus = 'F' THEN 1 ELSE 0 END) AS n_f,
-         SUM(CASE WHEN l.l_returnflag = 'N' THEN 1 ELSE 0 END) AS n_n,
-         SUM(CAST(round(l.l_extendedprice * 100) AS BIGINT)) AS s_price,
-         MIN(CAST(round(l.l_extendedprice * 100) AS BIGINT)) AS min_price,
-         MAX(CAST(round(l.l_extendedprice * 100) AS BIGINT)) AS max_price,
-         MAX(CAST(round(l.l_discount * 100) AS BIGINT)) AS max_disc,
-         MIN(CAST(round(l.l_tax * 100) AS BIGINT)) AS min_tax,
-         MAX(CAST(round(l.l_quantity * 100) AS BIGINT)) AS max_qty,
-         SUM(CAST(round(l.l_tax * 100) AS BIGINT)) AS s_tax,
-         SUM(CAST(round(l.l_quantity * 100) AS BIGINT)) AS s_qty,
-         SUM(CAST(round(l.l_discount * 100) AS BIGINT)) AS s_disc,
-         SUM(CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
-                  THEN 1 ELSE 0 END) AS n_pri
-  FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
-  GROUP BY 1, 2
-)"""
-
-
-def _hu(num: str, den: str) -> str:
+def _half_up(num: str, den: str) -> str:
     return f"((200 * ({num}) + ({den})) // (2 * ({den})))"
 
 
-_VALUE_EXPRS = [
-    f"CAST({_hu('50 * n_r', 'n')} AS DOUBLE) / 100",
-    f"CAST({_hu('80 * n_f', 'n')} AS DOUBLE) / 100",
-    f"CAST({_hu('100 * n_n', 'n')} AS DOUBLE) / 100",
-    "CAST(s_price AS DOUBLE) / 100",
-    "CAST(min_price AS DOUBLE) / 100",
-    "CAST(max_price AS DOUBLE) / 100",
-    "CAST(max_disc + min_tax AS DOUBLE)",
-    "CAST(max_qty * 3 AS DOUBLE) / 100",
-    f"CAST({_hu('10 * s_tax', 'n')} AS DOUBLE) / 100",
-    f"CAST({_hu('4 * s_tax', 'n')} - 400 AS DOUBLE) / 100",
-    f"CAST({_hu('s_qty', '200')} AS DOUBLE) / 100",
-    f"CAST({_hu('s_disc', 'n')} AS DOUBLE) / 100",
-    f"CAST({_hu('100 * n_pri', 'n')} AS DOUBLE) / 100",
-]
-
-
-def _raw_branch(i: int, code_expr: str, name_expr: str, src: str) -> str:
-    ind = INDICATORS[i]
-    return f"""
-  SELECT {code_expr} AS country_code, {name_expr} AS country_name,
-         '{ind.code}' AS indicator_id, '{ind.name}' AS indicator_name,
-         CAST(yr AS VARCHAR) AS "year",
-         CASE WHEN (7 * k + 3 * yr + {i} * (k % 5)) % 11 < 3 THEN NULL
-              ELSE {_VALUE_EXPRS[i]} END AS "value",
-         DATE '{EXTRACTION_DATE}' AS extraction_date
-  FROM {src}"""
-
-
-_CUST_CODE = ("CASE WHEN k % 97 = 0 THEN '' WHEN k % 89 = 0 THEN NULL "
-              "ELSE 'C' || CAST(k AS VARCHAR) END")
-
-RAW_CTE = (
-    _GROUPS
-    + """,
-named AS (
-  SELECT g.*, c.c_name FROM grp g LEFT JOIN customer c ON c.c_custkey = g.k
-),
-raw AS ("""
-    + "\n  UNION ALL".join(_raw_branch(i, _CUST_CODE, "c_name", "named") for i in range(13))
-    + "\n)"
-)
+def _hundredth(cents: str) -> str:
+    return f"CAST({cents} AS DOUBLE) / 100"
 
-NATION_RAW_CTE = (
-    _GROUPS
-    + """,
-named AS (
-  SELECT g.*, c.c_nationkey AS nk, nt.n_name
-  FROM grp g LEFT JOIN customer c ON c.c_custkey = g.k
-             LEFT JOIN nation nt ON nt.n_nationkey = c.c_nationkey
-),
-raw AS ("""
-    + "\n  UNION ALL".join(_raw_branch(i, "'N' || CAST(nk AS VARCHAR)", "n_name", "named")
-                           for i in range(13))
-    + "\n)"
+
+# The 13 values of a group, in registry order.
+_VALUES = (
+    _hundredth(_half_up("50 * n_r", "n")), _hundredth(_half_up("80 * n_f", "n")), _hundredth(_half_up("100 * n_n", "n")),
+    _hundredth("s_price"), _hundredth("min_price"), _hundredth("max_price"),
+    "CAST(max_disc + min_tax AS DOUBLE)", _hundredth("max_qty * 3"),
+    _hundredth(_half_up("10 * s_tax", "n")), _hundredth(f"({_half_up('4 * s_tax', 'n')} - 400)"),
+    _hundredth(_half_up("s_qty", "200")), _hundredth(_half_up("s_disc", "n")), _hundredth(_half_up("100 * n_pri", "n")),
 )
 
-_CLEAN_BODY = f"""
-clean AS (
-  SELECT country_code, country_name, indicator_id, indicator_name,
-         TRY_CAST("year" AS INTEGER) AS "year", "value",
-         extraction_date, DATE '{PROCESS_DATE}' AS process_date
-  FROM raw
-  WHERE "value" IS NOT NULL
-    AND country_code IS NOT NULL AND country_code <> ''
-    AND TRY_CAST("year" AS INTEGER) IS NOT NULL
-)"""
 
-CLEAN_CTE = RAW_CTE + "," + _CLEAN_BODY
-NATION_CLEAN_CTE = NATION_RAW_CTE + "," + _CLEAN_BODY
+def _cents(column: str) -> str:
+    return f"CAST(round({column} * 100) AS BIGINT)"
 
 
-def with_(cte: str, body: str) -> str:
-    return "WITH " + cte.strip() + "\n" + body
+_GROUPS = f"""
+SELECT o_custkey AS k, CAST(year(o_orderdate) AS INTEGER) AS yr, count(*) AS n,
+    count(*) FILTER (WHERE l_returnflag = 'R') AS n_r, count(*) FILTER (WHERE l_linestatus = 'F') AS n_f,
+    count(*) FILTER (WHERE l_returnflag = 'N') AS n_n,
+    count(*) FILTER (WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')) AS n_pri,
+    {", ".join(f"{f}({_cents(c)}) AS {a}" for f, c, a in (
+        ("sum", "l_extendedprice", "s_price"), ("min", "l_extendedprice", "min_price"), ("max", "l_extendedprice", "max_price"),
+        ("max", "l_discount", "max_disc"), ("min", "l_tax", "min_tax"), ("max", "l_quantity", "max_qty"),
+        ("sum", "l_tax", "s_tax"), ("sum", "l_quantity", "s_qty"), ("sum", "l_discount", "s_disc")))}
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL"""
 
+_ENTRIES = ", ".join(
+    f"{{'id': '{ind.code}', 'name': '{ind.name}', 'v': CASE WHEN (7 * k + 3 * yr + {i} * (k % 5)) % 11 >= 3 THEN {v} END}}"
+    for i, (ind, v) in enumerate(zip(R.INDICATORS, _VALUES)))
 
-# ---------------------------------------------------------------- facts
-FACT_ORDER = {
-    "emp": ("unemployment_rate", "youth_unemployment", "employment_ratio"),
-    "econ": ("gdp", "gdp_per_capita", "gdp_per_capita_ppp", "inflation",
-             "foreign_direct_investment", "trade_percent_gdp", "government_debt",
-             "ease_of_business"),
-    "edu": ("education_spending", "school_enrollment"),
-}
 
+def _observations(code: str, name: str, joins: str) -> str:
+    return f"""
+SELECT country_code, country_name, e.id AS indicator_id, e.name AS indicator_name,
+    CAST(yr AS VARCHAR) AS "year", e.v AS "value", DATE '{EXTRACTION_DATE}' AS extraction_date
+FROM (SELECT yr, {code} AS country_code, {name} AS country_name, unnest([{_ENTRIES}]) AS e FROM grp {joins})"""
 
-def _chain(src: str, names, missing=()) -> str:
-    """FULL OUTER JOIN chain of one-indicator selections; missing -> NULL column."""
+
+_CUSTOMER_CODE = "CASE WHEN k % 97 = 0 THEN '' WHEN k % 89 = 0 THEN NULL ELSE 'C' || k END"
+_KEY = "TRY_CAST(regexp_extract(country_code, '\\d+') AS BIGINT)"
+
+
+def _cleaned(source: str) -> str:
+    return f"""
+SELECT country_code, country_name, indicator_id, indicator_name, TRY_CAST("year" AS INTEGER) AS "year", "value",
+    extraction_date, DATE '{PROCESS_DATE}' AS process_date FROM {source}
+WHERE "value" IS NOT NULL AND country_code <> '' AND TRY_CAST("year" AS INTEGER) IS NOT NULL"""
+
+
+# ---------------------------------------------------------------- facts, scores
+def _pivot(names, missing=()) -> str:
+    return ", ".join(f"CAST(NULL AS DOUBLE) AS {n}" if n in missing else
+                     f"max(\"value\") FILTER (WHERE indicator_name = '{n}') AS {n}" for n in names)
+
+
+def _fact(fact: str, source: str = "clean", missing=()) -> str:
+    names = R.FACT_COLUMNS[fact]
     present = [n for n in names if n not in missing]
-    if not present:
-        cols = ", ".join(f"CAST(NULL AS DOUBLE) AS {n}" for n in names)
-        return (f"SELECT CAST(NULL AS VARCHAR) AS country_code, CAST(NULL AS INTEGER) AS \"year\", "
-                f"{cols} WHERE FALSE")
-    parts = [f"(SELECT country_code, \"year\", \"value\" AS {n} FROM {src} "
-             f"WHERE indicator_name = '{n}') t{i}" for i, n in enumerate(present)]
-    body = parts[0] + "".join(f"\n    FULL OUTER JOIN {p} USING (country_code, \"year\")"
-                              for p in parts[1:])
-    cols = ", ".join(n if n in present else f"CAST(NULL AS DOUBLE) AS {n}" for n in names)
-    return f"SELECT country_code, \"year\", {cols}\n  FROM {body}"
-
-
-def facts_cte(src: str = "clean", missing=()) -> str:
-    return ",\n".join(f"{f} AS (\n  {_chain(src, names, missing)}\n)"
-                      for f, names in FACT_ORDER.items())
-
-
-# ---------------------------------------------------------------- scores
-EMP_SCORE = """CASE
-    WHEN unemployment_rate IS NULL AND youth_unemployment IS NULL THEN 50
-    WHEN unemployment_rate IS NULL THEN 100 - least(youth_unemployment, 50) * 2
-    WHEN youth_unemployment IS NULL THEN 100 - least(unemployment_rate, 30) * 3
-    ELSE 100 - (least(unemployment_rate, 20) * 1.5e0 + least(youth_unemployment, 40) * 1.0e0) / 2.5e0
-  END"""
-
-
-def _gdp_ladder(c: str) -> str:
-    return f"""CASE WHEN {c} > 60000 THEN 100 WHEN {c} > 45000 THEN 90 WHEN {c} > 30000 THEN 80
-           WHEN {c} > 20000 THEN 70 WHEN {c} > 15000 THEN 65 WHEN {c} > 10000 THEN 60
-           WHEN {c} > 5000 THEN 50 WHEN {c} > 2500 THEN 40 ELSE 30 END"""
-
-
-GDP_SCORE = f"""CASE WHEN gdp_per_capita_ppp IS NULL THEN
-      CASE WHEN gdp_per_capita IS NULL THEN 50 ELSE {_gdp_ladder('gdp_per_capita')} END
-    ELSE {_gdp_ladder('gdp_per_capita_ppp')} END"""
-
-EDU_SCORE = """CASE WHEN school_enrollment IS NULL THEN 50
-    WHEN school_enrollment > 85 THEN 100 WHEN school_enrollment > 70 THEN 85
-    WHEN school_enrollment > 55 THEN 70 WHEN school_enrollment > 40 THEN 55
-    WHEN school_enrollment > 25 THEN 40 ELSE 25 END"""
-
-STABILITY_SCORE = """CASE
-    WHEN inflation IS NULL AND government_debt IS NULL THEN 50
-    WHEN inflation IS NULL THEN 100 - least(government_debt / 3, 60)
-    WHEN government_debt IS NULL THEN 100 - least(inflation * 3, 60)
-    ELSE 100
-      - (CASE WHEN inflation <= 2 THEN 0
-              WHEN inflation <= 5 THEN inflation * 2
-              WHEN inflation <= 10 THEN 10 + (inflation - 5) * 3
-              ELSE 25 + least((inflation - 10) * 1.5e0, 25) END)
-      - (CASE WHEN government_debt <= 40 THEN government_debt / 8
-              WHEN government_debt <= 80 THEN 5 + (government_debt - 40) / 4
-              WHEN government_debt <= 120 THEN 15 + (government_debt - 80) / 4
-              ELSE 25 + least((government_debt - 120) / 6, 25) END)
-  END"""
-
-BUSINESS_SCORE = """CASE WHEN ease_of_business IS NULL THEN 50
-    WHEN ease_of_business <= 20 THEN 100 WHEN ease_of_business <= 40 THEN 90
-    WHEN ease_of_business <= 60 THEN 75 WHEN ease_of_business <= 80 THEN 60
-    WHEN ease_of_business <= 100 THEN 45 WHEN ease_of_business <= 120 THEN 35
-    WHEN ease_of_business <= 140 THEN 25 ELSE 15 END"""
-
-INVESTMENT_SCORE = """CASE WHEN foreign_direct_investment IS NULL THEN 50
-    WHEN foreign_direct_investment > 10 THEN 100 WHEN foreign_direct_investment > 7 THEN 90
-    WHEN foreign_direct_investment > 5 THEN 80 WHEN foreign_direct_investment > 3 THEN 70
-    WHEN foreign_direct_investment > 2 THEN 60 WHEN foreign_direct_investment > 1 THEN 50
-    ELSE 40 END"""
+    test = f"indicator_name IN ({_list(present)})" if present else "false"
+    return f'SELECT country_code, "year", {_pivot(names, missing)} FROM {source} WHERE {test} GROUP BY country_code, "year"'
+
+
+def _ladder(value: str, rungs, floor: int, op: str) -> str:
+    return (f"CASE WHEN {value} IS NULL THEN {R.MISSING_SCORE} "
+            + " ".join(f"WHEN {value} {op} {t} THEN {s}" for t, s in rungs) + f" ELSE {floor} END")
+
+
+def _penalty(column: str, segments) -> str:
+    def rise(s: R.Segment) -> str:
+        slope = f"({column} - {_num(s.knot)}) * {_num(s.num)} / {_num(s.den)}" if s.num else "0e0"
+        return f"{_num(s.base)} + " + (slope if math.isinf(s.cap) else f"least({slope}, {_num(s.cap)})")
+    steps = [f"WHEN {column} <= {_num(s.up_to)} THEN {rise(s)}" for s in segments[:-1]]
+    return f"CASE {' '.join(steps)} ELSE {rise(segments[-1])} END" if steps else f"({rise(segments[-1])})"
+
+
+def _ruled(rules) -> str:
+    whens = []
+    for r in rules:
+        parts = [_penalty(c, s) for c, s in r.penalties.items()]
+        total = (" - ".join(["100e0", *parts]) if r.divisor is None
+                 else f"100e0 - ({' + '.join(parts)}) / {_num(r.divisor)}")
+        whens.append(f"WHEN {' AND '.join(f'{c} IS NOT NULL' for c in r.penalties)} THEN {total}")
+    return f"CASE {' '.join(whens)} ELSE {_num(R.MISSING_SCORE)} END"
+
 
 SCORE_SQL = {
-    "emp_score": EMP_SCORE, "gdp_score": GDP_SCORE, "edu_score": EDU_SCORE,
-    "stability_score": STABILITY_SCORE, "business_score": BUSINESS_SCORE,
-    "investment_score": INVESTMENT_SCORE,
+    "emp_score": _ruled(R.SCORE_RULES["emp_score"]),
+    "gdp_score": _ladder("coalesce(gdp_per_capita_ppp, gdp_per_capita)", R.GDP_LADDER, R.GDP_FLOOR, ">"),
+    "business_score": _ladder("ease_of_business", R.BUSINESS_LADDER, R.BUSINESS_FLOOR, "<="),
+    "stability_score": _ruled(R.SCORE_RULES["stability_score"]),
+    "edu_score": _ladder("school_enrollment", R.EDU_LADDER, R.EDU_FLOOR, ">"),
+    "investment_score": _ladder("foreign_direct_investment", R.INVESTMENT_LADDER, R.INVESTMENT_FLOOR, ">"),
 }
+_INDEX = " + ".join(f"{name} * {_num(w)}" for name, w in R.INDEX_WEIGHTS)
+_RANKED = [c for c in R.INDEX_OUTPUT_COLUMNS if c != "opportunity_rank"]
 
-INDEX_CTE = f"""
-idx_in AS (
-  SELECT e.country_code, e."year", e.unemployment_rate, e.youth_unemployment, e.employment_ratio,
-         ec.gdp, ec.gdp_per_capita, ec.gdp_per_capita_ppp, ec.inflation,
-         ec.foreign_direct_investment, ec.trade_percent_gdp, ec.government_debt,
-         ec.ease_of_business, ed.education_spending, ed.school_enrollment
-  FROM emp e
-  JOIN econ ec ON e.country_code = ec.country_code AND e."year" = ec."year"
-  LEFT JOIN edu ed ON e.country_code = ed.country_code AND e."year" = ed."year"
-),
-scored AS (
-  SELECT *, {EMP_SCORE} AS emp_score,
-         {GDP_SCORE} AS gdp_score,
-         {EDU_SCORE} AS edu_score,
-         {STABILITY_SCORE} AS stability_score,
-         {BUSINESS_SCORE} AS business_score,
-         {INVESTMENT_SCORE} AS investment_score
-  FROM idx_in
-),
-indexed AS (
-  SELECT *, CAST(emp_score * 0.35e0 + gdp_score * 0.20e0 + business_score * 0.15e0
-                 + stability_score * 0.10e0 + edu_score * 0.10e0 + investment_score * 0.10e0
-                 AS DOUBLE) AS opportunity_index
-  FROM scored
-),
-oi AS (
-  SELECT country_code, "year", unemployment_rate, youth_unemployment, employment_ratio,
-         gdp_per_capita, gdp_per_capita_ppp, inflation, government_debt,
-         school_enrollment, education_spending, foreign_direct_investment,
-         opportunity_index,
-         CAST(rank() OVER (PARTITION BY "year" ORDER BY opportunity_index DESC) AS INTEGER)
-           AS opportunity_rank
-  FROM indexed
-)"""
-
-DIMS_CTE = """
-dim_countries AS (
-  SELECT DISTINCT country_code, country_name,
-         CAST(NULL AS VARCHAR) AS region, CAST(NULL AS VARCHAR) AS income_group
-  FROM clean WHERE indicator_name = 'gdp'
-),
-dim_time AS (
-  SELECT DISTINCT "year", 'Y' || CAST("year" AS VARCHAR) AS year_label,
-         CAST(("year" // 10) * 10 AS INTEGER) AS decade,
-         CAST("year" AS VARCHAR) || '-01-01' AS year_start_date
-  FROM clean WHERE indicator_name = 'gdp'
-)"""
-
-ALL_CTE = CLEAN_CTE + ",\n" + facts_cte() + "," + INDEX_CTE + "," + DIMS_CTE
-
-# ---------------------------------------------------------------- queries
-# Parameters for the driver tables (see plans/queries.py).
-COMPARISON_FLOOR, TRENDS_FLOOR, HOME = 1998, 1996, "Customer#000000005"
-MAP_YEAR, BUSINESS_YEAR, EMPLOYMENT_YEAR, DASH_TOP_K = 2000, 1998, 2000, 10
-TOP_K, TRENDS_TOP_K = 30, 15
-WINDOW_YEARS = (1996, 2000)
-
-_IDX_COLS = ("country_code, \"year\", unemployment_rate, youth_unemployment, employment_ratio, "
-             "gdp_per_capita, gdp_per_capita_ppp, inflation, government_debt, school_enrollment, "
-             "education_spending, foreign_direct_investment, opportunity_index, opportunity_rank")
-
-SCORE_INPUTS = {
-    "emp_score": ("unemployment_rate", "youth_unemployment"),
-    "gdp_score": ("gdp_per_capita_ppp", "gdp_per_capita"),
-    "edu_score": ("school_enrollment",),
-    "stability_score": ("inflation", "government_debt"),
-    "business_score": ("ease_of_business",),
-    "investment_score": ("foreign_direct_investment",),
-}
-SCORE_QUERY_NAMES = {
-    "emp_score": "score_employment", "gdp_score": "score_gdp", "edu_score": "score_education",
-    "stability_score": "score_stability", "business_score": "score_business",
-    "investment_score": "score_investment",
+# ---------------------------------------------------------------- common tables
+_MISSING = ("ease_of_business", "education_spending", "school_enrollment")
+COMMON = {
+    "grp": _GROUPS,
+    "raw": _observations(_CUSTOMER_CODE, "c_name", "LEFT JOIN customer ON c_custkey = k"),
+    "nation_raw": _observations("'N' || c_nationkey", "n_name",
+                                "LEFT JOIN customer ON c_custkey = k LEFT JOIN nation ON n_nationkey = c_nationkey"),
+    "drifting": f"""
+SELECT * REPLACE (CASE WHEN {_KEY} % 13 = 0 AND "year"::INTEGER < 1998 THEN 'Old ' || country_name ELSE country_name END AS country_name,
+    CASE WHEN ({_KEY} + "year"::INTEGER) % 31 = 0 THEN "year"[1:3] || 'x' ELSE "year" END AS "year") FROM raw""",
+    "clean": _cleaned("raw"),
+    "nation_clean": _cleaned("nation_raw"),
+    "drifting_clean": _cleaned("drifting"),
+    "emp": _fact("employment"), "econ": _fact("economic"), "edu": _fact("education"),
+    "part_econ": _fact("economic", missing=_MISSING), "part_edu": _fact("education", missing=_MISSING),
+    "gdp_rows": "SELECT * FROM clean WHERE indicator_name = 'gdp'",
+    "dim_countries": "SELECT DISTINCT country_code, country_name, CAST(NULL AS VARCHAR) AS region, "
+                     "CAST(NULL AS VARCHAR) AS income_group FROM gdp_rows",
+    "dim_time": "SELECT DISTINCT \"year\", 'Y' || \"year\" AS year_label, CAST(\"year\" // 10 * 10 AS INTEGER) AS decade, "
+                "\"year\" || '-01-01' AS year_start_date FROM gdp_rows",
 }
 
-REJECTS = with_(RAW_CTE, """
-SELECT indicator_name, reject_reason, COUNT(*) AS n_rows FROM (
-  SELECT indicator_name,
-         CASE WHEN "value" IS NULL THEN 'null_value'
-              WHEN country_code IS NULL THEN 'null_code'
-              WHEN country_code = '' THEN 'empty_code'
-              WHEN TRY_CAST("year" AS INTEGER) IS NULL THEN 'bad_year' END AS reject_reason
-  FROM raw) r
-WHERE reject_reason IS NOT NULL
-GROUP BY indicator_name, reject_reason""")
-
-TOP_COUNTRIES = with_(ALL_CTE, f"""
-SELECT c.country_name, oi."year", oi.unemployment_rate, oi.youth_unemployment,
-       oi.employment_ratio, oi.gdp_per_capita, oi.gdp_per_capita_ppp, oi.inflation,
-       oi.government_debt, oi.school_enrollment, oi.education_spending,
-       oi.opportunity_index, oi.opportunity_rank
-FROM oi JOIN dim_countries c ON oi.country_code = c.country_code
-WHERE oi."year" = (SELECT MAX("year") FROM oi) AND oi.opportunity_rank <= {TOP_K}
-ORDER BY oi.opportunity_rank ASC""")
-
-COMPARISON = with_(ALL_CTE, f"""
-SELECT c.country_name, c.country_code, t."year" AS "year",
-       e.unemployment_rate, e.youth_unemployment, e.employment_ratio,
-       ec.gdp, ec.gdp_per_capita, ec.gdp_per_capita_ppp, ec.inflation, ec.government_debt,
-       ec.foreign_direct_investment, ec.trade_percent_gdp,
-       edu.education_spending, edu.school_enrollment,
-       oi.opportunity_index, oi.opportunity_rank
-FROM dim_countries c
-JOIN dim_time t ON 1 = 1
-LEFT JOIN emp e ON c.country_code = e.country_code AND t."year" = e."year"
-LEFT JOIN econ ec ON c.country_code = ec.country_code AND t."year" = ec."year"
-LEFT JOIN edu ON c.country_code = edu.country_code AND t."year" = edu."year"
-LEFT JOIN oi ON c.country_code = oi.country_code AND t."year" = oi."year"
-WHERE t."year" >= {COMPARISON_FLOOR}""")
-
-TRENDS = with_(ALL_CTE, f"""
-SELECT c.country_name, t."year" AS "year", t.decade AS decade,
-       e.unemployment_rate, e.youth_unemployment, ec.gdp_per_capita, ec.inflation,
-       edu.school_enrollment, oi.opportunity_rank
-FROM dim_countries c
-CROSS JOIN dim_time t
-LEFT JOIN emp e ON c.country_code = e.country_code AND t."year" = e."year"
-LEFT JOIN econ ec ON c.country_code = ec.country_code AND t."year" = ec."year"
-LEFT JOIN edu ON c.country_code = edu.country_code AND t."year" = edu."year"
-LEFT JOIN oi ON c.country_code = oi.country_code AND t."year" = oi."year"
-WHERE t."year" >= {TRENDS_FLOOR}
-  AND c.country_code IN (
-    SELECT country_code FROM oi
-    WHERE "year" = (SELECT MAX("year") FROM oi) AND opportunity_rank <= {TRENDS_TOP_K}
-    UNION ALL
-    SELECT country_code FROM dim_countries WHERE country_name = '{HOME}')
-ORDER BY c.country_name, t."year\"""")
-
-DASH_INDEX_MAP = with_(ALL_CTE, f"""
-SELECT oi.country_code, c.country_name, oi."year", oi.opportunity_index, oi.opportunity_rank
-FROM oi JOIN dim_countries c ON oi.country_code = c.country_code
-WHERE oi."year" = {MAP_YEAR}""")
-
-DASH_TOP_BUSINESS = with_(ALL_CTE, f"""
-SELECT ec.country_code, c.country_name, ec."year", ec.ease_of_business
-FROM econ ec JOIN dim_countries c ON ec.country_code = c.country_code
-WHERE ec."year" = {BUSINESS_YEAR} AND ec.ease_of_business IS NOT NULL
-ORDER BY ec.ease_of_business ASC, ec.country_code, c.country_name
-LIMIT {DASH_TOP_K}""")
-
-DASH_BUSINESS_VS_EMPLOYMENT = with_(ALL_CTE, f"""
-SELECT ec.country_code, c.country_name, ec."year", ec.ease_of_business, e.employment_ratio
-FROM econ ec
-JOIN emp e ON e.country_code = ec.country_code AND e."year" = ec."year"
-JOIN dim_countries c ON ec.country_code = c.country_code
-WHERE ec."year" = {BUSINESS_YEAR}
-  AND ec.ease_of_business IS NOT NULL AND e.employment_ratio IS NOT NULL""")
-
-DASH_TOP_EMPLOYMENT = with_(ALL_CTE, f"""
-SELECT e.country_code, c.country_name, e."year", e.employment_ratio
-FROM emp e JOIN dim_countries c ON e.country_code = c.country_code
-WHERE e."year" = {EMPLOYMENT_YEAR} AND e.employment_ratio IS NOT NULL
-ORDER BY e.employment_ratio DESC, e.country_code, c.country_name
-LIMIT {DASH_TOP_K}""")
 
-_MISSING = ("ease_of_business", "education_spending", "school_enrollment")
-MISSING_INDICATOR = with_(
-    CLEAN_CTE + ",\n" + facts_cte("clean", _MISSING) + "," + INDEX_CTE,
-    f"SELECT {_IDX_COLS} FROM oi")
+def _index_tables(suffix: str, econ: str, edu: str) -> dict[str, str]:
+    keys = _cols(R.KEYS)
+    return {
+        f"joined{suffix}": f"SELECT * FROM emp JOIN {econ} USING ({keys}) LEFT JOIN {edu} USING ({keys})",
+        f"scored{suffix}": f"SELECT *, {', '.join(f'{sql} AS {name}' for name, sql in SCORE_SQL.items())} FROM joined{suffix}",
+        f"indexed{suffix}": f"SELECT *, CAST({_INDEX} AS DOUBLE) AS opportunity_index FROM scored{suffix}",
+        f"oi{suffix}": f"SELECT {_cols(_RANKED)}, CAST(rank() OVER (PARTITION BY \"year\" ORDER BY opportunity_index DESC) "
+                       f"AS INTEGER) AS opportunity_rank FROM indexed{suffix}",
+    }
+
+
+COMMON |= _index_tables("", "econ", "edu") | _index_tables("_part", "part_econ", "part_edu")
+_KEPT = {"raw", "nation_raw", "clean", "nation_clean", "oi"}
+
+
+def statement(body: str) -> str:
+    """``body`` with the common tables that it uses, directly or not."""
+    used: set[str] = set()
+
+    def visit(text: str) -> None:
+        for name in re.findall(r"\b\w+\b", text):
+            if name in COMMON and name not in used:
+                used.add(name)
+                visit(COMMON[name])
+    visit(body)
+    tables = [f"{n} AS {'MATERIALIZED ' if n in _KEPT else ''}({sql.strip()})" for n, sql in COMMON.items() if n in used]
+    return ("WITH " + ",\n".join(tables) + "\n" if tables else "") + body.strip()
+
 
-DUPLICATE_KEYS = with_(NATION_CLEAN_CTE, """
-SELECT indicator_name, country_code, "year", COUNT(*) AS n_obs,
-       MIN("value") AS min_value, MAX("value") AS max_value
-FROM clean
-GROUP BY indicator_name, country_code, "year"
-HAVING COUNT(*) > 1""")
+# ---------------------------------------------------------------- views
+def _spine_view(columns, floor: int, only: str = "true") -> str:
+    """``columns`` for every country and dimension year from ``floor`` on."""
+    keys = _cols(R.KEYS)
+    joins = " ".join(f"LEFT JOIN {t} USING ({keys})" for t in ("emp", "econ", "edu"))
+    ranks = f'(SELECT {keys}, opportunity_index, opportunity_rank FROM oi)'
+    return (f"SELECT {_cols(columns)} FROM (SELECT country_code, country_name, \"year\", decade FROM dim_countries, dim_time "
+            f"WHERE \"year\" >= {floor} AND {only}) {joins} LEFT JOIN {ranks} USING ({keys})")
 
-FACT_ECONOMIC_DUPLICATES = with_(NATION_CLEAN_CTE, "SELECT country_code, \"year\", " + ", ".join(
-    f"MAX(CASE WHEN indicator_name = '{n}' THEN \"value\" END) AS {n}" for n in FACT_ORDER["econ"])
-    + "\nFROM clean WHERE indicator_name IN ("
-    + ", ".join(f"'{n}'" for n in FACT_ORDER["econ"]) + ")\nGROUP BY country_code, \"year\"")
 
+def _best(k: int) -> str:
+    return f'(SELECT * FROM oi WHERE "year" = (SELECT max("year") FROM oi) AND opportunity_rank <= {k})'
 
-def _score_sql(score: str) -> str:
-    inputs = ", ".join(SCORE_INPUTS[score])
-    return with_(ALL_CTE, f"SELECT country_code, \"year\", {inputs}, "
-                          f"CAST({SCORE_SQL[score]} AS DOUBLE) AS {score} FROM idx_in")
+
+def _named(source: str, columns) -> str:
+    return f"SELECT {_cols(columns)} FROM {source} JOIN dim_countries USING (country_code)"
+
+
+def _dash(source: str, year: int, columns, test: str = "true") -> str:
+    return _named(f'(SELECT * FROM {source} WHERE "year" = {year} AND {test})', columns)
+
+
+_CHOSEN = (f"country_code IN (SELECT country_code FROM {_best(R.TRENDS_TOP_K)} UNION ALL "
+           f"SELECT country_code FROM dim_countries WHERE country_name = '{Q.HOME}')")
+COMPARISON = _spine_view(V.COMPARISON_COLUMNS, Q.COMPARISON_FLOOR)
+TRENDS = _spine_view(V.TRENDS_COLUMNS, Q.TRENDS_FLOOR, _CHOSEN)
+TOP = _named(_best(R.TOP_K), V.TOP_COLUMNS)
+
+
+def _pair(*names: str) -> tuple[str, ...]:
+    return ("country_code", "country_name", "year", *names)
+
+
+_REASON = ("CASE WHEN \"value\" IS NULL THEN 'null_value' WHEN country_code IS NULL THEN 'null_code' "
+           "WHEN country_code = '' THEN 'empty_code' WHEN TRY_CAST(\"year\" AS INTEGER) IS NULL THEN 'bad_year' END")
+_BAD_YEARS = ("SELECT * FROM drifting WHERE \"value\" IS NOT NULL AND country_code <> '' "
+              "AND TRY_CAST(\"year\" AS INTEGER) IS NULL")
+_DATES = f"(SELECT unnest([DATE '{D1}', DATE '{D2}']) AS process_date)"
+_TABLES = {"dim_countries": "dim_countries", "dim_time": "dim_time", "fact_employment_metrics": "emp",
+           "fact_economic_indicators": "econ", "fact_education": "edu", "opportunity_index": "oi"}
+_COUNTS = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {cte}" for t, cte in _TABLES.items())
+_PAGES = f"CAST(greatest(1, ceil(count(*) / {R.PAGE_SIZE}.0)) AS BIGINT)"
+_EDGE = f"""
+SELECT * FROM (
+    SELECT 'C' || c_custkey AS country_code, c_name AS country_name, 'UNKNOWN' AS indicator_id,
+        CAST(NULL AS VARCHAR) AS indicator_name, '2020' AS "year", 1.5e0 AS "value", DATE '{EXTRACTION_DATE}' AS extraction_date FROM customer
+    UNION ALL SELECT 'C' || c_custkey, '', 'ASKED', 'asked_for', '2021', 2.5e0, DATE '{EXTRACTION_DATE}' FROM customer
+    UNION ALL SELECT '', '', 'ASKED', 'asked_for', '2022', NULL, DATE '{EXTRACTION_DATE}' FROM customer)"""
 
 
 def core_sql() -> dict[str, str]:
+    everything = {f: f"SELECT * FROM {f}" for f in ("raw", "clean", "emp", "econ", "edu", "dim_countries", "dim_time", "oi")}
     q = {
-        "raw_observations": with_(RAW_CTE, "SELECT * FROM raw"),
-        "clean_observations": with_(CLEAN_CTE, "SELECT * FROM clean"),
-        "raw_rejects": REJECTS,
-        "bad_years": with_(RAW_CTE, """
-SELECT * FROM raw
-WHERE "value" IS NOT NULL AND country_code IS NOT NULL AND country_code <> ''
-  AND TRY_CAST("year" AS INTEGER) IS NULL"""),
-        "observations_in_window": with_(
-            CLEAN_CTE, f"SELECT * FROM clean WHERE \"year\" BETWEEN {WINDOW_YEARS[0]} AND {WINDOW_YEARS[1]}"),
-        "fact_employment": with_(ALL_CTE, "SELECT * FROM emp"),
-        "fact_economic": with_(ALL_CTE, "SELECT * FROM econ"),
-        "fact_education": with_(ALL_CTE, "SELECT * FROM edu"),
-        "outer_join_chain": with_(ALL_CTE, "SELECT * FROM emp"),
-        "outer_join_chain_economic": with_(ALL_CTE, "SELECT * FROM econ"),
-        "dim_countries": with_(ALL_CTE, "SELECT * FROM dim_countries"),
-        "dim_time": with_(ALL_CTE, "SELECT * FROM dim_time"),
-        "country_name_drift": with_(CLEAN_CTE, """
-SELECT country_code, COUNT(DISTINCT country_name) AS n_names,
-       MIN(country_name) AS first_name, MAX(country_name) AS last_name
-FROM clean WHERE indicator_name = 'gdp'
-GROUP BY country_code HAVING COUNT(DISTINCT country_name) > 1"""),
-        "opportunity_index": with_(ALL_CTE, "SELECT country_code, \"year\", emp_score, gdp_score, "
-                                            "business_score, stability_score, edu_score, "
-                                            "investment_score, opportunity_index FROM indexed"),
-        "opportunity_rank": with_(ALL_CTE, f"SELECT {_IDX_COLS} FROM oi"),
-        "top_countries": TOP_COUNTRIES,
-        "country_comparison": COMPARISON,
-        "country_trends": TRENDS,
-        "dash_index_map": DASH_INDEX_MAP,
-        "dash_top_business": DASH_TOP_BUSINESS,
-        "dash_business_vs_employment": DASH_BUSINESS_VS_EMPLOYMENT,
-        "dash_top_employment": DASH_TOP_EMPLOYMENT,
-        "missing_indicator": MISSING_INDICATOR,
-        "duplicate_keys": DUPLICATE_KEYS,
-        "fact_economic_duplicates": FACT_ECONOMIC_DUPLICATES,
+        "raw_observations": everything["raw"],
+        "clean_observations": everything["clean"],
+        "raw_rejects": f"SELECT indicator_name, reject_reason, count(*) AS n_rows FROM (SELECT *, {_REASON} AS reject_reason "
+                       "FROM raw) WHERE reject_reason IS NOT NULL GROUP BY ALL",
+        "bad_years": _BAD_YEARS,
+        "observations_in_window": "SELECT * FROM clean WHERE \"year\" BETWEEN {} AND {}".format(*Q.WINDOW_YEARS),
+        "fact_employment": everything["emp"], "outer_join_chain": everything["emp"],
+        "fact_economic": everything["econ"], "outer_join_chain_economic": everything["econ"],
+        "fact_education": everything["edu"],
+        "dim_countries": everything["dim_countries"], "dim_time": everything["dim_time"],
+        "country_name_drift": "SELECT country_code, count(DISTINCT country_name) AS n_names, min(country_name) AS first_name, "
+                              "max(country_name) AS last_name FROM drifting_clean WHERE indicator_name = 'gdp' "
+                              "GROUP BY country_code HAVING count(DISTINCT country_name) > 1",
+        "opportunity_index": f"SELECT {_cols((*R.KEYS, *SCORE_SQL, 'opportunity_index'))} FROM indexed",
+        "opportunity_rank": everything["oi"], "opportunity_rank_window": everything["oi"],
+        "index_from_facts": everything["oi"],
+        "top_countries": TOP, "country_comparison": COMPARISON, "country_trends": TRENDS,
+        "dash_index_map": _dash("oi", Q.MAP_YEAR, _pair("opportunity_index", "opportunity_rank")),
+        "dash_top_business": _dash("econ", Q.BUSINESS_YEAR, _pair("ease_of_business"), "ease_of_business IS NOT NULL")
+                             + f" ORDER BY ease_of_business, country_code, country_name LIMIT {Q.DASH_TOP_K}",
+        "dash_business_vs_employment": _dash(
+            "(SELECT * FROM econ JOIN emp USING (country_code, \"year\"))", Q.BUSINESS_YEAR,
+            _pair("ease_of_business", "employment_ratio"), "ease_of_business IS NOT NULL AND employment_ratio IS NOT NULL"),
+        "dash_top_employment": _dash("emp", Q.EMPLOYMENT_YEAR, _pair("employment_ratio"), "employment_ratio IS NOT NULL")
+                               + f" ORDER BY employment_ratio DESC, country_code, country_name LIMIT {Q.DASH_TOP_K}",
+        "missing_indicator": "SELECT * FROM oi_part",
+        "duplicate_keys": 'SELECT indicator_name, country_code, "year", count(*) AS n_obs, min("value") AS min_value, '
+                          'max("value") AS max_value FROM nation_clean GROUP BY ALL HAVING count(*) > 1',
+        "fact_economic_duplicates": _fact("economic", "nation_clean"),
     }
-    for score, name in SCORE_QUERY_NAMES.items():
-        q[name] = _score_sql(score)
+    for score, name in Q.SCORE_QUERY_NAMES.items():
+        q[name] = (f"SELECT {_cols((*R.KEYS, *Q.SCORE_INPUTS[score]))}, CAST({SCORE_SQL[score]} AS DOUBLE) AS {score} FROM joined")
     return q
 
 
-# ---------------------------------------------------------------- io / catalog
-D1, D2 = "2025-01-01", "2025-01-02"
-
-FLATTENED = with_(RAW_CTE, """
-SELECT COALESCE(country_code, '') AS country_code, COALESCE(country_name, '') AS country_name,
-       indicator_id, indicator_name, COALESCE("year", '') AS "year", "value", extraction_date
-FROM raw""")
-
-# Every page of every indicator landed once: pages = ceil(rows / page size).
-COMPLETENESS = with_(RAW_CTE, f"""
-SELECT indicator_id,
-       CAST(GREATEST(1, CEIL(COUNT(*) / {PAGE_SIZE}.0)) AS BIGINT) AS pages_expected,
-       CAST(GREATEST(1, CEIL(COUNT(*) / {PAGE_SIZE}.0)) AS BIGINT) AS pages_landed,
-       CAST(GREATEST(1, CEIL(COUNT(*) / {PAGE_SIZE}.0)) AS BIGINT) AS pages_seen,
-       COUNT(*) AS rows_expected, COUNT(*) AS rows_seen, TRUE AS complete
-FROM raw GROUP BY indicator_id""")
-
-SNAPSHOT_COUNTS = with_(CLEAN_CTE, f"""
-SELECT process_date, indicator_name, COUNT(*) AS n_rows FROM (
-  SELECT DATE '{D1}' AS process_date, indicator_name FROM clean
-  UNION ALL
-  SELECT DATE '{D2}' AS process_date, indicator_name FROM clean) s
-GROUP BY process_date, indicator_name""")
-
-LOAD_COUNTS = with_(ALL_CTE, """
-SELECT 'dim_countries' AS table_name, COUNT(*) AS n_rows FROM dim_countries
-UNION ALL SELECT 'dim_time', COUNT(*) FROM dim_time
-UNION ALL SELECT 'fact_employment_metrics', COUNT(*) FROM emp
-UNION ALL SELECT 'fact_economic_indicators', COUNT(*) FROM econ
-UNION ALL SELECT 'fact_education', COUNT(*) FROM edu
-UNION ALL SELECT 'opportunity_index', COUNT(*) FROM oi""")
-
-
 def io_sql() -> dict[str, str]:
     return {
-        "csv_roundtrip": with_(RAW_CTE, "SELECT * FROM raw"),
-        "json_roundtrip": with_(RAW_CTE, "SELECT * FROM raw"),
-        "flatten_envelopes": FLATTENED,
-        "envelope_completeness": COMPLETENESS,
-        "parquet_snapshot_overwrite": SNAPSHOT_COUNTS,
-        "table_load_append_truncate": with_(ALL_CTE, "SELECT * FROM dim_countries"),
-        "stream_clean_observations": with_(CLEAN_CTE, "SELECT * FROM clean"),
-        "load_counts": LOAD_COUNTS,
-        "view_top_countries": TOP_COUNTRIES,
-        "view_country_comparison": COMPARISON,
-        "view_country_trends": TRENDS,
+        "csv_roundtrip": "SELECT * FROM raw",
+        "json_roundtrip": "SELECT * FROM raw",
+        "flatten_envelopes": "SELECT * REPLACE (coalesce(country_code, '') AS country_code, coalesce(country_name, '') AS "
+                             "country_name, coalesce(\"year\", '') AS \"year\") FROM raw",
+        "flatten_edge_pages": _EDGE,
+        "rejected_pages": "SELECT unnest(['error_payload', 'not_json_array']) AS reject_reason, count(*) AS n_pages FROM customer",
+        # every page of every indicator landed once: pages = ceil(rows / page size)
+        "envelope_completeness": f"SELECT indicator_id, {_PAGES} AS pages_expected, {_PAGES} AS pages_landed, {_PAGES} AS "
+                                 "pages_seen, count(*) AS rows_expected, count(*) AS rows_seen, true AS complete FROM raw GROUP BY ALL",
+        "parquet_snapshot_overwrite": f"SELECT process_date, indicator_name, count(*) AS n_rows FROM "
+                                      f"(SELECT indicator_name FROM clean), {_DATES} GROUP BY ALL",
+        "rejects_written": f"SELECT process_date, reject_reason, count(*) AS n_rows FROM (SELECT {_REASON} AS reject_reason "
+                           f"FROM raw), {_DATES} WHERE reject_reason IS NOT NULL GROUP BY ALL",
+        "six_tables_dated": _COUNTS,
+        "snapshot_one_date": f"SELECT {_cols(f.name for f in CLEAN.fields if f.name != 'process_date')}, DATE '{D2}' AS process_date "
+                             "FROM clean WHERE indicator_name IN ('gdp', 'inflation')",
+        "empty_indicator_landing": "SELECT indicator_name, count(*) AS n_rows FROM raw WHERE indicator_name <> 'inflation' GROUP BY ALL",
+        "table_load_append_truncate": "SELECT * FROM dim_countries",
+        "stream_clean_observations": "SELECT * FROM clean",
+        "load_counts": _COUNTS,
+        "view_top_countries": TOP, "view_country_comparison": COMPARISON, "view_country_trends": TRENDS,
     }
 
 
 def all_sql() -> dict[str, str]:
-    return {**core_sql(), **io_sql()}
+    return {name: statement(body) for name, body in {**core_sql(), **io_sql()}.items()}

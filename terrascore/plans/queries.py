@@ -54,12 +54,15 @@ class Ctx:
 
     spark: SparkSession
     sf_dir: str
-    rank_method: str = "auto"
+    rank_method: str = "distributed"
     drop_indicators: tuple[str, ...] = field(default_factory=tuple)
-    # Write the clean observations once when several jobs consume them (the
-    # staged index plus the dimensions): later jobs read the file instead of
-    # re-running the adapter.
+    # Write the clean observations once when several jobs consume them (facts
+    # and dimensions): later jobs read the file, and the tables are scanned once.
     stage_clean: bool = False
+    # Only these indicators are needed; the rest is dropped before staging.
+    indicators: tuple[str, ...] = field(default_factory=tuple)
+    # The same for the wide facts, where both the view and the index read them.
+    stage_wide: bool = False
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -70,6 +73,8 @@ class Ctx:
         df = C.clean_observations(self.raw)
         if self.drop_indicators:
             df = df.where(~F.col("indicator_name").isin(*self.drop_indicators))
+        if self.indicators:
+            df = df.where(F.col("indicator_name").isin(*self.indicators))
         if not self.stage_clean:
             return df
         # Partitioned by indicator: each fact and the gdp-only dimensions
@@ -78,7 +83,8 @@ class Ctx:
 
     @cached_property
     def wide(self) -> DataFrame:
-        return facts.build_wide(self.clean)
+        wide = facts.build_wide(self.clean)
+        return stage_table(wide, "wide_facts") if self.stage_wide else wide
 
     @cached_property
     def countries(self) -> DataFrame:
@@ -90,7 +96,9 @@ class Ctx:
 
     @cached_property
     def index(self) -> DataFrame:
-        return index.opportunity_index(self.wide, rank_method=self.rank_method)
+        """The ranked index; staged where a view reads it more than once."""
+        ranked = index.opportunity_index(self.wide, rank_method=self.rank_method)
+        return stage_table(ranked, "ranked_index") if self.stage_wide else ranked
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,13 +115,19 @@ def _score_query(score: str) -> Query:
     return _q(lambda c: index.score_table(c.wide, score, SCORE_INPUTS[score]))
 
 
+def _index_from_facts(c: Ctx) -> DataFrame:
+    """The index of a user who holds the three fact tables only."""
+    tables = {f: stage_table(facts.build_fact(c.clean, f), f"fact_{f}") for f in R.FACTS}
+    return index.from_facts(tables["employment"], tables["economic"], tables["education"], c.rank_method)
+
+
 def core_queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         # sources / clean (S, D9, F1, F2, F9)
         "raw_observations": _q(lambda c: c.raw),
         "clean_observations": _q(lambda c: c.clean),
         "raw_rejects": _q(lambda c: C.reject_summary(c.raw)),
-        "bad_years": _q(lambda c: C.bad_years(c.raw)),
+        "bad_years": lambda spark, sf_dir: C.bad_years(adapter.drifting_observations(spark, sf_dir)),
         "observations_in_window": _q(
             lambda c: C.clean_observations(c.raw, year_range=WINDOW_YEARS)),
         # facts (D12-D14, J1-J3)
@@ -121,31 +135,42 @@ def core_queries() -> dict[str, Query]:
         "fact_economic": _q(lambda c: facts.build_fact(c.clean, "economic")),
         "fact_education": _q(lambda c: facts.build_fact(c.clean, "education")),
         "outer_join_chain": _q(
-            lambda c: facts.outer_join_chain(c.clean, R.FACT_COLUMNS["employment"])),
+            lambda c: facts.outer_join_chain(c.clean, R.FACT_COLUMNS["employment"]),
+            stage_clean=True, indicators=R.FACT_COLUMNS["employment"]),
         "outer_join_chain_economic": _q(
-            lambda c: facts.outer_join_chain(c.clean, R.FACT_COLUMNS["economic"])),
+            lambda c: facts.outer_join_chain(c.clean, R.FACT_COLUMNS["economic"]),
+            stage_clean=True, indicators=R.FACT_COLUMNS["economic"]),
         # dimensions (D10, D11)
         "dim_countries": _q(lambda c: c.countries),
         "dim_time": _q(lambda c: c.dim_time),
-        "country_name_drift": _q(lambda c: dims.name_drift(c.clean)),
+        "country_name_drift": lambda spark, sf_dir: dims.name_drift(
+            C.clean_observations(adapter.drifting_observations(spark, sf_dir))),
         # index (D7, D8, W1)
         "opportunity_index": _q(lambda c: index.scored(c.wide).select(
             *R.KEYS, *[s for s, _ in R.INDEX_WEIGHTS], "opportunity_index")),
         "opportunity_rank": _q(lambda c: c.index),
+        "opportunity_rank_window": _q(lambda c: c.index, rank_method="window"),
+        "index_from_facts": _q(_index_from_facts, stage_clean=True),
         # views (D15-D17)
-        "top_countries": _q(lambda c: views.top_countries(c.index, c.countries, R.TOP_K), stage_clean=True),
+        "top_countries": _q(lambda c: views.top_countries(
+            index.ranked_latest_year(c.wide, R.TOP_K), c.countries, R.TOP_K), stage_clean=True),
         "country_comparison": _q(lambda c: views.country_comparison(
-            c.countries, c.dim_time, c.wide, c.index, COMPARISON_FLOOR), stage_clean=True),
+            c.countries, c.dim_time, c.wide, c.index, COMPARISON_FLOOR), stage_clean=True, stage_wide=True),
         "country_trends": _q(lambda c: views.country_trends(
-            c.countries, c.dim_time, c.wide, c.index, TRENDS_FLOOR, R.TRENDS_TOP_K, HOME), stage_clean=True),
+            c.countries, c.dim_time, c.wide, c.index, TRENDS_FLOOR, R.TRENDS_TOP_K, HOME),
+            stage_clean=True, stage_wide=True),
         # dashboards (D18-D21)
-        "dash_index_map": _q(lambda c: views.dash_index_map(c.index, c.countries, MAP_YEAR), stage_clean=True),
+        "dash_index_map": _q(lambda c: views.dash_index_map(
+            index.opportunity_index(c.wide.where(F.col("year") == MAP_YEAR), c.rank_method), c.countries, MAP_YEAR),
+            stage_clean=True),
         "dash_top_business": _q(lambda c: views.dash_top_business(
-            c.wide, c.countries, BUSINESS_YEAR, DASH_TOP_K)),
+            c.wide, c.countries, BUSINESS_YEAR, DASH_TOP_K), stage_clean=True, indicators=("gdp", "ease_of_business")),
         "dash_business_vs_employment": _q(lambda c: views.dash_business_vs_employment(
-            c.wide, c.countries, BUSINESS_YEAR)),
+            c.wide, c.countries, BUSINESS_YEAR), stage_clean=True,
+            indicators=("gdp", "ease_of_business", "employment_ratio")),
         "dash_top_employment": _q(lambda c: views.dash_top_employment(
-            c.wide, c.countries, EMPLOYMENT_YEAR, DASH_TOP_K)),
+            c.wide, c.countries, EMPLOYMENT_YEAR, DASH_TOP_K), stage_clean=True,
+            indicators=("gdp", "employment_ratio")),
         # edge behaviour (T2/T3, 2.13)
         "missing_indicator": _q(
             lambda c: c.index,

@@ -3,6 +3,7 @@
 raw (landed CSV / JSON / page envelopes, or the driver tables) -> clean
 snapshot (Parquet, partitioned by date and indicator, dynamic overwrite) ->
 dimensions, three facts and the ranked index (Parquet, partitioned by date)
+with the refused observations beside them
 -> optional catalog publish (tables + views).
 
 Stage boundaries are written tables in the shared folder: each stage reads
@@ -35,13 +36,15 @@ from ..sources import adapter, envelopes, files
 from .catalog import publish
 
 
-def build_tables(clean: DataFrame, rank_method: str = "auto") -> dict[str, DataFrame]:
+def build_tables(clean: DataFrame, rank_method: str = "distributed",
+                 staging: str | None = None) -> dict[str, DataFrame]:
     """The six published tables from clean observations.
 
     The wide fact aggregation is staged once and shared by the three facts
-    and the index (one shuffle of the observations in total).
+    and the index (one shuffle of the observations in total). ``staging``: a
+    folder for it, replaced on every run.
     """
-    wide = stage_table(facts.build_wide(clean), "wide_facts")
+    wide = stage_table(facts.build_wide(clean), "wide_facts", path=staging and f"{staging}/wide_facts")
     return {
         "dim_countries": dims.country_dimension(clean),
         "dim_time": dims.time_dimension(clean),
@@ -55,7 +58,7 @@ def build_tables(clean: DataFrame, rank_method: str = "auto") -> dict[str, DataF
 def load_raw(spark: SparkSession, source: str, input_path: str,
              extraction_date: dt.date) -> DataFrame:
     if source == "tables":
-        return adapter.raw_observations(spark, input_path, extraction_date)
+        return adapter.raw_observations(spark, input_path, extraction_date, gaps=False)
     if source == "csv":
         return files.read_raw_csv(spark, input_path)
     if source == "json":
@@ -72,14 +75,17 @@ def load_raw(spark: SparkSession, source: str, input_path: str,
 
 
 def run(spark: SparkSession, raw: DataFrame, out_root: str, process_date: dt.date,
-        database: str | None = None, rank_method: str = "auto",
+        database: str | None = None, rank_method: str = "distributed",
         year_range: tuple[int, int] | None = None, **view_params) -> dict[str, DataFrame]:
     root = out_root.rstrip("/")
     observations = C.clean_observations(raw, process_date, year_range=year_range)
     write_snapshot(observations, f"{root}/observations")
     clean = files.read_snapshot(spark, f"{root}/observations", process_date,
                                 schema=observations.schema)
-    tables = build_tables(clean, rank_method)
+    # What the clean stage refused, dated and with its reason.
+    rejects = C.rejected_observations(raw).withColumn("process_date", F.lit(process_date).cast("date"))
+    write_snapshot(rejects, f"{root}/rejected", partition_by=("process_date", "reject_reason"))
+    tables = build_tables(clean, rank_method, f"{root}/_staging/{process_date}")
     out = {}
     for name, df in tables.items():
         path = f"{root}/{name}"
@@ -101,10 +107,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--input", required=True, help="landing folder or driver-table folder")
     p.add_argument("--out", required=True, help="shared output folder")
     p.add_argument("--database", default=None)
-    p.add_argument("--rank-method", default="auto", choices=("auto", "window", "distributed"))
+    p.add_argument("--rank-method", default="distributed", choices=("window", "distributed"))
     p.add_argument("--buckets", type=int, default=None,
                    help="bucket count of the published (country_code, year) tables; "
-                        "default from their estimated size")
+                        "default spark.sql.shuffle.partitions")
     p.add_argument("--year-range", type=int, nargs=2, metavar=("LO", "HI"), default=None,
                    help="keep observation years LO..HI (the source extracts "
                         f"{R.SOURCE_YEAR_RANGE[0]}..{R.SOURCE_YEAR_RANGE[1]}); default all")

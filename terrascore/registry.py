@@ -17,6 +17,26 @@ class Indicator:
     fact: str  # "employment" | "economic" | "education"
 
 
+@dataclass(frozen=True)
+class Segment:
+    """One linear piece of a penalty: for values up to ``up_to`` it is
+    ``base + min((value - knot) * num / den, cap)``."""
+    up_to: float
+    base: float
+    knot: float
+    num: float
+    den: float
+    cap: float
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Applies where all its inputs are present; the penalties are subtracted
+    one by one, or, with a divisor, as their sum over it."""
+    penalties: dict[str, tuple[Segment, ...]]
+    divisor: float | None = None
+
+
 # --- fixed values: must equal the source domain for identical results ---------
 # Indicator source code -> column name, grouped by the fact table that holds it.
 INDICATORS: tuple[Indicator, ...] = (
@@ -64,20 +84,26 @@ INVESTMENT_LADDER = ((10, 100), (7, 90), (5, 80), (3, 70), (2, 60), (1, 50))
 INVESTMENT_FLOOR = 40
 MISSING_SCORE = 50
 
-# Employment score: caps and weights.
-EMP_YOUTH_ONLY_CAP, EMP_YOUTH_ONLY_MULT = 50, 2
-EMP_TOTAL_ONLY_CAP, EMP_TOTAL_ONLY_MULT = 30, 3
-EMP_BOTH_TOTAL_CAP, EMP_BOTH_TOTAL_WEIGHT = 20, 1.5
-EMP_BOTH_YOUTH_CAP, EMP_BOTH_YOUTH_WEIGHT = 40, 1.0
-EMP_BOTH_DIVISOR = 2.5
-
-# Stability score: single-input caps, then piecewise penalties when both exist.
-STAB_DEBT_ONLY_DIVISOR, STAB_ONLY_CAP = 3, 60
-STAB_INFLATION_ONLY_MULT = 3
-# Inflation penalty: f <= 2 -> 0; f <= 5 -> 2f; f <= 10 -> 10 + 3(f-5);
-# else 25 + min(1.5(f-10), 25).
-# Debt penalty: g <= 40 -> g/8; g <= 80 -> 5 + (g-40)/4; g <= 120 -> 15 + (g-80)/4;
-# else 25 + min((g-120)/6, 25).
+# Two-input scores: 100 less the penalties of the inputs that are there. A rule
+# holds the penalty of each input as linear segments (see Segment); the rules
+# of a score are listed with most inputs first.
+_INF = float("inf")
+SCORE_RULES: dict[str, tuple[Rule, ...]] = {
+    "emp_score": (
+        Rule({"unemployment_rate": (Segment(_INF, 0, 0, 1.5, 1, 30),),
+              "youth_unemployment": (Segment(_INF, 0, 0, 1, 1, 40),)}, divisor=2.5),
+        Rule({"unemployment_rate": (Segment(_INF, 0, 0, 3, 1, 90),)}),
+        Rule({"youth_unemployment": (Segment(_INF, 0, 0, 2, 1, 100),)}),
+    ),
+    "stability_score": (
+        Rule({"inflation": (Segment(2, 0, 0, 0, 1, _INF), Segment(5, 0, 0, 2, 1, _INF),
+                            Segment(10, 10, 5, 3, 1, _INF), Segment(_INF, 25, 10, 1.5, 1, 25)),
+              "government_debt": (Segment(40, 0, 0, 1, 8, _INF), Segment(80, 5, 40, 1, 4, _INF),
+                                  Segment(120, 15, 80, 1, 4, _INF), Segment(_INF, 25, 120, 1, 6, 25))}),
+        Rule({"inflation": (Segment(_INF, 0, 0, 3, 1, 60),)}),
+        Rule({"government_debt": (Segment(_INF, 0, 0, 1, 3, 60),)}),
+    ),
+}
 
 # Composite index weights, in summation order (order fixes float rounding).
 INDEX_WEIGHTS: tuple[tuple[str, float], ...] = (
@@ -89,6 +115,15 @@ INDEX_WEIGHTS: tuple[tuple[str, float], ...] = (
     ("investment_score", 0.10),
 )
 
+# Columns of the ranked output table, in order.
+INDEX_OUTPUT_COLUMNS: tuple[str, ...] = (
+    "country_code", "year",
+    "unemployment_rate", "youth_unemployment", "employment_ratio",
+    "gdp_per_capita", "gdp_per_capita_ppp", "inflation", "government_debt",
+    "school_enrollment", "education_spending", "foreign_direct_investment",
+    "opportunity_index", "opportunity_rank",
+)
+
 # View / dashboard defaults of the source domain.
 COMPARISON_YEAR_FLOOR = 2018
 TRENDS_YEAR_FLOOR = 2010
@@ -103,15 +138,6 @@ INDICATOR_NAMES: tuple[str, ...] = tuple(i.name for i in INDICATORS)
 FACTS: tuple[str, ...] = tuple(FACT_COLUMNS)
 KEYS: tuple[str, str] = ("country_code", "year")
 
-# Columns of the ranked output table, in order.
-INDEX_OUTPUT_COLUMNS: tuple[str, ...] = (
-    "country_code", "year",
-    "unemployment_rate", "youth_unemployment", "employment_ratio",
-    "gdp_per_capita", "gdp_per_capita_ppp", "inflation", "government_debt",
-    "school_enrollment", "education_spending", "foreign_direct_investment",
-    "opportunity_index", "opportunity_rank",
-)
-
 assert abs(sum(w for _, w in INDEX_WEIGHTS) - 1.0) < 1e-12
 assert {i.name for i in INDICATORS} == {c for cols in FACT_COLUMNS.values() for c in cols}
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from .registry import FACT_COLUMNS
+from .registry import FACT_COLUMNS, INDEX_OUTPUT_COLUMNS
 
 S, I, D, L = T.StringType(), T.IntegerType(), T.DoubleType(), T.LongType()
 TS = T.TimestampNTZType()
@@ -58,6 +58,12 @@ CLEAN = T.StructType([
     T.StructField("process_date", T.DateType()),
 ])
 
+# Refused observations, as the snapshot job writes them (year and value as cast).
+REJECTED = T.StructType([
+    *[T.StructField(f.name, I if f.name == "year" else f.dataType) for f in RAW.fields],
+    T.StructField("reject_reason", S),
+])
+
 DIM_COUNTRIES = T.StructType([
     T.StructField("country_code", S),
     T.StructField("country_name", S),
@@ -80,15 +86,10 @@ def fact_schema(fact: str) -> T.StructType:
     )
 
 
-OPPORTUNITY_INDEX = T.StructType(
-    [T.StructField("country_code", S), T.StructField("year", I)]
-    + [T.StructField(c, D) for c in (
-        "unemployment_rate", "youth_unemployment", "employment_ratio",
-        "gdp_per_capita", "gdp_per_capita_ppp", "inflation", "government_debt",
-        "school_enrollment", "education_spending", "foreign_direct_investment",
-        "opportunity_index")]
-    + [T.StructField("opportunity_rank", I)]
-)
+OPPORTUNITY_INDEX = T.StructType([
+    T.StructField(c, S if c == "country_code" else I if c in ("year", "opportunity_rank") else D)
+    for c in INDEX_OUTPUT_COLUMNS
+])
 
 # Declared schema of each published table (the warehouse load schema).
 TABLE_SCHEMAS = {

@@ -1,8 +1,8 @@
 """Session construction and the shared working folder.
 
 Intermediate tables and lineage cuts go to the folder the cluster names in
-``spark.checkpoint.dir`` (shared storage on a real cluster). Only when the
-session has none — local tests — do we create one.
+``spark.checkpoint.dir`` (shared storage on a real cluster). Only a local
+session without one gets a folder of its own; any other is refused.
 """
 
 from __future__ import annotations
@@ -52,6 +52,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    # Executors of a cluster would each write to a disk of their own.
+    if not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     # No cluster setting (local tests): create a private folder for this run.
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="terrascore-ckpt-"))
     return sc.getCheckpointDir()
@@ -62,27 +65,32 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def stage_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = (),
+                path: str | None = None) -> DataFrame:
     """Write ``df`` to Parquet in the shared folder and read it back.
 
     Cuts lineage (a lost executor re-reads the file instead of recomputing
     the upstream) and lets several consumers share one computation.
     ``partition_by`` folders let later filters on those columns prune files.
+    ``path``: a folder of the caller's, replaced on every run, instead of a
+    fresh one of the shared folder.
     """
-    return stage_table_counted(df, name, partition_by, count=False)[0]
+    return stage_table_counted(df, name, partition_by, count=False, path=path)[0]
 
 
 def stage_table_counted(df: DataFrame, name: str, partition_by: tuple[str, ...] = (),
-                        count: bool = True) -> tuple[DataFrame, int | None]:
+                        count: bool = True, path: str | None = None) -> tuple[DataFrame, int | None]:
     """``stage_table`` that also returns the row count, observed by the write
     job itself (no second pass)."""
     spark = df.sparkSession
-    path = shared_path(spark, name)
+    path = path or shared_path(spark, name)
     obs = Observation(f"stage_{name}") if count else None
     out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if count else df
+    if partition_by:  # rows of a folder meet before they are written; large folders are split
+        out = out.hint("rebalance", *[F.col(c) for c in partition_by])
     w = out.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     w.parquet(path)
     # Declared read schema: no inference job; original column order kept
     # (partition columns would otherwise move to the end).

@@ -1,7 +1,10 @@
 """Sinks: partitioned files, catalog tables with load dispositions, views.
 
-* Raw CSV / JSON Lines land partitioned by indicator: an indicator with no
-  rows writes no partition (the "skip empty upload" rule falls out).
+* Raw CSV / JSON Lines land partitioned by extraction date and indicator: an
+  indicator with no rows writes no partition (the "skip empty upload" rule
+  falls out), and another day's landing stays. Rows of a partition are brought
+  together before the write (``REBALANCE``: small ones share a task, large
+  ones are split), so the number of files follows the data, not the tasks.
 * Snapshots are Parquet partitioned by ``process_date`` (and indicator for
   observations) with *dynamic* partition overwrite: rewriting one date
   replaces only that date's folders.
@@ -28,21 +31,27 @@ DISPOSITIONS = {
 }
 
 
-def write_raw_csv(raw: DataFrame, path: str, partition_by=("indicator_name",)) -> None:
-    (raw.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).options(**CSV_SINK_OPTIONS).csv(path))
+RAW_PARTITIONS = ("extraction_date", "indicator_name")
 
 
-def write_raw_json(raw: DataFrame, path: str, partition_by=("indicator_name",)) -> None:
-    (raw.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).json(path))
+def _partitioned(df: DataFrame, partition_by):
+    w = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+    return (w.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partition_by))
+
+
+def write_raw_csv(raw: DataFrame, path: str, partition_by=RAW_PARTITIONS) -> None:
+    _partitioned(raw, partition_by).options(**CSV_SINK_OPTIONS).csv(path)
+
+
+def write_raw_json(raw: DataFrame, path: str, partition_by=RAW_PARTITIONS) -> None:
+    _partitioned(raw, partition_by).json(path)
 
 
 def write_snapshot(df: DataFrame, path: str,
                    partition_by=("process_date", "indicator_name")) -> None:
     """Parquet, dynamic partition overwrite: other dates stay untouched."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+    _partitioned(df, partition_by).parquet(path)
 
 
 def load_table(df: DataFrame, table: str, disposition: str = "WRITE_TRUNCATE",
@@ -54,9 +63,11 @@ def load_table(df: DataFrame, table: str, disposition: str = "WRITE_TRUNCATE",
     ``path`` makes it an external table in shared storage; each version of
     its data lives in its own ``<path>/v-<id>`` folder. ``WRITE_TRUNCATE``
     writes the new version next to the current one through a staging table
-    and swaps the catalog entry only after the write has committed: a failed
-    load leaves the previous table intact (an in-place overwrite would have
-    deleted it first). The replaced version's folder is then removed.
+    and, once the write has committed, points the table at the new folder in
+    one catalog change: a failed load leaves the previous table as it was, and
+    there is no moment without a table. Only a load that changes the layout or
+    the columns has to drop and rename. Replaced folders stay for their
+    readers; deleting them is a matter of retention outside the load.
     ``WRITE_APPEND`` adds files to the current version; ``WRITE_EMPTY``
     fails if the table exists.
 
@@ -81,13 +92,15 @@ def load_table(df: DataFrame, table: str, disposition: str = "WRITE_TRUNCATE",
     exists = spark.catalog.tableExists(table)
     version = f"{path.rstrip('/')}/v-{uuid.uuid4().hex[:12]}" if path is not None else None
     if disposition == "WRITE_TRUNCATE" and exists and version is not None:
-        old = _location(spark, table)
         staging = f"{table}__load_{uuid.uuid4().hex[:8]}"
         _save(df, staging, "errorifexists", version, bucket_by, n)
-        spark.sql(f"DROP TABLE {table}")          # external: its files stay
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
-        if old and not version.startswith(old.rstrip("/") + "/"):
-            _delete(spark, old)
+        if _layout(spark, staging) == _layout(spark, table):
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
+            spark.sql(f"DROP TABLE {staging}")    # external: its files stay
+            spark.catalog.refreshTable(table)
+        else:
+            spark.sql(f"DROP TABLE {table}")
+            spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
     else:
         target = None if (disposition == "WRITE_APPEND" and exists) else version
         _save(df, table, DISPOSITIONS[disposition], target, bucket_by, n)
@@ -104,16 +117,11 @@ def _save(df: DataFrame, table: str, mode: str, path: str | None,
     w.format("parquet").saveAsTable(table)
 
 
-def _location(spark: SparkSession, table: str) -> str | None:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(
-        F.col("col_name") == "Location").select("data_type").collect()
-    return rows[0][0] if rows else None
-
-
-def _delete(spark: SparkSession, location: str) -> None:
-    """Remove a replaced table version's folder (Hadoop file system API)."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(location)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+def _layout(spark: SparkSession, table: str) -> tuple:
+    """Columns and bucketing of a table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return (spark.table(table).schema.simpleString(),
+            tuple(r["data_type"] for r in rows if r["col_name"] in ("Num Buckets", "Bucket Columns", "Sort Columns")))
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:

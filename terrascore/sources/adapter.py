@@ -24,7 +24,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import per_context
 from ..registry import INDICATORS
 from ..schemas import DRIVER_TABLES
 from ..session import table_path
@@ -109,8 +108,8 @@ def _group_aggs() -> list[Column]:
 
 def group_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (customer k, order year yr) with integer measures."""
-    li = read_table(spark, sf_dir, "lineitem").select(*per_context("adapter_lines", _line_measures))
-    per_order = li.groupBy("l_orderkey").agg(*per_context("adapter_orders", _order_aggs))
+    li = read_table(spark, sf_dir, "lineitem").select(*_line_measures())
+    per_order = li.groupBy("l_orderkey").agg(*_order_aggs())
     orders = read_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.col("o_custkey").alias("k"),
@@ -118,7 +117,7 @@ def group_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").isin(*URGENT_PRIORITIES).cast("long").alias("pri"),
     )
     return (per_order.join(orders, "l_orderkey").groupBy("k", "yr")
-            .agg(*per_context("adapter_groups", _group_aggs)))
+            .agg(*_group_aggs()))
 
 
 def indicator_values() -> list[Column]:
@@ -140,27 +139,30 @@ def indicator_values() -> list[Column]:
     ]
 
 
-def _entries() -> Column:
+def _entries(gaps: bool) -> Column:
     """The 13 (indicator, value) structs of a group, as one array."""
     k = F.col("k")
+
+    def shaped(i: int, v: Column) -> Column:
+        seen = (k * 7 + F.col("yr") * 3 + (k % 5) * i) % NULL_VALUE_MODULUS >= NULL_VALUE_BELOW
+        return F.when(seen, v) if gaps else v
     return F.array(*[
         F.struct(
             F.lit(ind.code).alias("indicator_id"),
             F.lit(ind.name).alias("indicator_name"),
-            F.when((k * 7 + F.col("yr") * 3 + (k % 5) * i) % NULL_VALUE_MODULUS
-                   >= NULL_VALUE_BELOW, v).alias("value"),
+            shaped(i, v).alias("value"),
         )
         for i, (ind, v) in enumerate(zip(INDICATORS, indicator_values()))
     ])
 
 
 def _long_form(groups: DataFrame, code: Column, name: Column,
-               extraction_date: dt.date) -> DataFrame:
+               extraction_date: dt.date, gaps: bool = True) -> DataFrame:
     return groups.select(
         code.alias("country_code"),
         name.alias("country_name"),
         F.col("yr").cast("string").alias("year"),
-        F.inline(per_context("adapter_entries", _entries)),
+        F.inline(_entries(gaps)),
     ).select(
         "country_code", "country_name", "indicator_id", "indicator_name", "year", "value",
         F.lit(extraction_date).alias("extraction_date"),
@@ -168,18 +170,33 @@ def _long_form(groups: DataFrame, code: Column, name: Column,
 
 
 def raw_observations(spark: SparkSession, sf_dir: str,
-                     extraction_date: dt.date = DEFAULT_EXTRACTION_DATE) -> DataFrame:
-    """Raw observations, one customer per country (FIXTURES §3)."""
+                     extraction_date: dt.date = DEFAULT_EXTRACTION_DATE, gaps: bool = True) -> DataFrame:
+    """Raw observations, one customer per country (FIXTURES §3). ``gaps``
+    shapes the edge cases of landed data into them (empty and missing codes,
+    missing values); without it every code and value is real."""
     groups = group_measures(spark, sf_dir)
     customers = read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("k"), "c_name")
     # One row per group after aggregation: the name join cannot fan out or skew.
     named = groups.join(customers, "k", "left")
     k = F.col("k")
-    code = (F.when(k % EMPTY_CODE_MODULUS == 0, F.lit(""))
-            .when(k % NULL_CODE_MODULUS == 0, F.lit(None).cast("string"))
-            .otherwise(F.concat(F.lit("C"), k.cast("string"))))
-    return _long_form(named, code, F.col("c_name"), extraction_date)
+    code = F.concat(F.lit("C"), k.cast("string"))
+    if gaps:
+        code = (F.when(k % EMPTY_CODE_MODULUS == 0, F.lit(""))
+                .when(k % NULL_CODE_MODULUS == 0, F.lit(None).cast("string")).otherwise(code))
+    return _long_form(named, code, F.col("c_name"), extraction_date, gaps)
+
+
+def drifting_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw observations with what long-lived sources bring: countries that
+    change their name (every 13th, before 1998) and years that are no number
+    (key plus year divisible by 31: the last digit reads ``x``)."""
+    k = F.regexp_extract("country_code", r"\d+", 0).try_cast("long")
+    yr = F.col("year").cast("long")
+    raw = raw_observations(spark, sf_dir)
+    renamed = F.when((k % 13 == 0) & (yr < 1998), F.concat(F.lit("Old "), "country_name")).otherwise(F.col("country_name"))
+    year = F.when((k + yr) % 31 == 0, F.concat(F.substring("year", 1, 3), F.lit("x"))).otherwise(F.col("year"))
+    return raw.withColumns({"country_name": renamed, "year": year})
 
 
 def nation_observations(spark: SparkSession, sf_dir: str,

@@ -4,55 +4,73 @@ The HTTP puller itself is not part of the engine; its data side is. Landed
 pages are scanned as text (one document per file or per line) and flattened
 with built-in JSON functions — no Python per record:
 
-* stop rules become row filters: a document with fewer than two elements
-  (error payload), a null or empty record array yields no rows;
+* stop rules become row filters: an error payload (one element) and a null or
+  empty record array yield no observations. A document that is not JSON, or
+  whose second element is no array, is reported by ``rejected_pages``; every
+  page counts in ``envelope_completeness``;
 * ``from_json`` with a declared record schema + ``inline`` emits the rows;
 * an absent key reads as ``""`` (``coalesce``), a null value stays null;
 * the indicator name comes from the 13-row registry (broadcast: its size is
-  fixed by the registry, not by the data).
+  fixed by the registry, not by the data) in a left join, or from the caller
+  who knows which indicator was asked for: no record is lost for its id.
 
 ``pack_envelopes`` goes the other way (raw observations -> pages) to land
-test data: a page is a hash bucket of one indicator's rows, sized from the
-indicator's row count, so every group handed to ``collect_list`` is bounded
-by about ``page_size`` rows regardless of skew in any key.
+test data: an indicator's rows are numbered and cut into pages by number, so
+equal rows fall on different pages and none holds more than ``page_size``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..registry import PAGE_SIZE, registry_df
 from ..schemas import ENVELOPE_META, ENVELOPE_RECORDS
-
-RECORD_COLUMNS = ("country_code", "country_name", "indicator_id", "indicator_name", "year",
-                  "value", "extraction_date")
-
+from ..session import stage_table
 
 def read_envelopes(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
     """Landed pages as a single ``envelope`` string column."""
     return spark.read.text(path, wholetext=whole_files).withColumnRenamed("value", "envelope")
 
 
-def flatten_envelopes(envelopes: DataFrame, extraction_date, col: str = "envelope") -> DataFrame:
+def flatten_envelopes(envelopes: DataFrame, extraction_date, col: str = "envelope",
+                      indicator: tuple[str, str] | None = None) -> DataFrame:
+    """One row per record. ``indicator``: (id, name) of the extract call, for
+    records without one of their own; else the registry names known ids and
+    an unknown id has a null name."""
     spark = envelopes.sparkSession
     doc = F.col(col)
     records = F.from_json(F.get_json_object(doc, "$[1]"), ENVELOPE_RECORDS)
     rows = (envelopes.where(F.json_array_length(doc) >= 2)
             .select(F.inline(records)))
+    own_id = F.col("indicator.id")
     flat = rows.select(
         F.coalesce(F.col("countryiso3code"), F.lit("")).alias("country_code"),
         F.coalesce(F.col("country.value"), F.lit("")).alias("country_name"),
-        F.coalesce(F.col("indicator.id"), F.lit("")).alias("indicator_id"),
+        F.coalesce(own_id, F.lit(indicator[0] if indicator else "")).alias("indicator_id"),
         F.coalesce(F.col("date"), F.lit("")).alias("year"),
         F.col("value"),
     )
     names = F.broadcast(registry_df(spark).select("indicator_id", "indicator_name"))
-    return flat.join(names, "indicator_id").select(
-        "country_code", "country_name", "indicator_id", "indicator_name", "year", "value",
+    name = F.col("indicator_name")
+    if indicator:
+        name = F.coalesce(name, F.when(F.col("indicator_id") == indicator[0], F.lit(indicator[1])))
+    return flat.join(names, "indicator_id", "left").select(
+        "country_code", "country_name", "indicator_id", name.alias("indicator_name"), "year", "value",
         F.lit(extraction_date).cast("date").alias("extraction_date"))
 
 
+def rejected_pages(envelopes: DataFrame, col: str = "envelope") -> DataFrame:
+    """(envelope, reject_reason) of the pages that yield no records though
+    they are no plain empty answer."""
+    doc = F.col(col)
+    second = F.get_json_object(doc, "$[1]")
+    reason = (F.when(doc.isNull() | F.json_array_length(doc).isNull(), F.lit("not_json_array"))
+              .when(F.json_array_length(doc) < 2, F.lit("error_payload"))
+              .when((second != "null") & F.json_array_length(second).isNull(), F.lit("records_not_array")))
+    return envelopes.select(doc.alias("envelope"), reason.alias("reject_reason")).where("reject_reason is not null")
+
+
 def envelope_completeness(envelopes: DataFrame, col: str = "envelope") -> DataFrame:
     """Pages and rows landed per indicator against each page's metadata.
 
@@ -61,11 +79,12 @@ def envelope_completeness(envelopes: DataFrame, col: str = "envelope") -> DataFr
     ``total``) tells what a complete landing holds. One aggregation per
     indicator (partial aggregation map-side; the distinct page count is
     Spark's two-level distinct aggregation, no per-group set in one task).
-    A page without records reports under a null indicator id.
+    A page without records, and a page that cannot be read, reports under a
+    null indicator id and is not complete.
     """
     doc = F.col(col)
     meta = F.from_json(F.get_json_object(doc, "$[0]"), ENVELOPE_META)
-    pages = envelopes.where(F.json_array_length(doc) >= 2).select(
+    pages = envelopes.select(
         F.get_json_object(doc, "$[1][0].indicator.id").alias("indicator_id"),
         meta.alias("m"),
         F.coalesce(F.json_array_length(F.get_json_object(doc, "$[1]")), F.lit(0)).alias("n"))
@@ -77,22 +96,35 @@ def envelope_completeness(envelopes: DataFrame, col: str = "envelope") -> DataFr
         F.sum("n").cast("long").alias("rows_seen"))
     return out.withColumn(
         "complete",
-        (F.col("pages_seen") == F.col("pages_expected"))
-        & (F.col("pages_landed") == F.col("pages_seen"))
-        & (F.col("rows_seen") == F.col("rows_expected")))
+        F.coalesce((F.col("pages_seen") == F.col("pages_expected"))
+                   & (F.col("pages_landed") == F.col("pages_seen"))
+                   & (F.col("rows_seen") == F.col("rows_expected")), F.lit(False)))
+
+
+def _numbered(raw: DataFrame) -> DataFrame:
+    """``raw`` with each row's number within its indicator (``_row`` from 0)
+    and the indicator's rows (``_total``). Staged with the number of the part
+    each row is in: a row's number is its place in its part plus the rows of
+    the indicator in earlier parts, so no indicator is ever in one task."""
+    raw = stage_table(raw.withColumn("_part", F.spark_partition_id())
+                      .withColumn("_at", F.monotonically_increasing_id()), "page_rows")
+    parts = raw.groupBy("indicator_id", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy("indicator_id")
+    parts = parts.select(
+        F.col("indicator_id").alias("_id"), F.col("_part").alias("_p"), F.sum("_n").over(whole).alias("_total"),
+        F.coalesce(F.sum("_n").over(whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("indicator_id", "_part").orderBy("_at")) - 1
+    return (raw.withColumn("_place", place)
+            .join(parts, F.col("indicator_id").eqNullSafe(F.col("_id")) & (F.col("_part") == F.col("_p")))
+            .withColumn("_row", F.col("_before") + F.col("_place")))
 
 
 def pack_envelopes(raw: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Raw observations -> one JSON page document per (indicator, page).
-
-    The per-indicator count table has one row per indicator id; its join is
-    left to AQE (broadcast only when it is small at runtime).
-    """
-    counts = raw.groupBy("indicator_id").agg(F.count(F.lit(1)).alias("_total"))
-    pages = F.greatest(F.lit(1), F.ceil(F.col("_total") / F.lit(page_size)))
-    keyed = (raw.join(counts, "indicator_id")
-             .withColumn("_pages", pages.cast("long"))
-             .withColumn("_page", F.pmod(F.xxhash64(*RECORD_COLUMNS), F.col("_pages")) + 1))
+    """Raw observations -> one JSON page document per (indicator, page)."""
+    pages = F.ceil(F.col("_total") / F.lit(page_size)).cast("long")
+    keyed = (_numbered(raw).withColumn("_pages", pages)
+             .withColumn("_page", F.expr(f"_row div {page_size}") + 1))
     record = F.struct(
         F.col("country_code").alias("countryiso3code"),
         F.struct(F.col("country_code").alias("id"), F.col("country_name").alias("value"))

@@ -16,7 +16,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import RAW, RAW_TEXT
 
@@ -36,6 +36,24 @@ def read_raw_csv(spark: SparkSession, path: str, options: dict | None = None) ->
             .csv(path).select(*RAW_COLUMNS))
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_raw_with_rejects(spark: SparkSession, path: str, fmt: str = "json", multi_line: bool = False,
+                          options: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """(observations, malformed): records that cannot be read, or whose value
+    is no number where the format has types, go to ``malformed`` with their
+    text, beside what could be read of them, instead of turning into nulls."""
+    schema = StructType([*(RAW_TEXT if fmt == "csv" else RAW).fields, StructField(CORRUPT, StringType())])
+    reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    if fmt == "csv":
+        rows = reader.options(**(options or LANDED_CSV_OPTIONS)).csv(path)
+    else:
+        rows = reader.option("multiLine", multi_line).json(path)
+    bad = F.col(CORRUPT).isNotNull()
+    return rows.where(~bad).select(*RAW_COLUMNS), rows.where(bad).select(F.col(CORRUPT).alias("record"), *RAW_COLUMNS)
+
+
 def read_raw_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Landed raw JSON, partitioned by indicator_name or flat (the declared
     ``indicator_name`` comes from the folder or from the record).
@@ -65,8 +83,8 @@ def read_snapshot(spark: SparkSession, path: str, process_date: dt.date | str |
     return df
 
 
-def read_tables(spark: SparkSession, root: str, names: tuple[str, ...],
+def read_tables(spark: SparkSession, root: str, schemas: dict[str, StructType],
                 glob: str = "*.parquet") -> dict[str, DataFrame]:
     """Wildcard Parquet load of several table folders under one root."""
-    return {n: spark.read.option("pathGlobFilter", glob).parquet(f"{root.rstrip('/')}/{n}")
-            for n in names}
+    return {n: spark.read.schema(schema).option("pathGlobFilter", glob).parquet(f"{root.rstrip('/')}/{n}")
+            for n, schema in schemas.items()}

@@ -125,11 +125,17 @@ def test_envelope_edge_documents(spark):
         '"indicator":{"id":"UNKNOWN"},"date":"2020","value":1}]]',
     ]
     env = spark.createDataFrame([(d,) for d in docs], "envelope string")
-    rows = envelopes.flatten_envelopes(env, D).orderBy("year").collect()
+    rows = envelopes.flatten_envelopes(env, D).orderBy("year", F.col("country_code").asc()).collect()
     assert [(r.country_code, r.country_name, r.indicator_name, r.year, r.value) for r in rows] == [
         ("AAA", "Alpha", "gdp", "2020", 12.5),
+        ("BBB", 'Be, "ta"', None, "2020", 1.0),
         ("", "", "gdp", "2021", None),
     ]
+    asked = envelopes.flatten_envelopes(env, D, indicator=("UNKNOWN", "asked_for"))
+    assert {r.indicator_name for r in asked.collect()} == {"gdp", "asked_for"}
+    reasons = [r.reject_reason for r in envelopes.rejected_pages(
+        spark.createDataFrame([(d,) for d in [*docs, "[{", None, '[1,{"a":2}]']], "envelope string")).collect()]
+    assert sorted(reasons) == ["error_payload", "not_json_array", "not_json_array", "records_not_array"]
 
 
 def test_envelope_completeness_flags_missing_and_repeated_pages(spark):
@@ -145,7 +151,8 @@ def test_envelope_completeness_flags_missing_and_repeated_pages(spark):
         + [edu[0]["envelope"], '[{"message":[{"id":"120","value":"Invalid value"}]}]']
     got = {r["indicator_id"]: r.asDict() for r in envelopes.envelope_completeness(
         spark.createDataFrame([(d,) for d in docs], "envelope string")).collect()}
-    assert set(got) == {"NY.GDP.MKTP.CD", "SE.TER.ENRR"}
+    assert set(got) == {"NY.GDP.MKTP.CD", "SE.TER.ENRR", None}
+    assert got[None]["pages_landed"] == 1 and not got[None]["complete"]
     g, e = got["NY.GDP.MKTP.CD"], got["SE.TER.ENRR"]
     assert g["rows_expected"] == 9 and 0 < g["rows_seen"] < 9
     assert g["pages_seen"] == g["pages_expected"] - 1 and not g["complete"]
@@ -153,6 +160,70 @@ def test_envelope_completeness_flags_missing_and_repeated_pages(spark):
     assert e["pages_seen"] == e["pages_expected"] and not e["complete"]
 
 
+def test_equal_rows_spread_over_pages(spark):
+    raw = raw_df(spark, [("A", "A", "id", "gdp", "2020", 1.0)] * 5000)
+    pages = envelopes.pack_envelopes(raw, page_size=1000)
+    sizes = [r[0] for r in pages.select(F.expr("json_array_length(get_json_object(envelope, '$[1]'))")).collect()]
+    assert sizes == [1000] * 5
+
+
+def test_partitioned_write_files_follow_the_data(spark):
+    raw = raw_df(spark, [(f"C{i}", "N", "id", ind, "2020", 1.0) for i in range(500)
+                         for ind in ("gdp", "inflation", "government_debt")]).repartition(40)
+    path = shared_path(spark, "edge_files")
+    write_raw_csv(raw, path)
+    local = path.replace("file:", "")
+    assert len([f for _, _, fs in os.walk(local) for f in fs if f.endswith(".csv")]) == 3
+
+
+def test_two_dates_of_raw_landing_survive(spark):
+    raw = raw_df(spark, [("AAA", "A", "x", "gdp", "2020", 1.0)])
+    path = shared_path(spark, "edge_dates")
+    for d in (dt.date(2025, 1, 1), dt.date(2025, 1, 2), dt.date(2025, 1, 2)):
+        write_raw_csv(raw.withColumn("extraction_date", F.lit(d)), path)
+    back = files.read_raw_csv(spark, path, files.CSV_SINK_OPTIONS)
+    assert sorted(str(r.extraction_date) for r in back.collect()) == ["2025-01-01", "2025-01-02"]
+
+
+def test_malformed_records_are_kept_apart(spark, tmp_path):
+    (tmp_path / "a.json").write_text(
+        '{"country_code":"AAA","year":"2020","value":1.5}\n{"country_code":"BBB","year":"2020","value":"abc"}\n{"cut\n')
+    rows, bad = files.read_raw_with_rejects(spark, str(tmp_path))
+    assert [r.country_code for r in rows.collect()] == ["AAA"]
+    assert sorted(r.record for r in bad.collect()) == ['{"country_code":"BBB","year":"2020","value":"abc"}', '{"cut']
+
+
+def test_index_from_stored_facts_equals_the_wide_one(spark):
+    rows = [(c, c, "x", i, y, float(len(c) * 7 + k)) for c in ("A", "BB", "CCC") for y in ("2020", "2021")
+            for k, i in enumerate(("unemployment_rate", "gdp", "gdp_per_capita", "inflation", "school_enrollment"))]
+    wide = facts.build_wide(C.clean_observations(raw_df(spark, rows[:-1] + [("D", "D", "x", "gdp", "2020", 1.0)])))
+    three = [facts.fact_from_wide(wide, f) for f in ("employment", "economic", "education")]
+    a, b = index.from_facts(*three), index.opportunity_index(wide)
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+
+
+def test_working_folder_is_asked_for_on_a_cluster(monkeypatch):
+    from terrascore import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+        def getCheckpointDir(self): return None
+        def getConf(self): return Conf()
+
+    class Session:
+        sparkContext = Context()
+    try:
+        session.checkpoint_root(Session())
+        raised = False
+    except ValueError:
+        raised = True
+    assert raised
+
+
 def test_csv_roundtrip_quotes_commas_empty_and_null(spark):
     raw = raw_df(spark, [
         ("AAA", 'Name, "quoted"', "x", "gdp", "2020", 1.5),
@@ -197,7 +268,7 @@ def test_wildcard_table_source(spark):
         # a stray non-Parquet file next to the data is skipped by the glob
         with open(f"{root.replace('file:', '')}/{name}/notes.txt", "w") as fh:
             fh.write("not data")
-    got = files.read_tables(spark, root, ("a", "b"))
+    got = files.read_tables(spark, root, {n: spark.range(0).schema for n in ("a", "b")})
     assert {k: v.count() for k, v in got.items()} == {"a": 3, "b": 5}
 
 
@@ -251,13 +322,13 @@ def test_failed_truncate_keeps_the_previous_table(spark):
         raised = True
     assert raised
     assert sorted(r.x for r in spark.table(f"{db}.t").collect()) == [1, 2, 3]
-    # a successful truncate swaps in the new version and removes the old one
+    # a successful truncate points the table at the new version
     assert load_table(spark.createDataFrame([(9,)], "x int"), f"{db}.t",
                       "WRITE_TRUNCATE", path=path) == 1
     assert [r.x for r in spark.table(f"{db}.t").collect()] == [9]
     local = path.replace("file:", "")
     kept = [d for d in glob.glob(f"{local}/v-*") if glob.glob(f"{d}/*.parquet")]
-    assert len(kept) == 1
+    assert len(kept) == 2  # the replaced version stays for its readers
     assert not [t for t in spark.catalog.listTables(db) if "__load_" in t.name]
 
 

@@ -1,10 +1,11 @@
 """Every registered query against its DuckDB oracle on the driver tables.
 
-Runs at sf0.001 by default (fast); TERRASCORE_ORACLE_SF=sf0.01 runs the
-driver's correctness scale.
+Runs at sf0.01, the scale of the driver's correctness check, with a time limit
+for each oracle statement; TERRASCORE_ORACLE_SF names another scale.
 """
 
 import os
+import time
 
 import pytest
 
@@ -13,7 +14,7 @@ from harness import compare, duck_connect
 from terrascore.plans.oracle import all_sql
 from terrascore.plans.queries import all_queries
 
-SF = os.environ.get("TERRASCORE_ORACLE_SF", "sf0.001")
+SF = os.environ.get("TERRASCORE_ORACLE_SF", "sf0.01")
 SF_DIR = f"/root/testdata/{SF}"
 QUERIES = all_queries()
 ORACLE = all_sql()
@@ -29,6 +30,13 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_oracle_statement_is_fast(con, name):
+    began = time.perf_counter()
+    con.sql(ORACLE[name]).fetchall()
+    assert time.perf_counter() - began < 20
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     rep = compare(QUERIES[name](spark, SF_DIR), ORACLE[name], con)
