@@ -1,5 +1,5 @@
 """Leaf blocks of HTML pages: the runs of text between block-level tags, each
-with the tags and class words above it.
+with the tags and class words above it, and the nearest such words by themselves.
 
 Reads whatever is there: unclosed and misnested tags, unquoted attributes,
 comments and raw-text elements that never end. White space inside a block is
@@ -35,13 +35,14 @@ class Block:
     text: str
     tags: tuple[str, ...]
     names: frozenset[str]
+    own: frozenset[str]
     linked: int
 
 
 def blocks(page: str | None) -> list[Block]:
     """The page's blocks in order; none for a null or empty page."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = []
+    stack: list[tuple[str, frozenset[str], frozenset[str]]] = []
     text: list[str] = []
     links = linked = hidden = 0
     page = page or ""
@@ -53,13 +54,13 @@ def blocks(page: str | None) -> list[Block]:
             words = html.unescape("".join(text)).split()
             text.clear()
             if words and not hidden:
-                names = stack[-1][1] if stack else none
-                out.append(Block(" ".join(words), tuple(t for t, _ in stack), names, linked))
+                names, own = stack[-1][1:] if stack else (none, none)
+                out.append(Block(" ".join(words), tuple(t for t, _, _ in stack), names, own, linked))
             linked = 0
 
     def pop_to(k: int) -> None:
         nonlocal links, hidden
-        for t, _ in stack[k:]:
+        for t, _, _ in stack[k:]:
             links -= t == "a"
             hidden -= t in HIDDEN
         del stack[k:]
@@ -78,7 +79,7 @@ def blocks(page: str | None) -> list[Block]:
         if tag is None:
             continue
         tag = tag.lower()
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in RAW:
             flush()
         if close:
             for k in range(len(stack) - 1, -1, -1):
@@ -86,7 +87,7 @@ def blocks(page: str | None) -> list[Block]:
                     pop_to(k)
                     break
             continue
-        if tag in _ENDS_P and any(t == "p" for t, _ in stack[-3:]):
+        if tag in _ENDS_P and any(t == "p" for t, _, _ in stack[-3:]):
             for k in range(len(stack) - 1, max(len(stack) - 4, -1), -1):
                 if stack[k][0] == "p":
                     pop_to(k)
@@ -95,9 +96,9 @@ def blocks(page: str | None) -> list[Block]:
             pop_to(len(stack) - 1)
         if tag in VOID or m[3].endswith("/") and tag not in INLINE and tag not in _ENDS_P:
             continue
-        above = stack[-1][1] if stack else none
+        above, nearest = stack[-1][1:] if stack else (none, none)
         own = [w for v in _NAMES.findall(m[3]) for w in _WORD.findall(v.lower())] if m[3] else ()
-        stack.append((tag, above | frozenset(own) if own else above))
+        stack.append((tag, above | frozenset(own) if own else above, frozenset(own) or nearest))
         links += tag == "a"
         hidden += tag in HIDDEN
         if tag in RAW:

@@ -41,7 +41,7 @@ _REGIONS = frozenset("article main nav aside footer header form section".split()
 def features(b: Block) -> list[str]:
     tags = set(b.tags)
     out = [f"in:{t}" for t in tags if t not in ("html", "body")]
-    out += [f"name:{n}" for n in b.names]
+    out += [f"name:{n}" for n in b.names] + [f"own:{n}" for n in b.own]
     out.append("leaf:" + (b.tags[-1] if b.tags else ""))
     out.append("near:" + next((t for t in reversed(b.tags) if t in _REGIONS), ""))
     n = b.text.count(" ") + 1
@@ -218,7 +218,7 @@ def labelled_pages(n: int = TRAINING_PAGES, seed: int = SEED) -> list[tuple[list
                 r = rng.random()
                 body.append(f"<h2>{s}</h2>" if r < 0.08 else f"<p><b>{s}<br>" if r < 0.16 else f"<ul><li>{s}</li></ul>" if r < 0.22
                             else f"<blockquote>{s}</blockquote>" if r < 0.26 else f"<p>{s}" if r < 0.4 else f"<p>{s}</p>")
-                if rng.random() < 0.08:
+                if rng.random() < 0.2:
                     body.append(part(rng.choice(("advert", "sidebar", "share", "notice", "form"))))
             tag = rng.choice(("article", "article", "main", "div", "section"))
             at = _attr(rng, MAIN)

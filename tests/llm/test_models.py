@@ -284,7 +284,8 @@ def test_gru_gradient_and_edges(spark):
 
 # ------------------------------------------------------------------ toxicity
 def test_toxicity_on_unseen_documents(spark):
-    d, labels = table(spark, "documents"), table(spark, "labels")
+    folder = SF_SMALL.replace("0.001", "0.01")
+    d, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
     learn = labels.where("doc_id % 3 <> 0")
     chain = toxicity.train(d, learn)
     out = toxicity.score(d, chain).join(labels.select("doc_id", F.col("toxic").alias("y")).where("doc_id % 3 = 0"), "doc_id").collect()
