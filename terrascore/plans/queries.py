@@ -153,7 +153,7 @@ def core_queries() -> dict[str, Query]:
         "index_from_facts": _q(_index_from_facts, stage_clean=True),
         # views (D15-D17)
         "top_countries": _q(lambda c: views.top_countries(
-            index.ranked_latest_year(c.wide, R.TOP_K), c.countries, R.TOP_K), stage_clean=True),
+            index.ranked_latest_year(c.wide, R.TOP_K), c.countries, R.TOP_K), stage_clean=True, stage_wide=True),
         "country_comparison": _q(lambda c: views.country_comparison(
             c.countries, c.dim_time, c.wide, c.index, COMPARISON_FLOOR), stage_clean=True, stage_wide=True),
         "country_trends": _q(lambda c: views.country_trends(
