@@ -67,9 +67,9 @@ def test_lm_equals_brute_force_and_probabilities_sum_to_one(spark):
     d = docs(spark, rows + AWKWARD)
     out = lm_scoring.score(d, lm_scoring.train(d.where(~lm_scoring.held_out()))).collect()
     train = [t for i, t, _ in rows + AWKWARD if zlib.crc32(str("" if i is None else i).encode()) % 5 != 1]
-    want = list(kneser_ney(train, [t for _, t, _ in rows + AWKWARD if " " not in (t or "")]))
-    got = sorted(((r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in out if r.doc_id != 5))
-    assert got == sorted((a, b, c, round(e, 6), round(f, 6)) for a, b, c, e, f in want)
+    want = sorted(kneser_ney(train, [t for _, t, _ in rows + AWKWARD]))
+    got = sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in out)
+    assert len(got) == len(want) and all(a[:3] == b[:3] and np.allclose(a[3:], b[3:], rtol=1e-9) for a, b in zip(got, want))
     model = lm_scoring.train(docs(spark, rows))
     words = [*vocab, "unseen"]
     texts = docs(spark, [(k, f"v1 {w}", "s") for k, w in enumerate(words)] + [(99, "v1", "s")])
