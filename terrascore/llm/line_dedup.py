@@ -149,13 +149,24 @@ def _doc_key(id_col: str, text_col: str) -> Column:
 
 
 def _texts(docs: DataFrame, text_col: str, nodes: DataFrame, few: bool) -> DataFrame:
-    """(node, line, n): one text per wanted line key, with its shingle count."""
+    """(node, line): one text per wanted line key."""
     lines = docs.select(F.explode(F.split(text_col, "\n")).alias("line")).select("line", F.xxhash64("line").alias("node"))
     lines = lines.join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
     return lines.groupBy("node").agg(F.first("line").alias("line"))
 
 
-def _similar(percent: int, size: int = SHINGLE):
+def shingle_set(line: bytes, size: int = SHINGLE) -> np.ndarray:
+    """The sorted distinct 64-bit hashes of a line's shingles."""
+    d = np.frombuffer(line, np.uint8)
+    if len(d) < size:
+        return np.array([xxhash.xxh64_intdigest(line)], np.uint64)
+    h = np.zeros(len(d) - size + 1, np.uint64)
+    for k in range(size):
+        h = h * np.uint64(0x100000001B3) + d[k:len(d) - size + 1 + k]
+    return np.unique(bv.mix(h))
+
+
+def _similar(percent: int):
     """Arrow function: the pairs (a, b) whose lines x, y are similar enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[bytes, np.ndarray] = {}
@@ -163,10 +174,9 @@ def _similar(percent: int, size: int = SHINGLE):
         def of(line: bytes) -> np.ndarray:
             s = sets.get(line)
             if s is None:
-                if len(sets) > 2000:
+                if len(sets) > 4000:
                     sets.clear()
-                d = np.frombuffer(line, np.uint8)
-                s = sets[line] = np.unique(shingle_hashes_64(d, size))
+                s = sets[line] = shingle_set(line)
             return s
 
         for batch in batches:
@@ -174,19 +184,23 @@ def _similar(percent: int, size: int = SHINGLE):
             keep = []
             for x, y in zip(xs, ys):
                 a, b = of(x), of(y)
-                same = len(np.intersect1d(a, b, assume_unique=True))
+                small, large = (a, b) if len(a) < len(b) else (b, a)
+                same = 0
+                if 100 * len(small) >= percent * len(large):
+                    same = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
                 keep.append(100 * same >= percent * (len(a) + len(b) - same))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
-def shingle_hashes_64(line: np.ndarray, size: int = SHINGLE) -> np.ndarray:
-    if len(line) < size:
-        return np.array([xxhash.xxh64_intdigest(line.tobytes())], np.uint64)
-    h = np.zeros(len(line) - size + 1, np.uint64)
-    for k in range(size):
-        h = h * np.uint64(0x100000001B3) + line[k:len(line) - size + 1 + k]
-    return bv.mix(h)
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow function: (node, line) to (node, item) for every shingle."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 2000):
+            part = batch.slice(at, 2000)
+            sets = [shingle_set(x) for x in part.column(1).cast(pa.binary()).to_pylist()]
+            node = np.repeat(part.column(0).to_numpy(zero_copy_only=False), [len(x) for x in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(node), bv.as_long(np.concatenate(sets))], names=["node", "item"])
 
 
 def line_components(docs: DataFrame, text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -198,17 +212,20 @@ def line_components(docs: DataFrame, text_col: str = "text", percent: int = PERC
         return spark.createDataFrame([], "node long, comp long")
     nodes, n = stage_table_counted(postings.groupBy("node").agg(F.count("*").alias("score")), "line-nodes")
     texts = stage_table(_texts(docs, text_col, nodes.select("node"), n <= BROADCAST_ROWS), "line-texts")
-    size = F.greatest(F.octet_length("line") - SHINGLE + 1, F.lit(1)).cast("long").alias("n")
-    posted = postings.join(nodes.join(texts.select("node", size), "node"), "node").select("token", "node", "score", "n")
-    posted = stage_table(posted, "line-postings")
+    # the member with the longest lists shares most with others
+    longest = postings.groupBy("token").agg(F.count("*").alias("len"))
+    score = postings.join(longest, "token").groupBy("node").agg(F.sum("len").alias("score"))
+    posted = stage_table(postings.join(score, "node").select("token", "node", "score"), "line-postings")
 
     def verify(pairs: DataFrame) -> DataFrame:
         both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("x")), "a")
                 .join(texts.select(F.col("node").alias("b"), F.col("line").alias("y")), "b"))
         return both.select("a", "b", "x", "y").mapInArrow(_similar(percent), "a long, b long")
 
-    # counts of shingles, not of distinct ones: a wide bound, the check is exact
-    return link(posted, verify, 0.0)
+    def items(nodes: DataFrame) -> DataFrame:
+        return texts.join(nodes, "node", "left_semi").select("node", "line").mapInArrow(_items, "node long, item long")
+
+    return link(posted, verify, items, percent)
 
 
 def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:

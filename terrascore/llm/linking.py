@@ -1,26 +1,41 @@
 """Verified links and connected components at scale, shared by the two
 near-duplicate operators.
 
-A posting list (all nodes under one token) is never expanded into all pairs.
-Star rounds link each list's pivot, the member that shares most with others,
-to its members; verified links merge nodes into components. What is left are
-the lists that still span several components, and only pairs across components
-are tried there. So a group of mutually similar nodes costs pairs in proportion
-to its size, and still every candidate pair is either verified or made
-needless by a verified path: no link between components is lost.
+A posting list (all nodes under one token) is never expanded into all pairs:
+
+1. In lists of at most ``SMALL`` nodes all pairs are tried, a fixed number for
+   each node. In longer lists every node is paired with one pivot, the member
+   that shares most with others in the most of its lists. Verified links merge
+   nodes into components.
+2. What is left are the longer lists that still span several components. Each
+   gets another pivot, the node with fewest items that no other node has (the
+   nearest to a common origin).
+3. Then the longer lists' pairs across components are tried, within exact bounds. Items that only
+   one node has are in no intersection: a node that has too many of them leaves
+   its lists. Every node has a bitmap of its other items, hashed; a bit that
+   one has and the other has not stands for one more that is not shared. Near
+   copies that each differ in their own way, which share most tokens but are
+   not linked, fall to these bounds before a pair is made.
+
+So a group of mutually similar nodes costs pairs in proportion to its size, and
+still every candidate pair is verified, made needless by a path of verified
+links, or excluded by an exact bound: no link between components is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrascore.llm.common import stage_table
 from terrascore.session import stage_table_counted
 
-STAR_ROUNDS = 2
+#: Lists of so many nodes at most need no bounds.
+SMALL = 8
+#: 64-bit words of a node's bitmap.
+WORDS = 16
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -55,44 +70,95 @@ def _with_components(postings: DataFrame, labels: DataFrame | None) -> DataFrame
     return postings.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
-def _open_lists(postings: DataFrame) -> DataFrame:
-    """The lists that span several components, with their pivot."""
+def _open_lists(postings: DataFrame, rank: list[str]) -> DataFrame:
+    """The lists that span several components, with their pivot: the member
+    first by ``rank``, descending."""
     return (postings.groupBy("token")
-            .agg(F.max(F.struct("score", "node", "comp")).alias("top"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-            .where("lo < hi").select("token", F.col("top.node").alias("pivot"), F.col("top.comp").alias("pivot_comp")))
+            .agg(F.max(F.struct(*rank, "node", "comp")).alias("top"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                 F.count("*").alias("size"))
+            .where("lo < hi").select("token", F.col("top.node").alias("pivot"), F.col("top.comp").alias("pivot_comp"), "size"))
+
+
+def _bounds(nodes: DataFrame, items: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(node, n, shared, w0, w1, ...): the node's items, those of them that
+    others have too, and its bitmap."""
+    had = stage_table(items(nodes), "items")
+    common = had.groupBy("item").agg(F.count("*").alias("k")).where("k > 1").select("item")
+    sizes = had.groupBy("node").agg(F.count("*").alias("n"))
+    bit = F.pmod(F.xxhash64("item"), F.lit(64 * WORDS)).cast("int")
+    words = [F.expr(f"bit_or(CASE WHEN bit div 64 = {k} THEN shiftleft(1L, bit % 64) ELSE 0L END)").alias(f"w{k}") for k in range(WORDS)]
+    maps = (had.join(common, "item", "left_semi").select("node", bit.alias("bit"))
+            .groupBy("node").agg(F.count("*").alias("shared"), *words))
+    return sizes.join(maps, "node", "left").na.fill(0)
 
 
-def link(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], ratio: float) -> DataFrame:
+def link(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], items: Callable[[DataFrame], DataFrame],
+         percent: int) -> DataFrame:
     """Components (node, comp) of the links that ``verify`` confirms among the
-    nodes that share a token. ``postings(token, node, score, n)``: a pair whose
-    sizes ``n`` differ by more than ``ratio`` is no candidate. ``verify`` maps
-    pairs (a, b) to those that are linked. Nodes without a link are left out."""
+    nodes that share a token. ``postings(token, node, score)``. ``verify`` maps
+    pairs (a, b) to those whose similarity is at least ``percent``;
+    ``items(nodes)`` gives (node, item), every item of a node's set once.
+    Nodes without a link are left out."""
     spark = postings.sparkSession
     empty = spark.createDataFrame([], "a long, b long")
-    links, tested, labels = empty, empty, None
-    near = "n_a >= {r} * n_b and n_b >= {r} * n_a".format(r=ratio)
-    for step in range(STAR_ROUNDS + 1):
-        cur = stage_table(_with_components(postings, labels), "postings")
-        lists = stage_table(_open_lists(cur), "lists")
-        if step < STAR_ROUNDS:
-            sizes = cur.select(F.col("token"), F.col("node").alias("pivot"), F.col("n").alias("n_a"))
-            tops = lists.join(sizes, ["token", "pivot"])
-            pairs = (cur.withColumnRenamed("n", "n_b").join(tops, "token")
-                     .where(F.expr("comp != pivot_comp and " + near))
-                     .select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")))
-        else:
-            left = cur.join(lists.select("token"), "token", "left_semi")
-            x = left.select("token", F.col("node").alias("a"), F.col("comp").alias("comp_a"), F.col("n").alias("n_a"))
-            y = left.select("token", F.col("node").alias("b"), F.col("comp").alias("comp_b"), F.col("n").alias("n_b"))
-            pairs = x.join(y, "token").where(F.expr("a > b and comp_a != comp_b and " + near)).select("a", "b")
-        pairs, rows = stage_table_counted(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        if not rows:
-            if step < STAR_ROUNDS:
-                continue
+    links, tested, labels, bounds = empty, empty, None, None
+    ordered = [F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")]
+    lacks = lambda x, y: " + ".join(f"bit_count({x}_w{k} & ~{y}_w{k})" for k in range(WORDS))
+    enough = f">= {percent} * (a_n + b_n)"
+    close = F.expr(f"{100 + percent} * least(a_shared, b_shared) {enough} AND {100 + percent} * (a_shared - ({lacks('a', 'b')})) {enough} "
+                   f"AND {100 + percent} * (b_shared - ({lacks('b', 'a')})) {enough}")
+    for step in ("first", "own least", "pairs"):
+        cur = _with_components(postings, labels)
+        if bounds is not None:
+            cur = cur.join(bounds, "node")
+        cur = stage_table(cur, "postings")
+        lists = _open_lists(cur, ["score"] if bounds is None else ["few_own", "score"])
+        lists, n_lists = stage_table_counted(lists, "lists")
+        if not n_lists:
             break
-        good, found = stage_table_counted(verify(pairs).select("a", "b"), "links")
-        tested = tested.unionByName(pairs)
-        if found:
-            links = links.unionByName(good)
-            labels = stage_table(components(links), "components")
+        if step == "first":
+            few = cur.join(lists.where(F.col("size") <= SMALL).select("token"), "token", "left_semi")
+            x, y = (few.select("token", F.col("node").alias(n)) for n in ("a", "b"))
+            pairs = x.join(y, "token").where("a > b").select("a", "b")
+            met = (cur.join(lists.where(F.col("size") > SMALL), "token").where("comp != pivot_comp")
+                   .groupBy("node", "pivot").agg(F.count("*").alias("k")))
+            pairs = pairs.unionByName(met.groupBy("node").agg(F.max(F.struct("k", "pivot")).alias("best"))
+                                      .select("node", "best.pivot").select(*ordered))
+        elif step == "own least":
+            pairs = cur.join(lists, "token").where("comp != pivot_comp").select(*ordered)
+        else:
+            pairs = _pairs(cur, lists, close, percent)
+        pairs, n_pairs = stage_table_counted(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        if n_pairs:
+            good, found = stage_table_counted(verify(pairs).select("a", "b"), "links")
+            tested = tested.unionByName(pairs)
+            if found:
+                links = links.unionByName(good)
+                labels = stage_table(components(links), "components")
+        if step == "first":  # from here on the longer lists
+            longer = (_open_lists(_with_components(postings, labels), ["score"]).where(F.col("size") > SMALL).select("token"))
+            postings, n_left = stage_table_counted(postings.join(longer, "token", "left_semi"), "postings")
+            if not n_left:
+                break
+            bounds = _bounds(postings.select("node").distinct(), items)
+            bounds = bounds.join(postings.groupBy("node").agg(F.sort_array(F.collect_set("token")).alias("tokens")), "node")
+            bounds = stage_table(bounds.withColumn("few_own", F.col("shared") - F.col("n")), "bounds")
     return labels if labels is not None else spark.createDataFrame([], "node long, comp long")
+
+
+def _pairs(cur: DataFrame, lists: DataFrame, close: Column, percent: int) -> DataFrame:
+    """Pairs across components within the bound. A node leaves a list in which
+    even a partner of the least size that had all its shareable items would
+    not be similar enough; lists that fall to one component are dropped."""
+    least = cur.groupBy("token").agg(F.min("n").alias("least_n"))
+    able = (cur.join(lists.select("token"), "token", "left_semi").join(least, "token")
+            .where(F.expr(f"{100 + percent} * shared >= {percent} * (n + least_n)")))
+    able = stage_table(able, "able")
+    still = able.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
+    able = able.join(still, "token", "left_semi")
+    of = ["node", "comp", "n", "shared", "tokens", *(f"w{k}" for k in range(WORDS))]
+    x, y = (able.select(F.col("token").alias(f"{s}_token"), *[F.col(c).alias(f"{s}_{c}") for c in of]) for s in ("a", "b"))
+    across = (F.col("a_token") == F.col("b_token")) & (F.col("a_node") > F.col("b_node")) & (F.col("a_comp") != F.col("b_comp"))
+    # a pair that meets in several lists is made in the first of them only
+    once = F.array_min(F.array_intersect("a_tokens", "b_tokens")) == F.col("a_token")
+    return x.join(y, across & close & once).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))

@@ -138,19 +138,19 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFra
 
 
 def prefix_postings(classes: DataFrame, coords: int, matches: int) -> DataFrame:
-    """(token, node, score, n): classes under the values of their prefix.
+    """(token, node, score): classes under the values of their prefix.
     ``score``, the sum of the postings' lengths, is highest for the member that
     shares most with others."""
     token = F.transform("sig", lambda v, i: F.shiftleft(i.cast("long"), 32).bitwiseOR(v.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
-    posted = classes.select("cls", "n", F.explode(token).alias("token"))
+    posted = classes.select("cls", F.explode(token).alias("token"))
     shared = posted.groupBy("token").agg(F.count("*").alias("len")).where("len > 1")
     by = (posted.join(shared, "token").groupBy("cls")
-          .agg(F.first("n").alias("n"), F.sum("len").alias("score"),
+          .agg(F.sum("len").alias("score"),
                F.sort_array(F.collect_list(F.struct("len", "token"))).alias("order"))  # at most ``coords``
           .where(F.size("order") >= matches))
     prefix = F.slice("order", F.lit(1), F.size("order") - (matches - 1))
-    return by.select(F.explode(prefix).alias("p"), F.col("cls").alias("node"), "score", "n").select(
-        F.col("p.token").alias("token"), "node", "score", "n")
+    return by.select(F.explode(prefix).alias("p"), F.col("cls").alias("node"), "score").select(
+        F.col("p.token").alias("token"), "node", "score")
 
 
 def labelled(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, coords: int = COORDS) -> DataFrame:
@@ -216,7 +216,11 @@ def _components(docs, id_col, text_col, size, percent, matches, classes, posting
                 .select("a", "b", F.size(F.array_intersect("x", "y")).alias("same"), (F.size("x") + F.size("y")).alias("all")))
         return both.where(100 * F.col("same") >= percent * (F.col("all") - F.col("same"))).select("a", "b")
 
-    return link(postings, verify, percent / 100)
+    def items(nodes: DataFrame) -> DataFrame:
+        return (sets.join(nodes, sets["cls"] == nodes["node"], "left_semi")
+                .select(F.col("cls").alias("node"), F.explode("items").alias("item")))
+
+    return link(postings, verify, items, percent)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
