@@ -1,17 +1,18 @@
 """LM scoring: an interpolated modified Kneser-Ney n-gram model (op 1).
 
-Counting runs in Spark. Tasks hash the words of whole chunks of texts, count
-the n-grams they have read and deal them out to shards as packed arrays; a
-shard sums its n-grams and writes them as sorted arrays (hash, count) into the
-shared folder, from where every worker maps them into memory. From each shard
-come, already summed, the statistics of its contexts and the shorter n-grams
-it gives a continuation count to; those are dealt out and written likewise,
-order by order. The driver sees counts of counts and one row per shard.
+Counting runs in Spark. A first pass counts the words and numbers them. Tasks
+then count the n-grams they have read and deal them out to shards as packed
+arrays of word numbers, sorted and byte by byte, so that they compress; a shard
+sums its n-grams and writes them as sorted arrays (hash, count) into the shared
+folder, from where every worker maps them into memory, and likewise the
+statistics of its contexts. From each shard come, already summed, the shorter
+n-grams it gives a continuation count to; those are dealt out and written
+likewise, order by order. The driver sees counts of counts and one row per shard.
 
 An n-gram's shard follows from its context, so that a context's n-grams meet
 in one place. Contexts made of very frequent words only (more than a shard's
-share of all tokens) are spread by the n-gram instead, and their statistics
-meet again in the pass that merges statistics.
+share of all tokens) are spread by the n-gram instead; their statistics are
+dealt out and merged in a pass of their own.
 
 Score: with ``c`` the count (for the highest order) or the number of different
 words before it (lower orders), D the order's three discounts, and n1, n2, n3+
@@ -44,14 +45,16 @@ from pyspark.sql import functions as F
 from terrascore.llm import bytesvec as bv
 from terrascore.llm.common import shared_path, ship_code, stage_table
 
-#: Bigrams: at three words the packed counts alone pass the disk that is allowed here.
-ORDER = 2
+#: Order of the registered query's model.
+ORDER = 3
 #: N-grams that a task holds before it deals them out.
 FLUSH = 3_000_000
 #: Tokens that are scored at once.
 SCORED_AT_ONCE = 400_000
 END, BEGIN = np.uint64(0x1D8E4E27C47D124F), np.uint64(0x7FB5D329728EA185)
 U64 = np.uint64
+#: Statistics of a context: sum of the counts, n-grams by count.
+CONTEXT = ("total", "n1", "n2", "n3")
 
 
 def held_out(id_col: str = "doc_id", folds: int = 5, fold: int = 1) -> Column:
@@ -95,11 +98,16 @@ def gram_hash(context: np.ndarray, last: np.ndarray) -> np.ndarray:
     return bv.mix(context * U64(0xD6E8FEB86659FD93) + last)
 
 
-def shard_of(columns: list[np.ndarray], context: np.ndarray, gram: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
-    spread = np.ones(len(gram), bool)
+def is_spread(columns: list[np.ndarray], hot: np.ndarray) -> np.ndarray:
+    """Whether the n-grams of a context are spread over all shards."""
+    spread = np.ones(len(columns[-1]), bool)
     for c in columns[:-1]:
         spread &= np.isin(c, hot)
-    return (bv.mix(np.where(spread, gram, context)) % U64(shards)).astype(np.int64)
+    return spread
+
+
+def shard_of(columns: list[np.ndarray], context: np.ndarray, gram: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
+    return (bv.mix(np.where(is_spread(columns, hot), gram, context)) % U64(shards)).astype(np.int64)
 
 
 def unique_rows(columns: list[np.ndarray], counts: np.ndarray, gram: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -111,12 +119,25 @@ def unique_rows(columns: list[np.ndarray], counts: np.ndarray, gram: np.ndarray)
     return [c[order][at] for c in columns], total, gram[at]
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """The values' lowest bytes, then the next, as far as any is not 0."""
+    width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def _from_planes(data: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    width = len(data) // n if n else 0
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(width, n).T
+    return out.view("<u8").reshape(-1)
+
+
 def _pack(shard: np.ndarray, arrays: list[np.ndarray], kind: str) -> Iterator[dict]:
     order = np.argsort(shard, kind="stable")
     shard, arrays = shard[order], [a[order] for a in arrays]
     at = np.flatnonzero(np.diff(shard, prepend=-1))
     for a, b in zip(at, np.append(at[1:], len(shard))):
-        yield {"kind": kind, "shard": int(shard[a]), "n": int(b - a), "parts": [np.ascontiguousarray(x[a:b]).tobytes() for x in arrays]}
+        yield {"kind": kind, "shard": int(shard[a]), "n": int(b - a), "parts": [_planes(x[a:b]) for x in arrays]}
 
 
 _BLOB = pa.schema([("kind", pa.string()), ("shard", pa.int32()), ("n", pa.int64()), ("parts", pa.list_(pa.binary()))])
@@ -127,9 +148,9 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, schema=_BLOB)
 
 
-def _unpack(table: pa.Table, kinds: list) -> list[np.ndarray]:
-    parts = table["parts"].to_pylist()
-    return [np.frombuffer(b"".join(p[k] for p in parts), t) for k, t in enumerate(kinds)]
+def _unpack(table: pa.Table, columns: int) -> list[np.ndarray]:
+    parts, sizes = table["parts"].to_pylist(), table["n"].to_pylist()
+    return [np.concatenate([_from_planes(p[k], n) for p, n in zip(parts, sizes)]) for k in range(columns)]
 
 
 def _save(folder: str, name: str, array: np.ndarray) -> None:
@@ -164,6 +185,8 @@ class Model:
     order: int
     shards: int
     hot: np.ndarray
+    #: words before each shard of words
+    first: np.ndarray
     train_tokens: int = 0
     vocabulary: int = 0
     #: per order: the three discounts, and of the empty context (total, n1, n2, n3+)
@@ -172,8 +195,9 @@ class Model:
 
 
 def _lookup(folder: str, shards: int, shard: np.ndarray, keys: np.ndarray, names: list[str], first: str) -> list[np.ndarray]:
-    """Values of ``names`` at ``keys`` in the mapped shard files (0 if absent).
-    Keys are looked up once each, in the files' order."""
+    """Values of ``names`` at ``keys`` in the mapped shard files (0 if absent);
+    the name ``""`` stands for the place in the file, from 1. Keys are looked up
+    once each, in the files' order."""
     order = np.lexsort((keys, shard))
     s, k = shard[order], keys[order]
     new = np.concatenate([[True], (k[1:] != k[:-1]) | (s[1:] != s[:-1])]) if len(k) else np.zeros(0, bool)
@@ -190,8 +214,8 @@ def _lookup(folder: str, shards: int, shard: np.ndarray, keys: np.ndarray, names
         at = np.minimum(np.searchsorted(sorted_keys, uk[a:b]), len(sorted_keys) - 1)
         hit = sorted_keys[at] == uk[a:b]
         for j, name in enumerate(names):
-            values = _load_counts(folder, f"{name}-{i:05d}", len(sorted_keys))
-            found[j][a:b] = np.where(hit, values[at].astype(np.int64), 0)
+            values = _load_counts(folder, f"{name}-{i:05d}", len(sorted_keys))[at].astype(np.int64) if name else at + 1
+            found[j][a:b] = np.where(hit, values, 0)
     back = np.cumsum(new) - 1
     out = []
     for f in found:
@@ -232,13 +256,13 @@ def _count_words(folder: str, shards: int):
 
     def gather(table: pa.Table) -> pa.Table:
         shard = table["shard"][0].as_py()
-        h, c = _unpack(table, [U64, U64])
+        h, c = _unpack(table, 2)
         h, c = _sum_words([h], [c.astype(np.int64)])
         _save(f"{folder}/words", f"hash-{shard:05d}", h)
         _save(f"{folder}/words", f"count-{shard:05d}", _small(c))
         top = np.argsort(-c, kind="stable")[:64]
         return pa.Table.from_pylist([{"kind": "stat", "shard": shard, "n": len(h),
-                                      "parts": [np.int64(c.sum()).tobytes(), h[top].tobytes(), c[top].astype(np.int64).tobytes()]}], schema=_BLOB)
+                                      "parts": [np.int64(c.sum()).tobytes(), top.astype(np.int64).tobytes(), c[top].astype(np.int64).tobytes()]}], schema=_BLOB)
     return deal, gather
 
 
@@ -247,18 +271,33 @@ def _sum_words(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.n
     return h, c
 
 
-def _deal_grams(order: int, hot: np.ndarray, shards: int):
+def word_ids(folder: str, first: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number, count) of each word hash: BEGIN is 0, the words of the training
+    texts are 1 to V, shard after shard (``first``: words before each shard),
+    and any other is V + 1, with the count 0."""
+    shards = len(first) - 1
+    shard = (words % U64(shards)).astype(np.int64)
+    at, count = _lookup(f"{folder}/words", shards, shard, words, ["", "count"], "hash")
+    ids = np.where(at > 0, first[shard] + at, first[-1] + 1)
+    return np.where(words == BEGIN, 0, ids).astype(U64), count
+
+
+def _deal_grams(folder: str, first: np.ndarray, order: int, hot: np.ndarray, shards: int):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def flush():
-            columns = [np.concatenate([h[k] for h in held]) for k in range(order)]
+            skip = np.cumsum([0] + [len(h[0]) for h in held])
+            ids, _ = word_ids(folder, first, np.concatenate([h[0] for h in held]))
+            grams = [ngrams(ids[h[1] + k], h[2], order) for h, k in zip(held, skip)]
+            columns = [np.concatenate([g[k] for g in grams]) for k in range(order)]
             return _batch(_dealt(columns, np.ones(len(columns[0]), np.int64), hot, shards))
         for batch in batches:
             data, offsets = bv.string_buffers(batch.column(0))
             for _, _, d, o in bv.chunks(data, offsets):
                 tokens, at, _ = token_stream(d, o, order)
-                held.append(ngrams(tokens, at, order))
+                words, where = np.unique(tokens, return_inverse=True)
+                held.append((words, where.astype(np.int32), at))
                 size += len(at)
                 if size > FLUSH:
                     yield flush()
@@ -268,31 +307,74 @@ def _deal_grams(order: int, hot: np.ndarray, shards: int):
     return deal
 
 
+def _keys(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """The columns in as few numbers as hold them, for sorting."""
+    keys: list[np.ndarray] = []
+    room = 0
+    for c in columns:
+        bits = int(c.max()).bit_length() if len(c) else 0
+        if keys and bits <= room:
+            keys[-1] = (keys[-1] << U64(bits)) | c
+            room -= bits
+        else:
+            keys.append(c)
+            room = 64 - bits
+    return keys
+
+
+def sum_grams(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """N-grams once each, in the order of their words, with summed counts."""
+    keys = _keys(columns)
+    order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for key in keys:
+        key = key[order]
+        new[1:] |= key[1:] != key[:-1]
+    at = np.flatnonzero(new)
+    total = np.add.reduceat(counts[order], at) if len(at) else counts[:0]
+    return [c[order[at]] for c in columns], total
+
+
 def _dealt(columns: list[np.ndarray], counts: np.ndarray, hot: np.ndarray, shards: int) -> list[dict]:
+    columns, counts = sum_grams(columns, counts)
     context = context_hash(columns)
-    columns, counts, gram = unique_rows(columns, counts, gram_hash(context, columns[-1]))
-    shard = shard_of(columns, context_hash(columns), gram, hot, shards)
-    return list(_pack(shard, [*columns, _small(counts).astype(np.uint32)], "gram"))
+    shard = shard_of(columns, context, gram_hash(context, columns[-1]), hot, shards)
+    return list(_pack(shard, [*columns, counts], "gram"))
+
+
+def _save_contexts(folder: str, shard: int, key: np.ndarray, stats: list[np.ndarray]) -> list[np.ndarray]:
+    """Write the statistics of contexts, summed by context."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    stats = [np.add.reduceat(x[order], at) if len(at) else x[:0] for x in stats]
+    _save(folder, f"hash-{shard:05d}", key[at])
+    for name, x in zip(CONTEXT, stats):
+        _save(folder, f"{name}-{shard:05d}", _small(x))
+    return stats
 
 
 def _write_grams(folder: str, k: int, hot: np.ndarray, shards: int):
-    """Reduce: sum a shard's k-grams, write them, and pass on counts of counts,
-    statistics of contexts, and the (k-1)-grams they continue."""
+    """Reduce: sum a shard's k-grams, write them and the statistics of the
+    contexts that are here as a whole, and pass on counts of counts, statistics
+    of the spread contexts, and the (k-1)-grams they continue."""
     def gather(table: pa.Table) -> pa.Table:
         shard = table["shard"][0].as_py()
-        *columns, counts = _unpack(table, [U64] * k + [np.uint32])
+        *columns, counts = _unpack(table, k + 1)
+        columns, counts = sum_grams(columns, counts.astype(np.int64))
         context = context_hash(columns)
-        columns, counts, gram = unique_rows(columns, counts.astype(np.int64), gram_hash(context, columns[-1]))
-        _save(f"{folder}/grams{k}", f"hash-{shard:05d}", gram)
-        _save(f"{folder}/grams{k}", f"count-{shard:05d}", _small(counts))
+        gram = gram_hash(context, columns[-1])
+        order = np.argsort(gram, kind="stable")
+        _save(f"{folder}/grams{k}", f"hash-{shard:05d}", gram[order])
+        _save(f"{folder}/grams{k}", f"count-{shard:05d}", _small(counts[order]))
         rows = [{"kind": "stat", "shard": shard, "n": len(gram), "parts": [np.bincount(np.minimum(counts, 5), minlength=6).astype(np.int64).tobytes()]}]
-        context = context_hash(columns)
-        order = np.argsort(context, kind="stable")
-        context, c = context[order], counts[order]
+        # sorted by their words, so the n-grams of a context stand together
         at = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-        stats = [np.add.reduceat(x.astype(np.int64), at) for x in (c, c == 1, c == 2, c >= 3)]
-        key = context[at]
-        rows += _pack((bv.mix(key) % U64(shards)).astype(np.int64), [key, *[x.astype(np.uint64) for x in stats]], "context")
+        stats = [np.add.reduceat(x.astype(np.int64), at) for x in (counts, counts == 1, counts == 2, counts >= 3)]
+        key, spread = context[at], is_spread([c[at] for c in columns], hot)
+        _save_contexts(f"{folder}/contexts{k}", shard, key[~spread], [x[~spread] for x in stats])
+        rows += _pack((bv.mix(key[spread]) % U64(shards)).astype(np.int64), [key[spread], *[x[spread] for x in stats]], "context")
         if k > 1:
             rows += [r | {"kind": "lower"} for r in _dealt(columns[1:], np.ones(len(gram), np.int64), hot, shards)]
         return pa.Table.from_pylist(rows, schema=_BLOB)
@@ -302,16 +384,10 @@ def _write_grams(folder: str, k: int, hot: np.ndarray, shards: int):
 def _write_contexts(folder: str, k: int):
     def gather(table: pa.Table) -> pa.Table:
         shard = table["shard"][0].as_py()
-        key, *stats = _unpack(table, [U64] * 5)
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        stats = [np.add.reduceat(x[order], at) for x in stats]
-        _save(f"{folder}/contexts{k}", f"hash-{shard:05d}", key[at])
-        for name, x in zip(("total", "n1", "n2", "n3"), stats):
-            _save(f"{folder}/contexts{k}", f"{name}-{shard:05d}", _small(x))
+        key, *stats = _unpack(table, 5)
+        stats = _save_contexts(f"{folder}/spread{k}", shard, key, [x.astype(np.int64) for x in stats])
         sums = [int(x.sum()) for x in stats]
-        return pa.Table.from_pylist([{"kind": "stat", "shard": shard, "n": len(at), "parts": [np.array(sums, np.int64).tobytes()]}], schema=_BLOB)
+        return pa.Table.from_pylist([{"kind": "stat", "shard": shard, "n": len(stats[0]), "parts": [np.array(sums, np.int64).tobytes()]}], schema=_BLOB)
     return gather
 
 
@@ -323,25 +399,29 @@ def discounts(of: np.ndarray) -> np.ndarray:
     return np.array([min(max(x, 0.05), k) for k, x in enumerate(d, 1)])
 
 
-def train(texts: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
+def train(texts: DataFrame, text_col: str = "text", order: int = 2) -> Model:
     """Count the rows' texts and write the model into the shared folder."""
     spark: SparkSession = texts.sparkSession
     ship_code(spark)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = _local(shared_path(spark, "lm"))
     body = texts.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("body"))
-    model = Model(folder, order, shards, np.zeros(0, U64))
     deal, gather = _count_words(folder, shards)
     stats = body.mapInArrow(deal, BLOB).groupBy("shard").applyInArrow(gather, BLOB).collect()  # one row per shard
-    model.vocabulary = sum(r["n"] for r in stats)
+    first = np.zeros(shards + 1, np.int64)
+    for r in stats:
+        first[r["shard"] + 1] = r["n"]
+    first = np.cumsum(first)
+    model = Model(folder, order, shards, np.zeros(0, U64), first, vocabulary=int(first[-1]))
     model.train_tokens = sum(int(np.frombuffer(r["parts"][0], np.int64)[0]) for r in stats)
-    tops = [(h, c) for r in stats for h, c in zip(np.frombuffer(r["parts"][1], U64), np.frombuffer(r["parts"][2], np.int64))]
-    hot = [h for h, c in tops if c * shards > model.train_tokens]
-    model.hot = np.sort(np.array([*hot, BEGIN], U64))
-    grams = body.mapInArrow(_deal_grams(order, model.hot, shards), BLOB)
+    tops = [(first[r["shard"]] + 1 + at, c) for r in stats
+            for at, c in zip(np.frombuffer(r["parts"][1], np.int64), np.frombuffer(r["parts"][2], np.int64))]
+    hot = [w for w, c in tops if c * shards > model.train_tokens]
+    model.hot = np.sort(np.array([*hot, 0], U64))  # 0: BEGIN
+    grams = body.mapInArrow(_deal_grams(folder, first, order, model.hot, shards), BLOB)
     for k in range(order, 0, -1):
         done = grams.groupBy("shard").applyInArrow(_write_grams(folder, k, model.hot, shards), BLOB)
-        done = stage_table(done, f"lm-order{k}", partition_by=("kind",))
+        done = stage_table(done, f"lm-order{k}")
         of = [np.frombuffer(r["parts"][0], np.int64) for r in done.where("kind = 'stat'").select("parts").collect()]
         of = np.sum(of, axis=0) if of else np.zeros(6, np.int64)
         merged = (done.where("kind = 'context'").groupBy("shard").applyInArrow(_write_contexts(folder, k), BLOB)
@@ -355,14 +435,16 @@ def train(texts: DataFrame, text_col: str = "text", order: int = ORDER) -> Model
 
 
 def log_probabilities(model: Model, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """log10 of the model's probability of the tokens at ``at``."""
+    """log10 of the model's probability of the tokens (``word_ids``) at ``at``."""
     total, n1, n2, n3 = (float(x) for x in (model.unigrams if model.unigrams is not None else np.zeros(4)))
     p = np.full(len(at), 1.0 / (model.vocabulary + 1))
     for k in range(1, model.order + 1):
         columns = ngrams(tokens, at, k)
         context = context_hash(columns)
         gram = gram_hash(context, columns[-1])
-        shard = shard_of(columns, context, gram, model.hot, model.shards)
+        spread = is_spread(columns, model.hot)
+        home = (bv.mix(context) % U64(model.shards)).astype(np.int64)
+        shard = np.where(spread, (bv.mix(gram) % U64(model.shards)).astype(np.int64), home)
         c, = _lookup(f"{model.folder}/grams{k}", model.shards, shard, gram, ["count"], "hash")
         d = model.discounts[k]
         taken = np.concatenate([[0.0], d])[np.minimum(c, 3)]
@@ -370,8 +452,10 @@ def log_probabilities(model: Model, tokens: np.ndarray, at: np.ndarray) -> np.nd
             if total:
                 p = np.maximum(c - taken, 0) / total + (d @ np.array([n1, n2, n3])) / total * p
             continue
-        home = (bv.mix(context) % U64(model.shards)).astype(np.int64)
-        t, a, b, e = _lookup(f"{model.folder}/contexts{k}", model.shards, home, context, ["total", "n1", "n2", "n3"], "hash")
+        t, a, b, e = found = [np.zeros(len(at), np.int64) for _ in CONTEXT]
+        for name, part in (("contexts", ~spread), ("spread", spread)):
+            for x, y in zip(found, _lookup(f"{model.folder}/{name}{k}", model.shards, home[part], context[part], list(CONTEXT), "hash")):
+                x[part] = y
         seen = t > 0
         t = np.maximum(t, 1)
         p = np.where(seen, np.maximum(c - taken, 0) / t + (d[0] * a + d[1] * b + d[2] * e) / t * p, p)
@@ -395,8 +479,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             at = np.concatenate([s[1] + k for s, k in zip(streams, skip)])
             base_row = np.cumsum([0] + [len(i) for i in ids])
             row = np.concatenate([s[2] + k for s, k in zip(streams, base_row)])
-            words = tokens[at]
-            c, = _lookup(f"{m.folder}/words", m.shards, (words % U64(m.shards)).astype(np.int64), words, ["count"], "hash")
+            tokens, c = word_ids(m.folder, m.first, tokens)
+            c = c[at]
             n = int(base_row[-1])
             sums = lambda x: np.bincount(row, weights=x, minlength=n)
             base = sums(np.log10((c + 0.5) / rate))

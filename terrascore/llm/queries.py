@@ -14,7 +14,7 @@ from terrascore.llm.common import read_table
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held = lm_scoring.held_out()
-    out = lm_scoring.score(docs, lm_scoring.train(docs.where(~held)))
+    out = lm_scoring.score(docs, lm_scoring.train(docs.where(~held), order=lm_scoring.ORDER))
     return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
                       "score", "perplexity")
 

@@ -86,6 +86,39 @@ def test_lm_third_order_without_training_rows_and_empty_table(spark):
     assert lm_scoring.score(d.limit(0), lm_scoring.train(d)).count() == 0
 
 
+def test_registered_lm_equals_brute_force_of_three_words(spark):
+    rows = [(r.doc_id, r.text) for r in table(spark, "documents").select("doc_id", "text").collect()]
+    tok = lambda t: [b"<s>", b"<s>", *bytes(c + 32 if 65 <= c <= 90 else c for c in (t or "").encode()).split(), b"</s>"]
+    grams, words = [None] + [collections.Counter() for _ in range(3)], collections.Counter()
+    for i, t in rows:
+        if zlib.crc32(str(i).encode()) % 5 != 1:
+            w = tok(t)
+            words.update(w[2:])
+            grams[3].update(zip(w, w[1:], w[2:]))
+    for k in (2, 1):
+        grams[k] = collections.Counter(g[1:] for g in grams[k + 1])
+    disc, contexts = [None], [None]
+    for g in grams[1:]:
+        of = collections.Counter(g.values())
+        disc.append([0.0, *lm_scoring.discounts(np.array([of[c] for c in (1, 2, 3, 4)]))])
+        contexts.append(collections.defaultdict(list))
+        for x, c in g.items():
+            contexts[-1][x[:-1]].append(c)
+    mass = [None] + [{h: (sum(cs), sum(disc[k][min(c, 3)] for c in cs)) for h, cs in contexts[k].items()} for k in (1, 2, 3)]
+
+    def p(g):
+        q = 1 / (len(words) + 1)
+        for k in (1, 2, 3):
+            x = g[3 - k:]
+            if x[:-1] in mass[k]:
+                total, left = mass[k][x[:-1]]
+                q = max(grams[k][x] - disc[k][min(grams[k][x], 3)], 0) / total + left / total * q
+        return q
+    want = {i: sum(math.log10(p(g)) for w in [tok(t)] for g in zip(w, w[1:], w[2:])) for i, t in rows}
+    got = {r.doc_id: r.score for r in llm_queries()["op1_lm_scoring"](spark, SF_SMALL).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], rel_tol=1e-9) for i in want)
+
+
 # ------------------------------------------------------------------ HTML
 PAGE = """<!doctype html><title>T</title><header class=site-header><p>Site</header><nav><ul><li><a href=/>Home</a><li><a href=/x>More</a></ul></nav>
 <div class="cookie-banner"><p>We use cookies.</p></div><main><article class="post"><h1>A &amp; B&nbsp;title</h1><p>First  <b>para</b>graph
