@@ -4,6 +4,10 @@ with the tags and class words above it, and the nearest such words by themselves
 Reads whatever is there: unclosed and misnested tags, unquoted attributes,
 comments and raw-text elements that never end. White space inside a block is
 single, character references are decoded, and no text is cut.
+
+A head without an end tag ends where something stands that cannot be in a head.
+Another hidden element without an end tag of its own hides what follows up to
+the next block-level tag or the end of the element around it.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
 _WORD = re.compile(r"[a-z]+")
 #: Elements whose text is never shown as part of the page's body.
 HIDDEN = frozenset("script style template noscript head title svg iframe object".split())
+#: Elements that may stand in a head.
+_IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 RAW = frozenset("script style title textarea".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that do not end a block.
@@ -44,7 +50,10 @@ def blocks(page: str | None) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, frozenset[str], frozenset[str]]] = []
     text: list[str] = []
-    links = linked = hidden = 0
+    links = linked = 0
+    # of the open hidden elements: [blocks before it, blocks before the first block-level tag in it]
+    hidden: list[list[int]] = []
+    unbound: list[list[int]] = []
     page = page or ""
     at, none = 0, frozenset()
 
@@ -53,22 +62,35 @@ def blocks(page: str | None) -> list[Block]:
         if text:
             words = html.unescape("".join(text)).split()
             text.clear()
-            if words and not hidden:
+            if words:
                 names, own = stack[-1][1:] if stack else (none, none)
                 out.append(Block(" ".join(words), tuple(t for t, _, _ in stack), names, own, linked))
             linked = 0
 
-    def pop_to(k: int) -> None:
-        nonlocal links, hidden
-        for t, _, _ in stack[k:]:
+    def pop_to(k: int, own: bool = False) -> None:
+        """Close the elements from ``k`` on; ``own``: that one by its own end tag."""
+        nonlocal links
+        for i in range(len(stack) - 1, k - 1, -1):
+            t = stack[i][0]
             links -= t == "a"
-            hidden -= t in HIDDEN
+            if t in HIDDEN and t not in RAW:
+                mark = hidden.pop()
+                if unbound and unbound[-1] is mark:
+                    unbound.pop()
+                first, bound = mark
+                del out[first:bound if bound >= 0 and not (own and i == k) else len(out)]
         del stack[k:]
 
+    def end_head() -> None:
+        flush()
+        pop_to(next(k for k, x in enumerate(stack) if x[0] == "head"))
+
     while at < len(page):
         m = _TOKEN.search(page, at)
         end = m.start() if m else len(page)
         if end > at:
+            if stack and stack[-1][0] == "head" and not page[at:end].isspace():
+                end_head()
             text.append(page[at:end])
             if links:
                 linked += end - at
@@ -84,9 +106,16 @@ def blocks(page: str | None) -> list[Block]:
         if close:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    pop_to(k)
+                    pop_to(k, own=True)
                     break
             continue
+        if (stack and stack[-1][0] == "head" and tag not in _IN_HEAD
+                or tag == "body" and any(t == "head" for t, _, _ in stack)):
+            end_head()
+        if unbound and (tag in _ENDS_P or tag in _SELF or tag == "body"):
+            for mark in unbound:
+                mark[1] = len(out)
+            unbound.clear()
         if tag in _ENDS_P and any(t == "p" for t, _, _ in stack[-3:]):
             for k in range(len(stack) - 1, max(len(stack) - 4, -1), -1):
                 if stack[k][0] == "p":
@@ -100,7 +129,9 @@ def blocks(page: str | None) -> list[Block]:
         own = [w for v in _NAMES.findall(m[3]) for w in _WORD.findall(v.lower())] if m[3] else ()
         stack.append((tag, above | frozenset(own) if own else above, frozenset(own) or nearest))
         links += tag == "a"
-        hidden += tag in HIDDEN
+        if tag in HIDDEN and tag not in RAW:  # raw text that is hidden is skipped below
+            hidden.append([len(out), -1])
+            unbound.append(hidden[-1])
         if tag in RAW:
             stop = re.compile(rf"</{tag}\b", re.I).search(page, at)
             stop = stop.start() if stop else len(page)
@@ -108,4 +139,5 @@ def blocks(page: str | None) -> list[Block]:
                 text.append(page[at:stop])
             at = stop
     flush()
+    pop_to(0)
     return out

@@ -163,6 +163,25 @@ def test_field_on_unseen_layouts_and_exact_gradient():
     assert gt.shape == (3, 2)
 
 
+def test_pages_with_omitted_end_tags(spark):
+    of = lambda page: [b.text for b in blocks(page)]
+    for end in ("<body>", "", "</head>", "</head><body>"):
+        assert of(f"<html><head><meta charset=utf-8><title>T</title><style>a</style>{end}<h1>A</h1><p>b</html>") == ["A", "b"]
+    assert of("<head><title>T</title>\n <script>x</script> text <p>b") == ["text", "b"]
+    assert of("<head><noscript><p>on</p></noscript><link><body><p>b") == of("<head><noscript><link><body><p>b") == ["b"]
+    assert of("a<p>b<script>x") == ["a", "b"]
+    for tag in ("noscript", "svg", "object", "iframe", "template"):
+        assert of(f"<div><p>a</p><{tag} x=1>no<p>b</p><p>c</p></div><p>d") == ["a", "b", "c", "d"]
+        assert of(f"<div><p>a</p><{tag} x=1>no<p>no</p></{tag}><p>b</div>") == ["a", "b"]
+        assert of(f"<div><{tag}>no</div>a<{tag}>no<div>b<{tag}>no<p>no</{tag}>c") == ["a", "b", "c"]
+    article = "".join(f"<p>Paragraph {k} of the article, with words enough to be one.</p>" for k in range(4))
+    heads = ("<head><title>T</title></head>", "<head><title>T</title>")
+    pages = [(k, f"<!doctype html><html>{h}<body><nav><a href=/>Home</a></nav><article>{article}</article></body></html>") for k, h in enumerate(heads)]
+    got = [r.text for r in html_extract.extract(spark.createDataFrame(pages, "page_id long, html string")
+                                                .selectExpr("page_id", "'u' AS url", "html")).collect()]
+    assert got[0] == got[1] and got[0].startswith("Paragraph 0")
+
+
 def test_driver_pages_give_their_articles(spark):
     got = llm_queries()["op2_html_extraction"](spark, SF_SMALL).collect()
     assert len(got) == table(spark, "pages").count() and all(r.n_chars == len(r.text) for r in got)
