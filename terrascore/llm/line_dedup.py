@@ -6,8 +6,11 @@ each component of confirmed links, exact copies included, keeps one line: the
 first by document id and line number. Documents that lose all their lines go.
 
 1. Python reads the texts once and deals (band hash, line key) pairs out to
-   shards by band hash as packed arrays, so the shuffle moves few, compact
-   rows. Each shard keeps the bands that two or more different lines share.
+   shards as packed arrays, so the shuffle moves few, compact rows. A band that
+   different lines of a task share is known to be shared: its pairs are spread
+   over all shards, and only two of them go to the band's own shard, where other
+   tasks' single lines meet them. So a shard's share follows from its number,
+   which follows from the input's bytes, and not from a band's frequency.
 2. Line keys (64-bit hashes of whole lines) by document come from a second,
    built-in pass; copies of a line are counted by its key with partial sums.
 3. Candidate lines get their texts back; ``linking`` works the lists off and
@@ -27,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +45,8 @@ BANDS, ROWS = 12, 4
 PERCENT = 80
 #: (band, line) pairs gathered in a task before they are dealt out.
 FLUSH = 2_000_000
+#: Bytes of text for each shard of pairs, at most.
+SHARD_BYTES = 8 << 20
 #: Up to so many line keys, the second read of the texts is filtered by a broadcast.
 BROADCAST_ROWS = 1_000_000
 _SEED = 42  # the seed of Spark's xxhash64
@@ -88,16 +94,50 @@ def band_hashes(shingles: np.ndarray, n: np.ndarray, bands: int = BANDS, rows: i
     return out
 
 
-def _dealt(tokens: list, keys: list, shards: int) -> Iterator[pa.RecordBatch]:
-    t, k = np.concatenate(tokens), np.concatenate(keys)
-    shard = (t % np.uint64(shards)).astype(np.int32)
-    order = np.argsort(shard, kind="stable")
-    t, k, shard = t[order], k[order], shard[order]
-    at = np.flatnonzero(np.diff(shard, prepend=-1))
-    ends = np.append(at[1:], len(shard))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(shard[at]), pa.array([t[a:b].tobytes() for a, b in zip(at, ends)], pa.binary()),
-         pa.array([k[a:b].tobytes() for a, b in zip(at, ends)], pa.binary())], names=["shard", "tokens", "keys"])
+def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the runs of equal values."""
+    at = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
+    return at, np.append(at[1:], len(x))
+
+
+def _once(t: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different (token, key) pairs in order."""
+    order = np.lexsort((k, t))
+    t, k = t[order], k[order]
+    fresh = np.ones(len(t), bool)
+    fresh[1:] = (t[1:] != t[:-1]) | (k[1:] != k[:-1])
+    return t[fresh], k[fresh]
+
+
+def dealt(tokens: np.ndarray, keys: np.ndarray, shards: int) -> pa.RecordBatch:
+    """(shard, kind, tokens, keys): ``single`` are tokens with one key here, in
+    the token's shard, and ``two`` two keys of each other token; ``shared`` are
+    all pairs of those other tokens, spread by token and key."""
+    t, k = _once(tokens, keys)
+    at, end = _runs(t)
+    many = np.repeat(end - at > 1, end - at)
+    two = np.concatenate([at[end - at > 1], at[end - at > 1] + 1])
+    rows = []
+    for kind, x, y in (("single", t[~many], k[~many]), ("two", t[two], k[two]), ("shared", t[many], k[many])):
+        by = bv.mix(x * np.uint64(0x9E3779B97F4A7C15) + y) if kind == "shared" else x
+        shard = (by % np.uint64(shards)).astype(np.int32)
+        order = np.argsort(shard, kind="stable")
+        x, y, shard = x[order], y[order], shard[order]
+        rows += [(int(shard[a]), kind, x[a:b].tobytes(), y[a:b].tobytes()) for a, b in zip(*_runs(shard))]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), of) for c, of in zip(zip(*rows), (pa.int32(), pa.string(), pa.binary(), pa.binary()))],
+                                      names=["shard", "kind", "tokens", "keys"])
+
+
+def shared_pairs(table: pa.Table) -> pa.Table:
+    """(token, node) of one shard's dealt pairs whose token has several keys."""
+    def of(*kinds: str) -> tuple[np.ndarray, np.ndarray]:
+        part = table.filter(pc.is_in(table["kind"], pa.array(kinds)))
+        return tuple(np.frombuffer(b"".join(part[c].to_pylist()), np.uint64) for c in ("tokens", "keys"))
+    t, k = _once(*of("single", "two"))
+    at, end = _runs(t)
+    alike = np.repeat(end - at > 1, end - at)
+    st, sk = _once(*of("shared"))
+    return pa.table({"token": bv.as_long(np.concatenate([t[alike], st])), "node": bv.as_long(np.concatenate([k[alike], sk]))})
 
 
 def band_postings(docs: DataFrame, text_col: str, shards: int) -> DataFrame:
@@ -120,28 +160,15 @@ def band_postings(docs: DataFrame, text_col: str, shards: int) -> DataFrame:
                 keys.append(np.repeat(key, BANDS))
                 held += len(tokens[-1])
                 if held >= FLUSH:
-                    yield from _dealt(tokens, keys, shards)
+                    yield dealt(np.concatenate(tokens), np.concatenate(keys), shards)
                     tokens, keys, held = [], [], 0
         if held:
-            yield from _dealt(tokens, keys, shards)
-
-    def gather(table: pa.Table) -> pa.Table:
-        t = np.frombuffer(b"".join(table["tokens"].to_pylist()), np.uint64)
-        k = np.frombuffer(b"".join(table["keys"].to_pylist()), np.uint64)
-        order = np.lexsort((k, t))
-        t, k = t[order], k[order]
-        fresh = np.ones(len(t), bool)
-        fresh[1:] = (t[1:] != t[:-1]) | (k[1:] != k[:-1])
-        t, k = t[fresh], k[fresh]
-        alike = np.zeros(len(t), bool)
-        same = t[1:] == t[:-1]
-        alike[1:] |= same
-        alike[:-1] |= same
-        return pa.table({"token": bv.as_long(t[alike]), "node": bv.as_long(k[alike])})
+            yield dealt(np.concatenate(tokens), np.concatenate(keys), shards)
 
     body = docs.select(F.col(text_col).cast("string").alias("body")).where("body is not null")
-    return (body.mapInArrow(deal, "shard int, tokens binary, keys binary")
-            .groupBy("shard").applyInArrow(gather, "token long, node long"))
+    # a pair may come both from its token's shard and from its own
+    return (body.mapInArrow(deal, "shard int, kind string, tokens binary, keys binary")
+            .groupBy("shard").applyInArrow(shared_pairs, "token long, node long").distinct())
 
 
 def _doc_key(id_col: str, text_col: str) -> Column:
@@ -206,7 +233,8 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def line_components(docs: DataFrame, text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """(node, comp) for the line keys that have similar other lines."""
     spark = docs.sparkSession
-    shards = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")).cast("long"))).first()[0] or 0
+    shards = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
     postings, n = stage_table_counted(band_postings(docs, text_col, shards), "line-bands")
     if not n:
         return spark.createDataFrame([], "node long, comp long")

@@ -290,6 +290,26 @@ def test_lines_equal_brute_force(spark):
             assert out[i] == "\n".join(left)
 
 
+def test_a_frequent_band_is_spread_over_the_shards():
+    shards, rng = 16, np.random.default_rng(1)
+    hot, parts = np.uint64(77), []
+    for k in range(6):  # six tasks; in the last, one line with the hot band
+        n = 4000 if k < 5 else 1
+        t = np.concatenate([np.full(n, hot), rng.integers(1000, 9000, 3000, np.uint64)])
+        parts.append((t, rng.integers(0, 1 << 62, len(t), np.uint64)))
+    rows = pa.Table.from_batches([line_dedup.dealt(t, k, shards) for t, k in parts])
+    size = collections.Counter()
+    got = set()
+    for s in range(shards):
+        part = rows.filter(pa.compute.equal(rows["shard"], s))
+        size[s] = sum(len(x) // 8 for x in part["keys"].to_pylist())
+        got |= set(zip(*[part_.to_pylist() for part_ in line_dedup.shared_pairs(part).columns]))
+    pairs = {(int(a), int(b)) for t, k in parts for a, b in zip(t, k)}
+    keys = collections.Counter(a for a, _ in pairs)
+    assert got == {(a, b) for a, b in pairs if keys[a] > 1}
+    assert max(size.values()) < 1.5 * sum(size.values()) / shards
+
+
 def test_line_edges(spark):
     out = line_dedup.dedup_lines(docs(spark, AWKWARD))
     assert out.columns == docs(spark, AWKWARD).columns
