@@ -34,13 +34,12 @@ MIN_LEFT_PCT = 20
 
 
 def window_keys(hashes: str, n: str, window: int = WINDOW) -> Column:
-    """Sorted ``window hash * n + position`` of each ``window``-word window of
-    the word hashes in column ``hashes`` (``n`` of them): equal windows end up
-    side by side and no two windows need be compared. The hash is reduced so
-    that the product fits a long at any length."""
+    """Sorted (window hash, position) of each ``window``-word window of the word
+    hashes in column ``hashes`` (``n`` of them): equal windows end up side by
+    side and no two windows need be compared."""
     return F.expr(f"""
         CASE WHEN {n} >= {window} THEN sort_array(transform(sequence(0, {n} - {window}),
-            i -> pmod(xxhash64(slice({hashes}, i + 1, {window})), 4611686018427387904 div {n}) * {n} + i))
+            i -> struct(xxhash64(slice({hashes}, i + 1, {window})) AS h, i AS at)))
         ELSE array() END""")
 
 
@@ -48,8 +47,8 @@ def repeated_starts(keys: str, n: str) -> Column:
     """Start positions, ascending, of the windows found twice or more."""
     return F.expr(f"""
         sort_array(transform(filter({keys}, (k, i) ->
-            coalesce(get({keys}, i - 1) div {n} = k div {n}, false)
-            OR coalesce(get({keys}, i + 1) div {n} = k div {n}, false)), k -> k % {n}))""")
+            coalesce(get({keys}, i - 1).h = k.h, false)
+            OR coalesce(get({keys}, i + 1).h = k.h, false)), k -> k.at))""")
 
 
 def covered_words(starts: str, window: int = WINDOW) -> Column:

@@ -130,3 +130,12 @@ def test_quality_rules_brute_force_and_edges(spark):
     out = {r.doc_id: r.text for r in quality_lines.clean(docs(spark, rows)).collect()}
     assert set(out) == {i for i, k in kept.items() if k} and common not in out[3] and common in out[200]
     assert quality_lines.judge(docs(spark, rows).limit(0)).count() == 0
+
+
+def test_different_windows_of_a_long_text_are_not_equal(spark):
+    # 2 million different words: no window stands twice
+    long = spark.range(1).selectExpr("transform(sequence(1L, 2000000L), i -> xxhash64(i)) AS hashes", "2000000L AS n").persist()
+    keys = long.withColumn("keys", quality_lines.window_keys("hashes", "n")).persist()
+    assert keys.select(quality_lines.repeated_starts("keys", "n").alias("s")).selectExpr("size(s)").first()[0] == 0
+    keys.unpersist()
+    long.unpersist()
