@@ -290,6 +290,15 @@ def test_lines_equal_brute_force(spark):
             assert out[i] == "\n".join(left)
 
 
+def test_line_length_from_which_one_edit_is_found():
+    def similar(n):
+        a = bytes(np.random.default_rng(n).integers(97, 123, n, np.uint8))
+        x, y = (line_dedup.shingle_set(t) for t in (a, a[:n // 2] + b"Q" + a[n // 2 + 1:]))
+        same = len(np.intersect1d(x, y))
+        return 100 * same >= line_dedup.PERCENT * (len(x) + len(y) - same)
+    assert not similar(60) and not similar(88) and similar(89)
+
+
 def test_a_frequent_band_is_spread_over_the_shards():
     shards, rng = 16, np.random.default_rng(1)
     hot, parts = np.uint64(77), []
