@@ -49,6 +49,8 @@ from terrascore.llm.common import shared_path, ship_code, stage_table
 ORDER = 3
 #: N-grams that a task holds before it deals them out.
 FLUSH = 3_000_000
+#: Tokens of the training texts for each shard of n-grams, and their bytes for each of words, at most.
+SHARD_TOKENS, SHARD_BYTES = 4_000_000, 32 << 20
 #: Tokens that are scored at once.
 SCORED_AT_ONCE = 400_000
 END, BEGIN = np.uint64(0x1D8E4E27C47D124F), np.uint64(0x7FB5D329728EA185)
@@ -406,6 +408,8 @@ def train(texts: DataFrame, text_col: str = "text", order: int = 2) -> Model:
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = _local(shared_path(spark, "lm"))
     body = texts.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("body"))
+    size = body.agg(F.sum(F.octet_length("body").cast("long"))).first()[0] or 0
+    shards = max(least := shards, -(-size // SHARD_BYTES))
     deal, gather = _count_words(folder, shards)
     stats = body.mapInArrow(deal, BLOB).groupBy("shard").applyInArrow(gather, BLOB).collect()  # one row per shard
     first = np.zeros(shards + 1, np.int64)
@@ -414,6 +418,7 @@ def train(texts: DataFrame, text_col: str = "text", order: int = 2) -> Model:
     first = np.cumsum(first)
     model = Model(folder, order, shards, np.zeros(0, U64), first, vocabulary=int(first[-1]))
     model.train_tokens = sum(int(np.frombuffer(r["parts"][0], np.int64)[0]) for r in stats)
+    model.shards = shards = max(least, -(-model.train_tokens // SHARD_TOKENS))
     tops = [(first[r["shard"]] + 1 + at, c) for r in stats
             for at, c in zip(np.frombuffer(r["parts"][1], np.int64), np.frombuffer(r["parts"][2], np.int64))]
     hot = [w for w, c in tops if c * shards > model.train_tokens]

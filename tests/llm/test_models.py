@@ -119,6 +119,16 @@ def test_registered_lm_equals_brute_force_of_three_words(spark):
     assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], rel_tol=1e-9) for i in want)
 
 
+def test_lm_shards_follow_the_input(spark, monkeypatch):
+    d = docs(spark, [(i, f"a b{i} c{i % 5}", "s") for i in range(20)])
+    plain = [r.score for r in lm_scoring.score(d, lm_scoring.train(d)).orderBy("doc_id").collect()]
+    monkeypatch.setattr(lm_scoring, "SHARD_TOKENS", 5)
+    monkeypatch.setattr(lm_scoring, "SHARD_BYTES", 10)
+    model = lm_scoring.train(d)
+    assert model.shards == 16 and len(model.first) - 1 == 15
+    assert np.allclose([r.score for r in lm_scoring.score(d, model).orderBy("doc_id").collect()], plain, rtol=1e-9)
+
+
 # ------------------------------------------------------------------ HTML
 PAGE = """<!doctype html><title>T</title><header class=site-header><p>Site</header><nav><ul><li><a href=/>Home</a><li><a href=/x>More</a></ul></nav>
 <div class="cookie-banner"><p>We use cookies.</p></div><main><article class="post"><h1>A &amp; B&nbsp;title</h1><p>First  <b>para</b>graph
