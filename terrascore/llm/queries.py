@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from terrascore.llm import decontaminate, html_extract, langid, line_dedup, lm_scoring, minhash_join, mixing, oracles, quality_lines, toxicity, url_filter
+from terrascore.llm import decontaminate, html_extract, langid, line_dedup, lm_scoring, merkle, minhash_join, mixing, oracles, quality_lines, secret_scan, toxicity, url_filter, whitening
 from terrascore.llm.common import read_table
 
 
@@ -60,8 +60,22 @@ def op10_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_lines.judge(read_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return merkle.prove(merkle.manifest(docs, merkle.tampered()))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(read_table(spark, sf_dir, "embeddings"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_lm_scoring, op2_html_extraction, op3_minhash_near_dedup, op4_language_id, op5_url_filters, op6_decontamination, op7_toxicity, op8_line_dedup, op9_mixing, op10_quality_lines)}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_lm_scoring, op2_html_extraction, op3_minhash_near_dedup, op4_language_id, op5_url_filters, op6_decontamination, op7_toxicity, op8_line_dedup, op9_mixing, op10_quality_lines,
+        op11_merkle_manifest, op12_secret_scan, op13_embedding_whitening)}
 
 
 def llm_sql() -> dict[str, str]:
