@@ -72,6 +72,10 @@ def trends_sql(db: str, floor: int = R.TRENDS_YEAR_FLOOR, k: int = R.TRENDS_TOP_
     return _spine_view(db, TRENDS_COLUMNS, floor, chosen)
 
 
+def load_log_path(root: str) -> str:
+    return f"{root.rstrip('/')}/_load_log"
+
+
 def publish(spark: SparkSession, tables: dict[str, DataFrame], database: str, root: str,
             comparison_floor: int = R.COMPARISON_YEAR_FLOOR,
             trends_floor: int = R.TRENDS_YEAR_FLOOR, top_k: int = R.TOP_K,
@@ -84,7 +88,7 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], database: str, ro
 
     Each table is loaded with its declared schema (columns matched by name,
     cast and ordered as declared), so the catalog schema never depends on
-    how a plan happened to type a column.
+    how a plan happened to type a column. Every load appends to the load log.
     """
     # The namespace lives next to the tables (shared storage), not in the
     # process's working directory.
@@ -95,7 +99,7 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], database: str, ro
                                   schema=TABLE_SCHEMAS[name],
                                   path=f"{root.rstrip('/')}/{name}",
                                   bucket_by=R.KEYS if name in BUCKETED else None,
-                                  buckets=buckets)
+                                  buckets=buckets, log=load_log_path(root))
     replace_view(spark, f"{database}.country_comparison_view",
                  comparison_sql(database, comparison_floor))
     replace_view(spark, f"{database}.top_countries_for_grads_view", top_sql(database, top_k))

@@ -17,15 +17,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from ..operators import clean as C
-from ..operators import dims
-from ..schemas import CLEAN, REJECTED, TABLE_SCHEMAS
+from ..operators import dims, facts, index
+from ..schemas import CLEAN, MALFORMED, REJECTED, TABLE_SCHEMAS
 from ..session import shared_path, stage_table
-from ..sinks.writers import ensure_database, load_table, write_raw_csv, write_raw_json, write_snapshot
+from ..sinks.increments import publish_changes, read_published
+from ..sinks.writers import (ensure_database, land_raw, load_log, load_table, loaded_rows, write_raw_csv, write_raw_json,
+                             write_snapshot)
 from ..sources import adapter, envelopes, files
-from ..streaming.landing import run_landing
+from ..streaming.landing import read_quarantined, run_landing, run_quarantine
 from . import queries as Q
-from .catalog import TABLES, publish
-from .snapshot_job import build_tables
+from . import serving
+from .catalog import load_log_path, publish
+from .snapshot_job import build_tables, load_landed
 from .snapshot_job import run as run_job
 
 SNAPSHOT_DATES = (dt.date(2025, 1, 1), dt.date(2025, 1, 2))
@@ -45,22 +48,42 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_raw_json(spark, path)
 
 
-def flatten_landed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _landed_pages(spark: SparkSession, pages: DataFrame) -> DataFrame:
     path = shared_path(spark, "pages")
-    pages = envelopes.pack_envelopes(adapter.raw_observations(spark, sf_dir))
     pages.select("envelope").write.text(path)
-    landed = envelopes.read_envelopes(spark, path, whole_files=False)
-    return envelopes.flatten_envelopes(landed, adapter.DEFAULT_EXTRACTION_DATE)
+    return envelopes.read_envelopes(spark, path, whole_files=False)
+
+
+def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The adapter's rows as pages (the test data's generator, not the operator)."""
+    return stage_table(envelopes.pack_envelopes(adapter.raw_observations(spark, sf_dir)), "packed_pages")
+
+
+#: Every so many pages of an indicator land twice, or not at all.
+REPEATED_EVERY, MISSING_EVERY = 2, 3
+
+
+def flatten_landed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page of every indicator, flattened. Every second one had landed
+    before with other values: the last landing counts, once."""
+    pages = _packed(spark, sf_dir)
+    path = shared_path(spark, "pages")
+    stale = F.regexp_replace("envelope", r'"value":[0-9.E-]+\}', '"value":-1}')
+    pages.where(F.col("page") % REPEATED_EVERY == 0).select(stale.alias("envelope")).write.text(f"{path}/first")
+    pages.select("envelope").write.text(f"{path}/second")
+    landed = envelopes.read_envelopes(spark, f"{path}/*", whole_files=False)
+    return envelopes.flatten_envelopes(envelopes.latest_pages(landed), adapter.DEFAULT_EXTRACTION_DATE)
+
+
+def missing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third page of each indicator got lost; the others' metadata tell."""
+    return envelopes.missing_pages(_landed_pages(spark, _packed(spark, sf_dir).where(F.col("page") % MISSING_EVERY != 0)))
 
 
 def envelope_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land every page of every indicator, then check the landing against the
     pages' own metadata (all complete)."""
-    path = shared_path(spark, "pages")
-    pages = envelopes.pack_envelopes(adapter.raw_observations(spark, sf_dir))
-    pages.select("envelope").write.text(path)
-    return envelopes.envelope_completeness(
-        envelopes.read_envelopes(spark, path, whole_files=False))
+    return envelopes.envelope_completeness(_landed_pages(spark, _packed(spark, sf_dir)))
 
 
 #: Pages with every flaw a landing brings: an id outside the registry, no id at
@@ -68,6 +91,10 @@ def envelope_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 EDGE_PAGES = (
     '{meta},[{{"countryiso3code":"{c}","country":{{"id":"x","value":"{n}"}},"indicator":{{"id":"UNKNOWN"}},"date":"2020","value":1.5}}]]',
     '{meta},[{{"countryiso3code":"{c}","date":"2021","value":2.5}},{{"country":null,"date":"2022","value":null}}]]',
+    # elements that are no records, beside good ones, and numbers written as text
+    '{meta},[{{"countryiso3code":"{c}","country":{{"value":"{n}"}},"indicator":{{"id":"MIXED"}},"date":"2023","value":"3.5"}},5,null,"{c}",[1],'
+    '{{"countryiso3code":"{c}","date":"2024","value":"abc"}},{{"country":"{n}","value":1}},{{"indicator":[7],"value":1}},'
+    '{{"countryiso3code":"{c}","indicator":{{"id":"MIXED"}},"date":2025,"value":4}}]]',
     '{meta},[]]', '{meta},null]', '[{{"message":"no such indicator"}}]', '{meta},[{{"countryiso3code":"{c}"',
 )
 
@@ -97,11 +124,120 @@ def rejected_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_pages")))
 
 
+def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements that are no records, by place and reason, with their text; the
+    records beside them are in ``flatten_edge_pages``."""
+    return envelopes.rejected_records(edge_pages(spark, sf_dir))
+
+
+def _flawed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw observations as JSON lines; every line of one indicator is cut short,
+    and each of another has a text for its value."""
+    raw = adapter.raw_observations(spark, sf_dir)
+    whole = F.to_json(F.struct(*raw.columns))
+    name = F.col("indicator_name")
+    line = (F.when(name == "inflation", F.substring(whole, 1, 20))
+            .when((name == "gdp") & F.col("value").isNotNull(), F.to_json(F.struct(
+                *[c for c in raw.columns if c != "value"], F.lit("n/a").alias("value")))).otherwise(whole))
+    return raw.select(line.alias("line"))
+
+
+def malformed_in_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job over flawed lines, run twice: what it wrote, by kind."""
+    path, root = shared_path(spark, "landing"), shared_path(spark, "job")
+    _flawed_lines(spark, sf_dir).write.text(path)
+    for _ in range(2):
+        raw, malformed = load_landed(spark, "json", path, SNAPSHOT_DATES[0])
+        run_job(spark, raw, root, SNAPSHOT_DATES[0], malformed=malformed)
+    dated = StructType([*MALFORMED.fields, StructField("process_date", DateType())])
+    bad = files.read_snapshot(spark, f"{root}/malformed", SNAPSHOT_DATES[0], schema=dated)
+    good = files.read_snapshot(spark, f"{root}/observations", SNAPSHOT_DATES[0], schema=CLEAN)
+    return (bad.select(F.col("reject_reason").alias("kind"), F.col("record").endswith("}").alias("whole"))
+            .unionByName(good.select(F.lit("clean").alias("kind"), F.lit(True).alias("whole")))
+            .groupBy("kind", "whole").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flawed lines through the stream, run again with nothing new: observations
+    and malformed records, each once."""
+    landing, ckpt = shared_path(spark, "landing"), shared_path(spark, "stream_ckpt")
+    out, bad = shared_path(spark, "stream_out"), shared_path(spark, "stream_malformed")
+    _flawed_lines(spark, sf_dir).write.text(landing)
+    for _ in range(2):
+        run_quarantine(spark, landing, out, bad, ckpt)
+    clean, malformed = read_quarantined(spark, out, bad)
+    return (malformed.select(F.col("reject_reason").alias("kind"), F.col("record").endswith("}").alias("whole"))
+            .unionByName(clean.select(F.lit("clean").alias("kind"), F.lit(True).alias("whole")))
+            .groupBy("kind", "whole").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw CSV and JSON landed, one indicator empty: the manifest, counted as it
+    was written."""
+    raw = adapter.raw_observations(spark, sf_dir).where(F.col("indicator_name") != "inflation")
+    return land_raw(raw, shared_path(spark, "landing"), adapter.DEFAULT_EXTRACTION_DATE)
+
+
+def landed_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a landing wrote, read back from both formats: rows by indicator."""
+    root = shared_path(spark, "landing")
+    land_raw(adapter.raw_observations(spark, sf_dir), root, adapter.DEFAULT_EXTRACTION_DATE)
+    csv = files.read_raw_csv(spark, f"{root}/csv", files.CSV_SINK_OPTIONS).withColumn("value", F.col("value").try_cast("double"))
+    both = csv.withColumn("format", F.lit("csv")).unionByName(
+        files.read_raw_json(spark, f"{root}/json").withColumn("format", F.lit("json")))
+    return both.groupBy("format", "indicator_name", "extraction_date").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("n_values"), F.max("value").alias("max_value"))
+
+
+def snapshot_on_or_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A date between two that were written reads as the earlier one."""
+    path = shared_path(spark, "snapshots")
+    clean = stage_table(C.clean_observations(adapter.raw_observations(spark, sf_dir)), "clean")
+    for d, shift in ((SNAPSHOT_DATES[0], 0), (SNAPSHOT_DATES[1] + dt.timedelta(days=5), 1)):
+        write_snapshot(clean.withColumns({"process_date": F.lit(d), "value": F.col("value") + shift}), path)
+    return (files.read_snapshot(spark, path, SNAPSHOT_DATES[1], ("gdp", "inflation"), schema=CLEAN, on_or_before=True)
+            .select(*CLEAN_COLUMNS))
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(index stored by year, country dimension), of the last date before one that
+    was not written."""
+    clean = stage_table(C.clean_observations(adapter.raw_observations(spark, sf_dir)), "clean", ("indicator_name",))
+    path = shared_path(spark, "index_by_year")
+    serving.store_index(index.opportunity_index(facts.build_wide(clean)), path, SNAPSHOT_DATES[0])
+    return (serving.stored_index(spark, path, SNAPSHOT_DATES[1], on_or_before=True),
+            stage_table(dims.country_dimension(clean), "dim_countries"))
+
+
+def serve_top_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serving.top_countries(*_stored(spark, sf_dir))
+
+
+def serve_index_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serving.index_map(*_stored(spark, sf_dir), Q.MAP_YEAR)
+
+
+#: The country whose rows change between two versions, and by how much.
+CHANGED_COUNTRY, CHANGED_BY = "C5", 1.0
+
+
+def incremental_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact published, published again unchanged, and again with one country's
+    values changed: the current version, and how many versions there are."""
+    fact = stage_table(facts.build_fact(C.clean_observations(adapter.raw_observations(spark, sf_dir)), "education"), "fact")
+    changed = stage_table(fact.withColumn("school_enrollment", F.col("school_enrollment") + F.when(
+        F.col("country_code") == CHANGED_COUNTRY, CHANGED_BY).otherwise(0.0)), "fact")
+    root = shared_path(spark, "published")
+    for version in (fact, fact, changed):
+        done = publish_changes(version, root, ("country_code",))
+    return read_published(spark, root, fact.schema).withColumn("versions", F.lit(done.version).cast("long"))
+
+
 def _job_root(spark: SparkSession, sf_dir: str) -> str:
-    """The snapshot job over the adapter's rows, two dates, one run again."""
+    """The snapshot job over the adapter's rows for two dates."""
     root = shared_path(spark, "job")
     raw = stage_table(adapter.raw_observations(spark, sf_dir), "raw")
-    for d in (SNAPSHOT_DATES[0], SNAPSHOT_DATES[1], SNAPSHOT_DATES[0]):
+    for d in SNAPSHOT_DATES:
         run_job(spark, raw, root, d)
     return root
 
@@ -181,26 +317,27 @@ def _fresh_db() -> str:
     return f"terrascore_{uuid.uuid4().hex[:10]}"
 
 
-def _published(spark: SparkSession, sf_dir: str) -> str:
-    """Stage clean + wide once, load the six tables, create the views."""
-    db = _fresh_db()
+def _published(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Stage clean + wide once, load the six tables, create the views; (database,
+    folder)."""
+    db, root = _fresh_db(), shared_path(spark, "catalog")
     clean = stage_table(C.clean_observations(adapter.raw_observations(spark, sf_dir)), "clean")
-    publish(spark, build_tables(clean), db, shared_path(spark, "catalog"),
+    publish(spark, build_tables(clean), db, root,
             comparison_floor=Q.COMPARISON_FLOOR, trends_floor=Q.TRENDS_FLOOR,
             home=Q.HOME)
-    return db
+    return db, root
 
 
 def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    db = _published(spark, sf_dir)
-    parts = [spark.table(f"{db}.{t}").agg(F.count(F.lit(1)).alias("n_rows"))
-             .select(F.lit(t).alias("table_name"), "n_rows") for t in TABLES]
-    return functools.reduce(DataFrame.unionByName, parts)
+    """Rows of every published table, from the load log: no table is read."""
+    _, root = _published(spark, sf_dir)
+    counts = loaded_rows(load_log(spark, load_log_path(root)))
+    return counts.withColumn("table_name", F.substring_index("table_name", ".", -1))
 
 
 def _view_query(view: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return spark.table(f"{_published(spark, sf_dir)}.{view}")
+        return spark.table(f"{_published(spark, sf_dir)[0]}.{view}")
     return run
 
 
@@ -213,6 +350,16 @@ def io_queries() -> dict:
         "parquet_snapshot_overwrite": parquet_snapshot_overwrite,
         "flatten_edge_pages": flatten_edge_pages,
         "rejected_pages": rejected_pages,
+        "rejected_records": rejected_records,
+        "missing_pages": missing_pages,
+        "malformed_in_job": malformed_in_job,
+        "stream_quarantine": stream_quarantine,
+        "landing_manifest": landing_manifest,
+        "landed_back": landed_back,
+        "snapshot_on_or_before": snapshot_on_or_before,
+        "serve_top_countries": serve_top_countries,
+        "serve_index_map": serve_index_map,
+        "incremental_publish": incremental_publish,
         "rejects_written": rejects_written,
         "six_tables_dated": six_tables_dated,
         "snapshot_one_date": snapshot_one_date,

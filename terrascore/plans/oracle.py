@@ -15,6 +15,7 @@ import re
 from .. import registry as R
 from ..operators import views as V
 from ..schemas import CLEAN
+from . import io_queries as IO
 from . import queries as Q
 
 PROCESS_DATE = "2025-01-01"
@@ -237,7 +238,23 @@ SELECT * FROM (
     SELECT 'C' || c_custkey AS country_code, c_name AS country_name, 'UNKNOWN' AS indicator_id,
         CAST(NULL AS VARCHAR) AS indicator_name, '2020' AS "year", 1.5e0 AS "value", DATE '{EXTRACTION_DATE}' AS extraction_date FROM customer
     UNION ALL SELECT 'C' || c_custkey, '', 'ASKED', 'asked_for', '2021', 2.5e0, DATE '{EXTRACTION_DATE}' FROM customer
-    UNION ALL SELECT '', '', 'ASKED', 'asked_for', '2022', NULL, DATE '{EXTRACTION_DATE}' FROM customer)"""
+    UNION ALL SELECT '', '', 'ASKED', 'asked_for', '2022', NULL, DATE '{EXTRACTION_DATE}' FROM customer
+    UNION ALL SELECT 'C' || c_custkey, c_name, 'MIXED', NULL, '2023', 3.5e0, DATE '{EXTRACTION_DATE}' FROM customer
+    UNION ALL SELECT 'C' || c_custkey, '', 'MIXED', NULL, '2025', 4e0, DATE '{EXTRACTION_DATE}' FROM customer)"""
+# position, reason and text of the elements that are no records, per customer
+_BAD_ELEMENTS = """
+SELECT 1::BIGINT AS page, e.p::INTEGER AS "position", e.r AS reject_reason, e.t AS record FROM (SELECT unnest([
+    {'p': 1, 'r': 'not_an_object', 't': '5'}, {'p': 2, 'r': 'not_an_object', 't': NULL}, {'p': 3, 'r': 'not_an_object', 't': 'C' || c_custkey},
+    {'p': 4, 'r': 'not_an_object', 't': '[1]'},
+    {'p': 5, 'r': 'bad_value', 't': '{"countryiso3code":"C' || c_custkey || '","date":"2024","value":"abc"}'},
+    {'p': 6, 'r': 'bad_country', 't': '{"country":"' || c_name || '","value":1}'},
+    {'p': 7, 'r': 'bad_indicator', 't': '{"indicator":[7],"value":1}'}]) AS e FROM customer)"""
+_FLAWED = """
+SELECT kind, whole, count(*) AS n_rows FROM (
+    SELECT 'malformed_line' AS kind, indicator_name = 'gdp' AS whole FROM raw
+        WHERE indicator_name = 'inflation' OR indicator_name = 'gdp' AND "value" IS NOT NULL
+    UNION ALL SELECT 'clean', true FROM clean WHERE indicator_name NOT IN ('gdp', 'inflation')) GROUP BY ALL"""
+_REGISTRY = "(SELECT unnest([" + ", ".join(f"{{'id': '{i.code}', 'name': '{i.name}'}}" for i in R.INDICATORS) + "]) AS i)"
 
 
 def core_sql() -> dict[str, str]:
@@ -286,6 +303,21 @@ def io_sql() -> dict[str, str]:
                              "country_name, coalesce(\"year\", '') AS \"year\") FROM raw",
         "flatten_edge_pages": _EDGE,
         "rejected_pages": "SELECT unnest(['error_payload', 'not_json_array']) AS reject_reason, count(*) AS n_pages FROM customer",
+        "rejected_records": _BAD_ELEMENTS,
+        "missing_pages": f"SELECT * FROM (SELECT indicator_id, unnest(range(1, pages + 1)) AS page FROM (SELECT indicator_id, "
+                         f"{_PAGES} AS pages FROM raw GROUP BY ALL)) WHERE page % {IO.MISSING_EVERY} = 0",
+        "malformed_in_job": _FLAWED, "stream_quarantine": _FLAWED,
+        "landing_manifest": f"SELECT i.id AS indicator_id, i.name AS indicator_name, count(indicator_name) AS n_rows, "
+                            f"CASE WHEN count(indicator_name) = 0 THEN 'skipped_empty' ELSE 'landed' END AS status, "
+                            f"DATE '{EXTRACTION_DATE}' AS extraction_date FROM {_REGISTRY} LEFT JOIN raw "
+                            "ON indicator_name = i.name AND indicator_name <> 'inflation' GROUP BY ALL",
+        "landed_back": f"SELECT format, indicator_name, extraction_date, count(*) AS n_rows, count(\"value\") AS n_values, "
+                       "max(\"value\") AS max_value FROM raw, (SELECT unnest(['csv', 'json']) AS format) GROUP BY ALL",
+        "snapshot_on_or_before": "SELECT * FROM clean WHERE indicator_name IN ('gdp', 'inflation')",
+        "serve_top_countries": TOP,
+        "serve_index_map": _dash("oi", Q.MAP_YEAR, _pair("opportunity_index", "opportunity_rank")),
+        "incremental_publish": f"SELECT * REPLACE (school_enrollment + CASE WHEN country_code = '{IO.CHANGED_COUNTRY}' "
+                               f"THEN {_num(IO.CHANGED_BY)} ELSE 0e0 END AS school_enrollment), 2::BIGINT AS versions FROM edu",
         # every page of every indicator landed once: pages = ceil(rows / page size)
         "envelope_completeness": f"SELECT indicator_id, {_PAGES} AS pages_expected, {_PAGES} AS pages_landed, {_PAGES} AS "
                                  "pages_seen, count(*) AS rows_expected, count(*) AS rows_seen, true AS complete FROM raw GROUP BY ALL",

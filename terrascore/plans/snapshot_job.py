@@ -1,10 +1,13 @@
 """One Spark application for a daily snapshot, with one date parameter.
 
-raw (landed CSV / JSON / page envelopes, or the driver tables) -> clean
-snapshot (Parquet, partitioned by date and indicator, dynamic overwrite) ->
-dimensions, three facts and the ranked index (Parquet, partitioned by date)
-with the refused observations beside them
--> optional catalog publish (tables + views).
+raw (landed CSV / JSON / page envelopes, or the driver tables), parsed once: what
+is no record goes to ``malformed`` with file, position, reason and text
+-> optional raw landing (CSV and JSON Lines with a manifest per indicator)
+-> clean snapshot (Parquet, partitioned by date and indicator, dynamic overwrite)
+with the refused observations beside it (``rejected``)
+-> dimensions, three facts and the ranked index (Parquet, partitioned by date; the
+index by year too, for one-year reads)
+-> optional catalog publish (tables + views + load log).
 
 Stage boundaries are written tables in the shared folder: each stage reads
 its input back with partition pruning, a lost executor recomputes from a
@@ -30,9 +33,11 @@ from pyspark.sql import functions as F
 from .. import registry as R
 from ..operators import clean as C
 from ..operators import dims, facts, index
+from ..schemas import MALFORMED
 from ..session import build_session, stage_table
-from ..sinks.writers import write_snapshot
+from ..sinks.writers import land_raw, write_snapshot
 from ..sources import adapter, envelopes, files
+from . import serving
 from .catalog import publish
 
 
@@ -55,33 +60,60 @@ def build_tables(clean: DataFrame, rank_method: str = "distributed",
     }
 
 
-def load_raw(spark: SparkSession, source: str, input_path: str,
-             extraction_date: dt.date) -> DataFrame:
+SOURCES = ("tables", "csv", "json", "json-array", "envelopes", "envelope-lines")
+
+
+def load_landed(spark: SparkSession, source: str, input_path: str, extraction_date: dt.date,
+                staging: str | None = None, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(raw, malformed) of a source: the observations, and what landed but is no
+    record (``schemas.MALFORMED``). The landed text is parsed once, into staged
+    rows that both come from (``staging``: a folder for them, replaced on every
+    run). Of a page that landed more than once the last landing counts."""
+    at = staging and f"{staging}/landed"
     if source == "tables":
-        return adapter.raw_observations(spark, input_path, extraction_date, gaps=False)
-    if source == "csv":
-        return files.read_raw_csv(spark, input_path)
-    if source == "json":
-        return files.read_raw_json(spark, input_path)
-    if source == "json-array":
-        return files.read_raw_json(spark, input_path, multi_line=True)
+        return adapter.raw_observations(spark, input_path, extraction_date, gaps=False), spark.createDataFrame([], MALFORMED)
+    if source in ("csv", "json", "json-array"):
+        fmt, whole = ("csv", multi_line) if source == "csv" else ("json", source == "json-array")
+        parsed = stage_table(files.read_parsed(spark, input_path, fmt, whole), "landed", path=at)
+        return files.good_records(parsed), files.malformed_records(parsed)
     if source in ("envelopes", "envelope-lines"):
         # "envelopes": one page document per file (may span lines);
         # "envelope-lines": one page document per line.
-        return envelopes.flatten_envelopes(
-            envelopes.read_envelopes(spark, input_path,
-                                     whole_files=(source == "envelopes")), extraction_date)
+        pages = envelopes.read_envelopes(spark, input_path, whole_files=(source == "envelopes"))
+        elements = envelopes.page_elements(envelopes.latest_pages(pages))
+        bad = F.col("reject_reason").isNotNull()
+        elements = stage_table(elements.select("page_file", "page", "position", "reject_reason", "record",
+                                               F.when(bad, F.col("element")).alias("element")), "landed", path=at)
+        whole = envelopes.rejected_pages(pages).withColumnRenamed("envelope", "record").withColumns(
+            {"page": F.lit(None), "position": F.lit(None)})
+        return (envelopes.observations(elements, extraction_date),
+                envelopes.bad_elements(elements).to(MALFORMED).unionByName(whole.to(MALFORMED)))
     raise ValueError(f"unknown source {source!r}")
 
 
+def load_raw(spark: SparkSession, source: str, input_path: str, extraction_date: dt.date) -> DataFrame:
+    """The observations alone."""
+    return load_landed(spark, source, input_path, extraction_date)[0]
+
+
 def run(spark: SparkSession, raw: DataFrame, out_root: str, process_date: dt.date,
         database: str | None = None, rank_method: str = "distributed",
-        year_range: tuple[int, int] | None = None, **view_params) -> dict[str, DataFrame]:
+        year_range: tuple[int, int] | None = None, malformed: DataFrame | None = None,
+        land: bool = False, **view_params) -> dict[str, DataFrame]:
+    """The snapshot of one date. ``malformed``: what ``load_landed`` could not
+    read, written beside the rejects. ``land``: write the raw observations as CSV
+    and JSON Lines below ``raw`` first, with their manifest."""
     root = out_root.rstrip("/")
+    if malformed is not None:
+        dated = malformed.to(MALFORMED).withColumn("process_date", F.lit(process_date).cast("date"))
+        write_snapshot(dated, f"{root}/malformed", partition_by=("process_date", "reject_reason"))
+    if land:
+        raw = stage_table(raw, "raw", path=f"{root}/_staging/{process_date}/raw")
+        land_raw(raw, f"{root}/raw", process_date)
     observations = C.clean_observations(raw, process_date, year_range=year_range)
     write_snapshot(observations, f"{root}/observations")
     clean = files.read_snapshot(spark, f"{root}/observations", process_date,
-                                schema=observations.schema)
+                                schema=observations.schema, missing_ok=True)
     # What the clean stage refused, dated and with its reason.
     rejects = C.rejected_observations(raw).withColumn("process_date", F.lit(process_date).cast("date"))
     write_snapshot(rejects, f"{root}/rejected", partition_by=("process_date", "reject_reason"))
@@ -90,9 +122,9 @@ def run(spark: SparkSession, raw: DataFrame, out_root: str, process_date: dt.dat
     for name, df in tables.items():
         path = f"{root}/{name}"
         dated = df.withColumn("process_date", F.lit(process_date).cast("date"))
-        write_snapshot(dated, path, partition_by=("process_date",))
-        out[name] = files.read_snapshot(spark, path, process_date,
-                                        schema=dated.schema).drop("process_date")
+        write_snapshot(dated, path, serving.INDEX_PARTITIONS if name == "opportunity_index" else ("process_date",))
+        out[name] = files.read_snapshot(spark, path, process_date, schema=dated.schema,
+                                        missing_ok=True).select(*df.columns)
     if database:
         publish(spark, out, database, f"{root}/_catalog", **view_params)
     return out
@@ -102,8 +134,7 @@ def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     p.add_argument("--date", type=dt.date.fromisoformat, default=dt.date.today(),
                    help="snapshot date (ISO); default today")
-    p.add_argument("--source", choices=("tables", "csv", "json", "json-array", "envelopes",
-                                           "envelope-lines"), required=True)
+    p.add_argument("--source", choices=SOURCES, required=True)
     p.add_argument("--input", required=True, help="landing folder or driver-table folder")
     p.add_argument("--out", required=True, help="shared output folder")
     p.add_argument("--database", default=None)
@@ -114,12 +145,15 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--year-range", type=int, nargs=2, metavar=("LO", "HI"), default=None,
                    help="keep observation years LO..HI (the source extracts "
                         f"{R.SOURCE_YEAR_RANGE[0]}..{R.SOURCE_YEAR_RANGE[1]}); default all")
+    p.add_argument("--land", action="store_true",
+                   help="write the raw observations as CSV and JSON Lines below <out>/raw, with a manifest")
+    p.add_argument("--multi-line", action="store_true", help="quoted CSV fields may hold line breaks")
     a = p.parse_args(argv)
     spark = build_session()
-    raw = load_raw(spark, a.source, a.input, a.date)
+    raw, malformed = load_landed(spark, a.source, a.input, a.date, f"{a.out.rstrip('/')}/_staging/{a.date}", a.multi_line)
     view_params = {"buckets": a.buckets} if a.buckets else {}
     tables = run(spark, raw, a.out, a.date, a.database, a.rank_method,
-                 tuple(a.year_range) if a.year_range else None, **view_params)
+                 tuple(a.year_range) if a.year_range else None, malformed, a.land, **view_params)
     for name in tables:
         print(f"wrote {name}")
     return 0

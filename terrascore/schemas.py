@@ -64,6 +64,19 @@ REJECTED = T.StructType([
     T.StructField("reject_reason", S),
 ])
 
+# What landed but could not be read as a record: where it stood, why, its text.
+MALFORMED = _struct(("page_file", S), ("page", L), ("position", I), ("reject_reason", S), ("record", S))
+
+# What a landing wrote per indicator, and what a load wrote per table.
+LANDING_MANIFEST = T.StructType([
+    *_struct(("indicator_id", S), ("indicator_name", S), ("n_rows", L), ("status", S)).fields,
+    T.StructField("extraction_date", T.DateType()),
+])
+LOAD_LOG = T.StructType([
+    *_struct(("table_name", S), ("version", S), ("disposition", S), ("n_rows", L)).fields,
+    T.StructField("loaded_at", T.TimestampType()),
+])
+
 DIM_COUNTRIES = T.StructType([
     T.StructField("country_code", S),
     T.StructField("country_name", S),
@@ -101,15 +114,14 @@ TABLE_SCHEMAS = {
     "opportunity_index": OPPORTUNITY_INDEX,
 }
 
-# One record inside a landed page envelope (element 1 of the JSON array).
+# One record inside a landed page envelope (an entry of element 1 of the JSON array).
 ENVELOPE_RECORD = T.StructType([
     T.StructField("countryiso3code", S),
     T.StructField("country", T.StructType([T.StructField("id", S), T.StructField("value", S)])),
     T.StructField("indicator", T.StructType([T.StructField("id", S), T.StructField("value", S)])),
     T.StructField("date", S),
-    T.StructField("value", D),
+    T.StructField("value", S),  # as text: what is no number is told, not nulled
 ])
-ENVELOPE_RECORDS = T.ArrayType(ENVELOPE_RECORD)
 # Element 0 of a page envelope: paging metadata.
 ENVELOPE_META = T.StructType([
     T.StructField("page", L), T.StructField("pages", L),

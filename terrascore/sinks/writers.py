@@ -8,20 +8,27 @@
 * Snapshots are Parquet partitioned by ``process_date`` (and indicator for
   observations) with *dynamic* partition overwrite: rewriting one date
   replaces only that date's folders.
+* A landing (``land_raw``) writes raw CSV and JSON Lines and a manifest with a row
+  per indicator: what was landed, and which indicators were skipped for want of
+  rows. The counts come from the write job itself.
 * Catalog loads take a disposition — ``WRITE_TRUNCATE`` / ``WRITE_APPEND`` /
   ``WRITE_EMPTY`` — an optional schema override, and report the loaded row
   count through an ``Observation`` (collected by the write job itself, no
-  second pass).
+  second pass). With ``log`` each load appends a row to an audit table, from
+  which ``loaded_rows`` tells every table's rows without reading any.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..registry import INDICATORS
+from ..schemas import LANDING_MANIFEST, LOAD_LOG
 from ..sources.files import CSV_SINK_OPTIONS
 
 DISPOSITIONS = {
@@ -48,6 +55,38 @@ def write_raw_json(raw: DataFrame, path: str, partition_by=RAW_PARTITIONS) -> No
     _partitioned(raw, partition_by).json(path)
 
 
+def land_raw(raw: DataFrame, root: str, extraction_date: dt.date,
+             formats: tuple[str, ...] = ("csv", "json")) -> DataFrame:
+    """Land ``raw`` below ``root`` in each format and return the date's manifest: a
+    row per indicator of the registry with its rows and ``landed``, or
+    ``skipped_empty``, and one without a name for rows of no known indicator.
+
+    The first write counts the rows as they are written, one metric per
+    indicator: no second pass. Counted after the rows are brought together, in
+    the tasks that write, so a recomputed shuffle counts nothing twice. Rerun,
+    a landing replaces its own date only."""
+    spark = raw.sparkSession
+    raw = raw.withColumn("extraction_date", F.lit(extraction_date).cast("date"))
+    names = [i.name for i in INDICATORS]
+    name = F.col("indicator_name")
+    metrics = [F.count_if(name == n).alias(n) for n in names]
+    unknown = F.count_if(name.isNull() | ~name.isin(*names)).alias("unknown")
+    obs = Observation(f"landing_{uuid.uuid4().hex[:8]}")
+    together = raw.hint("rebalance", *[F.col(c) for c in RAW_PARTITIONS])
+    for k, fmt in enumerate(formats):
+        rows = together.observe(obs, *metrics, unknown) if k == 0 else together
+        w = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RAW_PARTITIONS)
+        (w.options(**CSV_SINK_OPTIONS) if fmt == "csv" else w).format(fmt).save(f"{root.rstrip('/')}/{fmt}")
+    counts = obs.get
+    rows = [(i.code, i.name, counts[i.name], "landed" if counts[i.name] else "skipped_empty", extraction_date) for i in INDICATORS]
+    if counts["unknown"]:
+        rows.append((None, None, counts["unknown"], "landed", extraction_date))
+    path = f"{root.rstrip('/')}/manifest"
+    (spark.createDataFrame(rows, LANDING_MANIFEST).coalesce(1).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("extraction_date").parquet(path))
+    return spark.read.schema(LANDING_MANIFEST).parquet(path).where(F.col("extraction_date") == extraction_date)
+
+
 def write_snapshot(df: DataFrame, path: str,
                    partition_by=("process_date", "indicator_name")) -> None:
     """Parquet, dynamic partition overwrite: other dates stay untouched."""
@@ -57,7 +96,7 @@ def write_snapshot(df: DataFrame, path: str,
 def load_table(df: DataFrame, table: str, disposition: str = "WRITE_TRUNCATE",
                schema: StructType | None = None, path: str | None = None,
                bucket_by: tuple[str, ...] | None = None,
-               buckets: int | None = None) -> int:
+               buckets: int | None = None, log: str | None = None) -> int:
     """Save ``df`` as a catalog table; returns the number of rows loaded.
 
     ``path`` makes it an external table in shared storage; each version of
@@ -76,7 +115,8 @@ def load_table(df: DataFrame, table: str, disposition: str = "WRITE_TRUNCATE",
     (``buckets`` buckets, default ``spark.sql.shuffle.partitions``): later
     joins on the same keys read it co-partitioned, without a shuffle. The
     rows are hash-partitioned the same way first, so each task writes
-    exactly one bucket file.
+    exactly one bucket file. ``log``: folder of the load log, to which the
+    finished load appends its row.
     """
     if disposition not in DISPOSITIONS:
         raise ValueError(f"unknown disposition {disposition!r}")
@@ -84,11 +124,11 @@ def load_table(df: DataFrame, table: str, disposition: str = "WRITE_TRUNCATE",
     if schema is not None:
         df = df.to(schema)
     obs = Observation(f"load_{table.replace('.', '_')}_{uuid.uuid4().hex[:6]}")
-    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     n = None
     if bucket_by:
         n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         df = df.repartition(n, *bucket_by)
+    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))  # in the writing tasks: a recomputed shuffle counts once
     exists = spark.catalog.tableExists(table)
     version = f"{path.rstrip('/')}/v-{uuid.uuid4().hex[:12]}" if path is not None else None
     if disposition == "WRITE_TRUNCATE" and exists and version is not None:
@@ -104,7 +144,24 @@ def load_table(df: DataFrame, table: str, disposition: str = "WRITE_TRUNCATE",
     else:
         target = None if (disposition == "WRITE_APPEND" and exists) else version
         _save(df, table, DISPOSITIONS[disposition], target, bucket_by, n)
-    return int(obs.get["rows"])
+    rows = int(obs.get["rows"])
+    if log is not None:
+        entry = (table, version if disposition != "WRITE_APPEND" or not exists else None, disposition, rows, dt.datetime.now(dt.timezone.utc))
+        spark.createDataFrame([entry], LOAD_LOG).coalesce(1).write.mode("append").parquet(log)
+    return rows
+
+
+def load_log(spark: SparkSession, log: str) -> DataFrame:
+    return spark.read.schema(LOAD_LOG).parquet(log)
+
+
+def loaded_rows(log: DataFrame) -> DataFrame:
+    """(table_name, n_rows) as the log has them: what the last load that was no
+    append wrote, and all appends since. No table is read."""
+    table = Window.partitionBy("table_name")
+    fresh = F.max(F.when(F.col("disposition") != "WRITE_APPEND", F.col("loaded_at"))).over(table)
+    return (log.withColumn("_since", fresh).where(F.col("_since").isNull() | (F.col("loaded_at") >= F.col("_since")))
+            .groupBy("table_name").agg(F.sum("n_rows").alias("n_rows")))
 
 
 def _save(df: DataFrame, table: str, mode: str, path: str | None,

@@ -8,8 +8,14 @@ with built-in JSON functions — no Python per record:
   empty record array yield no observations. A document that is not JSON, or
   whose second element is no array, is reported by ``rejected_pages``; every
   page counts in ``envelope_completeness``;
-* ``from_json`` with a declared record schema + ``inline`` emits the rows;
-* an absent key reads as ``""`` (``coalesce``), a null value stays null;
+* the record array is taken apart element by element, so one element that is no
+  record costs nothing but itself: ``flatten_envelopes`` emits every good one and
+  ``rejected_records`` tells page, position, reason and text of every other;
+* an absent key reads as ``""`` (``coalesce``), a null value stays null, a number
+  written as text is that number;
+* a page landed more than once counts once (``latest_pages``: the last landing),
+  and pages that the metadata promise but nobody landed are named
+  (``missing_pages``);
 * the indicator name comes from the 13-row registry (broadcast: its size is
   fixed by the registry, not by the data) in a left join, or from the caller
   who knows which indicator was asked for: no record is lost for its id.
@@ -21,16 +27,62 @@ equal rows fall on different pages and none holds more than ``page_size``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..registry import PAGE_SIZE, registry_df
-from ..schemas import ENVELOPE_META, ENVELOPE_RECORDS
+from ..schemas import ENVELOPE_META, ENVELOPE_RECORD
 from ..session import stage_table
 
+#: Why an element of the record array is no record.
+RECORD_REASONS = ("not_an_object", "bad_country", "bad_indicator", "bad_value")
+#: Page numbers are dealt out in blocks of so many.
+PAGE_BLOCK = 10_000
+
+
 def read_envelopes(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
-    """Landed pages as a single ``envelope`` string column."""
-    return spark.read.text(path, wholetext=whole_files).withColumnRenamed("value", "envelope")
+    """Landed pages: ``envelope`` (the document), ``page_file`` and ``landed_at``
+    (the file and when it was last written)."""
+    return spark.read.text(path, wholetext=whole_files).select(
+        F.col("value").alias("envelope"), F.col("_metadata.file_path").alias("page_file"),
+        F.col("_metadata.file_modification_time").alias("landed_at"))
+
+
+def _object_or_null(text: Column) -> Column:
+    return text.isNull() | text.startswith("{")
+
+
+def page_elements(envelopes: DataFrame, col: str = "envelope") -> DataFrame:
+    """Every element of every page's record array, one row each: its ``page``
+    (null where the page does not say), ``position`` from 0, text (``element``),
+    parsed ``record`` and ``reject_reason`` (null for a record). Other columns of
+    ``envelopes`` but the document stay."""
+    doc = F.col(col)
+    kept = [c for c in envelopes.columns if c != col]
+    texts = F.from_json(F.get_json_object(doc, "$[1]"), "array<string>")
+    rows = (envelopes.where(F.json_array_length(doc) >= 2)
+            .select(*kept, F.from_json(F.get_json_object(doc, "$[0]"), ENVELOPE_META)["page"].alias("page"),
+                    F.posexplode(texts).alias("position", "element")))
+    element = F.col("element")
+    field = {f: F.get_json_object(element, f"$.{f}") for f in ("country", "indicator", "value")}
+    reason = (F.when(element.isNull() | ~element.startswith("{"), "not_an_object")
+              .when(~_object_or_null(field["country"]), "bad_country")
+              .when(~_object_or_null(field["indicator"]), "bad_indicator")
+              .when(field["value"].isNotNull() & field["value"].try_cast("double").isNull(), "bad_value"))
+    return rows.select("*", F.from_json(element, ENVELOPE_RECORD).alias("record"), reason.alias("reject_reason"))
+
+
+def rejected_records(envelopes: DataFrame, col: str = "envelope") -> DataFrame:
+    """(page, position, reject_reason, record) of the elements that are no
+    records, with the page's file where it is known."""
+    return bad_elements(page_elements(envelopes, col))
+
+
+def bad_elements(elements: DataFrame) -> DataFrame:
+    """The elements that are no records, as their text."""
+    return elements.where("reject_reason is not null").select(
+        *[c for c in ("page_file",) if c in elements.columns], "page", "position", "reject_reason",
+        F.col("element").alias("record"))
 
 
 def flatten_envelopes(envelopes: DataFrame, extraction_date, col: str = "envelope",
@@ -38,18 +90,20 @@ def flatten_envelopes(envelopes: DataFrame, extraction_date, col: str = "envelop
     """One row per record. ``indicator``: (id, name) of the extract call, for
     records without one of their own; else the registry names known ids and
     an unknown id has a null name."""
-    spark = envelopes.sparkSession
-    doc = F.col(col)
-    records = F.from_json(F.get_json_object(doc, "$[1]"), ENVELOPE_RECORDS)
-    rows = (envelopes.where(F.json_array_length(doc) >= 2)
-            .select(F.inline(records)))
+    return observations(page_elements(envelopes.select(col), col), extraction_date, indicator)
+
+
+def observations(elements: DataFrame, extraction_date, indicator: tuple[str, str] | None = None) -> DataFrame:
+    """The observations of page elements that are records."""
+    spark = elements.sparkSession
+    rows = elements.where("reject_reason is null").select("record.*")
     own_id = F.col("indicator.id")
     flat = rows.select(
         F.coalesce(F.col("countryiso3code"), F.lit("")).alias("country_code"),
         F.coalesce(F.col("country.value"), F.lit("")).alias("country_name"),
         F.coalesce(own_id, F.lit(indicator[0] if indicator else "")).alias("indicator_id"),
         F.coalesce(F.col("date"), F.lit("")).alias("year"),
-        F.col("value"),
+        F.col("value").try_cast("double").alias("value"),
     )
     names = F.broadcast(registry_df(spark).select("indicator_id", "indicator_name"))
     name = F.col("indicator_name")
@@ -60,6 +114,46 @@ def flatten_envelopes(envelopes: DataFrame, extraction_date, col: str = "envelop
         F.lit(extraction_date).cast("date").alias("extraction_date"))
 
 
+def _page_key(envelopes: DataFrame, col: str) -> DataFrame:
+    """``envelopes`` with the indicator of the page's first record that names one,
+    the page's number and the pages there should be."""
+    doc = F.col(col)
+    ids = F.transform(F.from_json(F.get_json_object(doc, "$[1]"), "array<string>"),
+                      lambda e: F.get_json_object(e, "$.indicator.id"))
+    meta = F.from_json(F.get_json_object(doc, "$[0]"), ENVELOPE_META)
+    return envelopes.select("*", F.get(F.filter(ids, lambda i: i.isNotNull()), 0).alias("indicator_id"),
+                            meta["page"].alias("page"), meta["pages"].alias("pages"))
+
+
+def latest_pages(envelopes: DataFrame, col: str = "envelope") -> DataFrame:
+    """``envelopes`` (with ``landed_at`` and ``page_file``) without the pages that
+    landed again later: one landing per (indicator, page), the last; of several at
+    one time that of the last file, then the greatest document. Pages that name
+    no indicator or number are all kept.
+
+    The rank keeps the best landing of every task before the shuffle, so a page
+    that landed very often is no hot spot."""
+    keyed = _page_key(envelopes, col)
+    known = F.col("indicator_id").isNotNull() & F.col("page").isNotNull()
+    last = Window.partitionBy("indicator_id", "page").orderBy(F.desc("landed_at"), F.desc("page_file"), F.desc(col))
+    once = keyed.where(known).withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
+    return once.unionByName(keyed.where(~F.coalesce(known, F.lit(False)))).select(*envelopes.columns)
+
+
+def missing_pages(envelopes: DataFrame, col: str = "envelope") -> DataFrame:
+    """(indicator_id, page) of the pages that an indicator's landed pages promise
+    (``pages``: the largest number told) but that have not landed. Numbers are
+    dealt out in blocks, so no row ever holds a long list."""
+    landed = _page_key(envelopes, col).where("indicator_id is not null").select("indicator_id", "page", "pages")
+    told = landed.groupBy("indicator_id").agg(F.max("pages").alias("pages")).where("pages > 0")
+    blocks = told.select("indicator_id", "pages", F.explode(
+        F.sequence(F.lit(0).cast("long"), F.expr(f"(pages - 1) div {PAGE_BLOCK}"))).alias("block"))
+    first = F.col("block") * PAGE_BLOCK
+    expected = blocks.select("indicator_id", F.explode(
+        F.sequence(first + 1, F.least(first + PAGE_BLOCK, F.col("pages")))).alias("page"))
+    return expected.join(landed.select("indicator_id", "page").distinct(), ["indicator_id", "page"], "left_anti")
+
+
 def rejected_pages(envelopes: DataFrame, col: str = "envelope") -> DataFrame:
     """(envelope, reject_reason) of the pages that yield no records though
     they are no plain empty answer."""
