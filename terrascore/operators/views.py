@@ -77,14 +77,19 @@ def top_countries(index: DataFrame, countries: DataFrame, k: int) -> DataFrame:
 
 
 def country_trends(countries: DataFrame, dim_time: DataFrame, wide: DataFrame,
-                   index: DataFrame, floor: int, k: int, home: str) -> DataFrame:
-    keyset = latest_year_top(index, k).select("country_code").unionByName(
+                   index: DataFrame, floor: int, k: int, home: str, best: DataFrame | None = None) -> DataFrame:
+    """``best``: the latest year's rows up to rank ``k``, where the caller has a
+    cheaper way to them than the whole ``index``."""
+    best = latest_year_top(index, k) if best is None else best
+    keyset = best.select("country_code").unionByName(
         countries.where(F.col("country_name") == home).select("country_code"))
     chosen = countries.select("country_code", "country_name").join(
         keyset, "country_code", "left_semi")
     spine = year_spine(chosen, dim_time, floor, ("year", "decade"))
+    # Facts and index of the chosen countries alone meet the spine.
+    mine = chosen.select("country_code").distinct()
     out = _facts_and_index(
-        spine, wide, index, floor,
+        spine, wide.join(mine, "country_code", "left_semi"), index.join(mine, "country_code", "left_semi"), floor,
         ("unemployment_rate", "youth_unemployment", "gdp_per_capita", "inflation",
          "school_enrollment"),
         ("opportunity_rank",))

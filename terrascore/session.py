@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A stack walk for every column built: about a second of a view's planning.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -84,7 +84,7 @@ def test_bucketed_tables_leave_only_the_spine_shuffle(spark):
     from terrascore.plans import io_queries as IO
     saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",
                                             "spark.sql.autoBroadcastJoinThreshold")}
-    db = IO._published(spark, SF)
+    db, _ = IO._published(spark, SF)
     try:
         spark.conf.set("spark.sql.adaptive.enabled", "false")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
