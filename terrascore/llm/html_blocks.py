@@ -8,12 +8,17 @@ single, character references are decoded, and no text is cut.
 A head without an end tag ends where something stands that cannot be in a head.
 Another hidden element without an end tag of its own hides what follows up to
 the next block-level tag or the end of the element around it.
+
+What stands above a block is kept as sets that elements share with their parents
+unless they add to them; with ``known`` (the model's own words and tags) those sets
+stay small, so a page nested to any depth costs time and memory in proportion.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 _TOKEN = re.compile(
@@ -32,30 +37,54 @@ INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i ins kbd la
                    "strong sub sup time tt u var wbr img".split())
 _ENDS_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 "
                     "header hr main menu nav ol p pre section table ul".split())
+#: Elements that tell which part of the page a block is in.
+REGIONS = frozenset("article main nav aside footer header form section".split())
 _SELF = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
          "th": ("td", "th"), "option": ("option",)}
 
 
 @dataclass
 class Block:
+    """``tags`` and ``names``: those of all elements above the text; ``leaf``: the
+    innermost element; ``near``: the innermost of ``REGIONS``; ``own``: the class
+    words of the innermost element that has any; ``linked``: characters in links."""
+
     text: str
-    tags: tuple[str, ...]
+    tags: frozenset[str]
+    leaf: str
+    near: str
     names: frozenset[str]
     own: frozenset[str]
     linked: int
 
 
-def blocks(page: str | None) -> list[Block]:
-    """The page's blocks in order; none for a null or empty page."""
+@dataclass(slots=True)
+class _Open:
+    """An open element: its tag and what a block in it has above."""
+
+    tag: str
+    tags: frozenset[str]
+    near: str
+    names: frozenset[str]
+    own: frozenset[str]
+
+
+_PAGE = _Open("", frozenset(), "", frozenset(), frozenset())
+
+
+def blocks(page: str | None, known: tuple[frozenset[str], frozenset[str]] | None = None) -> list[Block]:
+    """The page's blocks in order; none for a null or empty page. ``known``: the
+    only tags and class words of interest above a block."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset[str], frozenset[str]]] = []
+    stack: list[_Open] = []
+    opened: Counter[str] = Counter()
     text: list[str] = []
     links = linked = 0
     # of the open hidden elements: [blocks before it, blocks before the first block-level tag in it]
     hidden: list[list[int]] = []
     unbound: list[list[int]] = []
     page = page or ""
-    at, none = 0, frozenset()
+    at = 0
 
     def flush() -> None:
         nonlocal linked
@@ -63,15 +92,16 @@ def blocks(page: str | None) -> list[Block]:
             words = html.unescape("".join(text)).split()
             text.clear()
             if words:
-                names, own = stack[-1][1:] if stack else (none, none)
-                out.append(Block(" ".join(words), tuple(t for t, _, _ in stack), names, own, linked))
+                e = stack[-1] if stack else _PAGE
+                out.append(Block(" ".join(words), e.tags, e.tag, e.near, e.names, e.own, linked))
             linked = 0
 
     def pop_to(k: int, own: bool = False) -> None:
         """Close the elements from ``k`` on; ``own``: that one by its own end tag."""
         nonlocal links
         for i in range(len(stack) - 1, k - 1, -1):
-            t = stack[i][0]
+            t = stack[i].tag
+            opened[t] -= 1
             links -= t == "a"
             if t in HIDDEN and t not in RAW:
                 mark = hidden.pop()
@@ -83,13 +113,13 @@ def blocks(page: str | None) -> list[Block]:
 
     def end_head() -> None:
         flush()
-        pop_to(next(k for k, x in enumerate(stack) if x[0] == "head"))
+        pop_to(next(k for k, x in enumerate(stack) if x.tag == "head"))
 
     while at < len(page):
         m = _TOKEN.search(page, at)
         end = m.start() if m else len(page)
         if end > at:
-            if stack and stack[-1][0] == "head" and not page[at:end].isspace():
+            if stack and stack[-1].tag == "head" and not page[at:end].isspace():
                 end_head()
             text.append(page[at:end])
             if links:
@@ -104,30 +134,37 @@ def blocks(page: str | None) -> list[Block]:
         if tag not in INLINE and tag not in RAW:
             flush()
         if close:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
+            for k in range(len(stack) - 1, -1, -1) if opened[tag] else ():
+                if stack[k].tag == tag:
                     pop_to(k, own=True)
                     break
             continue
-        if (stack and stack[-1][0] == "head" and tag not in _IN_HEAD
-                or tag == "body" and any(t == "head" for t, _, _ in stack)):
+        if (stack and stack[-1].tag == "head" and tag not in _IN_HEAD
+                or tag == "body" and opened["head"]):
             end_head()
         if unbound and (tag in _ENDS_P or tag in _SELF or tag == "body"):
             for mark in unbound:
                 mark[1] = len(out)
             unbound.clear()
-        if tag in _ENDS_P and any(t == "p" for t, _, _ in stack[-3:]):
+        if tag in _ENDS_P and any(e.tag == "p" for e in stack[-3:]):
             for k in range(len(stack) - 1, max(len(stack) - 4, -1), -1):
-                if stack[k][0] == "p":
+                if stack[k].tag == "p":
                     pop_to(k)
                     break
-        elif tag in _SELF and stack and stack[-1][0] in _SELF[tag]:
+        elif tag in _SELF and stack and stack[-1].tag in _SELF[tag]:
             pop_to(len(stack) - 1)
         if tag in VOID or m[3].endswith("/") and tag not in INLINE and tag not in _ENDS_P:
             continue
-        above, nearest = stack[-1][1:] if stack else (none, none)
-        own = [w for v in _NAMES.findall(m[3]) for w in _WORD.findall(v.lower())] if m[3] else ()
-        stack.append((tag, above | frozenset(own) if own else above, frozenset(own) or nearest))
+        up = stack[-1] if stack else _PAGE
+        own = frozenset(w for v in _NAMES.findall(m[3]) for w in _WORD.findall(v.lower())) if m[3] else up.own
+        if known:
+            told, tag_told = own & known[1], tag in known[0]
+        else:
+            told, tag_told = own, True
+        stack.append(_Open(tag, up.tags if tag in up.tags or not tag_told else up.tags | {tag},
+                           tag if tag in REGIONS else up.near, up.names if told <= up.names else up.names | told,
+                           told if own else up.own))
+        opened[tag] += 1
         links += tag == "a"
         if tag in HIDDEN and tag not in RAW:  # raw text that is hidden is skipped below
             hidden.append([len(out), -1])

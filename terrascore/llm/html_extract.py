@@ -35,15 +35,15 @@ EPOCHS = 12
 SEED = 11
 
 
-_REGIONS = frozenset("article main nav aside footer header form section".split())
+#: Without one of these above it, a text stands bare in its container.
+_TEXT_TAGS = frozenset("p li h1 h2 h3 td blockquote pre".split())
 
 
 def features(b: Block) -> list[str]:
-    tags = set(b.tags)
-    out = [f"in:{t}" for t in tags if t not in ("html", "body")]
+    out = [f"in:{t}" for t in b.tags if t not in ("html", "body")]
     out += [f"name:{n}" for n in b.names] + [f"own:{n}" for n in b.own]
-    out.append("leaf:" + (b.tags[-1] if b.tags else ""))
-    out.append("near:" + next((t for t in reversed(b.tags) if t in _REGIONS), ""))
+    out.append("leaf:" + b.leaf)
+    out.append("near:" + b.near)
     n = b.text.count(" ") + 1
     out.append(f"words:{min(int(math.log2(n)), 6)}")
     share = min(1.0, b.linked / len(b.text))
@@ -53,7 +53,7 @@ def features(b: Block) -> list[str]:
     out.append(f"marks:{min(marks, 3)}")
     if any(c in b.text for c in "©|·"):
         out.append("sign")
-    if not any(t in tags for t in ("p", "li", "h1", "h2", "h3", "td", "blockquote", "pre")):
+    if not b.tags & _TEXT_TAGS:
         out.append("bare")
     return out
 
@@ -245,8 +245,16 @@ def train(n: int = TRAINING_PAGES, epochs: int = EPOCHS) -> Field:
     return model
 
 
-def main_text(page: str | None, model: Field) -> str:
-    bs = blocks(page)
+def known_features(model: Field) -> tuple[frozenset[str], frozenset[str]]:
+    """(tags, class words) that the model has weights for, or that features ask for."""
+    of = lambda *kinds: frozenset(w for f in model.weights for kind, _, w in (f.partition(":"),) if kind in kinds)
+    return of("in") | _TEXT_TAGS, of("name", "own")
+
+
+def main_text(page: str | None, model: Field, known: tuple[frozenset[str], frozenset[str]] | None = None) -> str:
+    """The page's main text. ``known``: ``known_features``; the result is the same
+    without, in more memory on deeply nested pages."""
+    bs = blocks(page, known)
     labels = model.viterbi([features(b) for b in bs])
     return " ".join(b.text for b, y in zip(bs, labels) if y)
 
@@ -261,10 +269,11 @@ def extract(pages: DataFrame, model: Field | None = None, id_col: str = "page_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = Field()
         field.weights, field.trans = shared.value
+        known = known_features(field)
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                texts = [main_text(x.as_py(), field) for x in part.column(2)]
+                texts = [main_text(x.as_py(), field, known) for x in part.column(2)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                     names=["id", "url", "text", "n_chars"])
