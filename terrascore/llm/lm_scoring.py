@@ -169,16 +169,20 @@ def _small(counts: np.ndarray) -> np.ndarray:
 
 
 def _load(folder: str, name: str, kind) -> np.ndarray:
+    """A shard's file, mapped. One that should be there and is not means that this
+    worker does not see the shared folder."""
     path = os.path.join(folder, name)
-    if not os.path.exists(path) or not os.path.getsize(path):
-        return np.zeros(0, kind)
-    return np.memmap(path, dtype=kind, mode="r")
+    if not os.path.exists(path):
+        raise FileNotFoundError(f"the language model's file {path} is missing: the shared folder must be mounted on every worker")
+    return np.memmap(path, dtype=kind, mode="r") if os.path.getsize(path) else np.zeros(0, kind)
 
 
 def _load_counts(folder: str, name: str, n: int) -> np.ndarray:
-    path = os.path.join(folder, name)
-    size = os.path.getsize(path) // n if n and os.path.exists(path) else 0
-    return _load(folder, name, {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.uint64}[size]) if size else np.zeros(0, np.uint8)
+    """The counts beside ``n`` hashes; their width is the file's bytes by ``n``."""
+    size, rest = divmod(os.path.getsize(os.path.join(folder, name)), n)
+    if rest or size not in (1, 2, 4, 8):
+        raise ValueError(f"the language model's file {os.path.join(folder, name)} is incomplete")
+    return _load(folder, name, {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.uint64}[size])
 
 
 @dataclass
@@ -194,25 +198,26 @@ class Model:
     #: per order: the three discounts, and of the empty context (total, n1, n2, n3+)
     discounts: dict[int, np.ndarray] = field(default_factory=dict)
     unigrams: np.ndarray | None = None
+    #: entries of each shard's files, by folder: what a worker must find
+    entries: dict[str, np.ndarray] = field(default_factory=dict)
 
 
-def _lookup(folder: str, shards: int, shard: np.ndarray, keys: np.ndarray, names: list[str], first: str) -> list[np.ndarray]:
+def _lookup(folder: str, entries: np.ndarray, shard: np.ndarray, keys: np.ndarray, names: list[str], first: str) -> list[np.ndarray]:
     """Values of ``names`` at ``keys`` in the mapped shard files (0 if absent);
     the name ``""`` stands for the place in the file, from 1. Keys are looked up
-    once each, in the files' order."""
+    once each, in the files' order. A shard without entries has no file; a file that
+    is missing or short is an error, never a count of 0."""
     order = np.lexsort((keys, shard))
     s, k = shard[order], keys[order]
     new = np.concatenate([[True], (k[1:] != k[:-1]) | (s[1:] != s[:-1])]) if len(k) else np.zeros(0, bool)
     us, uk = s[new], k[new]
     found = [np.zeros(len(uk), np.int64) for _ in names]
-    edges = np.searchsorted(us, np.arange(shards + 1))
-    for i in range(shards):
+    edges = np.searchsorted(us, np.arange(len(entries) + 1))
+    for i in np.flatnonzero((edges[1:] > edges[:-1]) & (entries > 0)).tolist():
         a, b = int(edges[i]), int(edges[i + 1])
-        if a == b:
-            continue
         sorted_keys = _load(folder, f"{first}-{i:05d}", U64)
-        if not len(sorted_keys):
-            continue
+        if len(sorted_keys) != entries[i]:
+            raise ValueError(f"the language model's file {folder}/{first}-{i:05d} holds {len(sorted_keys)} of {entries[i]} entries")
         at = np.minimum(np.searchsorted(sorted_keys, uk[a:b]), len(sorted_keys) - 1)
         hit = sorted_keys[at] == uk[a:b]
         for j, name in enumerate(names):
@@ -262,9 +267,10 @@ def _count_words(folder: str, shards: int):
         h, c = _sum_words([h], [c.astype(np.int64)])
         _save(f"{folder}/words", f"hash-{shard:05d}", h)
         _save(f"{folder}/words", f"count-{shard:05d}", _small(c))
-        top = np.argsort(-c, kind="stable")[:64]
-        return pa.Table.from_pylist([{"kind": "stat", "shard": shard, "n": len(h),
-                                      "parts": [np.int64(c.sum()).tobytes(), top.astype(np.int64).tobytes(), c[top].astype(np.int64).tobytes()]}], schema=_BLOB)
+        rows = [{"kind": "stat", "shard": shard, "n": len(h), "parts": [np.int64(c.sum()).tobytes()]}]
+        rows += [{"kind": "top", "shard": shard, "n": int(c[i]), "parts": [np.int64(i).tobytes()]}
+                 for i in np.argsort(-c, kind="stable")[:64]]
+        return pa.Table.from_pylist(rows, schema=_BLOB)
     return deal, gather
 
 
@@ -277,9 +283,8 @@ def word_ids(folder: str, first: np.ndarray, words: np.ndarray) -> tuple[np.ndar
     """(number, count) of each word hash: BEGIN is 0, the words of the training
     texts are 1 to V, shard after shard (``first``: words before each shard),
     and any other is V + 1, with the count 0."""
-    shards = len(first) - 1
-    shard = (words % U64(shards)).astype(np.int64)
-    at, count = _lookup(f"{folder}/words", shards, shard, words, ["", "count"], "hash")
+    shard = (words % U64(len(first) - 1)).astype(np.int64)
+    at, count = _lookup(f"{folder}/words", np.diff(first), shard, words, ["", "count"], "hash")
     ids = np.where(at > 0, first[shard] + at, first[-1] + 1)
     return np.where(words == BEGIN, 0, ids).astype(U64), count
 
@@ -370,12 +375,13 @@ def _write_grams(folder: str, k: int, hot: np.ndarray, shards: int):
         order = np.argsort(gram, kind="stable")
         _save(f"{folder}/grams{k}", f"hash-{shard:05d}", gram[order])
         _save(f"{folder}/grams{k}", f"count-{shard:05d}", _small(counts[order]))
-        rows = [{"kind": "stat", "shard": shard, "n": len(gram), "parts": [np.bincount(np.minimum(counts, 5), minlength=6).astype(np.int64).tobytes()]}]
+        of = np.bincount(np.minimum(counts, 5), minlength=6).astype(np.int64)
         # sorted by their words, so the n-grams of a context stand together
         at = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
         stats = [np.add.reduceat(x.astype(np.int64), at) for x in (counts, counts == 1, counts == 2, counts >= 3)]
         key, spread = context[at], is_spread([c[at] for c in columns], hot)
-        _save_contexts(f"{folder}/contexts{k}", shard, key[~spread], [x[~spread] for x in stats])
+        whole = _save_contexts(f"{folder}/contexts{k}", shard, key[~spread], [x[~spread] for x in stats])
+        rows = [{"kind": "stat", "shard": shard, "n": len(gram), "parts": [of.tobytes(), np.int64(len(whole[0])).tobytes()]}]
         rows += _pack((bv.mix(key[spread]) % U64(shards)).astype(np.int64), [key[spread], *[x[spread] for x in stats]], "context")
         if k > 1:
             rows += [r | {"kind": "lower"} for r in _dealt(columns[1:], np.ones(len(gram), np.int64), hot, shards)]
@@ -411,7 +417,8 @@ def train(texts: DataFrame, text_col: str = "text", order: int = 2) -> Model:
     size = body.agg(F.sum(F.octet_length("body").cast("long"))).first()[0] or 0
     shards = max(least := shards, -(-size // SHARD_BYTES))
     deal, gather = _count_words(folder, shards)
-    stats = body.mapInArrow(deal, BLOB).groupBy("shard").applyInArrow(gather, BLOB).collect()  # one row per shard
+    counted = stage_table(body.mapInArrow(deal, BLOB).groupBy("shard").applyInArrow(gather, BLOB), "lm-words")
+    stats = counted.where("kind = 'stat'").collect()  # a few numbers per shard
     first = np.zeros(shards + 1, np.int64)
     for r in stats:
         first[r["shard"] + 1] = r["n"]
@@ -419,18 +426,21 @@ def train(texts: DataFrame, text_col: str = "text", order: int = 2) -> Model:
     model = Model(folder, order, shards, np.zeros(0, U64), first, vocabulary=int(first[-1]))
     model.train_tokens = sum(int(np.frombuffer(r["parts"][0], np.int64)[0]) for r in stats)
     model.shards = shards = max(least, -(-model.train_tokens // SHARD_TOKENS))
-    tops = [(first[r["shard"]] + 1 + at, c) for r in stats
-            for at, c in zip(np.frombuffer(r["parts"][1], np.int64), np.frombuffer(r["parts"][2], np.int64))]
-    hot = [w for w, c in tops if c * shards > model.train_tokens]
+    # words with more than a shard's share of all tokens: at most as many as shards
+    tops = counted.where((F.col("kind") == "top") & (F.col("n") > model.train_tokens // shards)).collect()
+    hot = [first[r["shard"]] + 1 + np.frombuffer(r["parts"][0], np.int64)[0] for r in tops]
     model.hot = np.sort(np.array([*hot, 0], U64))  # 0: BEGIN
     grams = body.mapInArrow(_deal_grams(folder, first, order, model.hot, shards), BLOB)
     for k in range(order, 0, -1):
         done = grams.groupBy("shard").applyInArrow(_write_grams(folder, k, model.hot, shards), BLOB)
         done = stage_table(done, f"lm-order{k}")
-        of = [np.frombuffer(r["parts"][0], np.int64) for r in done.where("kind = 'stat'").select("parts").collect()]
-        of = np.sum(of, axis=0) if of else np.zeros(6, np.int64)
+        made = done.where("kind = 'stat'").select("shard", "n", "parts").collect()
+        of = np.sum([np.frombuffer(r["parts"][0], np.int64) for r in made], axis=0) if made else np.zeros(6, np.int64)
+        model.entries[f"grams{k}"] = _by_shard(shards, [(r["shard"], r["n"]) for r in made])
+        model.entries[f"contexts{k}"] = _by_shard(shards, [(r["shard"], np.frombuffer(r["parts"][1], np.int64)[0]) for r in made])
         merged = (done.where("kind = 'context'").groupBy("shard").applyInArrow(_write_contexts(folder, k), BLOB)
-                  .select("parts").collect())
+                  .select("shard", "n", "parts").collect())
+        model.entries[f"spread{k}"] = _by_shard(shards, [(r["shard"], r["n"]) for r in merged])
         model.discounts[k] = discounts(of[1:5])
         if k == 1:
             sums = [np.frombuffer(r["parts"][0], np.int64) for r in merged]
@@ -439,6 +449,13 @@ def train(texts: DataFrame, text_col: str = "text", order: int = 2) -> Model:
     return model
 
 
+def _by_shard(shards: int, sizes: list[tuple[int, int]]) -> np.ndarray:
+    out = np.zeros(shards, np.int64)
+    for shard, n in sizes:
+        out[shard] = n
+    return out
+
+
 def log_probabilities(model: Model, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
     """log10 of the model's probability of the tokens (``word_ids``) at ``at``."""
     total, n1, n2, n3 = (float(x) for x in (model.unigrams if model.unigrams is not None else np.zeros(4)))
@@ -450,7 +467,7 @@ def log_probabilities(model: Model, tokens: np.ndarray, at: np.ndarray) -> np.nd
         spread = is_spread(columns, model.hot)
         home = (bv.mix(context) % U64(model.shards)).astype(np.int64)
         shard = np.where(spread, (bv.mix(gram) % U64(model.shards)).astype(np.int64), home)
-        c, = _lookup(f"{model.folder}/grams{k}", model.shards, shard, gram, ["count"], "hash")
+        c, = _lookup(f"{model.folder}/grams{k}", model.entries[f"grams{k}"], shard, gram, ["count"], "hash")
         d = model.discounts[k]
         taken = np.concatenate([[0.0], d])[np.minimum(c, 3)]
         if k == 1:
@@ -459,7 +476,7 @@ def log_probabilities(model: Model, tokens: np.ndarray, at: np.ndarray) -> np.nd
             continue
         t, a, b, e = found = [np.zeros(len(at), np.int64) for _ in CONTEXT]
         for name, part in (("contexts", ~spread), ("spread", spread)):
-            for x, y in zip(found, _lookup(f"{model.folder}/{name}{k}", model.shards, home[part], context[part], list(CONTEXT), "hash")):
+            for x, y in zip(found, _lookup(f"{model.folder}/{name}{k}", model.entries[f"{name}{k}"], home[part], context[part], list(CONTEXT), "hash")):
                 x[part] = y
         seen = t > 0
         t = np.maximum(t, 1)
