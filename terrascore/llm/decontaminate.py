@@ -68,22 +68,32 @@ def _key(shingle: Column) -> Column:
 def occurrences(docs: DataFrame, id_col: str, text_col: str, shingles: DataFrame, sizes: list[int],
                 few: bool) -> DataFrame:
     """Staged (row, id, n_words, at, sid): the benchmark's shingles in each
-    document, and per document one row with ``at`` and ``sid`` -1."""
+    document, and per document one row with ``at`` and ``sid`` -1. ``few``: the
+    benchmark's shingles are broadcast, and a match is compared with the text's
+    words beside it; else each shingle takes its own words into the shuffle."""
     d = docs.select(row_key().alias("row"), F.col(id_col).alias("id"), words_of(F.col(text_col)).alias("words"))
     d = d.select("row", "id", "words", F.size("words").cast("long").alias("n_words"))
     def of(k):
         places = F.when(F.size("words") >= k, F.sequence(F.lit(1), F.size("words") - k + 1)).otherwise(
             F.array().cast("array<int>"))
-        return F.transform(places, lambda i: F.struct(i.alias("at"), F.lit(k).alias("k"),
-                                                      _key(_shingle(F.col("words"), i, k)).alias("h")))
-    marker = F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("k"), F.lit(MARKER).cast("long").alias("h")))
-    rows = d.select("row", "id", "n_words", "words", F.inline(F.concat(marker, *[of(k) for k in sizes])))
+
+        def spot(i):
+            shingle = _shingle(F.col("words"), i, k)
+            own = [] if few else [shingle.alias("text")]
+            return F.struct(i.alias("at"), F.lit(k).alias("k"), _key(shingle).alias("h"), *own)
+        return F.transform(places, spot)
+    nothing = F.array().cast("array<string>")
+    marker = F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("k"), F.lit(MARKER).cast("long").alias("h"),
+                              *([] if few else [nothing.alias("text")])))
+    rows = d.select("row", "id", "n_words", *(["words"] if few else []), F.inline(F.concat(marker, *[of(k) for k in sizes])))
     own = shingles.unionByName(docs.sparkSession.range(1).select(
-        F.lit(-1).cast("long").alias("sid"), F.lit(MARKER).cast("long").alias("h"),
-        F.array().cast("array<string>").alias("shingle")))
+        F.lit(-1).cast("long").alias("sid"), F.lit(MARKER).cast("long").alias("h"), nothing.alias("shingle")))
     own = own.select("sid", F.col("h").alias("bh"), "shingle")
-    same = (F.col("at") == 0) | (_shingle(F.col("words"), F.greatest(F.col("at"), F.lit(1)), F.col("k"))
-                                 == F.col("shingle"))
+    if few:
+        same = (F.col("at") == 0) | (_shingle(F.col("words"), F.greatest(F.col("at"), F.lit(1)), F.col("k"))
+                                     == F.col("shingle"))
+    else:
+        same = F.col("text") == F.col("shingle")
     hits = rows.join(F.broadcast(own) if few else own, (F.col("h") == F.col("bh")) & same)
     return stage_table(hits.select("row", "id", "n_words", (F.col("at") - 1).alias("at"), "k", "sid"),
                        "decon-shingles")
