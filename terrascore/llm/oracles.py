@@ -57,12 +57,12 @@ win AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS t
 twice AS (SELECT r, i FROM (SELECT *, count(*) OVER (PARTITION BY r, t) AS c FROM win) WHERE c > 1),
 rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY r),
 ln AS (SELECT r, host, body, l, len(regexp_extract_all(l, '{WORDS}')) AS words,
-    regexp_replace(trim(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789',
-        'abcdefghijklmnopqrstuvwxyz000000000'), '[\x20\x09-\x0D]+', ' ', 'g')), 'x', 'x') AS norm
+    trim(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789',
+        'abcdefghijklmnopqrstuvwxyz000000000'), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
     FROM (SELECT r, host, body, unnest(string_split(body, chr(10))) AS l FROM d)
     WHERE regexp_matches(l, '{WORDS}')),
 dup AS (SELECT r, count(*) - count(DISTINCT l) AS n FROM ln GROUP BY r),
-common AS (SELECT host, norm FROM ln GROUP BY host, norm HAVING count(DISTINCT body) > 25),
+common AS (SELECT host, norm FROM ln GROUP BY host, norm HAVING count(DISTINCT r) > 25),
 lost AS (SELECT r, sum(words) AS n FROM ln JOIN common c
     ON ln.norm = c.norm AND ln.host IS NOT DISTINCT FROM c.host GROUP BY r),
 f AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,

@@ -5,9 +5,8 @@ normalised lines; the rest works on that small staged table. A line that more
 than ``max_docs`` distinct documents of one host share is boilerplate. Its
 words are removed, and a document of which too little remains is rejected.
 
-Documents of one host with the same text count once in a line's frequency:
-copies are the business of deduplication, and a text is not boilerplate for
-being copied.
+Every input row is a document: rows with the same text, or the same id, count
+each in their lines' frequencies.
 
 Defined results: null or blank text has no words and fails the base rules; a
 null host is a host of its own; rows that share an id or are equal are judged
@@ -66,8 +65,7 @@ def normal_line(line: Column) -> Column:
 
 
 def features(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    """Per input row: the base figures, a hash of the text and its lines as
-    (hash, words). Staged: all later work reads this small table."""
+    """Per input row: the base figures and its lines as (hash, words). Staged: all later work reads this small table."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     d = docs.select(row_key().alias("row"), F.col(id_col).alias("id"),
                     F.col(host_col).cast("string").alias("host"), text.alias("body"))
@@ -77,7 +75,7 @@ def features(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Data
     d = d.withColumn("keys", window_keys("hashes", "n_words"))
     d = d.withColumn("starts", repeated_starts("keys", "n_words"))
     return stage_table(d.select(
-        "row", "id", "host", F.xxhash64("body").alias("text_key"), "n_words",
+        "row", "id", "host", "n_words",
         F.length(F.translate("body", WS_CHARS, "")).cast("long").alias("word_chars"),
         (F.length("body") - F.length(F.translate("body", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -88,12 +86,12 @@ def features(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Data
 
 
 def boilerplate(feats: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
-    """(host, line) of the lines in more than ``max_docs`` distinct documents
-    of the host. Counting distinct texts first spreads even a line that every
-    document has; the second count sums partial counts."""
-    lines = feats.select("host", "text_key", F.explode(F.array_distinct("lines.line")).alias("line"))
-    once = lines.groupBy("host", "line", "text_key").agg(F.lit(1).alias("one"))
-    return (once.groupBy("host", "line").agg(F.sum("one").alias("docs"))
+    """(host, line) of the lines in more than ``max_docs`` distinct documents of
+    the host. A row brings each of its lines once, so documents are counted with
+    partial sums: a line that every document has crosses the network as one row
+    per task."""
+    lines = feats.select("host", F.explode(F.array_distinct("lines.line")).alias("line"))
+    return (lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs"))
             .where(F.col("docs") > max_docs).select("host", "line"))
 
 
