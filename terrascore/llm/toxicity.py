@@ -5,9 +5,8 @@ text features and the probabilities of the earlier categories. For training,
 those probabilities are out-of-fold predictions, so a later model learns from
 estimates as good as it will get at prediction time, not from fitted values.
 
-Categories: the labels table has one column, ``toxic``, the last of the chain.
-``insult`` and ``contempt`` come before it; their training labels are whether
-a text has a word of the seed lists below (weak labels).
+Categories: the columns of the labels table, ``quality`` (whether a reader rated
+the text good) and then ``toxic``, the last of the chain and its verdict.
 
 Features: log counts of hashed words and of hashed 7-byte pieces of text
 (which cover inflected forms of a word), of which the most telling ones are
@@ -15,9 +14,15 @@ selected by a two-proportion z score; and the log number of words.
 
 Training uses at most ``sample`` labelled documents of at most ``max_chars``
 characters, chosen by a hash of their ids; prediction covers every row and its
-whole text. Defined results: null or empty text has no features and gets the
-probability of an empty text; without any labelled toxic document nothing is
-judged toxic; equal texts get equal results; an empty table an empty result.
+whole text. The texts stay on the executors: they count each feature's documents,
+Spark sums the counts and ranks the features, and only the chosen columns, at most
+``SELECTED`` per category, of the sample's rows come to the driver to be fitted.
+
+Defined results: null or empty text has no features and gets the probability of
+an empty text; a document without one of the labels is not learned from; without
+any labelled toxic document nothing is judged toxic; equal texts get equal
+results, other columns are ignored, whatever their names; a text of any length is
+read whole, in chunks; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,14 +36,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrascore.llm import bytesvec as bv
-from terrascore.llm.common import ship_code
-
-#: Weak-label seeds (fixed values): plain English words of abuse.
-SEEDS = {
-    "insult": ("idiot", "moron", "clown", "loser", "stupid", "fool", "imbecile", "jerk", "dumb"),
-    "contempt": ("worthless", "pathetic", "disgusting", "scum", "trash", "garbage", "filth", "vermin"),
-}
-CHAIN = ("insult", "contempt", "toxic")
+from terrascore.llm.common import ship_code, stage_table
+
+#: The labels table's columns, in the chain's order.
+CHAIN = ("quality", "toxic")
 SAMPLE = 6000
 MAX_CHARS = 20_000
 FOLDS = 4
@@ -147,39 +148,57 @@ def fit_linear(x: np.ndarray, y: np.ndarray, steps: int = 150, decay: float = 1e
     return w
 
 
-def fit_chain(texts: list[str], labels: dict[str, np.ndarray], categories: tuple[str, ...] = CHAIN,
-              folds: int = FOLDS, selected: int = SELECTED) -> Chain:
-    """Select features, then fit the categories in order."""
-    column = pa.array(texts, type=pa.string())
-    n = len(texts)
-    df = {c: np.zeros((2, 1 << BITS), dtype=np.int32) for c in categories}
-    data, offsets = bv.string_buffers(column)
-    for a, b, d, o in bv.chunks(data, offsets):
-        rows, feats, _ = text_features(d, o)
-        seen = np.unique(rows * (1 << BITS) + feats)
-        rows, feats = seen >> BITS, seen & ((1 << BITS) - 1)
-        for c in categories:
-            for side in (0, 1):
-                hit = labels[c][a + rows] == side
-                df[c][side] += np.bincount(feats[hit], minlength=1 << BITS).astype(np.int32)
-    keep: list[np.ndarray] = []
-    for c in categories:
-        pos, neg = max(int(labels[c].sum()), 1), max(int(n - labels[c].sum()), 1)
-        p, q = df[c][1] / pos, df[c][0] / neg
-        both = (df[c][1] + df[c][0]) / (pos + neg)
-        z = (p - q) / np.sqrt(both * (1 - both) * (1 / pos + 1 / neg) + 1e-12)
-        z[(df[c][1] + df[c][0]) < 3] = 0
-        best = np.argpartition(-np.abs(z), min(selected, len(z) - 1))[:selected]
-        keep.append(best[np.abs(z[best]) > 3])
-    cols = np.unique(np.concatenate(keep)) if keep else np.zeros(0, np.int64)
-    slot = np.full(1 << BITS, -1, dtype=np.int32)
-    slot[cols] = np.arange(len(cols))
-    chain = Chain(slot, max(len(cols), 1), categories, [])
-    x = chain.matrix(column)
-    fold = np.arange(n) % folds
-    for c in categories:
-        y = labels[c].astype(np.float32)
-        out_of_fold = np.zeros(n, dtype=np.float32)
+def feature_counts(sample: DataFrame, categories: tuple[str, ...]) -> DataFrame:
+    """(feature, n0_0, n0_1, n1_0, ...): how many of the sample's documents with
+    each feature have each label, by category; the feature -1 counts all. Counted
+    per task, then summed by Spark."""
+    sides = [f"n{k}_{side}" for k in range(len(categories)) for side in (0, 1)]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(sides), (1 << BITS) + 1), dtype=np.int32)
+        for batch in batches:
+            labels = [np.asarray(batch.column(2 + k).to_numpy(zero_copy_only=False)) > 0 for k in range(len(categories))]
+            data, offsets = bv.string_buffers(batch.column(1))
+            for a, b, d, o in bv.chunks(data, offsets):
+                rows, feats, _ = text_features(d, o)
+                seen = np.unique(rows * (1 << BITS) + feats)
+                rows, feats = seen >> BITS, seen & ((1 << BITS) - 1)
+                for k, y in enumerate(labels):
+                    for side in (0, 1):
+                        hit = y[a + rows] == side
+                        total[2 * k + side, :-1] += np.bincount(feats[hit], minlength=1 << BITS).astype(np.int32)
+                        total[2 * k + side, -1] += int((y[a:b] == side).sum())
+        at = np.flatnonzero(total[0] + total[1])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.where(at == 1 << BITS, -1, at), pa.int32()), *[pa.array(t[at], pa.int64()) for t in total]], ["feature", *sides])
+
+    return (sample.mapInArrow(count, "feature int, " + ", ".join(f"{c} long" for c in sides))
+            .groupBy("feature").agg(*[F.sum(c).alias(c) for c in sides]))
+
+
+def select_features(counts: DataFrame, categories: tuple[str, ...], selected: int = SELECTED) -> np.ndarray:
+    """The features whose shares among a category's two sides differ most, at most
+    ``selected`` per category, by a two-proportion z score above 3."""
+    total = counts.where("feature = -1").first()
+    if total is None:
+        return np.zeros(0, np.int64)
+    keep: set[int] = set()
+    for k in range(len(categories)):
+        neg, pos = (float(max(total[f"n{k}_{side}"], 1)) for side in (0, 1))
+        hits, rest = F.col(f"n{k}_1"), F.col(f"n{k}_0")
+        both = (hits + rest) / (pos + neg)
+        z = F.abs((hits / pos - rest / neg) / F.sqrt(both * (1 - both) * (1 / pos + 1 / neg) + 1e-12))
+        best = counts.where((F.col("feature") >= 0) & (hits + rest >= 3)).select("feature", z.alias("z")).where("z > 3")
+        keep.update(r["feature"] for r in best.orderBy(F.desc("z"), "feature").limit(selected).collect())
+    return np.array(sorted(keep), dtype=np.int64)
+
+
+def fit_chain(chain: Chain, x: np.ndarray, labels: list[np.ndarray], folds: int = FOLDS) -> Chain:
+    """Fit the categories in order over the feature matrix ``x``."""
+    fold = np.arange(len(x)) % folds
+    for y in labels:
+        y = y.astype(np.float32)
+        out_of_fold = np.zeros(len(x), dtype=np.float32)
         for k in range(folds):
             held = fold == k
             w = fit_linear(x[~held], y[~held])
@@ -190,21 +209,42 @@ def fit_chain(texts: list[str], labels: dict[str, np.ndarray], categories: tuple
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", sample: int = SAMPLE, max_chars: int = MAX_CHARS) -> Chain:
+          categories: tuple[str, ...] | None = None, sample: int = SAMPLE, max_chars: int = MAX_CHARS) -> Chain:
     """Fit on ``sample`` labelled documents at most: the ids first in the order
-    of a hash, found without moving any text."""
-    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where("id is not null and y is not null")
-    known = known.groupBy("id").agg(F.max("y").alias("y"))
+    of a hash, found without moving any text. ``categories``: 0/1 columns of
+    ``labels``, by default those of ``CHAIN`` that it has; several labels of an id
+    count as the largest."""
+    spark = docs.sparkSession
+    categories = categories or tuple(c for c in CHAIN if c in labels.columns)
+    ship_code(spark)
+    known = labels.select(F.col(id_col).alias("id"), *[F.col(c).cast("int").alias(f"y{k}") for k, c in enumerate(categories)])
+    names = [f"y{k}" for k in range(len(categories))]
+    known = known.groupBy("id").agg(*[F.max(n).alias(n) for n in names]).dropna()
     picked = known.orderBy(F.xxhash64("id"), "id").limit(sample)
-    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
+    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("body"))
             .where(F.col("body").isNotNull() & (F.length("body") <= max_chars))
-            .join(F.broadcast(picked), "id").groupBy("id").agg(F.min("body").alias("body"), F.first("y").alias("y")))
-    got = sorted(rows.limit(sample).collect(), key=lambda r: r["id"])
-    texts = [r["body"] for r in got]
-    split = [set("".join(c if c.isalnum() else " " for c in t.lower()).split()) for t in texts]
-    y = {c: np.array([int(not s.isdisjoint(words)) for s in split], dtype=np.int8) for c, words in SEEDS.items()}
-    y["toxic"] = np.array([int(r["y"] > 0) for r in got], dtype=np.int8)
-    return fit_chain(texts, y)
+            .join(F.broadcast(picked), "id").groupBy("id").agg(F.min("body").alias("body"), *[F.first(n).alias(n) for n in names]))
+    rows = stage_table(rows.limit(sample), "toxicity-sample")
+    counts = stage_table(feature_counts(rows, categories), "toxicity-features")
+    cols = select_features(counts, categories)
+    slot = np.full(1 << BITS, -1, dtype=np.int32)
+    slot[cols] = np.arange(len(cols))
+    chain = Chain(slot, max(len(cols), 1), categories, [])
+    shared = spark.sparkContext.broadcast(chain)
+
+    def matrix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 512):
+                part = batch.slice(a, 512)
+                x = shared.value.matrix(part.column(1))
+                lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], pa.array(x.ravel()))
+                yield pa.RecordBatch.from_arrays([part.column(0), lists, *part.columns[2:]], ["id", "x", *names])
+
+    id_type = rows.schema["id"].dataType.simpleString()
+    fitted = rows.mapInArrow(matrix, f"id {id_type}, x array<float>, " + ", ".join(f"{n} int" for n in names)).toArrow()
+    fitted = fitted.sort_by("id")  # the same folds on every run
+    x = fitted["x"].combine_chunks().flatten().to_numpy().reshape(-1, chain.n_columns + 1)
+    return fit_chain(chain, x, [fitted[n].to_numpy() > 0 for n in names])
 
 
 def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
