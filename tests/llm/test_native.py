@@ -139,3 +139,27 @@ def test_different_windows_of_a_long_text_are_not_equal(spark):
     assert keys.select(quality_lines.repeated_starts("keys", "n").alias("s")).selectExpr("size(s)").first()[0] == 0
     keys.unpersist()
     long.unpersist()
+
+
+def test_copies_count_in_a_lines_frequency(spark):
+    """Forty documents of one host share a line, and the same text: the line is in
+    forty documents. Elsewhere the same line is rare."""
+    body = "this very line stands in every page of the host\nand nothing else is there"
+    rows = docs(spark, [(i, body, "a") for i in range(40)] + [(100 + i, body, "b") for i in range(quality_lines.MAX_DOCS)])
+    got = {r.doc_id: (r.boilerplate_words, r.kept) for r in quality_lines.judge(rows).collect()}
+    assert all(got[i] == (15, False) for i in range(40)) and all(got[100 + i] == (0, True) for i in range(quality_lines.MAX_DOCS))
+
+
+def test_decontamination_by_shuffle_equals_broadcast(spark, monkeypatch):
+    folder = SF_SMALL
+    d, b = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "benchmark"))
+    def result():
+        return sorted(map(tuple, decontaminate.digest(decontaminate.decontaminate(d, b)).collect()))
+    want = result()
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert result() == want and any(r[2] for r in want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
