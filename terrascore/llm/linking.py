@@ -24,29 +24,82 @@ links, or excluded by an exact bound: no link between components is lost.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrascore.llm.common import stage_table
+from terrascore.llm.common import ship_code, stage_table
 from terrascore.session import stage_table_counted
 
 #: Lists of so many nodes at most need no bounds.
 SMALL = 8
 #: 64-bit words of a node's bitmap.
 WORDS = 16
+#: Edges that a task joins into one forest at a time.
+EDGES = 2_000_000
+
+
+def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, root) for the nodes of the edges whose least connected node is
+    another one: union-find over arrays, hooking roots and halving paths."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    x, y = at[:len(u)], at[len(u):]
+    root = np.arange(len(nodes))
+    while True:
+        lo, hi = np.minimum(root[x], root[y]), np.maximum(root[x], root[y])
+        if (lo == hi).all():
+            break
+        np.minimum.at(root, hi, lo)
+        while not (root[root] == root).all():
+            root = root[root]
+    moved = root != np.arange(len(nodes))
+    return nodes[moved], nodes[root[moved]]
+
+
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow function: edges (u, v) to the forest of those of a task, EDGES at
+    a time, which connects the same nodes with fewer edges."""
+    held, size = [], 0
+
+    def joined() -> pa.RecordBatch:
+        u, v = (np.concatenate([b.column(k).to_numpy(zero_copy_only=False) for b in held]) for k in (0, 1))
+        node, root = forest(u, v)
+        return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(root, pa.int64())], names=["u", "v"])
+
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= EDGES:
+            yield joined()
+            held, size = [], 0
+    if size:
+        yield joined()
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, comp): the smallest node of each node's component, for the nodes
-    of ``links(a, b)``. Alternating large-star and small-star steps; each step
-    is a grouped minimum and a join back, both of which Spark can split for a
-    node with very many links, and is cut by a staged table."""
-    e = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct()
-    e, rows = stage_table_counted(e, "links")
-    seen = None
-    while rows:
+    of ``links(a, b)``. A distributed union-find: every task replaces its edges
+    by their forest; where a node then still has several roots, or a root hangs
+    elsewhere, alternating large-star and small-star steps move edges towards
+    the least nodes, and forests are made again, until all tasks agree. Each star
+    step is a grouped minimum and a join back, both of which Spark can split for a
+    node with very many links; every round is cut by a staged table."""
+    spark = links.sparkSession
+    ship_code(spark)
+    edges = "u long, v long"
+    e = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v")
+    e = stage_table(e.mapInArrow(_forests, edges).distinct(), "links")
+    while True:
+        # a node with two roots, or a root that is no root elsewhere: not done
+        seen = e.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("child")),
+                                          F.struct(F.col("v").alias("node"), F.lit(0).alias("child")))).alias("x"))
+        open_nodes = (seen.groupBy("x.node").agg(F.sum("x.child").alias("roots"), F.min("x.child").alias("least"))
+                      .where("roots > 1 or (roots = 1 and least = 0)"))
+        if open_nodes.isEmpty():
+            break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -55,13 +108,9 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(low, "u").select(
             F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                               F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
-        e = stage_table(small.select("x.u", "x.v").where("u > v").distinct(), "links")
-        now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if now == seen:
-            break
-        seen = now
-    own = e.groupBy("u").agg(F.min("v").alias("comp")).withColumnRenamed("u", "node")
-    return own.unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
+        e = stage_table(small.select("x.u", "x.v").where("u > v").mapInArrow(_forests, edges).distinct(), "links")
+    return (e.select(F.col("u").alias("node"), F.col("v").alias("comp"))
+            .unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()))
 
 
 def _with_components(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -135,6 +184,7 @@ def link(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], items: C
             if found:
                 links = links.unionByName(good)
                 labels = stage_table(components(links), "components")
+                links = labels.select(F.col("node").alias("a"), F.col("comp").alias("b"))  # connects what all links did
         if step == "first":  # from here on the longer lists
             longer = (_open_lists(_with_components(postings, labels), ["score"]).where(F.col("size") > SMALL).select("token"))
             postings, n_left = stage_table_counted(postings.join(longer, "token", "left_semi"), "postings")
