@@ -30,20 +30,30 @@ DECAY = 1e-4
 #: The labelled table is small by definition; a larger one is refused.
 MAX_TRAINING_URLS = 5000
 
-#: Labelled urls are made from these parts: each bad host part with each bad
-#: path, and each good host part with each good path.
-BAD_HOSTS = ("cheap-pills", "casino-bonus", "spam-farm", "replica-watches", "free-viagra", "adult-cams",
-             "payday-loans", "torrent-warez", "click-here-win", "porn-tube", "crack-keygen", "seo-links")
-BAD_PATHS = ("/buy-cheap-pills-online", "/win/free-bonus-casino", "/download-crack.exe", "/xxx/cams",
-             "/offer?aff=1", "/en/12", "/")
-GOOD_HOSTS = ("university", "library", "news", "weather", "museum", "blog.travel", "docs", "wiki", "m.research",
-              "recipes", "gardening", "citycouncil", "www.history", "blog.mountain", "m.thursday", "other.things",
-              "science", "theatre", "www.painting", "northern", "blog.stations", "m.reading", "athens", "interest",
-              "www.notable", "thinking", "m.readers", "blog.engines", "another", "festival", "ththe", "eranth",
-              "www.onedin", "m.tionher", "blog.inghat", "rereand")
-GOOD_PATHS = ("/articles/history-of-printing", "/en/12", "/about.html", "/fr/845", "/2021/05/report",
-              "/guide/chapter-2/", "/")
-ENDS = ("org", "net")
+#: Labelled urls are made from these parts: words that unwanted sites are named
+#: after and words of ordinary sites, neither taken from any given table. Prefixes
+#: and ends are dealt alike to both, so they say nothing about the label.
+BAD_WORDS = ("cheap", "pills", "casino", "bonus", "free", "bets", "viagra", "discount", "payday", "loans", "replica",
+             "watches", "porn", "cams", "warez", "torrent", "keygen", "crack", "jackpot", "slots", "escort", "spam",
+             "lottery", "poker")
+BAD_PATHS = ("/buy-now/discount-pills", "/win/free-casino-bonus", "/download/keygen-crack.exe", "/xxx/live-cams",
+             "/offer?aff=1", "/en/12", "/de/845.html", "/")
+GOOD_WORDS = ("university", "library", "nation", "weather", "museum", "mother", "travel", "recipes", "gardening", "council",
+              "history", "mountain", "science", "theatre", "painting", "northern", "stations", "reading", "athens",
+              "interest", "notable", "thinking", "engines", "another", "festival", "county", "school", "hospital",
+              "archive", "journal", "music", "theory", "health", "village", "island", "river", "table", "others",
+              "strength", "research")
+GOOD_PATHS = ("/articles/history-of-printing", "/en/12", "/about.html", "/fr/845", "/2021/05/report.pdf",
+              "/guide/chapter-2/", "/es/77/", "/de/845.html", "/questions/tagged/sorting", "/")
+PREFIXES = ("", "www.", "m.", "blog.", "shop.")
+ENDS = ("com", "org", "net", "info", "co.uk", "de", "fr", "io", "eu", "biz", "us")
+
+
+def site_names(words: tuple[str, ...], partners: tuple[tuple[str, int], ...]) -> list[str]:
+    """Hosts: each word joined by a mark with the word so many places on (0:
+    the word alone), with prefixes and ends in turn."""
+    names = [w + mark + words[(i + k) % len(words)] if k else w for mark, k in partners for i, w in enumerate(words)]
+    return [f"{PREFIXES[i % len(PREFIXES)]}{n}.{ENDS[i % len(ENDS)]}" for i, n in enumerate(names)]
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
@@ -51,10 +61,9 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
     part = lambda xs: F.explode(F.array(*[F.lit(x) for x in xs]))
     def urls(hosts, paths, label):
         return (spark.range(1).select(part(hosts).alias("h")).select("h", part(paths).alias("p"))
-                .select("h", "p", part(ENDS).alias("e"))
-                .select(F.concat(F.lit("https://"), "h", F.lit(".example."), "e", "p").alias("url"),
-                        F.lit(label).alias("label")))
-    return urls(BAD_HOSTS, BAD_PATHS, 1.0).unionByName(urls(GOOD_HOSTS, GOOD_PATHS, 0.0))
+                .select(F.concat(F.lit("https://"), "h", "p").alias("url"), F.lit(label).alias("label")))
+    return (urls(site_names(BAD_WORDS, (("-", 5), ("", 11))), BAD_PATHS, 1.0)
+            .unionByName(urls(site_names(GOOD_WORDS, (("", 0),)), GOOD_PATHS, 0.0)))
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:

@@ -7,6 +7,7 @@ import re
 import pytest
 from conftest import SF_SMALL
 from harness import compare, duck_connect
+from pyspark.sql import functions as F
 
 from terrascore.llm import decontaminate, mixing, quality_lines, url_filter
 from terrascore.llm.queries import llm_queries, llm_sql
@@ -51,6 +52,19 @@ def test_url_model_learns_its_table_and_scores_like_plain_python(spark):
     unseen = spark.createDataFrame([(0, "http://www.cheap-pills.example.org/en/9"), (1, "http://mountain.example.org/en/9")],
                                    "page_id long, url string")
     assert {r.page_id: r.verdict for r in url_filter.judge(unseen, weights=weights).collect()} == {0: "block", 1: "allow"}
+    real = ["http://www.online-casinos.co/start", "https://bestpokerbonus.ru/join", "http://freeporncams.tv/", "http://replicawatch.shop/en/3",
+            "https://www.nationalgallery.org.uk/visiting", "https://docs.python.org/3/library/os.html",
+            "https://cooking.stackexchange.com/questions/12/how-long", "http://www.thehistoryofscience.ca/en/3", "https://ruralhealth.gov.au/fr/3"]
+    pages = spark.createDataFrame(list(enumerate(real)), "page_id long, url string")
+    got = {r.page_id: r.bad_probability > 0.5 for r in url_filter.judge(pages, weights=weights).collect()}
+    assert got == {i: i < 4 for i in range(len(real))}
+
+
+def test_url_table_is_not_made_of_the_given_pages(spark):
+    given = spark.read.parquet(f"{SF_SMALL}/pages.parquet").select(url_filter.host_and_path(F.col("url"))[0].alias("h"))
+    names = {p for r in given.distinct().collect() for p in r.h.split(".")[:-2]} - {"www", "m", "blog"}
+    made = url_filter.labelled_urls(spark).select(url_filter.host_and_path(F.col("url"))[0].alias("h"))
+    assert not names & {p for r in made.distinct().collect() for p in r.h.split(".")}
 
 
 def test_decontamination_brute_force_and_edges(spark):
