@@ -47,6 +47,8 @@ PERCENT = 80
 FLUSH = 2_000_000
 #: Bytes of text for each shard of pairs, at most.
 SHARD_BYTES = 8 << 20
+#: Bytes of lines whose sets are compared at once (a longer pair is by itself).
+BLOCK = 2 << 20
 #: Up to so many line keys, the second read of the texts is filtered by a broadcast.
 BROADCAST_ROWS = 1_000_000
 _SEED = 42  # the seed of Spark's xxhash64
@@ -66,7 +68,7 @@ def line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def shingle_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """32-bit hashes of every line's shingles, line after line, and counts."""
+    """64-bit hashes of every line's shingles, line after line, and counts."""
     n = np.maximum(end - begin - size + 1, 1)
     first = np.cumsum(n) - n
     at = np.repeat(begin - first, n) + np.arange(int(n.sum()))
@@ -78,12 +80,13 @@ def shingle_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, size: i
     h = rolling[at]
     for i in np.flatnonzero(end - begin < size):  # shorter lines: the whole line
         h[first[i]] = xxhash.xxh64_intdigest(data[begin[i]:end[i]].tobytes())
-    return (bv.mix(h) >> np.uint64(32)).astype(np.uint32), n
+    return bv.mix(h), n
 
 
 def band_hashes(shingles: np.ndarray, n: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """(lines, bands) 64-bit hashes of the bands of each line's signature."""
     first = np.cumsum(n) - n
+    shingles = (shingles >> np.uint64(32)).astype(np.uint32)
     out = np.empty((len(n), bands), np.uint64)
     for b in range(bands):
         key = np.full(len(n), b + 1, np.uint64)
@@ -182,52 +185,65 @@ def _texts(docs: DataFrame, text_col: str, nodes: DataFrame, few: bool) -> DataF
     return lines.groupBy("node").agg(F.first("line").alias("line"))
 
 
-def shingle_set(line: bytes, size: int = SHINGLE) -> np.ndarray:
-    """The sorted distinct 64-bit hashes of a line's shingles."""
-    d = np.frombuffer(line, np.uint8)
-    if len(d) < size:
-        return np.array([xxhash.xxh64_intdigest(line)], np.uint64)
-    h = np.zeros(len(d) - size + 1, np.uint64)
-    for k in range(size):
-        h = h * np.uint64(0x100000001B3) + d[k:len(d) - size + 1 + k]
-    return np.unique(bv.mix(h))
+def line_sets(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(line, shingle): the distinct shingles of every line, in order of both."""
+    h, n = shingle_hashes(data, begin, end)
+    line = np.repeat(np.arange(len(n), dtype=np.uint16 if len(n) <= 1 << 16 else np.int64), n)
+    order = np.argsort(h)
+    order = order[np.argsort(line[order], kind="stable")]
+    h, line = h[order], line[order]
+    fresh = np.ones(len(h), bool)
+    fresh[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
+    return line[fresh].astype(np.int64), h[fresh]
+
+
+def similar_lines(line: np.ndarray, shingle: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the sets of the lines ``x`` and ``y``, pair by pair, are similar
+    enough; (``line``, ``shingle``) from ``line_sets``."""
+    size = np.bincount(line)
+    first = np.cumsum(size) - size
+    _, rank = np.unique(shingle, return_inverse=True)
+    width = len(shingle) + 1
+    key = line * width + rank
+    out = np.zeros(len(x), bool)
+    small, large = np.where(size[x] <= size[y], x, y), np.where(size[x] <= size[y], y, x)
+    able = 100 * size[small] >= percent * size[large]
+    small, large = small[able], large[able]
+    n = size[small]
+    pair = np.repeat(np.arange(len(n)), n)
+    at = np.repeat(first[small] - (np.cumsum(n) - n), n) + np.arange(len(pair))
+    wanted = large[pair] * width + rank[at]
+    found = key[np.minimum(np.searchsorted(key, wanted), len(key) - 1)] == wanted
+    same = np.bincount(pair[found], minlength=len(n))
+    out[able] = 100 * same >= percent * (size[small] + size[large] - same)
+    return out
 
 
 def _similar(percent: int):
     """Arrow function: the pairs (a, b) whose lines x, y are similar enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict[bytes, np.ndarray] = {}
-
-        def of(line: bytes) -> np.ndarray:
-            s = sets.get(line)
-            if s is None:
-                if len(sets) > 4000:
-                    sets.clear()
-                s = sets[line] = shingle_set(line)
-            return s
-
         for batch in batches:
-            xs, ys = batch.column(2).cast(pa.binary()).to_pylist(), batch.column(3).cast(pa.binary()).to_pylist()
-            keep = []
-            for x, y in zip(xs, ys):
-                a, b = of(x), of(y)
-                small, large = (a, b) if len(a) < len(b) else (b, a)
-                same = 0
-                if 100 * len(small) >= percent * len(large):
-                    same = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
-                keep.append(100 * same >= percent * (len(a) + len(b) - same))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            a, b = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            (xd, xo), (yd, yo) = (bv.string_buffers(batch.column(k)) for k in (2, 3))
+            keep = np.zeros(len(a), bool)
+            for p, q, _, _ in bv.chunks(xd, xo + yo, BLOCK):
+                _, one, at = np.unique(np.concatenate([a[p:q], b[p:q]]), return_index=True, return_inverse=True)
+                x, y = xd[xo[p]:xo[q]], yd[yo[p]:yo[q]]
+                begin = np.concatenate([xo[p:q] - xo[p], yo[p:q] - yo[p] + len(x)])[one]
+                end = np.concatenate([xo[p + 1:q + 1] - xo[p], yo[p + 1:q + 1] - yo[p] + len(x)])[one]
+                sets = line_sets(np.concatenate([x, y]), begin, end)
+                keep[p:q] = similar_lines(*sets, at[:q - p], at[q - p:], percent)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
     return run
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Arrow function: (node, line) to (node, item) for every shingle."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 2000):
-            part = batch.slice(at, 2000)
-            sets = [shingle_set(x) for x in part.column(1).cast(pa.binary()).to_pylist()]
-            node = np.repeat(part.column(0).to_numpy(zero_copy_only=False), [len(x) for x in sets])
-            yield pa.RecordBatch.from_arrays([pa.array(node), bv.as_long(np.concatenate(sets))], names=["node", "item"])
+        nodes = batch.column(0).to_numpy(zero_copy_only=False)
+        for p, q, d, o in bv.chunks(*bv.string_buffers(batch.column(1)), BLOCK):
+            line, item = line_sets(d, o[:-1], o[1:])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[p:q][line]), bv.as_long(item)], names=["node", "item"])
 
 
 def line_components(docs: DataFrame, text_col: str = "text", percent: int = PERCENT) -> DataFrame:

@@ -303,9 +303,9 @@ def test_lines_equal_brute_force(spark):
 def test_line_length_from_which_one_edit_is_found():
     def similar(n):
         a = bytes(np.random.default_rng(n).integers(97, 123, n, np.uint8))
-        x, y = (line_dedup.shingle_set(t) for t in (a, a[:n // 2] + b"Q" + a[n // 2 + 1:]))
-        same = len(np.intersect1d(x, y))
-        return 100 * same >= line_dedup.PERCENT * (len(x) + len(y) - same)
+        both = np.frombuffer(a + a[:n // 2] + b"Q" + a[n // 2 + 1:], np.uint8)
+        sets = line_dedup.line_sets(both, np.array([0, n]), np.array([n, 2 * n]))
+        return line_dedup.similar_lines(*sets, np.array([0]), np.array([1]), line_dedup.PERCENT)[0]
     assert not similar(60) and not similar(88) and similar(89)
 
 
