@@ -23,11 +23,12 @@ _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (multiply and xor-shift)."""
-    x = x ^ (x >> U64(30))
-    x = x * U64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> U64(27))
-    x = x * U64(0x94D049BB133111EB)
-    return x ^ (x >> U64(31))
+    x = x ^ (x >> U64(30))  # a copy, worked on in place from here on
+    x *= U64(0xBF58476D1CE4E5B9)
+    x ^= x >> U64(27)
+    x *= U64(0x94D049BB133111EB)
+    x ^= x >> U64(31)
+    return x
 
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * U64(0x9E3779B97F4A7C15))
@@ -68,6 +69,11 @@ def lower_az(data: np.ndarray) -> np.ndarray:
     return _AZ[data]
 
 
+def in_words(data: np.ndarray) -> np.ndarray:
+    """Which bytes are not white space."""
+    return ~_IS_SPACE[data]
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, length, row) of each run of non-white-space bytes."""
     inside = ~_IS_SPACE[data]

@@ -57,27 +57,33 @@ _A = (bv.mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uin
 
 def line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(start, end) of the lines with a word, in order, over all texts."""
-    starts, lengths, _ = bv.words(data, offsets)
     cuts = np.union1d(np.flatnonzero(data == 10) + 1, offsets)
-    line = np.searchsorted(cuts, starts, side="right") - 1
-    line = np.unique(line)
-    begin = cuts[line]
-    end = np.append(cuts, len(data))[line + 1]
-    end = end - ((end > begin) & (end <= len(data)) & (data[np.maximum(end - 1, 0)] == 10))
-    return begin, end
+    begin, end = cuts[:-1], cuts[1:]
+    if len(begin):
+        worded = np.logical_or.reduceat(bv.in_words(data), begin)
+        begin, end = begin[worded], end[worded]
+    return begin, end - (data[end - 1] == 10)
+
+
+def rolling_hashes(units: np.ndarray, size: int) -> np.ndarray:
+    """The polynomial hash of every ``size`` consecutive units, by doubling."""
+    base, one = 0x100000001B3, units.astype(np.uint64)
+    out, width = one, 1
+    for bit in bin(size)[3:]:
+        out = out[:-width] * np.uint64(pow(base, width, 1 << 64)) + out[width:]
+        width *= 2
+        if bit == "1":
+            out = out[:-1] * np.uint64(base) + one[width:]
+            width += 1
+    return out
 
 
 def shingle_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of every line's shingles, line after line, and counts."""
     n = np.maximum(end - begin - size + 1, 1)
     first = np.cumsum(n) - n
-    at = np.repeat(begin - first, n) + np.arange(int(n.sum()))
-    padded = np.concatenate([data, np.zeros(size, np.uint8)])
-    rolling = np.zeros(len(data) + 1, np.uint64)
-    for k in range(size):
-        rolling *= np.uint64(0x100000001B3)
-        rolling += padded[k:k + len(data) + 1]
-    h = rolling[at]
+    h = rolling_hashes(np.concatenate([data, np.zeros(size, data.dtype)]), size)
+    h = np.concatenate([h[a:a + k] for a, k in zip(begin.tolist(), n.tolist())])
     for i in np.flatnonzero(end - begin < size):  # shorter lines: the whole line
         h[first[i]] = xxhash.xxh64_intdigest(data[begin[i]:end[i]].tobytes())
     return bv.mix(h), n
@@ -157,8 +163,8 @@ def band_postings(docs: DataFrame, text_col: str, shards: int) -> DataFrame:
                     continue
                 raw = d.tobytes()
                 key = np.array([xxhash.xxh64_intdigest(raw[a:b], _SEED) for a, b in zip(begin.tolist(), end.tolist())], np.uint64)
-                key, one = np.unique(key, return_index=True)
-                begin, end = begin[one], end[one]
+                one = np.sort(np.unique(key, return_index=True)[1])
+                key, begin, end = key[one], begin[one], end[one]
                 tokens.append(band_hashes(*shingle_hashes(d, begin, end)).reshape(-1))
                 keys.append(np.repeat(key, BANDS))
                 held += len(tokens[-1])
