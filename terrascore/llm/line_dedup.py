@@ -1,6 +1,6 @@
 """Fuzzy line deduplication (op 8).
 
-A line's character shingles (``SHINGLE`` bytes) get a MinHash signature; bands
+A line's shingles (``SHINGLE`` characters, code points) get a MinHash signature; bands
 of it bring candidates together, exact Jaccard similarity confirms them, and
 each component of confirmed links, exact copies included, keeps one line: the
 first by document id and line number. Documents that lose all their lines go.
@@ -40,7 +40,7 @@ from terrascore.llm.common import ship_code, stage_table, trimmed
 from terrascore.llm.linking import link
 from terrascore.session import stage_table_counted
 
-SHINGLE = 9
+SHINGLE = 5
 BANDS, ROWS = 12, 4
 PERCENT = 80
 #: (band, line) pairs gathered in a task before they are dealt out.
@@ -65,6 +65,19 @@ def line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return begin, end - (data[end - 1] == 10)
 
 
+def characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One number for each UTF-8 character, an ASCII one's its byte, and the
+    number of characters before each byte and before the end."""
+    lead = (data & 0xC0) != 0x80
+    first = np.flatnonzero(lead)
+    width = np.diff(np.append(first, len(data)))
+    padded = np.concatenate([data, np.zeros(3, np.uint8)])
+    units = data[first].astype(np.uint32)
+    for k in (1, 2, 3):
+        units = np.where(width > k, units << np.uint32(8) | padded[first + k], units)
+    return units, np.concatenate([[0], np.cumsum(lead)])
+
+
 def rolling_hashes(units: np.ndarray, size: int) -> np.ndarray:
     """The polynomial hash of every ``size`` consecutive units, by doubling."""
     base, one = 0x100000001B3, units.astype(np.uint64)
@@ -80,12 +93,15 @@ def rolling_hashes(units: np.ndarray, size: int) -> np.ndarray:
 
 def shingle_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of every line's shingles, line after line, and counts."""
+    if len(data) and data.max() > 127:
+        data, before = characters(data)
+        begin, end = before[begin], before[end]
     n = np.maximum(end - begin - size + 1, 1)
     first = np.cumsum(n) - n
     h = rolling_hashes(np.concatenate([data, np.zeros(size, data.dtype)]), size)
     h = np.concatenate([h[a:a + k] for a, k in zip(begin.tolist(), n.tolist())])
     for i in np.flatnonzero(end - begin < size):  # shorter lines: the whole line
-        h[first[i]] = xxhash.xxh64_intdigest(data[begin[i]:end[i]].tobytes())
+        h[first[i]] = xxhash.xxh64_intdigest(data[begin[i]:end[i]].astype(np.uint32).tobytes())
     return bv.mix(h), n
 
 
