@@ -40,7 +40,7 @@ from terrascore.llm.common import ship_code, stage_table, trimmed
 from terrascore.llm.linking import link
 from terrascore.session import stage_table_counted
 
-SHINGLE = 5
+SHINGLE = 9
 BANDS, ROWS = 12, 4
 PERCENT = 80
 #: (band, line) pairs gathered in a task before they are dealt out.
