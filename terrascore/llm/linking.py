@@ -79,20 +79,26 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield joined()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, per_task: int = EDGES) -> DataFrame:
     """(node, comp): the smallest node of each node's component, for the nodes
     of ``links(a, b)``. A distributed union-find: every task replaces its edges
-    by their forest; where a node then still has several roots, or a root hangs
-    elsewhere, alternating large-star and small-star steps move edges towards
-    the least nodes, and forests are made again, until all tasks agree. Each star
-    step is a grouped minimum and a join back, both of which Spark can split for a
-    node with very many links; every round is cut by a staged table."""
+    by their forest; the edges left are dealt to as many tasks as ``per_task``
+    edges each need, which join them again. Where these are several tasks, and a
+    node then still has several roots, or a root hangs elsewhere, alternating
+    large-star and small-star steps move edges towards the least nodes, and
+    forests are made again, until all tasks agree. Each star step is a grouped
+    minimum and a join back, both of which Spark can split for a node with very
+    many links; every round is cut by a staged table."""
     spark = links.sparkSession
     ship_code(spark)
     edges = "u long, v long"
     e = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v")
-    e = stage_table(e.mapInArrow(_forests, edges).distinct(), "links")
-    while True:
+    e, n = stage_table_counted(e.mapInArrow(_forests, edges), "links")
+    while n:
+        tasks = -(-n // per_task)
+        e = stage_table(e.repartition(tasks).mapInArrow(_forests, edges).distinct(), "links")
+        if tasks == 1:  # one forest of all edges
+            break
         # a node with two roots, or a root that is no root elsewhere: not done
         seen = e.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("child")),
                                           F.struct(F.col("v").alias("node"), F.lit(0).alias("child")))).alias("x"))
@@ -108,7 +114,7 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(low, "u").select(
             F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                               F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
-        e = stage_table(small.select("x.u", "x.v").where("u > v").mapInArrow(_forests, edges).distinct(), "links")
+        e, n = stage_table_counted(small.select("x.u", "x.v").where("u > v").mapInArrow(_forests, edges).distinct(), "links")
     return (e.select(F.col("u").alias("node"), F.col("v").alias("comp"))
             .unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()))
 

@@ -257,7 +257,9 @@ def test_near_duplicate_edges(spark):
 
 def test_components_of_paths_stars_and_repeats(spark):
     edges = [(i + 1, i) for i in range(60)] + [(1000, 1000 + k) for k in range(1, 90)] + [(5, 4), (4, 5), (2000, 2000)]
-    got = {r.node: r.comp for r in linking.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    links = spark.createDataFrame(edges, "a long, b long")
+    got = {r.node: r.comp for r in linking.components(links).collect()}
+    assert got == {r.node: r.comp for r in linking.components(links, per_task=25).collect()}
     assert all(got[i] == 0 for i in range(61)) and all(got[1000 + k] == 1000 for k in range(90)) and 2000 not in got
     assert linking.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
