@@ -9,6 +9,8 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +23,7 @@ WS_CLASS = r"\x20\x09-\x0D"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 __all__ = ["LOWER", "UPPER", "WS_CHARS", "WS_CLASS", "read_table", "row_key", "shared_path",
-           "ship_code", "split_words", "stage_table", "trimmed", "word_count"]
+           "ship_code", "shuffles_removed", "split_words", "stage_table", "trimmed", "word_count"]
 
 _shipped: set[str] = set()
 
@@ -44,6 +46,19 @@ def ship_code(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Inside, Spark removes the shuffle files of each execution at its end, for
+    chains of staged tables: what a later step needs is in the staged one."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -22,7 +22,8 @@ down to a uniform share of 1 / (V + 1) for any word at all. A context that was
 never seen passes on to the shorter one.
 
 Text: A-Z lower-cased; words are runs of non-white space; every text ends with
-one end token, which counts as a token. Words are known by 64-bit hashes.
+one end token, which counts as a token. Words are known by 64-bit hashes; n-grams of word
+numbers and contexts by their shard and 48 bits of theirs.
 
 Defined results: null, empty and blank texts have the end token only; equal
 texts get equal scores; without any training row the model is uniform and the
@@ -43,7 +44,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrascore.llm import bytesvec as bv
-from terrascore.llm.common import shared_path, ship_code, stage_table
+from terrascore.llm.common import shared_path, ship_code, shuffles_removed, stage_table
 
 #: Order of the registered query's model.
 ORDER = 3
@@ -162,27 +163,66 @@ def _save(folder: str, name: str, array: np.ndarray) -> None:
     os.replace(tmp, os.path.join(folder, name))
 
 
-def _small(counts: np.ndarray) -> np.ndarray:
-    """Counts in the narrowest width that holds them."""
-    top = int(counts.max()) if len(counts) else 0
-    return counts.astype(np.uint8 if top < 256 else np.uint16 if top < 65536 else np.uint32 if top < 2 ** 32 else np.uint64)
+def _key_bytes(keys: np.ndarray, wide: bool) -> np.ndarray:
+    """Sorted hashes as they are filed: ``wide`` as a whole, else their upper 32
+    bits one after the other and then the next 16 (the shard is known besides)."""
+    if wide:
+        return keys.view(np.uint8)
+    return np.concatenate([(keys >> U64(32)).astype("<u4").view(np.uint8), (keys >> U64(16)).astype("<u2").view(np.uint8)])
 
 
-def _load(folder: str, name: str, kind) -> np.ndarray:
+def _value_bytes(values: np.ndarray) -> np.ndarray:
+    """A byte for each value, 255 for all from there on; then those values'
+    places, then the values themselves."""
+    large = np.flatnonzero(values >= 255)
+    return np.concatenate([np.minimum(values, 255).astype(np.uint8), large.astype("<u8").view(np.uint8), values[large].astype("<u8").view(np.uint8)])
+
+
+def _load(folder: str, name: str) -> np.ndarray:
     """A shard's file, mapped. One that should be there and is not means that this
     worker does not see the shared folder."""
     path = os.path.join(folder, name)
     if not os.path.exists(path):
         raise FileNotFoundError(f"the language model's file {path} is missing: the shared folder must be mounted on every worker")
-    return np.memmap(path, dtype=kind, mode="r") if os.path.getsize(path) else np.zeros(0, kind)
-
-
-def _load_counts(folder: str, name: str, n: int) -> np.ndarray:
-    """The counts beside ``n`` hashes; their width is the file's bytes by ``n``."""
-    size, rest = divmod(os.path.getsize(os.path.join(folder, name)), n)
-    if rest or size not in (1, 2, 4, 8):
+    return np.memmap(path, dtype=np.uint8, mode="r") if os.path.getsize(path) else np.zeros(0, np.uint8)
+
+
+def _find(folder: str, name: str, n: int, wanted: np.ndarray, wide: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(place, found) of the hashes ``wanted`` among a file's ``n``."""
+    raw = _load(folder, name)
+    if len(raw) != n * (8 if wide else 6):
+        raise ValueError(f"the language model's file {folder}/{name} holds {len(raw)} bytes for {n} entries")
+    if wide:
+        keys = raw.view(U64)
+        at = np.minimum(np.searchsorted(keys, wanted), n - 1)
+        return at, keys[at] == wanted
+    upper, next16 = raw[:4 * n].view("<u4"), raw[4 * n:].view("<u2")
+    head, tail = (wanted >> U64(32)).astype(np.uint32), (wanted >> U64(16)).astype(np.uint16)
+    at = np.minimum(np.searchsorted(upper, head), n - 1)
+    hit = (upper[at] == head) & (next16[at] == tail)
+    # a few hashes share their upper bits with others and stand behind them
+    more = np.flatnonzero((upper[at] == head) & ~hit)
+    while len(more):
+        more = more[at[more] + 1 < n]
+        at[more] += 1
+        more = more[upper[at[more]] == head[more]]
+        hit[more] = next16[at[more]] == tail[more]
+        more = more[~hit[more]]
+    return at, hit
+
+
+def _values_at(folder: str, name: str, n: int, at: np.ndarray) -> np.ndarray:
+    """The values filed at places ``at`` of a file's ``n``."""
+    raw = _load(folder, name)
+    large, rest = divmod(len(raw) - n, 16)
+    if large < 0 or rest:
         raise ValueError(f"the language model's file {os.path.join(folder, name)} is incomplete")
-    return _load(folder, name, {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.uint64}[size])
+    out = raw[at].astype(np.int64)
+    top = np.flatnonzero(out == 255)
+    if len(top):
+        places, values = np.frombuffer(raw[n:].tobytes(), "<u8").reshape(2, large).astype(np.int64)
+        out[top] = values[np.searchsorted(places, at[top])]
+    return out
 
 
 @dataclass
@@ -202,7 +242,7 @@ class Model:
     entries: dict[str, np.ndarray] = field(default_factory=dict)
 
 
-def _lookup(folder: str, entries: np.ndarray, shard: np.ndarray, keys: np.ndarray, names: list[str], first: str) -> list[np.ndarray]:
+def _lookup(folder: str, entries: np.ndarray, shard: np.ndarray, keys: np.ndarray, names: list[str], wide: bool = False) -> list[np.ndarray]:
     """Values of ``names`` at ``keys`` in the mapped shard files (0 if absent);
     the name ``""`` stands for the place in the file, from 1. Keys are looked up
     once each, in the files' order. A shard without entries has no file; a file that
@@ -215,14 +255,11 @@ def _lookup(folder: str, entries: np.ndarray, shard: np.ndarray, keys: np.ndarra
     edges = np.searchsorted(us, np.arange(len(entries) + 1))
     for i in np.flatnonzero((edges[1:] > edges[:-1]) & (entries > 0)).tolist():
         a, b = int(edges[i]), int(edges[i + 1])
-        sorted_keys = _load(folder, f"{first}-{i:05d}", U64)
-        if len(sorted_keys) != entries[i]:
-            raise ValueError(f"the language model's file {folder}/{first}-{i:05d} holds {len(sorted_keys)} of {entries[i]} entries")
-        at = np.minimum(np.searchsorted(sorted_keys, uk[a:b]), len(sorted_keys) - 1)
-        hit = sorted_keys[at] == uk[a:b]
+        n = int(entries[i])
+        at, hit = _find(folder, f"hash-{i:05d}", n, uk[a:b], wide)
+        place = a + np.flatnonzero(hit)
         for j, name in enumerate(names):
-            values = _load_counts(folder, f"{name}-{i:05d}", len(sorted_keys))[at].astype(np.int64) if name else at + 1
-            found[j][a:b] = np.where(hit, values, 0)
+            found[j][place] = _values_at(folder, f"{name}-{i:05d}", n, at[hit]) if name else at[hit] + 1
     back = np.cumsum(new) - 1
     out = []
     for f in found:
@@ -265,8 +302,8 @@ def _count_words(folder: str, shards: int):
         shard = table["shard"][0].as_py()
         h, c = _unpack(table, 2)
         h, c = _sum_words([h], [c.astype(np.int64)])
-        _save(f"{folder}/words", f"hash-{shard:05d}", h)
-        _save(f"{folder}/words", f"count-{shard:05d}", _small(c))
+        _save(f"{folder}/words", f"hash-{shard:05d}", _key_bytes(h, True))
+        _save(f"{folder}/words", f"count-{shard:05d}", _value_bytes(c))
         rows = [{"kind": "stat", "shard": shard, "n": len(h), "parts": [np.int64(c.sum()).tobytes()]}]
         rows += [{"kind": "top", "shard": shard, "n": int(c[i]), "parts": [np.int64(i).tobytes()]}
                  for i in np.argsort(-c, kind="stable")[:64]]
@@ -284,7 +321,7 @@ def word_ids(folder: str, first: np.ndarray, words: np.ndarray) -> tuple[np.ndar
     texts are 1 to V, shard after shard (``first``: words before each shard),
     and any other is V + 1, with the count 0."""
     shard = (words % U64(len(first) - 1)).astype(np.int64)
-    at, count = _lookup(f"{folder}/words", np.diff(first), shard, words, ["", "count"], "hash")
+    at, count = _lookup(f"{folder}/words", np.diff(first), shard, words, ["", "count"], wide=True)
     ids = np.where(at > 0, first[shard] + at, first[-1] + 1)
     return np.where(words == BEGIN, 0, ids).astype(U64), count
 
@@ -351,14 +388,16 @@ def _dealt(columns: list[np.ndarray], counts: np.ndarray, hot: np.ndarray, shard
 
 
 def _save_contexts(folder: str, shard: int, key: np.ndarray, stats: list[np.ndarray]) -> list[np.ndarray]:
-    """Write the statistics of contexts, summed by context."""
+    """Write the statistics of contexts, summed by context, under their hashes
+    once more mixed: the hash of a single word is its number."""
+    key = bv.mix(key)
     order = np.argsort(key, kind="stable")
     key = key[order]
     at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
     stats = [np.add.reduceat(x[order], at) if len(at) else x[:0] for x in stats]
-    _save(folder, f"hash-{shard:05d}", key[at])
+    _save(folder, f"hash-{shard:05d}", _key_bytes(key[at], False))
     for name, x in zip(CONTEXT, stats):
-        _save(folder, f"{name}-{shard:05d}", _small(x))
+        _save(folder, f"{name}-{shard:05d}", _value_bytes(x))
     return stats
 
 
@@ -373,8 +412,8 @@ def _write_grams(folder: str, k: int, hot: np.ndarray, shards: int):
         context = context_hash(columns)
         gram = gram_hash(context, columns[-1])
         order = np.argsort(gram, kind="stable")
-        _save(f"{folder}/grams{k}", f"hash-{shard:05d}", gram[order])
-        _save(f"{folder}/grams{k}", f"count-{shard:05d}", _small(counts[order]))
+        _save(f"{folder}/grams{k}", f"hash-{shard:05d}", _key_bytes(gram[order], False))
+        _save(f"{folder}/grams{k}", f"count-{shard:05d}", _value_bytes(counts[order]))
         of = np.bincount(np.minimum(counts, 5), minlength=6).astype(np.int64)
         # sorted by their words, so the n-grams of a context stand together
         at = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
@@ -408,7 +447,13 @@ def discounts(of: np.ndarray) -> np.ndarray:
 
 
 def train(texts: DataFrame, text_col: str = "text", order: int = 2) -> Model:
-    """Count the rows' texts and write the model into the shared folder."""
+    """Count the rows' texts and write the model into the shared folder. The
+    shuffle files of an order go when it is written."""
+    with shuffles_removed(texts.sparkSession):
+        return _train(texts, text_col, order)
+
+
+def _train(texts: DataFrame, text_col: str, order: int) -> Model:
     spark: SparkSession = texts.sparkSession
     ship_code(spark)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -467,7 +512,7 @@ def log_probabilities(model: Model, tokens: np.ndarray, at: np.ndarray) -> np.nd
         spread = is_spread(columns, model.hot)
         home = (bv.mix(context) % U64(model.shards)).astype(np.int64)
         shard = np.where(spread, (bv.mix(gram) % U64(model.shards)).astype(np.int64), home)
-        c, = _lookup(f"{model.folder}/grams{k}", model.entries[f"grams{k}"], shard, gram, ["count"], "hash")
+        c, = _lookup(f"{model.folder}/grams{k}", model.entries[f"grams{k}"], shard, gram, ["count"])
         d = model.discounts[k]
         taken = np.concatenate([[0.0], d])[np.minimum(c, 3)]
         if k == 1:
@@ -476,7 +521,7 @@ def log_probabilities(model: Model, tokens: np.ndarray, at: np.ndarray) -> np.nd
             continue
         t, a, b, e = found = [np.zeros(len(at), np.int64) for _ in CONTEXT]
         for name, part in (("contexts", ~spread), ("spread", spread)):
-            for x, y in zip(found, _lookup(f"{model.folder}/{name}{k}", model.entries[f"{name}{k}"], home[part], context[part], list(CONTEXT), "hash")):
+            for x, y in zip(found, _lookup(f"{model.folder}/{name}{k}", model.entries[f"{name}{k}"], home[part], bv.mix(context[part]), list(CONTEXT))):
                 x[part] = y
         seen = t > 0
         t = np.maximum(t, 1)

@@ -459,6 +459,20 @@ def test_chain_learns_from_out_of_fold_estimates():
 
 
 # ------------------------------------------------------- files of the language model
+def test_model_files_give_back_what_was_filed(tmp_path):
+    rng = np.random.default_rng(0)
+    close = (np.uint64(77) << np.uint64(32)) + (np.arange(50, dtype=np.uint64) << np.uint64(20))  # equal upper halves
+    for wide in (False, True):
+        keys = np.unique(np.concatenate([rng.integers(0, 2**64, 20000, dtype=np.uint64), close]))
+        values = np.where(rng.random(len(keys)) < 0.01, rng.integers(250, 10**12, len(keys)), rng.integers(0, 256, len(keys)))
+        lm_scoring._save(f"{tmp_path}/{wide}", "hash-00000", lm_scoring._key_bytes(keys, wide))
+        lm_scoring._save(f"{tmp_path}/{wide}", "count-00000", lm_scoring._value_bytes(values))
+        asked = rng.permutation(np.concatenate([keys, keys[:50], rng.integers(0, 2**64, 9000, dtype=np.uint64)]))
+        got, = lm_scoring._lookup(f"{tmp_path}/{wide}", np.array([len(keys)]), np.zeros(len(asked), int), asked, ["count"], wide)
+        known = dict(zip(keys.tolist(), values.tolist()))
+        assert got.tolist() == [known.get(k, 0) for k in asked.tolist()]
+
+
 def test_lost_model_files_are_an_error(spark, tmp_path):
     import shutil
     from pathlib import Path
