@@ -49,9 +49,9 @@ from terrascore.llm.common import shared_path, ship_code, shuffles_removed, stag
 #: Order of the registered query's model.
 ORDER = 3
 #: N-grams that a task holds before it deals them out.
-FLUSH = 3_000_000
+FLUSH = 2_000_000
 #: Tokens of the training texts for each shard of n-grams, and their bytes for each of words, at most.
-SHARD_TOKENS, SHARD_BYTES = 4_000_000, 32 << 20
+SHARD_TOKENS, SHARD_BYTES = 2_000_000, 32 << 20
 #: Tokens that are scored at once.
 SCORED_AT_ONCE = 400_000
 END, BEGIN = np.uint64(0x1D8E4E27C47D124F), np.uint64(0x7FB5D329728EA185)
@@ -135,8 +135,13 @@ def _from_planes(data: bytes, n: int) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
+def _shard_order(shard: np.ndarray) -> np.ndarray:
+    """The stable order by shard; numbers of 16 bits are sorted by radix."""
+    return np.argsort(shard.astype(np.uint16) if len(shard) and shard.max() < 65536 else shard, kind="stable")
+
+
 def _pack(shard: np.ndarray, arrays: list[np.ndarray], kind: str) -> Iterator[dict]:
-    order = np.argsort(shard, kind="stable")
+    order = _shard_order(shard)
     shard, arrays = shard[order], [a[order] for a in arrays]
     at = np.flatnonzero(np.diff(shard, prepend=-1))
     for a, b in zip(at, np.append(at[1:], len(shard))):
@@ -247,7 +252,8 @@ def _lookup(folder: str, entries: np.ndarray, shard: np.ndarray, keys: np.ndarra
     the name ``""`` stands for the place in the file, from 1. Keys are looked up
     once each, in the files' order. A shard without entries has no file; a file that
     is missing or short is an error, never a count of 0."""
-    order = np.lexsort((keys, shard))
+    order = np.argsort(keys)
+    order = order[_shard_order(shard[order])]
     s, k = shard[order], keys[order]
     new = np.concatenate([[True], (k[1:] != k[:-1]) | (s[1:] != s[:-1])]) if len(k) else np.zeros(0, bool)
     us, uk = s[new], k[new]
@@ -335,7 +341,7 @@ def _deal_grams(folder: str, first: np.ndarray, order: int, hot: np.ndarray, sha
             ids, _ = word_ids(folder, first, np.concatenate([h[0] for h in held]))
             grams = [ngrams(ids[h[1] + k], h[2], order) for h, k in zip(held, skip)]
             columns = [np.concatenate([g[k] for g in grams]) for k in range(order)]
-            return _batch(_dealt(columns, np.ones(len(columns[0]), np.int64), hot, shards))
+            return _batch(_dealt(columns, hot, shards))
         for batch in batches:
             data, offsets = bv.string_buffers(batch.column(0))
             for _, _, d, o in bv.chunks(data, offsets):
@@ -351,24 +357,35 @@ def _deal_grams(folder: str, first: np.ndarray, order: int, hot: np.ndarray, sha
     return deal
 
 
-def _keys(columns: list[np.ndarray]) -> list[np.ndarray]:
-    """The columns in as few numbers as hold them, for sorting."""
+def _keys(columns: list[np.ndarray]) -> tuple[list[np.ndarray], list[int]]:
+    """The columns in as few numbers as hold them, for sorting, and their bits."""
     keys: list[np.ndarray] = []
+    widths = [int(c.max()).bit_length() if len(c) else 0 for c in columns]
     room = 0
-    for c in columns:
-        bits = int(c.max()).bit_length() if len(c) else 0
+    for c, bits in zip(columns, widths):
         if keys and bits <= room:
             keys[-1] = (keys[-1] << U64(bits)) | c
             room -= bits
         else:
             keys.append(c)
             room = 64 - bits
-    return keys
-
-
-def sum_grams(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """N-grams once each, in the order of their words, with summed counts."""
-    keys = _keys(columns)
+    return keys, widths
+
+
+def sum_grams(columns: list[np.ndarray], counts: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """N-grams once each, in the order of their words, with summed counts (None: 1 each)."""
+    keys, widths = _keys(columns)
+    if counts is None and len(keys) == 1:  # nothing to carry along: the numbers alone are sorted
+        key = np.sort(keys[0])
+        at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        total, key = np.diff(np.append(at, len(key))), key[at]
+        out = []
+        for bits in widths[:0:-1]:
+            out.append(key & U64((1 << bits) - 1))
+            key = key >> U64(bits)
+        return [key, *out[::-1]], total
+    if counts is None:
+        counts = np.ones(len(columns[0]), np.int64)
     order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
     new = np.zeros(len(order), bool)
     new[:1] = True
@@ -380,8 +397,19 @@ def sum_grams(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.nd
     return [c[order[at]] for c in columns], total
 
 
-def _dealt(columns: list[np.ndarray], counts: np.ndarray, hot: np.ndarray, shards: int) -> list[dict]:
-    columns, counts = sum_grams(columns, counts)
+def by_hash(gram: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) in the order of the hashes, of which 48 bits stay. Hash and
+    count are sorted as one number, where the count has room in 16 bits."""
+    top = U64(0xFFFF)
+    key = np.sort((gram & ~top) | np.minimum(counts, 0xFFFF).astype(U64))
+    ordered = (key & top).astype(np.int64)
+    large = np.flatnonzero(counts >= 0xFFFF)
+    ordered[ordered == 0xFFFF] = counts[large[np.argsort(gram[large])]]
+    return key & ~top, ordered
+
+
+def _dealt(columns: list[np.ndarray], hot: np.ndarray, shards: int) -> list[dict]:
+    columns, counts = sum_grams(columns)
     context = context_hash(columns)
     shard = shard_of(columns, context, gram_hash(context, columns[-1]), hot, shards)
     return list(_pack(shard, [*columns, counts], "gram"))
@@ -411,9 +439,10 @@ def _write_grams(folder: str, k: int, hot: np.ndarray, shards: int):
         columns, counts = sum_grams(columns, counts.astype(np.int64))
         context = context_hash(columns)
         gram = gram_hash(context, columns[-1])
-        order = np.argsort(gram, kind="stable")
-        _save(f"{folder}/grams{k}", f"hash-{shard:05d}", _key_bytes(gram[order], False))
-        _save(f"{folder}/grams{k}", f"count-{shard:05d}", _value_bytes(counts[order]))
+        hashes, ordered = by_hash(gram, counts)
+        _save(f"{folder}/grams{k}", f"hash-{shard:05d}", _key_bytes(hashes, False))
+        _save(f"{folder}/grams{k}", f"count-{shard:05d}", _value_bytes(ordered))
+        del hashes, ordered
         of = np.bincount(np.minimum(counts, 5), minlength=6).astype(np.int64)
         # sorted by their words, so the n-grams of a context stand together
         at = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
@@ -423,7 +452,7 @@ def _write_grams(folder: str, k: int, hot: np.ndarray, shards: int):
         rows = [{"kind": "stat", "shard": shard, "n": len(gram), "parts": [of.tobytes(), np.int64(len(whole[0])).tobytes()]}]
         rows += _pack((bv.mix(key[spread]) % U64(shards)).astype(np.int64), [key[spread], *[x[spread] for x in stats]], "context")
         if k > 1:
-            rows += [r | {"kind": "lower"} for r in _dealt(columns[1:], np.ones(len(gram), np.int64), hot, shards)]
+            rows += [r | {"kind": "lower"} for r in _dealt(columns[1:], hot, shards)]
         return pa.Table.from_pylist(rows, schema=_BLOB)
     return gather
 

@@ -473,6 +473,22 @@ def test_model_files_give_back_what_was_filed(tmp_path):
         assert got.tolist() == [known.get(k, 0) for k in asked.tolist()]
 
 
+def test_sums_and_orders_of_ngrams():
+    rng = np.random.default_rng(1)
+    for top in (9, 2**40):  # one number holds an n-gram, or it does not
+        columns = [rng.integers(0, 9, 500, dtype=np.uint64) * np.uint64(top // 9) for _ in range(3)]
+        want = sorted(collections.Counter(zip(*[c.tolist() for c in columns])).items())
+        for counts in (None, np.ones(500, np.int64)):
+            got, total = lm_scoring.sum_grams(columns, counts)
+            assert list(zip(zip(*[c.tolist() for c in got]), total.tolist())) == want
+    assert [len(x) for x in lm_scoring.sum_grams([np.zeros(0, np.uint64)] * 2)[0]] == [0, 0]
+    gram = np.unique(rng.integers(0, 2**48, 3000, dtype=np.uint64)) << np.uint64(16)
+    gram = rng.permutation(gram)
+    counts = rng.choice([1, 2, 65534, 65535, 65536, 10**12], len(gram))
+    hashes, ordered = lm_scoring.by_hash(gram, counts)
+    assert list(zip(hashes.tolist(), ordered.tolist())) == sorted(zip(gram.tolist(), counts.tolist()))
+
+
 def test_lost_model_files_are_an_error(spark, tmp_path):
     import shutil
     from pathlib import Path
