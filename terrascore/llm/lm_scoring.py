@@ -53,7 +53,7 @@ FLUSH = 2_000_000
 #: Tokens of the training texts for each shard of n-grams, and their bytes for each of words, at most.
 SHARD_TOKENS, SHARD_BYTES = 2_000_000, 32 << 20
 #: Tokens that are scored at once.
-SCORED_AT_ONCE = 400_000
+SCORED_AT_ONCE = 1_000_000
 END, BEGIN = np.uint64(0x1D8E4E27C47D124F), np.uint64(0x7FB5D329728EA185)
 U64 = np.uint64
 #: Statistics of a context: sum of the counts, n-grams by count.
