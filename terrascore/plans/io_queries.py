@@ -21,7 +21,7 @@ from ..operators import dims, facts, index
 from ..schemas import CLEAN, MALFORMED, REJECTED, TABLE_SCHEMAS
 from ..session import shared_path, stage_table
 from ..sinks.increments import publish_changes, read_published
-from ..sinks.writers import (ensure_database, land_raw, load_log, load_table, loaded_rows, write_raw_csv, write_raw_json,
+from ..sinks.writers import (PACKED, PACKED_PAGES, ensure_database, land_raw, load_log, load_table, loaded_rows, write_raw_csv, write_raw_json,
                              write_snapshot)
 from ..sources import adapter, envelopes, files
 from ..streaming.landing import read_quarantined, run_landing, run_quarantine
@@ -50,13 +50,13 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _landed_pages(spark: SparkSession, pages: DataFrame) -> DataFrame:
     path = shared_path(spark, "pages")
-    pages.select("envelope").write.text(path)
+    pages.select("envelope").write.options(**PACKED_PAGES).text(path)
     return envelopes.read_envelopes(spark, path, whole_files=False)
 
 
-def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The adapter's rows as pages (the test data's generator, not the operator)."""
-    return stage_table(envelopes.pack_envelopes(adapter.raw_observations(spark, sf_dir)), "packed_pages")
+    return envelopes.pack_envelopes(adapter.raw_observations(spark, sf_dir))
 
 
 #: Every so many pages of an indicator land twice, or not at all.
@@ -66,11 +66,12 @@ REPEATED_EVERY, MISSING_EVERY = 2, 3
 def flatten_landed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page of every indicator, flattened. Every second one had landed
     before with other values: the last landing counts, once."""
-    pages = _packed(spark, sf_dir)
+    pages = stage_table(_pages(spark, sf_dir), "packed_pages")
     path = shared_path(spark, "pages")
     stale = F.regexp_replace("envelope", r'"value":[0-9.E-]+\}', '"value":-1}')
-    pages.where(F.col("page") % REPEATED_EVERY == 0).select(stale.alias("envelope")).write.text(f"{path}/first")
-    pages.select("envelope").write.text(f"{path}/second")
+    pages.where(F.col("page") % REPEATED_EVERY == 0).select(stale.alias("envelope")).write.options(
+        **PACKED_PAGES).text(f"{path}/first")
+    pages.select("envelope").write.options(**PACKED_PAGES).text(f"{path}/second")
     landed = envelopes.read_envelopes(spark, f"{path}/*", whole_files=False)
     return envelopes.flatten_envelopes(envelopes.latest_pages(landed), adapter.DEFAULT_EXTRACTION_DATE)
 

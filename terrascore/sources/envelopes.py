@@ -60,16 +60,22 @@ def page_elements(envelopes: DataFrame, col: str = "envelope") -> DataFrame:
     doc = F.col(col)
     kept = [c for c in envelopes.columns if c != col]
     texts = F.from_json(F.get_json_object(doc, "$[1]"), "array<string>")
+    # Parsed before the explode: a filter on what comes out parses nothing again.
+    parsed = F.transform(texts, lambda e: F.struct(e.alias("element"), F.from_json(e, ENVELOPE_RECORD).alias("record")))
     rows = (envelopes.where(F.json_array_length(doc) >= 2)
             .select(*kept, F.from_json(F.get_json_object(doc, "$[0]"), ENVELOPE_META)["page"].alias("page"),
-                    F.posexplode(texts).alias("position", "element")))
-    element = F.col("element")
-    field = {f: F.get_json_object(element, f"$.{f}") for f in ("country", "indicator", "value")}
+                    F.posexplode(parsed).alias("position", "_e"))
+            .select(*kept, "page", "position", "_e.element", "_e.record"))
+    element, value = F.col("element"), F.col("record.value")
+
+    def no_object(field: str) -> Column:
+        """A field that was read as an object is one; only the others are looked up."""
+        return F.col(f"record.{field}").isNull() & ~_object_or_null(F.get_json_object(element, f"$.{field}"))
     reason = (F.when(element.isNull() | ~element.startswith("{"), "not_an_object")
-              .when(~_object_or_null(field["country"]), "bad_country")
-              .when(~_object_or_null(field["indicator"]), "bad_indicator")
-              .when(field["value"].isNotNull() & field["value"].try_cast("double").isNull(), "bad_value"))
-    return rows.select("*", F.from_json(element, ENVELOPE_RECORD).alias("record"), reason.alias("reject_reason"))
+              .when(no_object("country"), "bad_country")
+              .when(no_object("indicator"), "bad_indicator")
+              .when(value.isNotNull() & value.try_cast("double").isNull(), "bad_value"))
+    return rows.select("*", reason.alias("reject_reason"))
 
 
 def rejected_records(envelopes: DataFrame, col: str = "envelope") -> DataFrame:
@@ -121,8 +127,9 @@ def _page_key(envelopes: DataFrame, col: str) -> DataFrame:
     ids = F.transform(F.from_json(F.get_json_object(doc, "$[1]"), "array<string>"),
                       lambda e: F.get_json_object(e, "$.indicator.id"))
     meta = F.from_json(F.get_json_object(doc, "$[0]"), ENVELOPE_META)
-    return envelopes.select("*", F.get(F.filter(ids, lambda i: i.isNotNull()), 0).alias("indicator_id"),
-                            meta["page"].alias("page"), meta["pages"].alias("pages"))
+    # Nearly always the first record names one; only else the others are looked at.
+    first = F.coalesce(F.get_json_object(doc, "$[1][0].indicator.id"), F.get(F.filter(ids, lambda i: i.isNotNull()), 0))
+    return envelopes.select("*", first.alias("indicator_id"), meta["page"].alias("page"), meta["pages"].alias("pages"))
 
 
 def latest_pages(envelopes: DataFrame, col: str = "envelope") -> DataFrame:
@@ -132,12 +139,12 @@ def latest_pages(envelopes: DataFrame, col: str = "envelope") -> DataFrame:
     no indicator or number are all kept.
 
     The rank keeps the best landing of every task before the shuffle, so a page
-    that landed very often is no hot spot."""
-    keyed = _page_key(envelopes, col)
+    that landed very often is no hot spot. A page of no known key has a number of
+    its own in its key: the pages are read once, and no group holds all of those."""
     known = F.col("indicator_id").isNotNull() & F.col("page").isNotNull()
-    last = Window.partitionBy("indicator_id", "page").orderBy(F.desc("landed_at"), F.desc("page_file"), F.desc(col))
-    once = keyed.where(known).withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
-    return once.unionByName(keyed.where(~F.coalesce(known, F.lit(False)))).select(*envelopes.columns)
+    keyed = _page_key(envelopes, col).withColumn("_own", F.when(~known, F.monotonically_increasing_id()))
+    last = Window.partitionBy("indicator_id", "page", "_own").orderBy(F.desc("landed_at"), F.desc("page_file"), F.desc(col))
+    return keyed.withColumn("_n", F.row_number().over(last)).where("_n = 1").select(*envelopes.columns)
 
 
 def missing_pages(envelopes: DataFrame, col: str = "envelope") -> DataFrame:
@@ -197,42 +204,43 @@ def envelope_completeness(envelopes: DataFrame, col: str = "envelope") -> DataFr
 
 def _numbered(raw: DataFrame) -> DataFrame:
     """``raw`` with each row's number within its indicator (``_row`` from 0)
-    and the indicator's rows (``_total``). Staged with the number of the part
-    each row is in: a row's number is its place in its part plus the rows of
-    the indicator in earlier parts, so no indicator is ever in one task."""
-    raw = stage_table(raw.withColumn("_part", F.spark_partition_id())
+    and the indicator's rows (``_total``). Staged in the order of the indicators
+    in every part, with the number of the part: an indicator's rows of a part
+    stand one after another, so a row's number is its place behind the first of
+    them plus the rows of the indicator in earlier parts. No indicator is ever in
+    one task, and no row is shuffled for its number; the counts are staged, so
+    that Spark knows how small they are."""
+    raw = stage_table(raw.sortWithinPartitions("indicator_id").withColumn("_part", F.spark_partition_id())
                       .withColumn("_at", F.monotonically_increasing_id()), "page_rows")
-    parts = raw.groupBy("indicator_id", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    parts = raw.groupBy("indicator_id", "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     whole = Window.partitionBy("indicator_id")
-    parts = parts.select(
+    before = F.coalesce(F.sum("_n").over(whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = stage_table(parts.select(
         F.col("indicator_id").alias("_id"), F.col("_part").alias("_p"), F.sum("_n").over(whole).alias("_total"),
-        F.coalesce(F.sum("_n").over(whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_before"))
-    place = F.row_number().over(Window.partitionBy("indicator_id", "_part").orderBy("_at")) - 1
-    return (raw.withColumn("_place", place)
-            .join(parts, F.col("indicator_id").eqNullSafe(F.col("_id")) & (F.col("_part") == F.col("_p")))
-            .withColumn("_row", F.col("_before") + F.col("_place")))
+        (before - F.col("_first")).alias("_shift")), "page_parts")
+    return (raw.join(parts, F.col("indicator_id").eqNullSafe(F.col("_id")) & (F.col("_part") == F.col("_p")))
+            .withColumn("_row", F.col("_at") + F.col("_shift")))
 
 
 def pack_envelopes(raw: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """Raw observations -> one JSON page document per (indicator, page)."""
     pages = F.ceil(F.col("_total") / F.lit(page_size)).cast("long")
-    keyed = (_numbered(raw).withColumn("_pages", pages)
+    columns = ("country_code", "country_name", "indicator_name", "year", "value")
+    keyed = (_numbered(raw.select("indicator_id", *columns)).withColumn("_pages", pages)
              .withColumn("_page", F.expr(f"_row div {page_size}") + 1))
-    record = F.struct(
-        F.col("country_code").alias("countryiso3code"),
-        F.struct(F.col("country_code").alias("id"), F.col("country_name").alias("value"))
-        .alias("country"),
-        F.struct(F.col("indicator_id").alias("id"), F.col("indicator_name").alias("value"))
-        .alias("indicator"),
-        F.col("year").alias("date"),
-        F.col("value"),
-    )
     grouped = keyed.groupBy("indicator_id", "_page", "_pages", "_total").agg(
-        F.collect_list(record).alias("_records"))
+        F.collect_list(F.struct(*columns)).alias("_rows"))
+    # Shaped after the shuffle: what a record says twice is moved once.
+    records = F.transform("_rows", lambda r: F.struct(
+        r["country_code"].alias("countryiso3code"),
+        F.struct(r["country_code"].alias("id"), r["country_name"].alias("value")).alias("country"),
+        F.struct(F.col("indicator_id").alias("id"), r["indicator_name"].alias("value")).alias("indicator"),
+        r["year"].alias("date"),
+        r["value"].alias("value"),
+    ))
     meta = F.struct(F.col("_page").alias("page"), F.col("_pages").alias("pages"),
                     F.lit(page_size).alias("per_page"), F.col("_total").alias("total"))
     return grouped.select(
         "indicator_id", F.col("_page").alias("page"),
-        F.concat(F.lit("["), F.to_json(meta), F.lit(","), F.to_json(F.col("_records")),
+        F.concat(F.lit("["), F.to_json(meta), F.lit(","), F.to_json(records),
                  F.lit("]")).alias("envelope"))
