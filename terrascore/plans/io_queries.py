@@ -84,7 +84,7 @@ def missing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def envelope_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land every page of every indicator, then check the landing against the
     pages' own metadata (all complete)."""
-    return envelopes.envelope_completeness(_landed_pages(spark, _packed(spark, sf_dir)))
+    return envelopes.envelope_completeness(_landed_pages(spark, _pages(spark, sf_dir)))
 
 
 #: Pages with every flaw a landing brings: an id outside the registry, no id at
