@@ -146,7 +146,7 @@ def _flawed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def malformed_in_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job over flawed lines, run twice: what it wrote, by kind."""
     path, root = shared_path(spark, "landing"), shared_path(spark, "job")
-    _flawed_lines(spark, sf_dir).write.text(path)
+    _flawed_lines(spark, sf_dir).write.options(**PACKED).text(path)
     for _ in range(2):
         raw, malformed = load_landed(spark, "json", path, SNAPSHOT_DATES[0])
         run_job(spark, raw, root, SNAPSHOT_DATES[0], malformed=malformed)
