@@ -182,7 +182,7 @@ def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a landing wrote, read back from both formats: rows by indicator."""
     root = shared_path(spark, "landing")
-    land_raw(adapter.raw_observations(spark, sf_dir), root, adapter.DEFAULT_EXTRACTION_DATE)
+    land_raw(stage_table(adapter.raw_observations(spark, sf_dir), "raw"), root, adapter.DEFAULT_EXTRACTION_DATE)
     csv = files.read_raw_csv(spark, f"{root}/csv", files.CSV_SINK_OPTIONS).withColumn("value", F.col("value").try_cast("double"))
     both = csv.withColumn("format", F.lit("csv")).unionByName(
         files.read_raw_json(spark, f"{root}/json").withColumn("format", F.lit("json")))
