@@ -175,7 +175,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw CSV and JSON landed, one indicator empty: the manifest, counted as it
     was written."""
-    raw = adapter.raw_observations(spark, sf_dir).where(F.col("indicator_name") != "inflation")
+    raw = stage_table(adapter.raw_observations(spark, sf_dir).where(F.col("indicator_name") != "inflation"), "raw")
     return land_raw(raw, shared_path(spark, "landing"), adapter.DEFAULT_EXTRACTION_DATE)
 
 
