@@ -78,7 +78,8 @@ def flatten_landed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def missing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third page of each indicator got lost; the others' metadata tell."""
-    return envelopes.missing_pages(_landed_pages(spark, _packed(spark, sf_dir).where(F.col("page") % MISSING_EVERY != 0)))
+    pages = _pages(spark, sf_dir).where(F.col("page") % MISSING_EVERY != 0)
+    return envelopes.missing_pages(_landed_pages(spark, pages))
 
 
 def envelope_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:

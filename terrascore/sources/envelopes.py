@@ -150,8 +150,10 @@ def latest_pages(envelopes: DataFrame, col: str = "envelope") -> DataFrame:
 def missing_pages(envelopes: DataFrame, col: str = "envelope") -> DataFrame:
     """(indicator_id, page) of the pages that an indicator's landed pages promise
     (``pages``: the largest number told) but that have not landed. Numbers are
-    dealt out in blocks, so no row ever holds a long list."""
-    landed = _page_key(envelopes, col).where("indicator_id is not null").select("indicator_id", "page", "pages")
+    dealt out in blocks, so no row ever holds a long list; the pages' keys are
+    staged, so each document is parsed once."""
+    landed = stage_table(_page_key(envelopes, col).where("indicator_id is not null").select("indicator_id", "page", "pages"),
+                         "page_keys")
     told = landed.groupBy("indicator_id").agg(F.max("pages").alias("pages")).where("pages > 0")
     blocks = told.select("indicator_id", "pages", F.explode(
         F.sequence(F.lit(0).cast("long"), F.expr(f"(pages - 1) div {PAGE_BLOCK}"))).alias("block"))
