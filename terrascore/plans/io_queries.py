@@ -308,7 +308,7 @@ def stream_clean_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land raw JSON files, run the availableNow stream, read the sink."""
     landing = shared_path(spark, "landing")
     out, ckpt = shared_path(spark, "stream_out"), shared_path(spark, "stream_ckpt")
-    adapter.raw_observations(spark, sf_dir).write.json(landing)
+    adapter.raw_observations(spark, sf_dir).write.options(**PACKED).json(landing)
     run_landing(spark, landing, out, ckpt, fmt="json")
     return files.read_snapshot(spark, out, schema=CLEAN).select(*CLEAN_COLUMNS)
 
