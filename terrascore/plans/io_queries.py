@@ -164,7 +164,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     and malformed records, each once."""
     landing, ckpt = shared_path(spark, "landing"), shared_path(spark, "stream_ckpt")
     out, bad = shared_path(spark, "stream_out"), shared_path(spark, "stream_malformed")
-    _flawed_lines(spark, sf_dir).write.text(landing)
+    _flawed_lines(spark, sf_dir).write.options(**PACKED).text(landing)
     for _ in range(2):
         run_quarantine(spark, landing, out, bad, ckpt)
     clean, malformed = read_quarantined(spark, out, bad)
