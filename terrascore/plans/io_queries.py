@@ -59,6 +59,16 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelopes.pack_envelopes(adapter.raw_observations(spark, sf_dir))
 
 
+def _staged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages for two uses, staged as lines, which are read one at a time: a
+    Parquet reader would hold a batch of thousands of pages at once."""
+    path = shared_path(spark, "page_lines")
+    _pages(spark, sf_dir).select(F.concat_ws("\t", "page", "envelope")).write.options(**PACKED_PAGES).text(path)
+    line = F.col("value")  # in JSON a tab is escaped: the first one ends the number
+    return spark.read.text(path).select(F.substring_index(line, "\t", 1).cast("long").alias("page"),
+                                        F.expr("substr(value, instr(value, '\t') + 1)").alias("envelope"))
+
+
 #: Every so many pages of an indicator land twice, or not at all.
 REPEATED_EVERY, MISSING_EVERY = 2, 3
 
@@ -66,7 +76,7 @@ REPEATED_EVERY, MISSING_EVERY = 2, 3
 def flatten_landed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page of every indicator, flattened. Every second one had landed
     before with other values: the last landing counts, once."""
-    pages = stage_table(_pages(spark, sf_dir), "packed_pages")
+    pages = _staged_pages(spark, sf_dir)
     path = shared_path(spark, "pages")
     stale = F.regexp_replace("envelope", r'"value":[0-9.E-]+\}', '"value":-1}')
     pages.where(F.col("page") % REPEATED_EVERY == 0).select(stale.alias("envelope")).write.options(
