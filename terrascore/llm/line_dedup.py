@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrascore.llm import bytesvec as bv
-from terrascore.llm.common import ship_code, stage_table, trimmed
+from terrascore.llm.common import WS_CHARS, ship_code, small_batches, stage_table
 from terrascore.llm.linking import link
 from terrascore.session import stage_table_counted
 
@@ -44,11 +44,14 @@ SHINGLE = 9
 BANDS, ROWS = 12, 4
 PERCENT = 80
 #: (band, line) pairs gathered in a task before they are dealt out.
-FLUSH = 2_000_000
+FLUSH = 500_000
 #: Bytes of text for each shard of pairs, at most.
 SHARD_BYTES = 8 << 20
+#: Bytes of lines whose shingles are worked on at once, so that these arrays stay in
+#: a core's cache (a longer line is by itself).
+BLOCK = 1 << 16
 #: Bytes of lines whose sets are compared at once (a longer pair is by itself).
-BLOCK = 2 << 20
+PAIR_BLOCK = 1 << 18
 #: Up to so many line keys, the second read of the texts is filtered by a broadcast.
 BROADCAST_ROWS = 1_000_000
 _SEED = 42  # the seed of Spark's xxhash64
@@ -70,11 +73,14 @@ def characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     number of characters before each byte and before the end."""
     lead = (data & 0xC0) != 0x80
     first = np.flatnonzero(lead)
-    width = np.diff(np.append(first, len(data)))
-    padded = np.concatenate([data, np.zeros(3, np.uint8)])
     units = data[first].astype(np.uint32)
+    wide = np.flatnonzero(units > 127)
+    at, u = first[wide], units[wide]
+    width = np.append(first, len(data))[wide + 1] - at
+    padded = np.concatenate([data, np.zeros(3, np.uint8)])
     for k in (1, 2, 3):
-        units = np.where(width > k, units << np.uint32(8) | padded[first + k], units)
+        u = np.where(width > k, u << np.uint32(8) | padded[at + k], u)
+    units[wide] = u
     return units, np.concatenate([[0], np.cumsum(lead)])
 
 
@@ -83,10 +89,12 @@ def rolling_hashes(units: np.ndarray, size: int) -> np.ndarray:
     base, one = 0x100000001B3, units.astype(np.uint64)
     out, width = one, 1
     for bit in bin(size)[3:]:
-        out = out[:-width] * np.uint64(pow(base, width, 1 << 64)) + out[width:]
-        width *= 2
+        longer = out[:-width] * np.uint64(pow(base, width, 1 << 64))
+        longer += out[width:]
+        out, width = longer, 2 * width
         if bit == "1":
-            out = out[:-1] * np.uint64(base) + one[width:]
+            out = out[:-1] * np.uint64(base)
+            out += one[width:]
             width += 1
     return out
 
@@ -109,16 +117,34 @@ def band_hashes(shingles: np.ndarray, n: np.ndarray, bands: int = BANDS, rows: i
     """(lines, bands) 64-bit hashes of the bands of each line's signature."""
     first = np.cumsum(n) - n
     shingles = (shingles >> np.uint64(32)).astype(np.uint32)
-    out = np.empty((len(n), bands), np.uint64)
+    out, v = np.empty((len(n), bands), np.uint64), np.empty_like(shingles)
     for b in range(bands):
         key = np.full(len(n), b + 1, np.uint64)
         for r in range(rows):
-            v = np.minimum.reduceat(shingles * _A[b * rows + r], first)
-            key = bv.mix(key * np.uint64(0x9E3779B97F4A7C15) + v)
+            np.multiply(shingles, _A[b * rows + r], out=v)
+            key = bv.mix(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(v, first))
         out[:, b] = key
     return out
 
 
+def blocks(begin: np.ndarray, end: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """(first, after the last) of runs of lines of about ``size`` bytes."""
+    p = 0
+    while p < len(begin):
+        q = max(p + 1, int(np.searchsorted(end, begin[p] + size, side="right")))
+        yield p, q
+        p = q
+
+
+def signatures(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The ``band_hashes`` of every line, a block of lines at a time."""
+    out = np.empty((len(begin), BANDS), np.uint64)
+    for p, q in blocks(begin, end, BLOCK):
+        a = begin[p]
+        out[p:q] = band_hashes(*shingle_hashes(data[a:end[q - 1]], begin[p:q] - a, end[p:q] - a))
+    return out
+
+
 def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(start, end) of the runs of equal values."""
     at = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
@@ -127,8 +153,13 @@ def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _once(t: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The different (token, key) pairs in order."""
-    order = np.lexsort((k, t))
+    order = np.argsort(t)
     t, k = t[order], k[order]
+    again = np.zeros(len(t), bool)  # only keys of a token that recurs are put in order
+    again[1:] = t[1:] == t[:-1]
+    again[:-1] |= again[1:]
+    among = np.flatnonzero(again)
+    k[among] = k[among][np.lexsort((k[among], t[among]))]
     fresh = np.ones(len(t), bool)
     fresh[1:] = (t[1:] != t[:-1]) | (k[1:] != k[:-1])
     return t[fresh], k[fresh]
@@ -181,7 +212,7 @@ def band_postings(docs: DataFrame, text_col: str, shards: int) -> DataFrame:
                 key = np.array([xxhash.xxh64_intdigest(raw[a:b], _SEED) for a, b in zip(begin.tolist(), end.tolist())], np.uint64)
                 one = np.sort(np.unique(key, return_index=True)[1])
                 key, begin, end = key[one], begin[one], end[one]
-                tokens.append(band_hashes(*shingle_hashes(d, begin, end)).reshape(-1))
+                tokens.append(signatures(d, begin, end).reshape(-1))
                 keys.append(np.repeat(key, BANDS))
                 held += len(tokens[-1])
                 if held >= FLUSH:
@@ -210,13 +241,12 @@ def _texts(docs: DataFrame, text_col: str, nodes: DataFrame, few: bool) -> DataF
 def line_sets(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(line, shingle): the distinct shingles of every line, in order of both."""
     h, n = shingle_hashes(data, begin, end)
-    line = np.repeat(np.arange(len(n), dtype=np.uint16 if len(n) <= 1 << 16 else np.int64), n)
-    order = np.argsort(h)
-    order = order[np.argsort(line[order], kind="stable")]
-    h, line = h[order], line[order]
+    line = np.repeat(np.arange(len(n)), n)
+    for a, k in zip((np.cumsum(n) - n).tolist(), n.tolist()):
+        h[a:a + k].sort()
     fresh = np.ones(len(h), bool)
     fresh[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
-    return line[fresh].astype(np.int64), h[fresh]
+    return line[fresh], h[fresh]
 
 
 def similar_lines(line: np.ndarray, shingle: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
@@ -224,20 +254,13 @@ def similar_lines(line: np.ndarray, shingle: np.ndarray, x: np.ndarray, y: np.nd
     enough; (``line``, ``shingle``) from ``line_sets``."""
     size = np.bincount(line)
     first = np.cumsum(size) - size
-    _, rank = np.unique(shingle, return_inverse=True)
-    width = len(shingle) + 1
-    key = line * width + rank
     out = np.zeros(len(x), bool)
-    small, large = np.where(size[x] <= size[y], x, y), np.where(size[x] <= size[y], y, x)
-    able = 100 * size[small] >= percent * size[large]
-    small, large = small[able], large[able]
-    n = size[small]
-    pair = np.repeat(np.arange(len(n)), n)
-    at = np.repeat(first[small] - (np.cumsum(n) - n), n) + np.arange(len(pair))
-    wanted = large[pair] * width + rank[at]
-    found = key[np.minimum(np.searchsorted(key, wanted), len(key) - 1)] == wanted
-    same = np.bincount(pair[found], minlength=len(n))
-    out[able] = 100 * same >= percent * (size[small] + size[large] - same)
+    able = 100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y])
+    for i, p, m, q, n in zip(*(c[able].tolist() for c in (np.arange(len(x)), first[x], size[x], first[y], size[y]))):
+        both = np.concatenate((shingle[p:p + m], shingle[q:q + n]))
+        both.sort()
+        same = int(np.count_nonzero(both[1:] == both[:-1]))
+        out[i] = 100 * same >= percent * (m + n - same)
     return out
 
 
@@ -248,7 +271,7 @@ def _similar(percent: int):
             a, b = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             (xd, xo), (yd, yo) = (bv.string_buffers(batch.column(k)) for k in (2, 3))
             keep = np.zeros(len(a), bool)
-            for p, q, _, _ in bv.chunks(xd, xo + yo, BLOCK):
+            for p, q, _, _ in bv.chunks(xd, xo + yo, PAIR_BLOCK):
                 _, one, at = np.unique(np.concatenate([a[p:q], b[p:q]]), return_index=True, return_inverse=True)
                 x, y = xd[xo[p]:xo[q]], yd[yo[p]:yo[q]]
                 begin = np.concatenate([xo[p:q] - xo[p], yo[p:q] - yo[p] + len(x)])[one]
@@ -263,7 +286,7 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Arrow function: (node, line) to (node, item) for every shingle."""
     for batch in batches:
         nodes = batch.column(0).to_numpy(zero_copy_only=False)
-        for p, q, d, o in bv.chunks(*bv.string_buffers(batch.column(1)), BLOCK):
+        for p, q, d, o in bv.chunks(*bv.string_buffers(batch.column(1)), PAIR_BLOCK):
             line, item = line_sets(d, o[:-1], o[1:])
             yield pa.RecordBatch.from_arrays([pa.array(nodes[p:q][line]), bv.as_long(item)], names=["node", "item"])
 
@@ -297,9 +320,10 @@ def line_components(docs: DataFrame, text_col: str = "text", percent: int = PERC
 def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """Staged (doc, copies, lines, gone): per document key the number of equal
     rows, its lines with a word, and the numbers of the lines to remove."""
-    linked = line_components(docs, text_col, percent)
+    with small_batches(docs.sparkSession):
+        linked = line_components(docs, text_col, percent)
     keys = F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"),
-                       lambda x: F.when(trimmed(x) != "", F.xxhash64(x)))
+                       lambda x: F.when(F.ltrim(x, F.lit(WS_CHARS)) != "", F.xxhash64(x)))
     d = docs.select(F.col(id_col).alias("id"), _doc_key(id_col, text_col).alias("doc"), keys.alias("keys"))
     d = stage_table(d.groupBy("id", "doc").agg(F.count("*").alias("copies"), F.first("keys").alias("keys")), "line-keys")
     at = d.select("id", "doc", F.posexplode("keys").alias("line", "node")).where("node is not null")

@@ -274,7 +274,8 @@ def drop_toxic(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = shared.value.predict(batch.column(at))
-            yield batch.filter(pa.array(p[:, -1] < THRESHOLD))
+            for a in range(0, batch.num_rows, 512):
+                part = batch.slice(a, 512)
+                yield part.filter(pa.array(shared.value.predict(part.column(at))[:, -1] < THRESHOLD))
 
     return docs.mapInArrow(run, docs.schema)

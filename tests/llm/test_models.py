@@ -4,6 +4,7 @@ dedup: against brute force or held-out labels, and on awkward rows."""
 import collections
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -344,6 +345,51 @@ def test_a_frequent_band_is_spread_over_the_shards():
     assert max(size.values()) < 1.5 * sum(size.values()) / shards
 
 
+def test_line_work_stays_in_small_blocks():
+    """Signatures and exact sets take memory for a block of lines, not for all of them."""
+    rng = np.random.default_rng(3)
+    lines = [bytes(rng.integers(97, 123, n, np.uint8)).decode() for n in rng.integers(1, 600, 4000)]
+    lines[7], lines[9], lines[11] = "é" * 300, "ab", "x" * 100_000
+    data = np.frombuffer("\n".join(lines).encode(), np.uint8)
+    begin, end = line_dedup.line_spans(data, np.array([0, len(data)]))
+    want = line_dedup.band_hashes(*line_dedup.shingle_hashes(data, begin, end))
+    tracemalloc.start()
+    got = line_dedup.signatures(data, begin, end)
+    assert tracemalloc.get_traced_memory()[1] < 10 << 20 and (got == want).all()
+    node, other = pa.array(range(len(lines))), pa.array(range(len(lines), 2 * len(lines)))
+    pairs = pa.RecordBatch.from_arrays([node, other, pa.array(lines), pa.array(lines[1:] + lines[:1])], ["a", "b", "x", "y"])
+    tracemalloc.reset_peak()
+    kept = [r for b in line_dedup._similar(80)([pairs]) for r in b.column(0).to_pylist()]
+    assert tracemalloc.get_traced_memory()[1] < 30 << 20 and kept == []
+    tracemalloc.stop()
+    alike = pa.RecordBatch.from_arrays([node, other, pa.array(lines), pa.array(lines)], ["a", "b", "x", "y"])
+    assert sum(b.num_rows for b in line_dedup._similar(80)([alike])) == len(lines)
+
+
+def test_line_batches_are_bounded_in_bytes(spark, monkeypatch):
+    """Of long texts, fewer go to Python at once than Spark would hand over."""
+    key, most = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before = spark.conf.get(key, None)
+
+    def watched(docs, *_):
+        sizes = docs.select("text").mapInArrow(lambda bs: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in bs), "n long")
+        most.append(max(r.n for r in sizes.collect()))
+        return docs.sparkSession.createDataFrame([], "node long, comp long")
+    monkeypatch.setattr(line_dedup, "line_components", watched)
+    long = docs(spark, [(k, "word " * 20_000, "a") for k in range(300)]).coalesce(1)
+    line_dedup.removals(long)
+    watched(long)
+    assert most[0] < 10 << 20 < most[1] and spark.conf.get(key, None) == before
+
+
+def test_toxic_rows_of_several_slices(spark):
+    """Over the ends of slices, the same rows stay as are judged in ``score``."""
+    d = docs(spark, [(k, f"plain text {k} " * (k % 7), "a") for k in range(1500)]).coalesce(1)
+    chain = toxicity.train(table(spark, "documents"), table(spark, "labels"))
+    want = {r.doc_id for r in toxicity.score(d, chain).where("not toxic").collect()}
+    assert sorted(r.doc_id for r in toxicity.drop_toxic(d, chain).collect()) == sorted(want)
+
+
 def test_line_edges(spark):
     out = line_dedup.dedup_lines(docs(spark, AWKWARD))
     assert out.columns == docs(spark, AWKWARD).columns
