@@ -328,10 +328,9 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     d = stage_table(d.groupBy("id", "doc").agg(F.count("*").alias("copies"), F.first("keys").alias("keys")), "line-keys")
     at = d.select("id", "doc", F.posexplode("keys").alias("line", "node")).where("node is not null")
     first = at.groupBy("node").agg(F.min(F.struct("id", "doc", "line")).alias("first"), F.count("*").alias("n"))
-    first = stage_table(first, "line-first")
-    named = first.join(linked, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    multiple = named.where("n > 1").select("node").unionByName(linked.select("node")).distinct()
-    named = named.join(multiple, "node")
+    # lines with a copy or a similar line; no others can go
+    named = first.join(linked, "node", "left").where("n > 1 or comp is not null")
+    named = stage_table(named.select("node", "first", F.coalesce("comp", "node").alias("comp")), "line-first")
     best = named.groupBy("comp").agg(F.min("first").alias("best"))
     best = named.join(best, "comp").select("node", F.col("best.id").alias("best_id"), F.col("best.doc").alias("best_doc"),
                                            F.col("best.line").alias("best_line"))

@@ -36,7 +36,7 @@ from terrascore.session import stage_table_counted
 
 #: Lists of so many nodes at most need no bounds.
 SMALL = 8
-#: 64-bit words of a node's bitmap.
+#: 64-bit words of a node's bitmap, a power of two.
 WORDS = 16
 #: Edges that a task joins into one forest at a time.
 EDGES = 2_000_000
@@ -140,9 +140,10 @@ def _bounds(nodes: DataFrame, items: Callable[[DataFrame], DataFrame]) -> DataFr
     had = stage_table(items(nodes), "items")
     common = had.groupBy("item").agg(F.count("*").alias("k")).where("k > 1").select("item")
     sizes = had.groupBy("node").agg(F.count("*").alias("n"))
-    bit = F.pmod(F.xxhash64("item"), F.lit(64 * WORDS)).cast("int")
-    words = [F.expr(f"bit_or(CASE WHEN bit div 64 = {k} THEN shiftleft(1L, bit % 64) ELSE 0L END)").alias(f"w{k}") for k in range(WORDS)]
+    bit = F.xxhash64("item").bitwiseAND(F.lit(64 * WORDS - 1))
+    words = [F.expr(f"bit_or(CASE WHEN word = {k} THEN mask ELSE 0L END)").alias(f"w{k}") for k in range(WORDS)]
     maps = (had.join(common, "item", "left_semi").select("node", bit.alias("bit"))
+            .select("node", F.shiftright("bit", 6).alias("word"), F.expr("shiftleft(1L, CAST(bit & 63 AS INT))").alias("mask"))
             .groupBy("node").agg(F.count("*").alias("shared"), *words))
     return sizes.join(maps, "node", "left").na.fill(0)
 
