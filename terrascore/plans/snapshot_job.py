@@ -106,23 +106,26 @@ def run(spark: SparkSession, raw: DataFrame, out_root: str, process_date: dt.dat
     root = out_root.rstrip("/")
     if malformed is not None:
         dated = malformed.to(MALFORMED).withColumn("process_date", F.lit(process_date).cast("date"))
-        write_snapshot(dated, f"{root}/malformed", partition_by=("process_date", "reject_reason"))
+        write_snapshot(dated, f"{root}/malformed", partition_by=("process_date", "reject_reason"), gather=False)
     if land:
         raw = stage_table(raw, "raw", path=f"{root}/_staging/{process_date}/raw")
         land_raw(raw, f"{root}/raw", process_date)
     observations = C.clean_observations(raw, process_date, year_range=year_range)
-    write_snapshot(observations, f"{root}/observations")
+    write_snapshot(observations, f"{root}/observations", gather=False)
     clean = files.read_snapshot(spark, f"{root}/observations", process_date,
                                 schema=observations.schema, missing_ok=True)
     # What the clean stage refused, dated and with its reason.
     rejects = C.rejected_observations(raw).withColumn("process_date", F.lit(process_date).cast("date"))
-    write_snapshot(rejects, f"{root}/rejected", partition_by=("process_date", "reject_reason"))
+    write_snapshot(rejects, f"{root}/rejected", partition_by=("process_date", "reject_reason"), gather=False)
     tables = build_tables(clean, rank_method, f"{root}/_staging/{process_date}")
     out = {}
     for name, df in tables.items():
         path = f"{root}/{name}"
         dated = df.withColumn("process_date", F.lit(process_date).cast("date"))
-        write_snapshot(dated, path, serving.INDEX_PARTITIONS if name == "opportunity_index" else ("process_date",))
+        if name == "opportunity_index":  # one-year reads: the rows of a year together
+            write_snapshot(dated, path, serving.INDEX_PARTITIONS)
+        else:
+            write_snapshot(dated, path, ("process_date",), gather=False)
         out[name] = files.read_snapshot(spark, path, process_date, schema=dated.schema,
                                         missing_ok=True).select(*df.columns)
     if database:
