@@ -16,7 +16,8 @@ Training uses at most ``sample`` labelled documents of at most ``max_chars``
 characters, chosen by a hash of their ids; prediction covers every row and its
 whole text. The texts stay on the executors: they count each feature's documents,
 Spark sums the counts and ranks the features, and only the chosen columns, at most
-``SELECTED`` per category, of the sample's rows come to the driver to be fitted.
+``SELECTED`` per category, of the sample's rows go to a task that fits the chain.
+The driver gets the chosen features and the weights.
 
 Defined results: null or empty text has no features and gets the probability of
 an empty text; a document without one of the labels is not learned from; without
@@ -208,6 +209,38 @@ def fit_chain(chain: Chain, x: np.ndarray, labels: list[np.ndarray], folds: int
     return chain
 
 
+def fit_in_task(rows: DataFrame, chain: Chain) -> Chain:
+    """``fit_chain`` in one task over the sample's staged rows (id, body, labels): its
+    matrix, ``sample`` rows of a few hundred numbers, never comes to the driver."""
+    names, width = [c for c in rows.columns if c not in ("id", "body")], chain.n_columns + 1
+    shared = rows.sparkSession.sparkContext.broadcast(chain)
+
+    def matrix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 512):
+                part = batch.slice(a, 512)
+                x = shared.value.matrix(part.column(1))
+                lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], pa.array(x.ravel()))
+                yield pa.RecordBatch.from_arrays([part.column(0), lists, *part.columns[2:]], ["id", "x", *names])
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if held:
+            table = pa.Table.from_batches(held).sort_by("id")  # the same folds on every run
+            x = table["x"].combine_chunks().flatten().to_numpy().reshape(-1, width)
+            new = Chain(shared.value.slot, width - 1, shared.value.categories, [])  # a worker keeps the shared one
+            models = fit_chain(new, x, [table[n].to_numpy() > 0 for n in names]).models
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(models)), pa.int32()), pa.array(models, pa.list_(pa.float32()))], ["k", "w"])
+
+    id_type = rows.schema["id"].dataType.simpleString()
+    x = rows.mapInArrow(matrix, f"id {id_type}, x array<float>, " + ", ".join(f"{n} int" for n in names))
+    models = x.repartition(1).mapInArrow(fit, "k int, w array<float>").orderBy("k").collect()
+    if not models:  # nothing to learn from
+        return fit_chain(chain, np.zeros((0, width), np.float32), [np.zeros(0, bool) for _ in names])
+    chain.models = [np.array(r["w"], np.float32) for r in models]
+    return chain
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           categories: tuple[str, ...] | None = None, sample: int = SAMPLE, max_chars: int = MAX_CHARS) -> Chain:
     """Fit on ``sample`` labelled documents at most: the ids first in the order
@@ -229,22 +262,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     cols = select_features(counts, categories)
     slot = np.full(1 << BITS, -1, dtype=np.int32)
     slot[cols] = np.arange(len(cols))
-    chain = Chain(slot, max(len(cols), 1), categories, [])
-    shared = spark.sparkContext.broadcast(chain)
-
-    def matrix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
-                x = shared.value.matrix(part.column(1))
-                lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], pa.array(x.ravel()))
-                yield pa.RecordBatch.from_arrays([part.column(0), lists, *part.columns[2:]], ["id", "x", *names])
-
-    id_type = rows.schema["id"].dataType.simpleString()
-    fitted = rows.mapInArrow(matrix, f"id {id_type}, x array<float>, " + ", ".join(f"{n} int" for n in names)).toArrow()
-    fitted = fitted.sort_by("id")  # the same folds on every run
-    x = fitted["x"].combine_chunks().flatten().to_numpy().reshape(-1, chain.n_columns + 1)
-    return fit_chain(chain, x, [fitted[n].to_numpy() > 0 for n in names])
+    return fit_in_task(rows, Chain(slot, max(len(cols), 1), categories, []))
 
 
 def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -489,6 +489,26 @@ def test_toxicity_features_are_chosen_as_by_plain_counts(spark):
     assert toxicity.select_features(counts, ("toxic",), 7).tolist() == sorted(best) and len(best) >= 5
 
 
+def test_chain_is_fitted_in_a_task(spark, monkeypatch):
+    """The sample's matrix does not come to the driver, and the weights are those of a fit here."""
+    rows = [(i, f"some plain words {i} " + ("vile slur" if i % 3 == 0 else "kind text")) for i in range(60)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 3 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
+
+    def refused(*_):
+        raise AssertionError("on the driver")
+    with monkeypatch.context() as m:
+        m.setattr(toxicity, "fit_linear", refused)
+        m.setattr(type(d), "toArrow", refused)
+        chain, again = toxicity.train(d, labels), toxicity.train(d, labels)  # twice in the same workers
+    plain = toxicity.Chain(chain.slot, chain.n_columns, chain.categories, [])
+    x = plain.matrix(pa.array([t for _, t in rows]))
+    toxicity.fit_chain(plain, x, [np.array([i % 3 > 0 for i, _ in rows]), np.array([i % 3 == 0 for i, _ in rows])])
+    assert chain.n_columns > 3 and len(chain.models) == 2
+    assert all(a.dtype == b.dtype and np.allclose(a, b, rtol=1e-4, atol=1e-5) for a, b in zip(chain.models, plain.models))
+    assert len(again.models) == 2 and all((a == b).all() for a, b in zip(chain.models, again.models))
+
+
 def test_chain_learns_from_out_of_fold_estimates():
     """The second model's input is the first one's estimates on rows it has not seen."""
     rng = np.random.default_rng(1)
