@@ -189,7 +189,7 @@ def _load(folder: str, name: str) -> np.ndarray:
     path = os.path.join(folder, name)
     if not os.path.exists(path):
         raise FileNotFoundError(f"the language model's file {path} is missing: the shared folder must be mounted on every worker")
-    return np.memmap(path, dtype=np.uint8, mode="r") if os.path.getsize(path) else np.zeros(0, np.uint8)
+    return np.memmap(path, dtype=np.uint8, mode="r").view(np.ndarray) if os.path.getsize(path) else np.zeros(0, np.uint8)
 
 
 def _find(folder: str, name: str, n: int, wanted: np.ndarray, wide: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -252,11 +252,18 @@ def _lookup(folder: str, entries: np.ndarray, shard: np.ndarray, keys: np.ndarra
     the name ``""`` stands for the place in the file, from 1. Keys are looked up
     once each, in the files' order. A shard without entries has no file; a file that
     is missing or short is an error, never a count of 0."""
-    order = np.argsort(keys)
-    order = order[_shard_order(shard[order])]
-    s, k = shard[order], keys[order]
-    new = np.concatenate([[True], (k[1:] != k[:-1]) | (s[1:] != s[:-1])]) if len(k) else np.zeros(0, bool)
-    us, uk = s[new], k[new]
+    if wide or len(entries) > 65536:
+        order = np.argsort(keys)
+        order = order[_shard_order(shard[order])]
+        s, k = shard[order], keys[order]
+        new = np.concatenate([[True], (k[1:] != k[:-1]) | (s[1:] != s[:-1])]) if len(k) else np.zeros(0, bool)
+        us, uk = s[new], k[new]
+    else:  # shard and the 48 bits that files hold are sorted as one number
+        k = (shard.astype(U64) << U64(48)) | (keys >> U64(16))
+        order = np.argsort(k)
+        k = k[order]
+        new = np.concatenate([[True], k[1:] != k[:-1]]) if len(k) else np.zeros(0, bool)
+        us, uk = (k[new] >> U64(48)).astype(np.int64), k[new] << U64(16)
     found = [np.zeros(len(uk), np.int64) for _ in names]
     edges = np.searchsorted(us, np.arange(len(entries) + 1))
     for i in np.flatnonzero((edges[1:] > edges[:-1]) & (entries > 0)).tolist():
@@ -339,9 +346,11 @@ def _deal_grams(folder: str, first: np.ndarray, order: int, hot: np.ndarray, sha
         def flush():
             skip = np.cumsum([0] + [len(h[0]) for h in held])
             ids, _ = word_ids(folder, first, np.concatenate([h[0] for h in held]))
+            words, ids = np.unique(ids, return_inverse=True)  # places are smaller than numbers: n-grams sort as one
+            ids = ids.astype(U64)
             grams = [ngrams(ids[h[1] + k], h[2], order) for h, k in zip(held, skip)]
             columns = [np.concatenate([g[k] for g in grams]) for k in range(order)]
-            return _batch(_dealt(columns, hot, shards))
+            return _batch(_dealt(columns, hot, shards, words))
         for batch in batches:
             data, offsets = bv.string_buffers(batch.column(0))
             for _, _, d, o in bv.chunks(data, offsets):
@@ -408,8 +417,11 @@ def by_hash(gram: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return key & ~top, ordered
 
 
-def _dealt(columns: list[np.ndarray], hot: np.ndarray, shards: int) -> list[dict]:
+def _dealt(columns: list[np.ndarray], hot: np.ndarray, shards: int, words: np.ndarray | None = None) -> list[dict]:
+    """Packed n-grams, summed, by shard. ``words``: the numbers in order, of which ``columns`` has the places."""
     columns, counts = sum_grams(columns)
+    if words is not None:
+        columns = [words[c] for c in columns]
     context = context_hash(columns)
     shard = shard_of(columns, context, gram_hash(context, columns[-1]), hot, shards)
     return list(_pack(shard, [*columns, counts], "gram"))
@@ -530,32 +542,62 @@ def _by_shard(shards: int, sizes: list[tuple[int, int]]) -> np.ndarray:
     return out
 
 
-def log_probabilities(model: Model, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """log10 of the model's probability of the tokens (``word_ids``) at ``at``."""
-    total, n1, n2, n3 = (float(x) for x in (model.unigrams if model.unigrams is not None else np.zeros(4)))
-    p = np.full(len(at), 1.0 / (model.vocabulary + 1))
-    for k in range(1, model.order + 1):
-        columns = ngrams(tokens, at, k)
-        context = context_hash(columns)
-        gram = gram_hash(context, columns[-1])
-        spread = is_spread(columns, model.hot)
-        home = (bv.mix(context) % U64(model.shards)).astype(np.int64)
-        shard = np.where(spread, (bv.mix(gram) % U64(model.shards)).astype(np.int64), home)
-        c, = _lookup(f"{model.folder}/grams{k}", model.entries[f"grams{k}"], shard, gram, ["count"])
-        d = model.discounts[k]
-        taken = np.concatenate([[0.0], d])[np.minimum(c, 3)]
-        if k == 1:
-            if total:
-                p = np.maximum(c - taken, 0) / total + (d @ np.array([n1, n2, n3])) / total * p
-            continue
-        t, a, b, e = found = [np.zeros(len(at), np.int64) for _ in CONTEXT]
-        for name, part in (("contexts", ~spread), ("spread", spread)):
-            for x, y in zip(found, _lookup(f"{model.folder}/{name}{k}", model.entries[f"{name}{k}"], home[part], bv.mix(context[part]), list(CONTEXT))):
-                x[part] = y
-        seen = t > 0
-        t = np.maximum(t, 1)
-        p = np.where(seen, np.maximum(c - taken, 0) / t + (d[0] * a + d[1] * b + d[2] * e) / t * p, p)
-    return np.log10(p)
+def grams_once(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """N-grams once each, in the order of their words, and the place of each among them."""
+    keys, _ = _keys(columns)
+    order = np.argsort(keys[0]) if len(keys) == 1 else np.lexsort(keys[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for key in keys:
+        key = key[order]
+        new[1:] |= key[1:] != key[:-1]
+    back = np.empty(len(order), np.int64)
+    back[order] = np.cumsum(new) - 1
+    at = order[new]
+    return [c[at] for c in columns], back
+
+
+def log_probabilities(model: Model, ids: np.ndarray, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """log10 of the model's probability of the tokens at ``at``. ``ids``: the different
+    words' numbers (``word_ids``); ``tokens``: each token's place among them."""
+    return np.log10(_probabilities(model, ids, ngrams(tokens.astype(U64), at, model.order)))
+
+
+def _probabilities(model: Model, ids: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
+    """The probability of each n-gram's last word. An n-gram, a context and the
+    shorter n-gram are worked on once each, however often they occur."""
+    if not columns:
+        return np.full(1, 1.0 / (model.vocabulary + 1))
+    k = len(columns)
+    columns, back = grams_once(columns)
+    shorter = _probabilities(model, ids, columns[1:])
+    numbers = [ids[c] for c in columns]
+    context = context_hash(numbers)
+    gram = gram_hash(context, numbers[-1])
+    # in the order of their words, so the n-grams of a context stand together
+    new = np.zeros(len(context), bool)
+    new[:1] = True
+    for c in columns[:-1]:
+        new[1:] |= c[1:] != c[:-1]
+    of = np.cumsum(new) - 1
+    context = context[new]
+    spread = is_spread([c[new] for c in numbers], model.hot)
+    home = (bv.mix(context) % U64(model.shards)).astype(np.int64)
+    shard = np.where(spread[of], (bv.mix(gram) % U64(model.shards)).astype(np.int64), home[of])
+    c, = _lookup(f"{model.folder}/grams{k}", model.entries[f"grams{k}"], shard, gram, ["count"])
+    d = model.discounts[k]
+    taken = np.maximum(c - np.concatenate([[0.0], d])[np.minimum(c, 3)], 0)
+    if k == 1:
+        total, n1, n2, n3 = (float(x) for x in (model.unigrams if model.unigrams is not None else np.zeros(4)))
+        return (taken / total + (d @ np.array([n1, n2, n3])) / total * shorter if total else np.broadcast_to(shorter, taken.shape))[back]
+    t, a, b, e = found = [np.zeros(len(context), np.int64) for _ in CONTEXT]
+    for name, part in (("contexts", ~spread), ("spread", spread)):
+        for x, y in zip(found, _lookup(f"{model.folder}/{name}{k}", model.entries[f"{name}{k}"], home[part], bv.mix(context[part]), list(CONTEXT))):
+            x[part] = y
+    seen = t > 0
+    t = np.maximum(t, 1)
+    left = (d[0] * a + d[1] * b + d[2] * e) / t
+    return np.where(seen[of], taken / t[of] + left[of] * shorter, shorter)[back]
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -575,12 +617,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             at = np.concatenate([s[1] + k for s, k in zip(streams, skip)])
             base_row = np.cumsum([0] + [len(i) for i in ids])
             row = np.concatenate([s[2] + k for s, k in zip(streams, base_row)])
-            tokens, c = word_ids(m.folder, m.first, tokens)
-            c = c[at]
+            words, tokens = np.unique(tokens, return_inverse=True)
+            numbers, c = word_ids(m.folder, m.first, words)
+            c = c[tokens[at]]
             n = int(base_row[-1])
             sums = lambda x: np.bincount(row, weights=x, minlength=n)
             base = sums(np.log10((c + 0.5) / rate))
-            model_score = sums(log_probabilities(m, tokens, at))
+            model_score = sums(log_probabilities(m, numbers, tokens, at))
             count = np.bincount(row, minlength=n)
             return pa.RecordBatch.from_arrays(
                 [pa.chunked_array(ids).combine_chunks() if len(ids) > 1 else ids[0], pa.array(count), pa.array(sums(c > 0).astype(np.int64)),

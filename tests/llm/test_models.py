@@ -120,6 +120,28 @@ def test_registered_lm_equals_brute_force_of_three_words(spark):
     assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], rel_tol=1e-9) for i in want)
 
 
+def test_lm_looks_up_each_ngram_once(spark, monkeypatch):
+    """However often a block repeats an n-gram or a context, its files are asked once."""
+    d = docs(spark, [(i, f"a b c a b {'d' * (i % 3)}", "s") for i in range(30)])
+    model = lm_scoring.train(d, order=3)
+    tokens, at, _ = lm_scoring.token_stream(np.frombuffer(b"a b c a b d" * 1 + b" a b c" * 50, np.uint8), np.array([0, 311]), 3)
+    words, places = np.unique(tokens, return_inverse=True)
+    asked, real = [], lm_scoring._lookup
+    monkeypatch.setattr(lm_scoring, "_lookup", lambda folder, entries, shard, keys, *a, **kw: asked.append(keys) or real(folder, entries, shard, keys, *a, **kw))
+    numbers, _ = lm_scoring.word_ids(model.folder, model.first, words)
+    got = lm_scoring.log_probabilities(model, numbers, places, at)
+    assert len(got) == len(at) > 150 and all(len(k) == len(np.unique(k)) <= 12 for k in asked)
+    assert len({(tuple(tokens[i - 2:i + 1]), p) for i, p in zip(at.tolist(), got.tolist())}) == len({tuple(tokens[i - 2:i + 1]) for i in at.tolist()})
+
+
+def test_lm_deals_the_same_ngrams_by_places():
+    rng = np.random.default_rng(5)
+    words = np.unique(rng.integers(0, 1 << 24, 300).astype(np.uint64))
+    places = [rng.integers(0, len(words), 5000).astype(np.uint64) for _ in range(3)]
+    by_number = lm_scoring._dealt([words[c] for c in places], words[:2], 7)
+    assert lm_scoring._dealt(places, words[:2], 7, words) == by_number
+
+
 def test_lm_shards_follow_the_input(spark, monkeypatch):
     d = docs(spark, [(i, f"a b{i} c{i % 5}", "s") for i in range(20)])
     plain = [r.score for r in lm_scoring.score(d, lm_scoring.train(d)).orderBy("doc_id").collect()]
